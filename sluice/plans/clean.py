@@ -17,7 +17,7 @@ from sluice.operators.inventory import discover_domains
 from sluice.operators.stamps import add_etl_date, add_row_id
 from sluice.plans import gates
 from sluice.plans.presets import RENAME_MAP
-from sluice.sources.csv import CORRUPT_COLUMN, read_raw
+from sluice.sources.csv import CORRUPT_COLUMN, is_header_mismatch, read_raw
 from sluice.sources.files import list_files
 from sluice.sources.parquet import table_path, write_domain
 
@@ -36,15 +36,32 @@ def clean_frame(df: DataFrame, renames: Mapping[str, str] = RENAME_MAP,
 def clean_domain(spark: SparkSession, raw_root: str, staging_root: str, domain: str,
                  error_root: str | None = None, renames: Mapping[str, str] = RENAME_MAP,
                  as_of: dt.date | str | None = None, on_collision: str = "error",
-                 align_headers: bool = True, keep_corrupt: bool = True) -> gates.Status:
+                 align_headers: bool | str = "auto", keep_corrupt: bool = True) -> gates.Status:
     """Clean one domain folder; an empty folder is skipped (its old staging
-    data is left alone), a failure quarantines this domain's raw rows."""
-    return gates.run_quarantined(
-        spark, domain,
-        build=lambda raw: clean_frame(raw, renames, as_of, on_collision),
-        publish=lambda out: write_domain(out, staging_root, domain),
-        error_root=error_root,
-        raw=lambda: read_raw(spark, table_path(raw_root, domain), align_headers, keep_corrupt))
+    data is left alone), a failure quarantines this domain's raw rows.
+
+    ``align_headers="auto"`` reads optimistically in one pass with Spark's
+    per-file header check; only when some file's header differs does it run
+    again with files grouped by header (the write of the failed attempt is
+    aborted by Spark and leaves nothing behind)."""
+    path = table_path(raw_root, domain)
+
+    def attempt(mode, reraise=None):
+        return gates.run_quarantined(
+            spark, domain,
+            build=lambda raw: clean_frame(raw, renames, as_of, on_collision),
+            publish=lambda out: write_domain(out, staging_root, domain),
+            error_root=error_root,
+            raw=lambda: read_raw(spark, path, mode, keep_corrupt), reraise=reraise)
+
+    if align_headers != "auto":
+        return attempt(align_headers)
+    try:
+        return attempt("check", reraise=is_header_mismatch)
+    except Exception as exc:  # noqa: BLE001 - only header drift comes back here
+        if not is_header_mismatch(exc):
+            raise
+        return attempt(True)
 
 
 def clean_all(spark: SparkSession, raw_root: str, staging_root: str, error_root: str | None = None,

@@ -57,8 +57,10 @@ def written_rows(spark: SparkSession, path: str) -> int:
 def run_quarantined(spark: SparkSession, domain: str,
                     build: Callable[[DataFrame], DataFrame],
                     publish: Callable[[DataFrame], str], error_root: str | None,
-                    raw: Callable[[], DataFrame], is_empty_skip: bool = True) -> Status:
+                    raw: Callable[[], DataFrame], is_empty_skip: bool = True,
+                    reraise: Callable[[BaseException], bool] | None = None) -> Status:
     """Read this domain (``raw``), transform it (``build``) and publish it.
+    Failures for which ``reraise`` is true propagate instead (for retries).
 
     On failure *this domain's* raw frame goes to ``error_root`` and the status
     says why.  The try encloses the write, where lazy errors (bad casts, bad
@@ -72,6 +74,8 @@ def run_quarantined(spark: SparkSession, domain: str,
         path = publish(build(raw_df))
         return Status(domain, OK, None, written_rows(spark, path))
     except Exception as exc:  # noqa: BLE001 - every failure becomes a status row
+        if reraise is not None and reraise(exc):
+            raise
         reason = error_class(exc)
         if raw_df is None or error_root is None:
             return Status(domain, FAILED, reason, None)

@@ -16,6 +16,16 @@ from pyspark.sql import types as T
 
 CORRUPT_COLUMN = "_corrupt_record"
 
+# Spark's messages when a file's header differs from the schema.
+HEADER_MISMATCH_MESSAGES = ("CSV header does not conform to the schema",
+                            "Number of column in CSV header is not equal")
+
+
+def is_header_mismatch(exc: BaseException) -> bool:
+    """True when a read failed because some file's header differs."""
+    text = str(exc)
+    return any(m in text for m in HEADER_MISMATCH_MESSAGES)
+
 
 def header_groups(spark: SparkSession, path: str) -> DataFrame:
     """(header, files): files grouped by their first line.
@@ -36,9 +46,11 @@ def header_groups(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _read_group(spark: SparkSession, paths: str | list[str], keep_corrupt: bool,
-                options: Mapping[str, str]) -> DataFrame:
+                options: Mapping[str, str], check_headers: bool = False) -> DataFrame:
     reader = spark.read.option("header", True).options(**options)
     names = reader.csv(paths).schema  # header only: every column is a string
+    if check_headers:
+        reader = reader.option("enforceSchema", False)
     if not keep_corrupt:
         return reader.schema(names).csv(paths)
     schema = T.StructType(list(names.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
@@ -46,16 +58,23 @@ def _read_group(spark: SparkSession, paths: str | list[str], keep_corrupt: bool,
             .option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(paths))
 
 
-def read_raw(spark: SparkSession, path: str, align_headers: bool = True,
+def read_raw(spark: SparkSession, path: str, align_headers: bool | str = True,
              keep_corrupt: bool = True, options: Mapping[str, str] | None = None) -> DataFrame:
     """Read a folder of headered CSV with every column as a string.
 
-    ``align_headers``: files are grouped by header line and united by name
-    (missing columns null).  Off, Spark applies one header to all files.
+    ``align_headers``:
+      * ``True``: files are grouped by header line (one extra text scan) and
+        united by name, missing columns null.
+      * ``"check"``: one pass; Spark checks every file's header against the
+        first one as it reads and the action fails on a difference (see
+        :func:`is_header_mismatch`), so the caller can retry with ``True``.
+      * ``False``: Spark applies one header to all files unchecked.
     ``keep_corrupt``: lines with too many or too few fields keep their text
     in ``_corrupt_record`` instead of being silently cut or padded.
     """
     opts = dict(options or {})
+    if align_headers == "check":
+        return _read_group(spark, path, keep_corrupt, opts, check_headers=True)
     if not align_headers:
         return _read_group(spark, path, keep_corrupt, opts)
     groups = header_groups(spark, path).orderBy("header").collect()

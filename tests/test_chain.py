@@ -122,3 +122,18 @@ def test_clean_frame_single_projection(spark):
     out = clean_frame(df, as_of="2025-01-31")
     assert out.columns == ["col_a", "facility_name", "row_id", "etl_date"]
     assert out.first()[:2] == ("a", "b")
+
+
+def test_clean_domain_auto_realigns_drift(spark, tmp_root):
+    from sluice.plans.clean import clean_domain
+    raw = tmp_root + "/raw"
+    write_text(raw + "/dom", "f1.csv", "A,B\n1,2\n")
+    write_text(raw + "/dom", "f2.csv", "B,A\n4,3\n")
+    st = clean_domain(spark, raw, tmp_root + "/stg", "dom", as_of="2025-01-31")
+    assert st.status == gates.OK and st.rows == 2
+    got = {(r.a, r.b) for r in read_domain(spark, tmp_root + "/stg", "dom").collect()}
+    assert got == {("1", "2"), ("3", "4")}
+    # same layout everywhere: the single checked pass is enough
+    write_text(raw + "/same", "f1.csv", "A,B\n1,2\n")
+    write_text(raw + "/same", "f2.csv", "A,B\n3,4\n")
+    assert clean_domain(spark, raw, tmp_root + "/stg", "same").rows == 2
