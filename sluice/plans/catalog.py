@@ -337,6 +337,12 @@ def q_move_plan(spark, sf_dir):
                      PROCESSED_ROOT, ERROR_ROOT)
 
 
+def q_move_summary(spark, sf_dir):
+    """Files to move per target (the totals a move run reports)."""
+    plan = q_move_plan(spark, sf_dir)
+    return plan.groupBy("status").agg(F.count(F.lit(1)).alias("n_files"))
+
+
 # ---------------------------------------------------------------- manifest / ingest
 
 
@@ -535,6 +541,18 @@ def q_provider_transform(spark, sf_dir):
     return spark.read.parquet(paths["penalties"]).drop("row_id")
 
 
+def q_provider_facility(spark, sf_dir):
+    """Facility facet: 24 fixed columns, typed; staging stamps kept."""
+    paths = _provider_run(spark, sf_dir)
+    return spark.read.parquet(paths["facility"]).drop("row_id")
+
+
+def q_provider_surveys(spark, sf_dir):
+    """Surveys facet: keyword columns left-enriched with the survey detail."""
+    paths = _provider_run(spark, sf_dir)
+    return spark.read.parquet(paths["surveys"]).drop("row_id")
+
+
 def q_provider_facets(spark, sf_dir):
     paths = _provider_run(spark, sf_dir)
     out = None
@@ -555,6 +573,16 @@ def q_quality_transform(spark, sf_dir):
     return read_domain(spark, transform, "qualitymsr_mds").drop("row_id")
 
 
+def q_quality_transform_typed(spark, sf_dir):
+    """Typed variant: every staged column kept, schema casts, re-stamped."""
+    staging = scratch_path(spark, "staging")
+    write_domain(stamp(_quality_texts(spark, sf_dir), "2025-01-30"), staging, "qualitymsr_mds")
+    transform = scratch_path(spark, "transform")
+    out = quality_frame(read_domain(spark, staging, "qualitymsr_mds"), typed=True, as_of=AS_OF)
+    write_domain(out, transform, "qualitymsr_mds")
+    return read_domain(spark, transform, "qualitymsr_mds").drop("row_id")
+
+
 QUERIES: dict[str, Query] = {
     "csv_scan": q_csv_scan,
     "parquet_scan": q_parquet_scan,
@@ -588,12 +616,16 @@ QUERIES: dict[str, Query] = {
     "required_present": q_required_present,
     "count_by_domain": q_count_by_domain,
     "move_plan": q_move_plan,
+    "move_summary": q_move_summary,
     "quarantine": q_quarantine,
     "clean_domain": q_clean_domain,
     "incremental_clean": q_incremental_clean,
     "penalties_slice": q_penalties_slice,
     "provider_transform": q_provider_transform,
     "provider_facets": q_provider_facets,
+    "provider_facility": q_provider_facility,
+    "provider_surveys": q_provider_surveys,
     "quality_transform": q_quality_transform,
+    "quality_transform_typed": q_quality_transform_typed,
     "ingest_plan": q_ingest_plan,
 }

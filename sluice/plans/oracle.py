@@ -57,6 +57,34 @@ _LEFT_ENRICH = """SELECT c.c_custkey AS custkey, c.c_name, c.c_nationkey, c.c_mk
        o.o_orderkey, o.o_totalprice, o.o_orderdate
 FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderstatus = 'P'"""
 
+_MOVE_BASE = """(SELECT page_id, split_part(url, '/', 4) AS lang FROM pages)"""
+
+# Facility facet: the columns given explicitly, then the generic text rule
+# ('<first four letters of the name>:' || key) for the others.
+_FACILITY_GIVEN = {
+    "facility_number": "CAST(c_custkey AS VARCHAR)",
+    "facility_name": "c_name",
+    "state": "CAST(c_nationkey AS VARCHAR)",
+    "ownership_type": "c_mktsegment",
+    "number_of_certified_beds": "c_nationkey + 10",
+    "average_number_of_residents_per_day": "CAST(c_nationkey AS DOUBLE) + 0.5",
+    "date_first_approved_to_provide_medicare_and_medicaid_services":
+        "make_date(2000 + c_nationkey, 6, 30)",
+    "etl_date": "DATE '2025-01-30'",
+}
+
+
+def _facility_sql() -> str:
+    from sluice.plans.presets import FACILITY_COLUMNS
+    cols = []
+    for name in FACILITY_COLUMNS:
+        if name == "row_id":
+            continue
+        expr = _FACILITY_GIVEN.get(name, f"'{name[:4]}:' || CAST(c_custkey AS VARCHAR)")
+        cols.append(f"{expr} AS {name}")
+    return "SELECT " + ",\n       ".join(cols) + "\nFROM customer"
+
+
 ORACLE_SQL: dict[str, str] = {
     "csv_scan": """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name,
        CAST(s_nationkey AS VARCHAR) AS s_nationkey, CAST(NULL AS VARCHAR) AS _corrupt_record
@@ -164,6 +192,34 @@ WHERE d NOT IN (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT N
          || lang || '/' || CAST(page_id AS VARCHAR) || '.html' AS target,
        CASE WHEN lang IN ('en', 'de', 'fr') THEN 'processed' ELSE 'error' END AS status
 FROM (SELECT page_id, split_part(url, '/', 4) AS lang FROM pages)""",
+    "move_summary": f"""SELECT CASE WHEN lang IN ('en', 'de', 'fr') THEN 'processed' ELSE 'error' END
+         AS status, count(*) AS n_files
+FROM {_MOVE_BASE} GROUP BY 1""",
+    "provider_facility": _facility_sql(),
+    "provider_surveys": """SELECT CAST(c.c_custkey AS VARCHAR) AS facility_number,
+       CAST(c_nationkey % 8 AS VARCHAR) AS rating_cycle_1_score,
+       CAST(c_nationkey % 10 AS VARCHAR) AS health_deficiency_score,
+       CAST(c_nationkey % 11 AS VARCHAR) AS revisit_score_1,
+       CAST(c_nationkey * 2 AS VARCHAR) AS total_weighted_health_survey_score,
+       CAST(o.o_orderkey AS VARCHAR) AS survey_id,
+       strftime(o.o_orderdate, '%Y-%m-%d') AS survey_date,
+       DATE '2025-01-31' AS etl_date
+FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F'""",
+    "quality_transform_typed": """SELECT CAST(l_orderkey AS VARCHAR) AS facility_number,
+       CAST(l_linenumber AS VARCHAR) AS measure_code, p_name AS measure_description,
+       p_type AS resident_type, CAST(l_linenumber AS DOUBLE) + 0.5 AS q1_measure_score,
+       l_returnflag AS footnote_for_q1_measure_score, -CAST(p_size AS DOUBLE) AS q2_measure_score,
+       l_linestatus AS footnote_for_q2_measure_score, CAST(NULL AS DOUBLE) AS q3_measure_score,
+       p_type AS footnote_for_q3_measure_score, CAST(NULL AS DOUBLE) AS q4_measure_score,
+       l_returnflag AS footnote_for_q4_measure_score,
+       CAST(p_size AS DOUBLE) AS four_quarter_average_score,
+       l_linestatus AS footnote_for_four_quarter_average_score,
+       CASE WHEN l_returnflag = 'R' THEN 'Y' ELSE 'N' END AS used_in_quality_measure_five_star_rating,
+       strftime(l_shipdate, '%Y-%m') AS measure_period, p_brand AS location,
+       CAST(l_shipdate AS DATE) AS processing_date,
+       p_name AS facility_name, 'addr ' || CAST(l_linenumber AS VARCHAR) AS provider_address,
+       DATE '2025-01-31' AS etl_date
+FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "quarantine": """SELECT 'orders' AS domain, 'ok' AS status, CAST(NULL AS VARCHAR) AS reason,
        (SELECT count(*) FROM orders) AS rows
 UNION ALL SELECT 'part', 'quarantined', 'KeyError', (SELECT count(*) FROM part)
