@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,7 +51,9 @@ def pending_files(listing: DataFrame, manifest: DataFrame, id_col: str = "file_i
     picked up again; by default only the id counts."""
     left_keys = [id_col] + ([modified_col] if modified_col else [])
     right_keys = [manifest_id_col] + ([manifest_modified_col or modified_col] if modified_col else [])
-    seen = manifest.select(*[col(r).alias(f"_sl_k{i}") for i, r in enumerate(right_keys)])
+    # distinct first: a map-side partial aggregate, so an id repeated in the
+    # manifest (one record per change) is one row per task before the shuffle
+    seen = manifest.select(*[col(r).alias(f"_sl_k{i}") for i, r in enumerate(right_keys)]).distinct()
     cond = None
     for i, k in enumerate(left_keys):
         c = listing[k] == seen[f"_sl_k{i}"]
@@ -130,7 +132,7 @@ def present_domains(domains: Iterable[str] | DataFrame, records: DataFrame,
     """Requested domains that have at least one record (empty ones are
     skipped): a semi join against the record table's domains."""
     req = _domain_frame(records.sparkSession, domains).distinct()
-    have = records.select(col(domain_col).alias("domain"))
+    have = records.select(col(domain_col).alias("domain")).distinct()  # hot domains collapse map-side
     return req.join(have, "domain", "left_semi")
 
 

@@ -33,12 +33,12 @@ from sluice.plans.clean import clean_domain
 from sluice.plans.ingest import ingest_plan, next_manifest
 from sluice.plans.presets import (CSV_MIME, DROP_LIST_A, EXPORT_MIMES, FACILITY_COLUMNS,
                                   FACILITY_SCHEMA, LISTED_MIMES, PENALTY_COLUMNS,
-                                  QUALITY_COLUMNS, QUALITY_SCHEMA, SPREADSHEET_MIME)
-from sluice.plans.transform import provider_facets, quality_frame
+                                  QUALITY_SCHEMA, SPREADSHEET_MIME)
+from sluice.plans.transform import provider_transform, quality_frame
 from sluice.session import scratch_path
 from sluice.sources.csv import read_raw, write_csv
 from sluice.sources.files import inventory_from_paths
-from sluice.sources.manifest import iso_stamp, manifest_entries, read_manifest
+from sluice.sources.manifest import manifest_entries, read_manifest
 from sluice.sources.parquet import read_domain, stamp, write_domain, write_facets
 from sluice.streaming.pickup import run_incremental_clean
 
@@ -532,7 +532,6 @@ def _provider_run(spark, sf_dir):
     write_domain(_survey_detail(spark, sf_dir), staging, "survey_summary")
     write_domain(_penalty_detail(spark, sf_dir), staging, "penalties")
     transform = scratch_path(spark, "transform")
-    from sluice.plans.transform import provider_transform
     return provider_transform(spark, staging, transform, as_of=AS_OF)
 
 

@@ -34,6 +34,7 @@ class RunConfig:
     tracked: list[str] = field(default_factory=lambda: list(REQUIRED_DOMAINS))
     renames: dict = field(default_factory=lambda: dict(RENAME_MAP))
     min_rows: int = 0
+    require_fresh: bool = False
     strict: bool = False
     parallel: int = 4
 
@@ -67,6 +68,10 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     if cfg.strict:
         gates.check_strict([gates.Status(*r) for r in status.collect()])
     require_present(cfg.required, staged_inventory(spark, cfg.staging_root, cfg.min_rows))
+    if cfg.require_fresh and cfg.as_of is not None:
+        stale = gates.stale_domains(spark, cfg.staging_root, cfg.required, str(cfg.as_of))
+        if stale:
+            raise gates.DomainFailedError(f"staged domains not loaded on {cfg.as_of}: {stale}")
     transforms = {
         "provider": provider_transform(spark, cfg.staging_root, cfg.transform_root, cfg.as_of,
                                        parallel=cfg.parallel),

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.sources.parquet import write_domain
@@ -95,3 +96,25 @@ def check_strict(statuses: Iterable[Status]) -> None:
     bad = [s for s in statuses if s.status in (QUARANTINED, FAILED)]
     if bad:
         raise DomainFailedError("; ".join(f"{s.domain}: {s.status} ({s.reason})" for s in bad))
+
+
+def stale_domains(spark: SparkSession, root: str, domains: Iterable[str], as_of: str,
+                  date_col: str = "etl_date") -> list[str]:
+    """Domains under ``root`` with no row stamped ``as_of`` (or no table).
+
+    The date filter reaches the Parquet scan, whose min/max statistics skip
+    row groups of older loads; ``limit(1)`` stops at the first hit.  The loop
+    runs over the configured domain names only.
+    """
+    stale = []
+    for domain in domains:
+        try:
+            df = spark.read.parquet(f"{root.rstrip('/')}/{domain}")
+            fresh = not df.where(F.col(date_col) == F.lit(as_of).cast("date")).limit(1).isEmpty()
+        except Exception as exc:  # noqa: BLE001 - a missing table is stale
+            if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+                raise
+            fresh = False
+        if not fresh:
+            stale.append(domain)
+    return stale

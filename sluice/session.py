@@ -20,6 +20,7 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.scheduler.mode": "FAIR",          # concurrent facet / domain jobs share slots
 }
 
 

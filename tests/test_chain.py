@@ -137,3 +137,10 @@ def test_clean_domain_auto_realigns_drift(spark, tmp_root):
     write_text(raw + "/same", "f1.csv", "A,B\n1,2\n")
     write_text(raw + "/same", "f2.csv", "A,B\n3,4\n")
     assert clean_domain(spark, raw, tmp_root + "/stg", "same").rows == 2
+
+
+def test_freshness_gate_d9(spark, tmp_root):
+    from sluice.sources.parquet import stamp, write_domain
+    write_domain(stamp(spark.range(3), "2025-01-30"), tmp_root, "old")
+    write_domain(stamp(spark.range(3), "2025-01-31"), tmp_root, "new")
+    assert gates.stale_domains(spark, tmp_root, ["old", "new", "absent"], "2025-01-31") == ["old", "absent"]

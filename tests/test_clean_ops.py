@@ -101,3 +101,30 @@ def test_etl_date_fixed(spark):
     df = add_etl_date(spark.range(2), "2025-01-31")
     assert {r.etl_date for r in df.collect()} == {dt.date(2025, 1, 31)}
     assert df.schema["etl_date"].dataType == T.DateType()
+
+
+FLOAT_TEXTS = ["1e2", "12d", "12.5f", "NaN", "-Infinity", "inf", "+INF", " 7 ", "\t8\n", "0x1p3",
+               "0X1.8P1", ".5", "5.", "+.5e-3", "1e", "e5", "Brand#17", "1x", "1,5", "", "--1",
+               "0x1", "1.2.3", "nan1", "١"]
+
+
+def test_guarded_double_cast_equals_try_cast(spark):
+    df = spark.createDataFrame([(t,) for t in FLOAT_TEXTS], "v string")
+    guarded = [r.v for r in cast_schema(df, {"v": T.DoubleType()}).collect()]
+    plain = [r.v for r in df.select(df.v.try_cast("double").alias("v")).collect()]
+    assert [str(x) for x in guarded] == [str(x) for x in plain]
+    assert guarded[0] == 100.0 and guarded[9] == 8.0 and guarded[16] is None
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789.eEdDfFxXpP+-aAnNiItTyY \t#", max_size=8),
+                min_size=1, max_size=30))
+def test_guarded_double_cast_property(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    guarded = [r.v for r in cast_schema(df, {"v": T.DoubleType()}).collect()]
+    plain = [r.v for r in df.select(df.v.try_cast("double").alias("v")).collect()]
+    assert [str(x) for x in guarded] == [str(x) for x in plain]
