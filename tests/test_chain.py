@@ -144,3 +144,19 @@ def test_freshness_gate_d9(spark, tmp_root):
     write_domain(stamp(spark.range(3), "2025-01-30"), tmp_root, "old")
     write_domain(stamp(spark.range(3), "2025-01-31"), tmp_root, "new")
     assert gates.stale_domains(spark, tmp_root, ["old", "new", "absent"], "2025-01-31") == ["old", "absent"]
+
+
+def test_cli_stages(spark, roots):
+    from sluice import cli
+    raw, stg, err = roots + "/raw", roots + "/staging", roots + "/error"
+    assert cli.main(["clean", "--source", raw, "--staging", stg, "--error", err,
+                     "--as-of", "2025-01-31"]) == 0
+    assert cli.main(["validate", "--staging", stg, "--required", "provider_info,penalties",
+                     "--as-of", "2025-01-31"]) == 0
+    with pytest.raises(Exception):
+        cli.main(["validate", "--staging", stg, "--required", "provider_info,nothing_here"])
+    assert cli.main(["transform", "--domain", "provider", "--staging", stg,
+                     "--transform", roots + "/t"]) == 0
+    assert cli.main(["moves", "--source", raw, "--processed", roots + "/p", "--error", err,
+                     "--tracked", "provider_info", "--out", roots + "/plan"]) == 0
+    assert spark.read.parquet(roots + "/plan").count() == 6
