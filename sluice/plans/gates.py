@@ -6,10 +6,11 @@ domains, and ``strict`` raises once all have run.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +56,14 @@ def written_rows(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).count()
 
 
+def publish_counted(df: DataFrame, publish: Callable[[DataFrame], str]) -> tuple[str, int]:
+    """Publish ``df`` and count its rows in the same job (an observed
+    metric of the write, merged once per finished partition)."""
+    obs = Observation(f"sluice-rows-{uuid.uuid4().hex}")
+    path = publish(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    return path, int(obs.get["rows"])
+
+
 def run_quarantined(spark: SparkSession, domain: str,
                     build: Callable[[DataFrame], DataFrame],
                     publish: Callable[[DataFrame], str], error_root: str | None,
@@ -72,8 +81,8 @@ def run_quarantined(spark: SparkSession, domain: str,
         raw_df = raw()
         if is_empty_skip and raw_df.isEmpty():
             return Status(domain, SKIPPED, "empty", 0)
-        path = publish(build(raw_df))
-        return Status(domain, OK, None, written_rows(spark, path))
+        _, rows = publish_counted(build(raw_df), publish)
+        return Status(domain, OK, None, rows)
     except Exception as exc:  # noqa: BLE001 - every failure becomes a status row
         if reraise is not None and reraise(exc):
             raise
@@ -81,8 +90,8 @@ def run_quarantined(spark: SparkSession, domain: str,
         if raw_df is None or error_root is None:
             return Status(domain, FAILED, reason, None)
         try:
-            path = write_domain(raw_df, error_root, domain)
-            return Status(domain, QUARANTINED, reason, written_rows(spark, path))
+            _, rows = publish_counted(raw_df, lambda df: write_domain(df, error_root, domain))
+            return Status(domain, QUARANTINED, reason, rows)
         except Exception as nested:  # noqa: BLE001
             return Status(domain, FAILED, f"{reason}; {error_class(nested)}", None)
 
