@@ -73,8 +73,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         if stale:
             raise gates.DomainFailedError(f"staged domains not loaded on {cfg.as_of}: {stale}")
     transforms = {
-        "provider": provider_transform(spark, cfg.staging_root, cfg.transform_root, cfg.as_of,
-                                       parallel=cfg.parallel),
+        "provider": provider_transform(spark, cfg.staging_root, cfg.transform_root, cfg.as_of),
         "quality": quality_transform(spark, cfg.staging_root, cfg.transform_root, cfg.error_root,
                                      cfg.as_of),
     }

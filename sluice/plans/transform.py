@@ -54,7 +54,7 @@ def provider_facets(provider: DataFrame, survey_summary: DataFrame, penalties: D
 
 def provider_transform(spark: SparkSession, staging_root: str, transform_root: str,
                        as_of: dt.date | str | None = None, typed: bool = True,
-                       strategy: str = "split", parallel: int = 4,
+                       strategy: str = "split", parallel: int | None = None,
                        provider_domain: str = "provider_info",
                        survey_domain: str = "survey_summary",
                        penalty_domain: str = "penalties") -> dict[str, str]:
@@ -64,10 +64,8 @@ def provider_transform(spark: SparkSession, staging_root: str, transform_root: s
         read_domain(spark, staging_root, survey_domain),
         read_domain(spark, staging_root, penalty_domain),
         schema=FACILITY_SCHEMA if typed else None, strategy=strategy)
-    facility = facets.pop("facility")
-    paths = write_facets(facets, transform_root, as_of, parallel=parallel)
-    paths["facility"] = write_domain(facility, transform_root, "facility")
-    return paths
+    restamp = [name for name in facets if name != "facility"]
+    return write_facets(facets, transform_root, as_of, stamp_rows=restamp, parallel=parallel)
 
 
 def quality_frame(df: DataFrame, typed: bool = False, drop: Sequence[str] = DROP_LIST_A,

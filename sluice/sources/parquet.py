@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
@@ -40,22 +40,30 @@ def stamp(df: DataFrame, as_of: dt.date | str | None = None, row_id: bool = True
 
 
 def write_facets(frames: Mapping[str, DataFrame], root: str, as_of: dt.date | str | None = None,
-                 stamp_rows: bool = True, parallel: int = 4, share_parent: DataFrame | None = None,
-                 ) -> dict[str, str]:
-    """Write several named frames, each stamped, as concurrent Spark jobs.
+                 stamp_rows: bool | Iterable[str] = True, parallel: int | None = None,
+                 share_parent: DataFrame | None = None) -> dict[str, str]:
+    """Write several named frames as concurrent Spark jobs (all at once by
+    default, so small facets fill the slots a large one leaves idle).
 
-    Each facet scan reads only its own columns from Parquet, so by default
-    nothing is cached.  ``share_parent`` persists that frame (memory and
-    disk) for the duration of the writes when facets overlap heavily.
+    ``stamp_rows``: True stamps every frame, False none, or the names of the
+    frames to stamp (others keep the stamps they carry).  Each facet scan
+    reads only its own columns from Parquet, so by default nothing is
+    cached.  ``share_parent`` persists that frame (memory and disk) for the
+    duration of the writes when facets overlap heavily.
     """
+    if isinstance(stamp_rows, bool):
+        restamp = set(frames) if stamp_rows else set()
+    else:
+        restamp = set(stamp_rows)
+    workers = parallel or min(8, max(1, len(frames)))
     if share_parent is not None:
         share_parent.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         def write(item):
             name, frame = item
-            out = stamp(frame, as_of) if stamp_rows else frame
+            out = stamp(frame, as_of) if name in restamp else frame
             return name, write_domain(out, root, name)
-        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        with ThreadPoolExecutor(max_workers=workers) as pool:
             return dict(pool.map(write, frames.items()))
     finally:
         if share_parent is not None:
