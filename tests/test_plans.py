@@ -34,3 +34,38 @@ def test_filter_pushed_below_stamps(spark):
 def test_detail_filter_pushed_in_enrich(spark):
     text = plan_text(E.queries()["left_enrich"](spark, SF0001))
     assert "EqualTo(o_orderstatus,P)" in text
+
+
+SKEW_CONFS = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+              "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+              "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+def test_hot_detail_key_is_split_only_by_split_strategy(spark):
+    """A third of the detail rows on one key: with sort-merge joins forced and
+    skew thresholds scaled down, adaptive execution splits the hot partition
+    of the split plan's inner join; the plain left outer join cannot."""
+    from sluice.operators.enrich import left_enrich
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONFS}
+    try:
+        for k, v in SKEW_CONFS.items():
+            spark.conf.set(k, v)
+        left = spark.range(0, 400).selectExpr("id AS k", "id * 2 AS x")
+        right = spark.range(0, 60000).selectExpr(
+            "CASE WHEN id % 3 = 0 THEN 5 ELSE id % 400 END AS k", "id AS y", "repeat('z', 20) AS pad")
+        plans = {}
+        for strategy in ("split", "join"):
+            df = left_enrich(left, right, "k", strategy=strategy)
+            assert len(df.collect()) == 60000
+            plans[strategy] = plan_text(df)
+        assert "SortMergeJoin(skew=true)" in plans["split"]
+        assert "skew=true" not in plans["join"]
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
