@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.operators.columns import col, drop_if_exists
 
@@ -32,9 +33,43 @@ def _resolve_overlap(left: DataFrame, right: DataFrame, keys: list[str], on_over
     return right.toDF(*[c + suffix if c in overlap else c for c in right.columns])
 
 
+def _salted_inner(left: DataFrame, right: DataFrame, keys: list[str], hot_fraction: float,
+                  rows_per_split: int, max_splits: int) -> DataFrame:
+    """Inner join with hot keys of ``right`` spread over several tasks.
+
+    A key is hot when it holds more than ``hot_fraction`` of the right rows
+    and more than ``rows_per_split`` rows, so there are at most
+    ``1 / hot_fraction`` hot keys: that table has a proven size bound and is
+    broadcast.  A hot key's right rows get a salt from a hash of the whole
+    row (deterministic, so task retries see the same split); its left rows
+    are repeated once per salt.  Other keys keep salt 0.
+    """
+    total = right.count()
+    threshold = max(rows_per_split, int(total * hot_fraction))
+    counts = right.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_sl_n"))
+    hot = (counts.where(F.col("_sl_n") > threshold)
+           .select(*[col(k) for k in keys],
+                   F.least(F.lit(max_splits),
+                           F.ceil(F.col("_sl_n") / F.lit(rows_per_split))).cast("int")
+                   .alias("_sl_splits")))
+    hot = F.broadcast(hot)
+    splits = F.coalesce(F.col("_sl_splits"), F.lit(1))
+    row_hash = F.xxhash64(*[F.col(f"`{f.name}`") for f in right.schema.fields
+                            if not isinstance(f.dataType, T.MapType)])
+    right_s = (right.join(hot, keys, "left")
+               .withColumn("_sl_salt", F.pmod(row_hash, splits.cast("long")).cast("int"))
+               .drop("_sl_splits"))
+    left_s = (left.join(hot, keys, "left")
+              .withColumn("_sl_salt", F.explode(F.sequence(F.lit(0), splits - 1)))
+              .drop("_sl_splits"))
+    return left_s.join(right_s, keys + ["_sl_salt"], "inner").drop("_sl_salt")
+
+
 def left_enrich(left: DataFrame, right: DataFrame, on: str | Sequence[str],
                 drop: Iterable[str] = (), on_overlap: str = "error",
-                suffix: str = "_detail", strategy: str = "split") -> DataFrame:
+                suffix: str = "_detail", strategy: str = "split",
+                hot_fraction: float = 0.001, rows_per_split: int = 1_000_000,
+                max_splits: int = 1024) -> DataFrame:
     """``left`` LEFT JOIN ``right`` USING (``on``), after dropping ``drop``
     from ``right``.  Output columns: keys, left's others, right's others.
 
@@ -47,14 +82,21 @@ def left_enrich(left: DataFrame, right: DataFrame, on: str | Sequence[str],
     Adaptive execution may split skewed partitions on both sides of the inner
     join, and the anti join sees each right key once after a map-side
     distinct, so no task holds a hot key's detail rows alone.
+
+    ``strategy="salted"`` is the split plan with the inner join salted
+    explicitly (see :func:`_salted_inner`), for clusters where adaptive skew
+    handling is off or its thresholds do not fire.  It runs one extra count.
     """
     keys = _keys(on)
     right = _resolve_overlap(left, drop_if_exists(right, drop), keys, on_overlap, suffix)
     if strategy == "join":
         return left.join(right, keys, "left")
-    if strategy != "split":
-        raise ValueError(f"strategy must be 'split' or 'join', got {strategy!r}")
-    matched = left.join(right, keys, "inner")
+    if strategy not in ("split", "salted"):
+        raise ValueError(f"strategy must be 'split', 'salted' or 'join', got {strategy!r}")
+    if strategy == "salted":
+        matched = _salted_inner(left, right, keys, hot_fraction, rows_per_split, max_splits)
+    else:
+        matched = left.join(right, keys, "inner")
     key_cond = None
     for k in keys:
         c = col(k).isNotNull()

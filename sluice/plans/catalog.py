@@ -243,6 +243,13 @@ def q_left_enrich_join(spark, sf_dir):
                        drop=["o_orderpriority"], strategy="join")
 
 
+def q_left_enrich_salted(spark, sf_dir):
+    """Salted inner join; a small split size so customers with many orders
+    are actually salted at test scale."""
+    return left_enrich(_customers(spark, sf_dir), _p_orders(spark, sf_dir), "custkey",
+                       drop=["o_orderpriority"], strategy="salted", rows_per_split=4)
+
+
 def q_fanout_report(spark, sf_dir):
     return fanout_report(_customers(spark, sf_dir), _p_orders(spark, sf_dir), "custkey")
 
@@ -609,6 +616,7 @@ QUERIES: dict[str, Query] = {
     "skip_empty": q_skip_empty,
     "left_enrich": q_left_enrich,
     "left_enrich_join": q_left_enrich_join,
+    "left_enrich_salted": q_left_enrich_salted,
     "fanout_report": q_fanout_report,
     "pending_files": q_pending_files,
     "route_known": q_route_known,

@@ -168,6 +168,7 @@ SELECT * FROM listing WHERE mimeType IN ('text/csv', 'application/vnd.google-app
 WHERE d IN (SELECT event_type FROM events)""",
     "left_enrich": _LEFT_ENRICH,
     "left_enrich_join": _LEFT_ENRICH,
+    "left_enrich_salted": _LEFT_ENRICH,
     "fanout_report": """WITH m AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'P'
            GROUP BY o_custkey)
 SELECT count(*) AS left_rows,

@@ -65,3 +65,15 @@ def test_hot_key_detail(spark):
     expect = left_enrich(left, right, "k", strategy="join")
     assert out.count() == expect.count()
     assert out.where("k = 5").count() == right.where("k = 5").count()
+
+
+def test_salted_equals_join_with_hot_key(spark):
+    left = spark.range(0, 300).selectExpr("id AS k", "id * 2 AS x").union(
+        spark.createDataFrame([(None, -1)], "k long, x long"))
+    right = spark.range(0, 9000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 5 ELSE id % 200 END AS k", "id AS y")
+    salted = left_enrich(left, right, "k", strategy="salted", rows_per_split=500)
+    joined = left_enrich(left, right, "k", strategy="join")
+    assert sorted(map(tuple, salted.collect()), key=str) == sorted(map(tuple, joined.collect()), key=str)
+    # the hot key's rows were spread over several salts: the left row is repeated in the plan
+    assert "Generate explode" in salted._jdf.queryExecution().executedPlan().toString()
