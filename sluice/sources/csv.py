@@ -22,8 +22,20 @@ HEADER_MISMATCH_MESSAGES = ("CSV header does not conform to the schema",
 
 
 def is_header_mismatch(exc: BaseException) -> bool:
-    """True when a read failed because some file's header differs."""
-    text = str(exc)
+    """True when a read failed because some file's header differs (the JVM
+    cause may sit in the captured description or stack trace)."""
+    parts = [str(exc)]
+    for attr in ("desc", "_desc", "_stackTrace", "stackTrace"):
+        value = getattr(exc, attr, None)
+        if isinstance(value, str):
+            parts.append(value)
+    getter = getattr(exc, "getMessage", None)
+    if callable(getter):
+        try:
+            parts.append(str(getter()))
+        except Exception:  # noqa: BLE001
+            pass
+    text = "\n".join(parts)
     return any(m in text for m in HEADER_MISMATCH_MESSAGES)
 
 

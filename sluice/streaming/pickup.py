@@ -24,9 +24,14 @@ from sluice.plans.presets import RENAME_MAP
 
 def raw_stream(spark: SparkSession, path: str, header_names: list[str],
                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of a raw CSV folder; file streams need the schema up front."""
+    """Stream of a raw CSV folder; file streams need the schema up front.
+
+    Every file's header is checked against ``header_names`` as it is read
+    (``enforceSchema=false``): a file with another layout fails the batch
+    instead of landing values in the wrong columns."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in header_names])
-    reader = spark.readStream.schema(schema).option("header", True)
+    reader = (spark.readStream.schema(schema).option("header", True)
+              .option("enforceSchema", False))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(path)

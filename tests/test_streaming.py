@@ -33,3 +33,13 @@ def test_second_run_reads_only_new_files(spark, tmp_root):
     run_incremental_clean(spark, raw, HEADER, out, ckpt, as_of="2025-01-31")
     got = sorted(tuple(r)[:2] for r in spark.read.parquet(out).collect())
     assert got == [("1", "Home A"), ("2", "Home B")]
+
+
+def test_drifted_file_fails_the_stream(spark, tmp_root):
+    import pytest
+    from sluice.sources.csv import is_header_mismatch
+    raw = local(tmp_root) + "/raw"
+    write_text(raw, "a.csv", "Provider Name,CMS Certification Number (CCN)\nHome A,1\n")
+    with pytest.raises(Exception) as info:
+        run_incremental_clean(spark, raw, HEADER, tmp_root + "/out", tmp_root + "/ckpt")
+    assert is_header_mismatch(info.value)
