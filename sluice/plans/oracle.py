@@ -149,7 +149,7 @@ FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "select_keywords": "SELECT l_orderkey, l_extendedprice, l_discount FROM lineitem",
     "drop_if_exists": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
     "add_row_id": "SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id FROM orders",
-    "add_row_id_monotonic": """SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(0 AS BIGINT) AS min_id
+    "add_row_id_monotonic": """SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(0 AS BIGINT) AS min_position
 FROM lineitem""",
     "add_etl_date": "SELECT *, DATE '2025-01-31' AS etl_date FROM region",
     "classify_route": """SELECT page_id, url,
