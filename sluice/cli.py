@@ -74,6 +74,9 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument(flag, required=True)
     p.add_argument("--as-of")
     p.add_argument("--strict", action="store_true")
+    p.add_argument("--listing", help="JSON-lines file listing: id, name, mimeType, modifiedTime")
+    p.add_argument("--manifest", help="manifest folder (JSON lines, append-only)")
+    p.add_argument("--dry-run", action="store_true", help="plan the ingest, leave the manifest")
 
     args = parser.parse_args(argv)
     spark = _session()
@@ -112,10 +115,17 @@ def main(argv: list[str] | None = None) -> int:
         plan.groupBy("status").count().show()
     elif args.cmd == "run":
         from sluice.plans.chain import RunConfig, run
+        listing = None
+        if args.listing:
+            listing = spark.read.schema(
+                "id string, name string, mimeType string, modifiedTime string").json(args.listing)
         res = run(spark, RunConfig(raw_root=args.raw, staging_root=args.staging,
                                    transform_root=args.transform, error_root=args.error,
                                    processed_root=args.processed, as_of=args.as_of,
-                                   strict=args.strict))
+                                   strict=args.strict, listing=listing,
+                                   manifest_path=args.manifest, dry_run=args.dry_run))
+        if res.ingest is not None:
+            res.ingest.show(truncate=False)
         res.clean_status.show(truncate=False)
     return 0
 

@@ -1,9 +1,10 @@
 """One run of the whole chain, in the reference's stage order:
 
-clean every raw domain -> plan the moves of raw files (processed / error,
-by name *and* clean status) -> gate on required staged domains -> provider
-and quality transforms.  State passes between stages only through the
-storage roots and the status table.
+ingest plan (when a listing is given: new files, names, folders, manifest
+records) -> clean every raw domain -> plan the moves of raw files
+(processed / error, by name *and* clean status) -> gate on required staged
+domains -> provider and quality transforms.  State passes between stages only
+through the storage roots, the manifest and the status table.
 """
 
 from __future__ import annotations
@@ -17,9 +18,12 @@ from pyspark.sql import functions as F
 from sluice.operators.inventory import move_plan, require_present
 from sluice.plans import gates
 from sluice.plans.clean import clean_all
+from sluice.plans.ingest import ingest_plan
 from sluice.plans.presets import RENAME_MAP, REQUIRED_DOMAINS
 from sluice.plans.transform import provider_transform, quality_transform
+from sluice.session import scratch_path
 from sluice.sources.files import list_files
+from sluice.sources.manifest import read_manifest, write_manifest_entries
 
 
 @dataclass
@@ -35,6 +39,9 @@ class RunConfig:
     renames: dict = field(default_factory=lambda: dict(RENAME_MAP))
     min_rows: int = 0
     require_fresh: bool = False
+    listing: DataFrame | None = None      # id, name, mimeType[, modifiedTime]
+    manifest_path: str | None = None
+    dry_run: bool = False                 # plan only: manifest left unchanged
     strict: bool = False
     parallel: int = 4
 
@@ -44,6 +51,7 @@ class RunResult:
     clean_status: DataFrame
     moves: DataFrame
     transforms: dict
+    ingest: DataFrame | None = None
 
 
 def staged_inventory(spark: SparkSession, staging_root: str, min_rows: int = 0) -> DataFrame:
@@ -59,7 +67,26 @@ def staged_inventory(spark: SparkSession, staging_root: str, min_rows: int = 0)
     return inv.where(F.col("domain").isin(counts))
 
 
+def plan_ingest(spark: SparkSession, cfg: RunConfig) -> DataFrame | None:
+    """New manifest records for the listing; appended unless ``dry_run``.
+    The plan is written first and read back, so the records appended are
+    exactly the ones reported."""
+    if cfg.listing is None:
+        return None
+    if cfg.manifest_path is None:
+        raise ValueError("a listing needs manifest_path")
+    plan = ingest_plan(cfg.listing, read_manifest(spark, cfg.manifest_path))
+    if cfg.dry_run:
+        return plan
+    staged = scratch_path(spark, "ingest-plan")
+    plan.write.mode("overwrite").parquet(staged)
+    new = spark.read.parquet(staged)
+    write_manifest_entries(new, cfg.manifest_path)
+    return new
+
+
 def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
+    ingest = plan_ingest(spark, cfg)
     status = clean_all(spark, cfg.raw_root, cfg.staging_root, cfg.error_root,
                        renames=cfg.renames, as_of=cfg.as_of, parallel=cfg.parallel)
     failed = status.where(F.col("status").isin(gates.QUARANTINED, gates.FAILED)).select("domain")
@@ -77,4 +104,4 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         "quality": quality_transform(spark, cfg.staging_root, cfg.transform_root, cfg.error_root,
                                      cfg.as_of),
     }
-    return RunResult(status, moves, transforms)
+    return RunResult(status, moves, transforms, ingest)

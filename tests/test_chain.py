@@ -160,3 +160,22 @@ def test_cli_stages(spark, roots):
     assert cli.main(["moves", "--source", raw, "--processed", roots + "/p", "--error", err,
                      "--tracked", "provider_info", "--out", roots + "/plan"]) == 0
     assert spark.read.parquet(roots + "/plan").count() == 6
+
+
+def test_run_with_ingest_stage_d24(spark, roots):
+    listing = spark.createDataFrame(
+        [("f1", "NH_ProviderInfo_Jan", "application/vnd.google-apps.spreadsheet"),
+         ("f2", "NH_Penalties_Jan.csv", "text/csv"), ("f3", "x.pdf", "application/pdf")],
+        "id string, name string, mimeType string")
+    cfg = RunConfig(raw_root=roots + "/raw", staging_root=roots + "/staging",
+                    transform_root=roots + "/transform", error_root=roots + "/error",
+                    processed_root=roots + "/processed", as_of="2025-01-31",
+                    listing=listing, manifest_path=roots + "/manifest", dry_run=True)
+    res = run(spark, cfg)
+    assert res.ingest.count() == 2
+    from sluice.sources.manifest import read_manifest
+    assert read_manifest(spark, roots + "/manifest").count() == 0       # dry run
+    cfg.dry_run = False
+    assert run(spark, cfg).ingest.count() == 2
+    assert read_manifest(spark, roots + "/manifest").count() == 2
+    assert run(spark, cfg).ingest.count() == 0                           # second run: nothing new
