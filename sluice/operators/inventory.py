@@ -37,9 +37,17 @@ def discover_domains(inventory: DataFrame, domain_col: str = "domain") -> DataFr
     return inventory.select(col(domain_col).alias("domain")).where(F.col("domain").isNotNull()).distinct()
 
 
-def filter_mime(listing: DataFrame, mimes: Sequence[str], mime_col: str = "mimeType") -> DataFrame:
-    """Listing rows whose mime type is one of ``mimes``."""
-    return listing.where(col(mime_col).isin(list(mimes)))
+def filter_mime(listing: DataFrame, mimes: Sequence[str], mime_col: str = "mimeType",
+                folder: str | None = None, parents_col: str = "parents") -> DataFrame:
+    """Listing rows whose mime type is one of ``mimes`` and, when ``folder``
+    is given, whose parents (an array column, or one parent as text) hold it."""
+    cond = col(mime_col).isin(list(mimes))
+    if folder is not None:
+        field = listing.schema[parents_col]
+        inside = (F.array_contains(col(parents_col), folder)
+                  if isinstance(field.dataType, T.ArrayType) else col(parents_col) == folder)
+        cond = cond & inside
+    return listing.where(cond)
 
 
 def pending_files(listing: DataFrame, manifest: DataFrame, id_col: str = "file_id",

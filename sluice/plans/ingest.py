@@ -23,9 +23,10 @@ def ingest_plan(listing: DataFrame, manifest: DataFrame,
                 export_mimes: Sequence[str] = EXPORT_MIMES,
                 synced_at: dt.datetime | str | None = None, id_col: str = "id",
                 name_col: str = "name", mime_col: str = "mimeType",
-                modified_col: str | None = None) -> DataFrame:
+                modified_col: str | None = None, folder: str | None = None,
+                parents_col: str = "parents") -> DataFrame:
     """New manifest records for files to land (the dry-run report)."""
-    files = filter_mime(listing, listed_mimes, mime_col)
+    files = filter_mime(listing, listed_mimes, mime_col, folder, parents_col)
     new = pending_files(files, manifest, id_col, "file_id", modified_col)
     new = with_export_name(new, name_col, mime_col, export_mimes, out="_sl_name")
     new = with_route(new, "_sl_name", list(routes), default, out="_sl_target",

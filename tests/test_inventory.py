@@ -72,3 +72,14 @@ def test_move_plan_dry_run(spark):
     plan = {r.key: (r.source, r.target) for r in move_plan(inv, ["provider_info"], "s3://src/raw/", "s3://ok/raw", "s3://bad/raw").collect()}
     assert plan == {"provider_info/a.csv": ("s3://src/raw/provider_info/a.csv", "s3://ok/raw/provider_info/a.csv"),
                     "zzz/b.csv": ("s3://src/raw/zzz/b.csv", "s3://bad/raw/zzz/b.csv")}
+
+
+def test_filter_mime_folder(spark):
+    from sluice.operators.inventory import filter_mime
+    listing = spark.createDataFrame(
+        [("1", "text/csv", ["F1"]), ("2", "text/csv", ["F2"]), ("3", "application/pdf", ["F1"]),
+         ("4", "application/vnd.google-apps.spreadsheet", ["F0", "F1"])],
+        "id string, mimeType string, parents array<string>")
+    mimes = ["text/csv", "application/vnd.google-apps.spreadsheet"]
+    assert sorted(r.id for r in filter_mime(listing, mimes, folder="F1").collect()) == ["1", "4"]
+    assert sorted(r.id for r in filter_mime(listing, mimes).collect()) == ["1", "2", "4"]
