@@ -12,10 +12,11 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.inventory import move_plan, require_present
+from sluice.operators.inventory import discover_domains, move_plan, require_present
 from sluice.plans import gates
 from sluice.plans.clean import clean_all
 from sluice.plans.ingest import ingest_plan
@@ -87,11 +88,16 @@ def plan_ingest(spark: SparkSession, cfg: RunConfig) -> DataFrame | None:
 
 def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     ingest = plan_ingest(spark, cfg)
-    status = clean_all(spark, cfg.raw_root, cfg.staging_root, cfg.error_root,
+    # one listing of the raw root serves domain discovery and the move plan
+    # (one row per file: bounded by the file count, kept for the run)
+    raw_files = list_files(spark, cfg.raw_root).where("NOT hidden").persist(
+        StorageLevel.MEMORY_AND_DISK)
+    domains = sorted(r["domain"] for r in discover_domains(raw_files).collect())
+    status = clean_all(spark, cfg.raw_root, cfg.staging_root, cfg.error_root, domains=domains,
                        renames=cfg.renames, as_of=cfg.as_of, parallel=cfg.parallel)
     failed = status.where(F.col("status").isin(gates.QUARANTINED, gates.FAILED)).select("domain")
-    moves = move_plan(list_files(spark, cfg.raw_root).where("NOT hidden"), cfg.tracked,
-                      cfg.raw_root, cfg.processed_root, cfg.error_root, failed=failed)
+    moves = move_plan(raw_files, cfg.tracked, cfg.raw_root, cfg.processed_root, cfg.error_root,
+                      failed=failed)
     if cfg.strict:
         gates.check_strict([gates.Status(*r) for r in status.collect()])
     require_present(cfg.required, staged_inventory(spark, cfg.staging_root, cfg.min_rows))
