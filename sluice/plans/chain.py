@@ -10,6 +10,7 @@ through the storage roots, the manifest and the status table.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -105,9 +106,11 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         stale = gates.stale_domains(spark, cfg.staging_root, cfg.required, str(cfg.as_of))
         if stale:
             raise gates.DomainFailedError(f"staged domains not loaded on {cfg.as_of}: {stale}")
-    transforms = {
-        "provider": provider_transform(spark, cfg.staging_root, cfg.transform_root, cfg.as_of),
-        "quality": quality_transform(spark, cfg.staging_root, cfg.transform_root, cfg.error_root,
-                                     cfg.as_of),
-    }
+    # the two transforms are independent: run them as concurrent jobs
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        provider = pool.submit(provider_transform, spark, cfg.staging_root, cfg.transform_root,
+                               cfg.as_of)
+        quality = pool.submit(quality_transform, spark, cfg.staging_root, cfg.transform_root,
+                              cfg.error_root, cfg.as_of)
+        transforms = {"provider": provider.result(), "quality": quality.result()}
     return RunResult(status, moves, transforms, ingest)
