@@ -69,3 +69,16 @@ def test_hot_detail_key_is_split_only_by_split_strategy(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_cleaning_is_one_codegen_stage_without_shuffle(spark, tmp_root):
+    from sluice.plans import catalog
+    from sluice.plans.clean import clean_frame
+    from sluice.sources.csv import read_raw, write_csv
+    write_csv(catalog._raw_customers(spark, SF0001), tmp_root)
+    text = plan_text(clean_frame(read_raw(spark, tmp_root, "check"), as_of="2025-01-31"))
+    lines = [line for line in text.splitlines() if line.strip()]
+    assert "Exchange" not in text
+    assert all(line.lstrip(" +-:").startswith(("*(1)", "FileScan")) for line in lines)
+    # per-column trims are one projection, not one node per column
+    assert sum("trim(" in line for line in lines) == 1
