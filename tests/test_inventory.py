@@ -83,3 +83,28 @@ def test_filter_mime_folder(spark):
     mimes = ["text/csv", "application/vnd.google-apps.spreadsheet"]
     assert sorted(r.id for r in filter_mime(listing, mimes, folder="F1").collect()) == ["1", "4"]
     assert sorted(r.id for r in filter_mime(listing, mimes).collect()) == ["1", "2", "4"]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.sampled_from(["provider_info", "penalties", "other", "zz"]), max_size=12),
+       st.lists(st.sampled_from(["provider_info", "penalties", "other"]), max_size=3))
+def test_move_plan_partitions_files(spark, domains, tracked):
+    inv = spark.createDataFrame([(f"{d}/f{i}.csv", d) for i, d in enumerate(domains)],
+                                "rel_path string, domain string")
+    plan = move_plan(inv, tracked, "s3://src/raw", "s3://ok/raw", "s3://bad/raw").collect()
+    assert len(plan) == len(domains)                         # processed + error = total
+    assert all((r.status == "processed") == (r.domain in tracked) for r in plan)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.integers(0, 20), max_size=15), st.lists(st.integers(0, 20), max_size=15))
+def test_pending_plus_known_is_listing(spark, listed, known):
+    listing = spark.createDataFrame([(str(i),) for i in listed], "id string")
+    manifest = spark.createDataFrame([(str(i),) for i in known], "file_id string")
+    pending = [r.id for r in pending_files(listing, manifest, "id").collect()]
+    seen = [r.id for r in listing.join(manifest, listing.id == manifest.file_id, "left_semi").collect()]
+    assert sorted(pending + seen) == sorted(str(i) for i in listed)
