@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed value: text accepted as an integer; group 1 is the integer part.
-INT_TEXT_PATTERN = r"^\s*([+-]?[0-9]+)(\.[0-9]*)?\s*$"
+# Outer characters up to ASCII 32 are ignored, as numeric casts trim them.
+INT_TEXT_PATTERN = r"^[\x00-\x20]*([+-]?[0-9]+)(\.[0-9]*)?[\x00-\x20]*$"
 
 # Fixed value: a superset of the text the floating-point parser accepts
 # (decimal and hex literals with optional exponent and d/f suffix, NaN,
@@ -38,7 +39,10 @@ def safe_cast(col: Column, dtype: T.DataType, source: T.DataType | None = None)
             text = col.cast("string")
         else:
             text = col
-        return F.regexp_extract(text, INT_TEXT_PATTERN, 1).try_cast(dtype)
+        # plain integer text parses directly; only the rest (a fraction to
+        # truncate, or junk) goes through the pattern
+        return F.coalesce(text.try_cast(dtype),
+                          F.regexp_extract(text, INT_TEXT_PATTERN, 1).try_cast(dtype))
     if isinstance(dtype, _FLOATING) and isinstance(source, T.StringType):
         # The parser reports bad text by throwing, which costs microseconds per
         # value; text outside the pattern can never parse, so skip it.

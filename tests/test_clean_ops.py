@@ -128,3 +128,15 @@ def test_guarded_double_cast_property(spark, texts):
     guarded = [r.v for r in cast_schema(df, {"v": T.DoubleType()}).collect()]
     plain = [r.v for r in df.select(df.v.try_cast("double").alias("v")).collect()]
     assert [str(x) for x in guarded] == [str(x) for x in plain]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789.+- \t\x01\x0be", max_size=7), min_size=1, max_size=30))
+def test_int_fast_path_equals_pattern_path(spark, texts):
+    from pyspark.sql import functions as F
+    from sluice.functions.casts import INT_TEXT_PATTERN
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    fast = [r.v for r in cast_schema(df, {"v": T.IntegerType()}).collect()]
+    slow = [r.v for r in df.select(F.regexp_extract("v", INT_TEXT_PATTERN, 1)
+                                   .try_cast("int").alias("v")).collect()]
+    assert fast == slow
