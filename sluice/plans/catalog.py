@@ -462,6 +462,22 @@ def q_clean_domain(spark, sf_dir):
     return read_domain(spark, staging, "provider_info").drop("row_id")
 
 
+def q_clean_documents(spark, sf_dir):
+    """Whole texts (newlines, quotes, up to 20,000 words) landed as raw CSV
+    with quoted multi-line values, then cleaned."""
+    d = table(spark, sf_dir, "documents")
+    raw_root = scratch_path(spark, "raw")
+    staging = scratch_path(spark, "staging")
+    write_csv(d.select(F.col("doc_id").cast("string").alias("Doc ID"), F.col("lang").alias("Lang"),
+                       F.col("source").alias("Source"), F.col("text").alias("Text")),
+              f"{raw_root}/documents")
+    status = clean_domain(spark, raw_root, staging, "documents", as_of=AS_OF,
+                          csv_options={"multiLine": "true"})
+    if status.status != gates.OK:
+        raise RuntimeError(f"clean_documents failed: {status}")
+    return read_domain(spark, staging, "documents").drop("row_id")
+
+
 def q_incremental_clean(spark, sf_dir):
     raw = _raw_customers(spark, sf_dir)
     raw_path = scratch_path(spark, "raw-stream")
@@ -630,6 +646,7 @@ QUERIES: dict[str, Query] = {
     "move_summary": q_move_summary,
     "quarantine": q_quarantine,
     "clean_domain": q_clean_domain,
+    "clean_documents": q_clean_documents,
     "incremental_clean": q_incremental_clean,
     "penalties_slice": q_penalties_slice,
     "provider_transform": q_provider_transform,

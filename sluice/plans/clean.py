@@ -36,7 +36,8 @@ def clean_frame(df: DataFrame, renames: Mapping[str, str] = RENAME_MAP,
 def clean_domain(spark: SparkSession, raw_root: str, staging_root: str, domain: str,
                  error_root: str | None = None, renames: Mapping[str, str] = RENAME_MAP,
                  as_of: dt.date | str | None = None, on_collision: str = "error",
-                 align_headers: bool | str = "auto", keep_corrupt: bool = True) -> gates.Status:
+                 align_headers: bool | str = "auto", keep_corrupt: bool = True,
+                 csv_options: Mapping[str, str] | None = None) -> gates.Status:
     """Clean one domain folder; an empty folder is skipped (its old staging
     data is left alone), a failure quarantines this domain's raw rows.
 
@@ -52,7 +53,8 @@ def clean_domain(spark: SparkSession, raw_root: str, staging_root: str, domain:
             build=lambda raw: clean_frame(raw, renames, as_of, on_collision),
             publish=lambda out: write_domain(out, staging_root, domain),
             error_root=error_root,
-            raw=lambda: read_raw(spark, path, mode, keep_corrupt), reraise=reraise)
+            raw=lambda: read_raw(spark, path, mode, keep_corrupt, csv_options),
+            reraise=reraise)
 
     if align_headers != "auto":
         return attempt(align_headers)
@@ -67,7 +69,8 @@ def clean_domain(spark: SparkSession, raw_root: str, staging_root: str, domain:
 def clean_all(spark: SparkSession, raw_root: str, staging_root: str, error_root: str | None = None,
               domains: Iterable[str] | None = None, renames: Mapping[str, str] = RENAME_MAP,
               as_of: dt.date | str | None = None, on_collision: str = "error",
-              parallel: int = 4, strict: bool = False) -> DataFrame:
+              parallel: int = 4, strict: bool = False,
+              csv_options: Mapping[str, str] | None = None) -> DataFrame:
     """Clean every domain folder under ``raw_root`` (or the given ones) as
     concurrent jobs; returns the status table."""
     if domains is None:
@@ -77,7 +80,7 @@ def clean_all(spark: SparkSession, raw_root: str, staging_root: str, error_root:
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         statuses = list(pool.map(
             lambda d: clean_domain(spark, raw_root, staging_root, d, error_root, renames,
-                                   as_of, on_collision), domains))
+                                   as_of, on_collision, csv_options=csv_options), domains))
     if strict:
         gates.check_strict(statuses)
     return gates.status_frame(spark, statuses)

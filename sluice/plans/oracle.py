@@ -227,6 +227,10 @@ UNION ALL SELECT 'part', 'quarantined', 'KeyError', (SELECT count(*) FROM part)
 UNION ALL SELECT 'refunds', 'skipped', 'empty', CAST(0 AS BIGINT)""",
     "clean_domain": _CUSTOMER_CLEAN.format(extra=", CAST(NULL AS VARCHAR) AS _corrupt_record"),
     "incremental_clean": _CUSTOMER_CLEAN.format(extra=""),
+    "clean_documents": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, trim(lang, ' ') AS lang,
+       trim(source, ' ') AS source, trim(text, ' ') AS text,
+       CAST(NULL AS VARCHAR) AS _corrupt_record, DATE '2025-01-31' AS etl_date
+FROM documents""",
     "penalties_slice": _PENALTIES,
     "provider_transform": _PENALTIES,
     "provider_facets": """SELECT 'facility' AS facet, count(*) AS n_rows, 24 AS n_cols FROM customer
