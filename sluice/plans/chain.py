@@ -44,6 +44,7 @@ class RunConfig:
     listing: DataFrame | None = None      # id, name, mimeType[, modifiedTime]
     manifest_path: str | None = None
     dry_run: bool = False                 # plan only: manifest left unchanged
+    partition_by_date: bool = False       # staging keeps one partition per load date
     strict: bool = False
     parallel: int = 4
 
@@ -95,7 +96,8 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         StorageLevel.MEMORY_AND_DISK)
     domains = sorted(r["domain"] for r in discover_domains(raw_files).collect())
     status = clean_all(spark, cfg.raw_root, cfg.staging_root, cfg.error_root, domains=domains,
-                       renames=cfg.renames, as_of=cfg.as_of, parallel=cfg.parallel)
+                       renames=cfg.renames, as_of=cfg.as_of, parallel=cfg.parallel,
+                       partition_by_date=cfg.partition_by_date)
     failed = status.where(F.col("status").isin(gates.QUARANTINED, gates.FAILED)).select("domain")
     moves = move_plan(raw_files, cfg.tracked, cfg.raw_root, cfg.processed_root, cfg.error_root,
                       failed=failed)
@@ -107,10 +109,11 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         if stale:
             raise gates.DomainFailedError(f"staged domains not loaded on {cfg.as_of}: {stale}")
     # the two transforms are independent: run them as concurrent jobs
+    day = cfg.as_of if cfg.partition_by_date else None
     with ThreadPoolExecutor(max_workers=2) as pool:
         provider = pool.submit(provider_transform, spark, cfg.staging_root, cfg.transform_root,
-                               cfg.as_of)
+                               cfg.as_of, staging_as_of=day)
         quality = pool.submit(quality_transform, spark, cfg.staging_root, cfg.transform_root,
-                              cfg.error_root, cfg.as_of)
+                              cfg.error_root, cfg.as_of, staging_as_of=day)
         transforms = {"provider": provider.result(), "quality": quality.result()}
     return RunResult(status, moves, transforms, ingest)

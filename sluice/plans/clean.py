@@ -37,21 +37,27 @@ def clean_domain(spark: SparkSession, raw_root: str, staging_root: str, domain:
                  error_root: str | None = None, renames: Mapping[str, str] = RENAME_MAP,
                  as_of: dt.date | str | None = None, on_collision: str = "error",
                  align_headers: bool | str = "auto", keep_corrupt: bool = True,
-                 csv_options: Mapping[str, str] | None = None) -> gates.Status:
+                 csv_options: Mapping[str, str] | None = None,
+                 partition_by_date: bool = False) -> gates.Status:
     """Clean one domain folder; an empty folder is skipped (its old staging
     data is left alone), a failure quarantines this domain's raw rows.
 
     ``align_headers="auto"`` reads optimistically in one pass with Spark's
     per-file header check; only when some file's header differs does it run
     again with files grouped by header (the write of the failed attempt is
-    aborted by Spark and leaves nothing behind)."""
+    aborted by Spark and leaves nothing behind).
+
+    ``partition_by_date`` keeps one partition per load date: re-running a day
+    replaces that day only, and readers select a day by partition pruning
+    (``read_domain(..., as_of=...)``)."""
     path = table_path(raw_root, domain)
 
     def attempt(mode, reraise=None):
         return gates.run_quarantined(
             spark, domain,
             build=lambda raw: clean_frame(raw, renames, as_of, on_collision),
-            publish=lambda out: write_domain(out, staging_root, domain),
+            publish=lambda out: write_domain(out, staging_root, domain,
+                                             partition_by=["etl_date"] if partition_by_date else None),
             error_root=error_root,
             raw=lambda: read_raw(spark, path, mode, keep_corrupt, csv_options),
             reraise=reraise)
@@ -70,7 +76,8 @@ def clean_all(spark: SparkSession, raw_root: str, staging_root: str, error_root:
               domains: Iterable[str] | None = None, renames: Mapping[str, str] = RENAME_MAP,
               as_of: dt.date | str | None = None, on_collision: str = "error",
               parallel: int = 4, strict: bool = False,
-              csv_options: Mapping[str, str] | None = None) -> DataFrame:
+              csv_options: Mapping[str, str] | None = None,
+              partition_by_date: bool = False) -> DataFrame:
     """Clean every domain folder under ``raw_root`` (or the given ones) as
     concurrent jobs; returns the status table."""
     if domains is None:
@@ -80,7 +87,8 @@ def clean_all(spark: SparkSession, raw_root: str, staging_root: str, error_root:
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         statuses = list(pool.map(
             lambda d: clean_domain(spark, raw_root, staging_root, d, error_root, renames,
-                                   as_of, on_collision, csv_options=csv_options), domains))
+                                   as_of, on_collision, csv_options=csv_options,
+                                   partition_by_date=partition_by_date), domains))
     if strict:
         gates.check_strict(statuses)
     return gates.status_frame(spark, statuses)

@@ -57,12 +57,14 @@ def provider_transform(spark: SparkSession, staging_root: str, transform_root: s
                        strategy: str = "split", parallel: int | None = None,
                        provider_domain: str = "provider_info",
                        survey_domain: str = "survey_summary",
-                       penalty_domain: str = "penalties") -> dict[str, str]:
-    """Read the three staged domains, write the facets; returns their paths."""
+                       penalty_domain: str = "penalties",
+                       staging_as_of: dt.date | str | None = None) -> dict[str, str]:
+    """Read the three staged domains (only the ``staging_as_of`` load when
+    given), write the facets; returns their paths."""
     facets = provider_facets(
-        read_domain(spark, staging_root, provider_domain),
-        read_domain(spark, staging_root, survey_domain),
-        read_domain(spark, staging_root, penalty_domain),
+        read_domain(spark, staging_root, provider_domain, staging_as_of),
+        read_domain(spark, staging_root, survey_domain, staging_as_of),
+        read_domain(spark, staging_root, penalty_domain, staging_as_of),
         schema=FACILITY_SCHEMA if typed else None, strategy=strategy)
     restamp = [name for name in facets if name != "facility"]
     return write_facets(facets, transform_root, as_of, stamp_rows=restamp, parallel=parallel)
@@ -80,14 +82,16 @@ def quality_frame(df: DataFrame, typed: bool = False, drop: Sequence[str] = DROP
 
 def quality_transform(spark: SparkSession, staging_root: str, transform_root: str,
                       error_root: str | None = None, as_of: dt.date | str | None = None,
-                      typed: bool = False, domain: str = "qualitymsr_mds") -> gates.Status:
+                      typed: bool = False, domain: str = "qualitymsr_mds",
+                      staging_as_of: dt.date | str | None = None) -> gates.Status:
     """Quality domain with quarantine of its staged rows on failure."""
     return gates.run_quarantined(
         spark, domain,
         build=lambda raw: quality_frame(raw, typed, as_of=as_of),
         publish=lambda out: write_domain(out, transform_root, domain),
         error_root=error_root,
-        raw=lambda: read_domain(spark, staging_root, domain), is_empty_skip=False)
+        raw=lambda: read_domain(spark, staging_root, domain, staging_as_of),
+        is_empty_skip=False)
 
 
 def run_transform(spark: SparkSession, domain: str, staging_root: str, transform_root: str,

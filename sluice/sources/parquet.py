@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluice.operators.stamps import add_etl_date, add_row_id
 
@@ -16,18 +17,24 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def read_domain(spark: SparkSession, root: str, domain: str) -> DataFrame:
-    """A staged domain (Parquet keeps its own schema)."""
-    return spark.read.parquet(table_path(root, domain))
+def read_domain(spark: SparkSession, root: str, domain: str,
+                as_of: dt.date | str | None = None, date_col: str = "etl_date") -> DataFrame:
+    """A staged domain (Parquet keeps its own schema).  With ``as_of``, only
+    that load: on a table partitioned by the date this prunes partitions."""
+    df = spark.read.parquet(table_path(root, domain))
+    if as_of is not None:
+        df = df.where(F.col(date_col) == F.lit(str(as_of)).cast("date"))
+    return df
 
 
 def write_domain(df: DataFrame, root: str, name: str, mode: str = "overwrite",
                  partition_by: list[str] | None = None) -> str:
-    """Replace (or append to) a table; returns its path."""
+    """Replace (or append to) a table; returns its path.  Partitioned
+    overwrites replace only the partitions written (history is kept)."""
     path = table_path(root, name)
     writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
     return path
 

@@ -189,3 +189,29 @@ def test_reclean_same_apart_from_stamps(spark, roots):
     one = read_domain(spark, roots + "/s1", "provider_info").drop("row_id", "etl_date")
     two = read_domain(spark, roots + "/s2", "provider_info").drop("row_id", "etl_date")
     assert one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0
+
+
+def test_staging_partitioned_by_load_date(spark, roots):
+    from sluice.plans.clean import clean_domain
+    for day in ("2025-01-30", "2025-01-31", "2025-01-31"):
+        st = clean_domain(spark, roots + "/raw", roots + "/stg", "penalties", as_of=day,
+                          partition_by_date=True)
+        assert st.status == gates.OK
+    everything = read_domain(spark, roots + "/stg", "penalties")
+    assert everything.count() == 2                      # one row per day; the re-run replaced its day
+    day = read_domain(spark, roots + "/stg", "penalties", as_of="2025-01-31")
+    assert day.count() == 1
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(etl_date" in plan
+
+
+def test_full_run_with_dated_staging(spark, roots):
+    kw = dict(raw_root=roots + "/raw", staging_root=roots + "/staging",
+              transform_root=roots + "/transform", error_root=roots + "/error",
+              processed_root=roots + "/processed", partition_by_date=True)
+    run(spark, RunConfig(as_of="2025-01-30", **kw))
+    run(spark, RunConfig(as_of="2025-01-31", **kw))
+    # staging holds both loads; the transform of the second run saw only its own day
+    assert read_domain(spark, roots + "/staging", "penalties").count() == 2
+    assert read_domain(spark, roots + "/transform", "penalties").count() == 3
+    assert read_domain(spark, roots + "/transform", "surveys").count() == 4
