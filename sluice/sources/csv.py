@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.session import scratch_path
+
 CORRUPT_COLUMN = "_corrupt_record"
 
 # Spark's messages when a file's header differs from the schema.
@@ -39,13 +41,13 @@ def is_header_mismatch(exc: BaseException) -> bool:
     return any(m in text for m in HEADER_MISMATCH_MESSAGES)
 
 
-def header_groups(spark: SparkSession, path: str) -> DataFrame:
-    """(header, files): files grouped by their first line.
+def file_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header): the first line of every file, one row per file.
 
     Only splits that start at byte 0 carry a first line; within a split the
     lines keep file order, which ``monotonically_increasing_id`` follows.
-    One row per file leaves each task (partial ``min_by``), so the result is
-    bounded by the number of files, not rows.  Empty files drop out.
+    ``min_by`` aggregates partially, so a huge file costs one row per task
+    before the shuffle.  Empty files drop out.
     """
     lines = (spark.read.text(path)
              .select("value",
@@ -53,20 +55,35 @@ def header_groups(spark: SparkSession, path: str) -> DataFrame:
                      F.col("_metadata.file_block_start").alias("start"))
              .where(F.col("start") == 0)
              .withColumn("_sl_pos", F.monotonically_increasing_id()))
-    first = lines.groupBy("file").agg(F.min_by("value", "_sl_pos").alias("header"))
-    return first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return lines.groupBy("file").agg(F.min_by("value", "_sl_pos").alias("header"))
+
+
+def header_groups(spark: SparkSession, path: str) -> DataFrame:
+    """(header, n_files, sample_file): one row per distinct header line, so
+    bounded by the number of layouts, not by files or rows."""
+    return (file_headers(spark, path).groupBy("header")
+            .agg(F.count(F.lit(1)).alias("n_files"), F.min("file").alias("sample_file")))
+
+
+def _reader(spark: SparkSession, options: Mapping[str, str]):
+    return spark.read.option("header", True).options(**options)
+
+
+def _with_corrupt(names: T.StructType) -> T.StructType:
+    return T.StructType(list(names.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
 
 
 def _read_group(spark: SparkSession, paths: str | list[str], keep_corrupt: bool,
-                options: Mapping[str, str], check_headers: bool = False) -> DataFrame:
-    reader = spark.read.option("header", True).options(**options)
-    names = reader.csv(paths).schema  # header only: every column is a string
+                options: Mapping[str, str], check_headers: bool = False,
+                names: T.StructType | None = None) -> DataFrame:
+    reader = _reader(spark, options)
+    if names is None:
+        names = reader.csv(paths).schema  # header only: every column is a string
     if check_headers:
         reader = reader.option("enforceSchema", False)
     if not keep_corrupt:
         return reader.schema(names).csv(paths)
-    schema = T.StructType(list(names.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    return (reader.schema(schema).option("mode", "PERMISSIVE")
+    return (reader.schema(_with_corrupt(names)).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(paths))
 
 
@@ -75,8 +92,11 @@ def read_raw(spark: SparkSession, path: str, align_headers: bool | str = True,
     """Read a folder of headered CSV with every column as a string.
 
     ``align_headers``:
-      * ``True``: files are grouped by header line (one extra text scan) and
-        united by name, missing columns null.
+      * ``True``: files are grouped by header line and united by name,
+        missing columns null.  One text scan finds each file's header; each
+        layout then reads the folder under its own header and keeps the rows
+        of its files (semi join on the file path, so no file list ever goes
+        through the driver or one task).
       * ``"check"``: one pass; Spark checks every file's header against the
         first one as it reads and the action fails on a difference (see
         :func:`is_header_mismatch`), so the caller can retry with ``True``.
@@ -89,10 +109,23 @@ def read_raw(spark: SparkSession, path: str, align_headers: bool | str = True,
         return _read_group(spark, path, keep_corrupt, opts, check_headers=True)
     if not align_headers:
         return _read_group(spark, path, keep_corrupt, opts)
-    groups = header_groups(spark, path).orderBy("header").collect()
-    if len(groups) <= 1:
+    # one row per file, written once to the shared scratch folder so every
+    # layout below reads the same table (no recomputation, no cache to free)
+    table = scratch_path(spark, "file-headers")
+    file_headers(spark, path).write.parquet(table)
+    per_file = spark.read.parquet(table)
+    layouts = (per_file.groupBy("header")
+               .agg(F.min("file").alias("sample_file")).orderBy("header").collect())
+    if len(layouts) <= 1:
         return _read_group(spark, path, keep_corrupt, opts)
-    frames = [_read_group(spark, list(g["files"]), keep_corrupt, opts) for g in groups]
+    frames = []
+    for layout in layouts:  # one entry per distinct header line
+        names = _reader(spark, opts).csv(layout["sample_file"]).schema
+        files = per_file.where(F.col("header") == layout["header"]).select(
+            F.col("file").alias("_sl_file"))
+        data = _read_group(spark, path, keep_corrupt, opts, names=names).withColumn(
+            "_sl_file", F.col("_metadata.file_path"))
+        frames.append(data.join(files, "_sl_file", "left_semi").drop("_sl_file"))
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame, allowMissingColumns=True)
