@@ -13,7 +13,6 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,10 +89,12 @@ def plan_ingest(spark: SparkSession, cfg: RunConfig) -> DataFrame | None:
 
 def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     ingest = plan_ingest(spark, cfg)
-    # one listing of the raw root serves domain discovery and the move plan
-    # (one row per file: bounded by the file count, kept for the run)
-    raw_files = list_files(spark, cfg.raw_root).where("NOT hidden").persist(
-        StorageLevel.MEMORY_AND_DISK)
+    # one listing of the raw root serves domain discovery and the move plan;
+    # written once (one row per file) so the plan refers to the files that
+    # were there when the run started, and nothing stays cached
+    listing_path = scratch_path(spark, "raw-inventory")
+    list_files(spark, cfg.raw_root).where("NOT hidden").write.parquet(listing_path)
+    raw_files = spark.read.parquet(listing_path)
     domains = sorted(r["domain"] for r in discover_domains(raw_files).collect())
     status = clean_all(spark, cfg.raw_root, cfg.staging_root, cfg.error_root, domains=domains,
                        renames=cfg.renames, as_of=cfg.as_of, parallel=cfg.parallel,
