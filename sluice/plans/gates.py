@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,8 +121,8 @@ def stale_domains(spark: SparkSession, root: str, domains: Iterable[str], as_of:
         try:
             df = spark.read.parquet(f"{root.rstrip('/')}/{domain}")
             fresh = not df.where(F.col(date_col) == F.lit(as_of).cast("date")).limit(1).isEmpty()
-        except Exception as exc:  # noqa: BLE001 - a missing table is stale
-            if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+        except AnalysisException as exc:  # a missing or empty table is stale
+            if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             fresh = False
         if not fresh:

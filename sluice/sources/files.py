@@ -6,6 +6,7 @@ projection, never opens the files.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +32,8 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
         reader = reader.option("pathGlobFilter", glob)
     try:
         raw = reader.load(root)
-    except Exception as exc:  # a missing root is an empty inventory
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+    except AnalysisException as exc:  # a missing root is an empty inventory
+        if exc.getCondition() != "PATH_NOT_FOUND":
             raise
         raw = spark.createDataFrame([], "path string, modificationTime timestamp, length long")
     paths = raw.select("path", F.col("modificationTime").alias("modification_time"), "length")

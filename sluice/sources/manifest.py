@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +27,8 @@ def read_manifest(spark: SparkSession, path: str, legacy_array: bool = False) ->
     """Manifest records; an absent manifest is empty."""
     try:
         return spark.read.schema(MANIFEST_SCHEMA).json(path, multiLine=legacy_array)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
             return empty_manifest(spark)
         raise
 
