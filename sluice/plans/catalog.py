@@ -37,7 +37,7 @@ from sluice.plans.presets import (CSV_MIME, DROP_LIST_A, EXPORT_MIMES, FACILITY_
 from sluice.plans.transform import provider_transform, quality_frame
 from sluice.session import scratch_path
 from sluice.sources.csv import read_raw, write_csv
-from sluice.sources.files import inventory_from_paths
+from sluice.sources.files import inventory_from_paths, list_files
 from sluice.sources.manifest import manifest_entries, read_manifest
 from sluice.sources.parquet import read_domain, stamp, write_domain, write_facets
 from sluice.streaming.pickup import run_incremental_clean
@@ -343,6 +343,16 @@ def q_discover_domains(spark, sf_dir):
     return discover_domains(_page_inventory(spark, sf_dir, 3))
 
 
+def q_discover_domains_files(spark, sf_dir):
+    """Domains of a real folder tree: pages written one folder per language,
+    listed with the binary-file source (contents never read)."""
+    root = scratch_path(spark, "landing")
+    pages = table(spark, sf_dir, "pages")
+    (pages.select(F.element_at(F.split("url", "/"), 4).alias("lang"), "page_id", "url")
+     .write.partitionBy("lang").json(root))
+    return discover_domains(list_files(spark, root))
+
+
 def q_move_plan(spark, sf_dir):
     return move_plan(_page_inventory(spark, sf_dir, 4), KNOWN_LANGS, LANDING_ROOT,
                      PROCESSED_ROOT, ERROR_ROOT)
@@ -615,6 +625,7 @@ QUERIES: dict[str, Query] = {
     "parquet_overwrite": q_parquet_overwrite,
     "facet_fanout": q_facet_fanout,
     "discover_domains": q_discover_domains,
+    "discover_domains_files": q_discover_domains_files,
     "manifest_read": q_manifest_read,
     "manifest_append": q_manifest_append,
     "normalize_names": q_normalize_names,

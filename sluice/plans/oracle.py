@@ -95,6 +95,10 @@ FROM supplier""",
 UNION ALL SELECT 'status', count(*), 5 FROM lineitem
 UNION ALL SELECT 'shipping', count(*), 5 FROM lineitem""",
     "discover_domains": "SELECT DISTINCT split_part(url, '/', 3) AS domain FROM pages",
+    "discover_domains_files": """SELECT DISTINCT 'lang=' || CASE WHEN split_part(url, '/', 4) = ''
+                                   THEN '__HIVE_DEFAULT_PARTITION__'
+                                   ELSE split_part(url, '/', 4) END AS domain
+FROM pages""",
     "manifest_read": _OLD_MANIFEST,
     "manifest_append": f"WITH {_LISTING}\n{_OLD_MANIFEST}\nUNION ALL\n{_NEW_MANIFEST}",
     "normalize_names": """SELECT p_partkey AS part_key, p_name AS name_full, p_brand AS brand_maker,
