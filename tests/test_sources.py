@@ -107,3 +107,12 @@ def test_legacy_manifest_array(spark, tmp_root):
                  ' "synced_at": "2025-01-01T00:00:00Z"}\n]')
     m = read_manifest(spark, d + "/processed_files.json", legacy_array=True)
     assert [r.file_id for r in m.collect()] == ["x1"]
+
+
+def test_observed_row_count_on_empty_and_full_writes(spark, tmp_root):
+    from sluice.plans.gates import publish_counted
+    cases = {"zero_partitions": spark.range(0), "filtered": spark.range(10).where("id < 0"),
+             "full": spark.range(0, 1000, numPartitions=7)}
+    got = {n: publish_counted(df, lambda d, n=n: write_domain(d, tmp_root, n))[1]
+           for n, df in cases.items()}
+    assert got == {"zero_partitions": 0, "filtered": 0, "full": 1000}
