@@ -39,13 +39,17 @@ def raw_stream(spark: SparkSession, path: str, header_names: list[str],
 
 def incremental_clean(spark: SparkSession, raw_path: str, header_names: list[str],
                       out_path: str, checkpoint: str, renames: Mapping[str, str] = RENAME_MAP,
-                      as_of: dt.date | str | None = None) -> StreamingQuery:
+                      as_of: dt.date | str | None = None,
+                      partition_by_date: bool = False) -> StreamingQuery:
     """Clean new files under ``raw_path`` into the Parquet table at
-    ``out_path``; returns the (already triggered) query."""
+    ``out_path``; returns the (already triggered) query.  With
+    ``partition_by_date`` the sink keeps one folder per load date."""
     cleaned = clean_frame(raw_stream(spark, raw_path, header_names), renames, as_of, row_id=False)
-    return (cleaned.writeStream.format("parquet").option("path", out_path)
-            .option("checkpointLocation", checkpoint).outputMode("append")
-            .trigger(availableNow=True).start())
+    writer = (cleaned.writeStream.format("parquet").option("path", out_path)
+              .option("checkpointLocation", checkpoint).outputMode("append"))
+    if partition_by_date:
+        writer = writer.partitionBy("etl_date")
+    return writer.trigger(availableNow=True).start()
 
 
 def run_incremental_clean(spark: SparkSession, raw_path: str, header_names: list[str],

@@ -43,3 +43,16 @@ def test_drifted_file_fails_the_stream(spark, tmp_root):
     with pytest.raises(Exception) as info:
         run_incremental_clean(spark, raw, HEADER, tmp_root + "/out", tmp_root + "/ckpt")
     assert is_header_mismatch(info.value)
+
+
+def test_stream_partitioned_by_load_date(spark, tmp_root):
+    raw = local(tmp_root) + "/raw"
+    out, ckpt = tmp_root + "/out", tmp_root + "/ckpt"
+    write_text(raw, "a.csv", "CMS Certification Number (CCN),Provider Name\n1,A\n")
+    run_incremental_clean(spark, raw, HEADER, out, ckpt, as_of="2025-01-30", partition_by_date=True)
+    write_text(raw, "b.csv", "CMS Certification Number (CCN),Provider Name\n2,B\n")
+    run_incremental_clean(spark, raw, HEADER, out, ckpt, as_of="2025-01-31", partition_by_date=True)
+    got = sorted((r.facility_number, str(r.etl_date)) for r in spark.read.parquet(out).collect())
+    assert got == [("1", "2025-01-30"), ("2", "2025-01-31")]
+    assert sorted(p for p in os.listdir(local(out)) if p.startswith("etl_date=")) == [
+        "etl_date=2025-01-30", "etl_date=2025-01-31"]
