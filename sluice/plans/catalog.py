@@ -353,6 +353,15 @@ def q_discover_domains_files(spark, sf_dir):
     return discover_domains(list_files(spark, root))
 
 
+def q_required_present_files(spark, sf_dir):
+    """The required-data gate over a real staged tree: events written one
+    folder per type, listed (marker files ignored), missing folders reported."""
+    root = scratch_path(spark, "staging")
+    table(spark, sf_dir, "events").write.partitionBy("event_type").parquet(root)
+    present = list_files(spark, root).where("NOT hidden")
+    return missing_required([f"event_type={t}" for t in REQUIRED_EVENT_TYPES], present)
+
+
 def q_move_plan(spark, sf_dir):
     return move_plan(_page_inventory(spark, sf_dir, 4), KNOWN_LANGS, LANDING_ROOT,
                      PROCESSED_ROOT, ERROR_ROOT)
@@ -652,6 +661,7 @@ QUERIES: dict[str, Query] = {
     "pending_files": q_pending_files,
     "route_known": q_route_known,
     "required_present": q_required_present,
+    "required_present_files": q_required_present_files,
     "count_by_domain": q_count_by_domain,
     "move_plan": q_move_plan,
     "move_summary": q_move_summary,

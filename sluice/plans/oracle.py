@@ -188,6 +188,9 @@ WHERE NOT EXISTS (SELECT 1 FROM labels b WHERE CAST(b.doc_id AS VARCHAR) = l.id)
 FROM events""",
     "required_present": """SELECT d AS domain
 FROM (VALUES ('click'), ('signup'), ('refund'), ('view'), ('chargeback')) t(d)
+WHERE d NOT IN (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL)""",
+    "required_present_files": """SELECT 'event_type=' || d AS domain
+FROM (VALUES ('click'), ('signup'), ('refund'), ('view'), ('chargeback')) t(d)
 WHERE d NOT IN (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL)""",
     "count_by_domain": "SELECT event_type AS domain, count(*) AS n_files FROM events GROUP BY event_type",
     "move_plan": """SELECT lang AS domain,
