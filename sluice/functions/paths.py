@@ -9,8 +9,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def route_key_expr(name: Column, remove: Sequence[str] = ("NH_", "_")) -> Column:
-    """Normalised routing key: delete each token in order, then lower-case."""
+def route_key_expr(name: Column, remove: Sequence[str] = ()) -> Column:
+    """Normalised routing key: delete each token in order, then lower-case
+    (the shipped tokens are ``ROUTE_REMOVE_TOKENS`` in the presets)."""
     out = name
     for token in remove:
         out = F.replace(out, F.lit(token), F.lit(""))
@@ -18,7 +19,7 @@ def route_key_expr(name: Column, remove: Sequence[str] = ("NH_", "_")) -> Column
 
 
 def route_expr(name: Column, routes: Iterable[tuple[str, str]], default: str,
-               remove: Sequence[str] = ("NH_", "_")) -> Column:
+               remove: Sequence[str] = ()) -> Column:
     """Target path of a file name: the first pattern (in the given order,
     lower-cased) contained in the routing key wins, else ``default``."""
     key = route_key_expr(name, remove)

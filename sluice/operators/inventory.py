@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from sluice.functions.paths import export_name_expr, route_expr
 from sluice.operators.columns import col
+from sluice.plans.presets import ROUTE_REMOVE_TOKENS
 
 
 class MissingRequiredError(RuntimeError):
@@ -79,7 +80,7 @@ def with_export_name(listing: DataFrame, name_col: str, mime_col: str,
 
 def with_route(listing: DataFrame, name_col: str, routes: Iterable[tuple[str, str]],
                default: str, out: str = "target_path",
-               remove: Sequence[str] = ("NH_", "_")) -> DataFrame:
+               remove: Sequence[str] = ROUTE_REMOVE_TOKENS) -> DataFrame:
     """Add the target folder chosen by ordered name patterns."""
     return listing.withColumn(out, route_expr(col(name_col), routes, default, remove))
 

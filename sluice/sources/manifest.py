@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from sluice.operators.columns import col
 from sluice.plans.presets import MANIFEST_SCHEMA
 
+# Fixed value: manifest stamps are UTC ISO-8601 text with microseconds and 'Z'.
 ISO_UTC_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 

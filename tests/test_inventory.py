@@ -6,19 +6,19 @@ from sluice.operators.inventory import (MissingRequiredError, count_by_domain, m
                                         move_plan, pending_files, present_domains,
                                         require_present, route_known)
 from sluice.plans.ingest import ingest_plan
-from sluice.plans.presets import DEFAULT_ROUTE, ROUTES
+from sluice.plans.presets import DEFAULT_ROUTE, ROUTE_REMOVE_TOKENS, ROUTES
 
 
 def test_preset_routes_fixture_d19(spark):
     names = ["NH_ProviderInfo_Jan2025.csv", "NH_QualityMDS_x.csv", "NH_QualityMsr_MDS_Jan2025.csv",
              "NH_SurveySummary_Penalties.csv", "misc.csv"]
     df = spark.createDataFrame([(n,) for n in names], "name string")
-    got = [r.t for r in df.select(route_expr(F.col("name"), ROUTES, DEFAULT_ROUTE).alias("t")).collect()]
+    got = [r.t for r in df.select(route_expr(F.col("name"), ROUTES, DEFAULT_ROUTE, ROUTE_REMOVE_TOKENS).alias("t")).collect()]
     # the reference map alone sends QualityMsr_MDS to raw/other/; our added pattern catches it
     assert got == ["raw/provider_info/", "raw/qualitymsr_mds/", "raw/qualitymsr_mds/",
                    "raw/penalties/", "raw/other/"]
     ref_only = [p for p in ROUTES if p[0] != "QualityMsrMDS"]
-    got_ref = [r.t for r in df.select(route_expr(F.col("name"), ref_only, DEFAULT_ROUTE).alias("t")).collect()]
+    got_ref = [r.t for r in df.select(route_expr(F.col("name"), ref_only, DEFAULT_ROUTE, ROUTE_REMOVE_TOKENS).alias("t")).collect()]
     assert got_ref[2] == "raw/other/"
 
 
