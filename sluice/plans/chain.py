@@ -16,7 +16,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.inventory import discover_domains, move_plan, require_present
+from sluice.operators.inventory import (count_by_domain, discover_domains, move_plan,
+                                        require_present)
 from sluice.plans import gates
 from sluice.plans.clean import clean_all
 from sluice.plans.ingest import ingest_plan
@@ -54,6 +55,7 @@ class RunResult:
     moves: DataFrame
     transforms: dict
     ingest: DataFrame | None = None
+    file_counts: DataFrame | None = None   # raw files per domain at the start of the run
 
 
 def staged_inventory(spark: SparkSession, staging_root: str, min_rows: int = 0) -> DataFrame:
@@ -117,4 +119,4 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         quality = pool.submit(quality_transform, spark, cfg.staging_root, cfg.transform_root,
                               cfg.error_root, cfg.as_of, staging_as_of=day)
         transforms = {"provider": provider.result(), "quality": quality.result()}
-    return RunResult(status, moves, transforms, ingest)
+    return RunResult(status, moves, transforms, ingest, count_by_domain(raw_files))

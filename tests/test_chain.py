@@ -215,3 +215,33 @@ def test_full_run_with_dated_staging(spark, roots):
     assert read_domain(spark, roots + "/staging", "penalties").count() == 2
     assert read_domain(spark, roots + "/transform", "penalties").count() == 3
     assert read_domain(spark, roots + "/transform", "surveys").count() == 4
+
+
+def test_cli_run_with_listing_dry_run(spark, roots):
+    import json
+    import os
+    from sluice import cli
+    from sluice.sources.manifest import read_manifest
+    listing = os.path.join(roots.replace("file:", ""), "listing.json")
+    os.makedirs(os.path.dirname(listing), exist_ok=True)
+    with open(listing, "w") as fh:
+        for rec in ({"id": "a", "name": "NH_Penalties_X.csv", "mimeType": "text/csv"},
+                    {"id": "b", "name": "deck", "mimeType": "application/pdf"}):
+            fh.write(json.dumps(rec) + "\n")
+    args = ["run", "--raw", roots + "/raw", "--staging", roots + "/staging",
+            "--transform", roots + "/transform", "--error", roots + "/error",
+            "--processed", roots + "/processed", "--as-of", "2025-01-31",
+            "--listing", listing, "--manifest", roots + "/manifest", "--dry-run"]
+    assert cli.main(args) == 0
+    assert read_manifest(spark, roots + "/manifest").count() == 0
+    assert cli.main(args[:-1]) == 0
+    assert [r.s3_key for r in read_manifest(spark, roots + "/manifest").collect()] == [
+        "raw/penalties/NH_Penalties_X.csv"]
+
+
+def test_run_reports_file_counts(spark, roots):
+    res = run(spark, RunConfig(raw_root=roots + "/raw", staging_root=roots + "/staging",
+                               transform_root=roots + "/transform", error_root=roots + "/error",
+                               processed_root=roots + "/processed", as_of="2025-01-31"))
+    counts = {r.domain: r.n_files for r in res.file_counts.collect()}
+    assert counts["provider_info"] == 1 and counts["emptydom"] == 1
