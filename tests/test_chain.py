@@ -245,3 +245,17 @@ def test_run_reports_file_counts(spark, roots):
                                processed_root=roots + "/processed", as_of="2025-01-31"))
     counts = {r.domain: r.n_files for r in res.file_counts.collect()}
     assert counts["provider_info"] == 1 and counts["emptydom"] == 1
+
+
+def test_clean_domain_with_spark_renamed_headers(spark, tmp_root):
+    """Duplicate and blank header names: Spark renames them (Dup6/Dup7, _c8),
+    its per-file check then reports a mismatch, and the regrouping path
+    still cleans the folder."""
+    from sluice.plans.clean import clean_domain
+    raw = tmp_root + "/raw"
+    write_text(raw + "/dom", "f1.csv", "a,b,c,d,e,f,Dup,Dup,\n1,2,3,4,5,6,7,8,9\n")
+    write_text(raw + "/dom", "f2.csv", "a,b,c,d,e,f,Dup,Dup,\n1,2,3,4,5,6,7,8,9\n")
+    st = clean_domain(spark, raw, tmp_root + "/stg", "dom", as_of="2025-01-31")
+    assert st.status == gates.OK and st.rows == 2
+    cols = read_domain(spark, tmp_root + "/stg", "dom").columns
+    assert cols[6:9] == ["dup6", "dup7", "_c8"]
