@@ -53,3 +53,8 @@ def test_query_matches_oracle(spark, con, key):
     assert sorted(df.columns) == sorted(o_cols)
     assert len(rows) == len(o_rows)
     assert canon(df.columns, rows) == canon(o_cols, o_rows)
+    # the final plan of every registered query: no cross joins, no Python
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+                 "ArrowEvalPython", "PythonUDF"):
+        assert node not in plan, f"{key}: {node} in plan"
