@@ -46,7 +46,7 @@ class RunConfig:
     dry_run: bool = False                 # plan only: manifest left unchanged
     partition_by_date: bool = False       # staging keeps one partition per load date
     strict: bool = False
-    parallel: int = 4
+    parallel: int | None = None           # concurrent domain jobs (default: one per domain, ≤ 8)
 
 
 @dataclass

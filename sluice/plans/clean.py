@@ -75,7 +75,7 @@ def clean_domain(spark: SparkSession, raw_root: str, staging_root: str, domain:
 def clean_all(spark: SparkSession, raw_root: str, staging_root: str, error_root: str | None = None,
               domains: Iterable[str] | None = None, renames: Mapping[str, str] = RENAME_MAP,
               as_of: dt.date | str | None = None, on_collision: str = "error",
-              parallel: int = 4, strict: bool = False,
+              parallel: int | None = None, strict: bool = False,
               csv_options: Mapping[str, str] | None = None,
               partition_by_date: bool = False) -> DataFrame:
     """Clean every domain folder under ``raw_root`` (or the given ones) as
@@ -84,7 +84,8 @@ def clean_all(spark: SparkSession, raw_root: str, staging_root: str, error_root:
         found = discover_domains(list_files(spark, raw_root).where("NOT hidden"))
         domains = sorted(r["domain"] for r in found.collect())  # folder names only
     domains = list(domains)
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+    workers = parallel or min(8, max(1, len(domains)))  # one job per domain, up to 8 at once
+    with ThreadPoolExecutor(max_workers=workers) as pool:
         statuses = list(pool.map(
             lambda d: clean_domain(spark, raw_root, staging_root, d, error_root, renames,
                                    as_of, on_collision, csv_options=csv_options,
