@@ -34,7 +34,7 @@ from sluice.plans.ingest import ingest_plan, next_manifest
 from sluice.plans.presets import (CSV_MIME, DROP_LIST_A, EXPORT_MIMES, FACILITY_COLUMNS,
                                   FACILITY_SCHEMA, LISTED_MIMES, PENALTY_COLUMNS,
                                   QUALITY_SCHEMA, SPREADSHEET_MIME)
-from sluice.plans.transform import provider_transform, quality_frame
+from sluice.plans.transform import provider_fanout, provider_transform, quality_frame
 from sluice.session import scratch_path
 from sluice.sources.csv import read_raw, write_csv
 from sluice.sources.files import inventory_from_paths, list_files
@@ -609,6 +609,12 @@ def q_provider_facets(spark, sf_dir):
     return out
 
 
+def q_provider_fanout(spark, sf_dir):
+    """Fan-out report of the provider enrichments (surveys, penalties)."""
+    return provider_fanout(_provider_like(spark, sf_dir), _survey_detail(spark, sf_dir),
+                           _penalty_detail(spark, sf_dir))
+
+
 def q_quality_transform(spark, sf_dir):
     staging = scratch_path(spark, "staging")
     write_domain(stamp(_quality_texts(spark, sf_dir), "2025-01-30"), staging, "qualitymsr_mds")
@@ -674,6 +680,7 @@ QUERIES: dict[str, Query] = {
     "provider_facets": q_provider_facets,
     "provider_facility": q_provider_facility,
     "provider_surveys": q_provider_surveys,
+    "provider_fanout": q_provider_fanout,
     "quality_transform": q_quality_transform,
     "quality_transform_typed": q_quality_transform_typed,
     "ingest_plan": q_ingest_plan,

@@ -213,6 +213,16 @@ FROM {_MOVE_BASE} GROUP BY 1""",
        strftime(o.o_orderdate, '%Y-%m-%d') AS survey_date,
        DATE '2025-01-31' AS etl_date
 FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F'""",
+    "provider_fanout": """WITH m AS (SELECT o_orderstatus AS st, o_custkey, count(*) AS n FROM orders
+           WHERE o_orderstatus IN ('F', 'P') GROUP BY 1, 2),
+f AS (SELECT 'surveys' AS facet, coalesce(m.n, 0) AS n
+      FROM customer c LEFT JOIN m ON m.st = 'F' AND m.o_custkey = c.c_custkey
+      UNION ALL
+      SELECT 'penalties' AS facet, coalesce(m.n, 0) AS n
+      FROM customer c LEFT JOIN m ON m.st = 'P' AND m.o_custkey = c.c_custkey)
+SELECT facet, count(*) AS left_rows, CAST(sum(greatest(n, 1)) AS BIGINT) AS output_rows,
+       max(n) AS max_matches, count(CASE WHEN n > 1 THEN 1 END) AS repeated_left_rows
+FROM f GROUP BY facet""",
     "quality_transform_typed": """SELECT CAST(l_orderkey AS VARCHAR) AS facility_number,
        CAST(l_linenumber AS VARCHAR) AS measure_code, p_name AS measure_description,
        p_type AS resident_type, CAST(l_linenumber AS DOUBLE) + 0.5 AS q1_measure_score,

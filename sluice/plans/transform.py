@@ -11,10 +11,11 @@ import datetime as dt
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.columns import cast_schema, drop_if_exists, select_fixed, select_keywords
-from sluice.operators.enrich import left_enrich
+from sluice.operators.enrich import fanout_report, left_enrich
 from sluice.plans import gates
 from sluice.plans.presets import (DROP_LIST_A, FACILITY_COLUMNS, FACILITY_SCHEMA, KEY,
                                   PENALTY_COLUMNS, QUALITY_COLUMNS, QUALITY_SCHEMA,
@@ -52,6 +53,20 @@ def provider_facets(provider: DataFrame, survey_summary: DataFrame, penalties: D
     }
 
 
+def provider_fanout(provider: DataFrame, survey_summary: DataFrame, penalties: DataFrame,
+                    key: str = KEY) -> DataFrame:
+    """Fan-out of the two enrichments (D15): per facet, facet rows, rows the
+    left join writes, the most detail rows behind one facility and how many
+    facilities are repeated.  Summing provider-level totals over the joined
+    rows overcounts exactly where ``repeated_left_rows`` > 0."""
+    out = None
+    for name, detail in (("surveys", survey_summary), ("penalties", penalties)):
+        rep = fanout_report(provider.select(key), detail.select(key), key).select(
+            F.lit(name).alias("facet"), "*")
+        out = rep if out is None else out.unionByName(rep)
+    return out
+
+
 def provider_transform(spark: SparkSession, staging_root: str, transform_root: str,
                        as_of: dt.date | str | None = None, typed: bool = True,
                        strategy: str = "split", parallel: int | None = None,
