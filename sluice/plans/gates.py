@@ -52,11 +52,6 @@ def error_class(exc: BaseException) -> str:
     return name or type(exc).__name__
 
 
-def written_rows(spark: SparkSession, path: str) -> int:
-    """Rows in a written Parquet table (answered from file footers)."""
-    return spark.read.parquet(path).count()
-
-
 def publish_counted(df: DataFrame, publish: Callable[[DataFrame], str]) -> tuple[str, int]:
     """Publish ``df`` and count its rows in the same job (an observed
     metric of the write, merged once per finished partition)."""
