@@ -44,8 +44,10 @@ def _salted_inner(left: DataFrame, right: DataFrame, keys: list[str], hot_fracti
     row (deterministic, so task retries see the same split); its left rows
     are repeated once per salt.  Other keys keep salt 0.
     """
-    total = right.count()
-    threshold = max(rows_per_split, int(total * hot_fraction))
+    # the row total is a scalar subquery of the same plan: nothing runs
+    # before the caller's action
+    total = right.agg(F.count(F.lit(1))).scalar()
+    threshold = F.greatest(F.lit(float(rows_per_split)), total * F.lit(hot_fraction))
     counts = right.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_sl_n"))
     hot = (counts.where(F.col("_sl_n") > threshold)
            .select(*[col(k) for k in keys],
@@ -85,7 +87,8 @@ def left_enrich(left: DataFrame, right: DataFrame, on: str | Sequence[str],
 
     ``strategy="salted"`` is the split plan with the inner join salted
     explicitly (see :func:`_salted_inner`), for clusters where adaptive skew
-    handling is off or its thresholds do not fire.  It runs one extra count.
+    handling is off or its thresholds do not fire.  Its hot-key threshold
+    needs the detail row count, a scalar subquery inside the same plan.
     """
     keys = _keys(on)
     right = _resolve_overlap(left, drop_if_exists(right, drop), keys, on_overlap, suffix)
