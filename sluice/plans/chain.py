@@ -22,10 +22,11 @@ from sluice.plans import gates
 from sluice.plans.clean import clean_all
 from sluice.plans.ingest import ingest_plan
 from sluice.plans.presets import RENAME_MAP, REQUIRED_DOMAINS
-from sluice.plans.transform import provider_transform, quality_transform
+from sluice.plans.transform import provider_fanout, provider_transform, quality_transform
 from sluice.session import scratch_path
 from sluice.sources.files import list_files
 from sluice.sources.manifest import read_manifest, write_manifest_entries
+from sluice.sources.parquet import read_domain
 
 
 @dataclass
@@ -56,6 +57,7 @@ class RunResult:
     transforms: dict
     ingest: DataFrame | None = None
     file_counts: DataFrame | None = None   # raw files per domain at the start of the run
+    fanout: DataFrame | None = None        # D15 report of the provider enrichments (lazy)
 
 
 def staged_inventory(spark: SparkSession, staging_root: str, min_rows: int = 0) -> DataFrame:
@@ -119,4 +121,8 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         quality = pool.submit(quality_transform, spark, cfg.staging_root, cfg.transform_root,
                               cfg.error_root, cfg.as_of, staging_as_of=day)
         transforms = {"provider": provider.result(), "quality": quality.result()}
-    return RunResult(status, moves, transforms, ingest, count_by_domain(raw_files))
+    staged = {d: read_domain(spark, cfg.staging_root, d, day)
+              for d in ("provider_info", "survey_summary", "penalties")}
+    fanout = provider_fanout(staged["provider_info"], staged["survey_summary"],
+                             staged["penalties"])
+    return RunResult(status, moves, transforms, ingest, count_by_domain(raw_files), fanout)

@@ -259,3 +259,12 @@ def test_clean_domain_with_spark_renamed_headers(spark, tmp_root):
     assert st.status == gates.OK and st.rows == 2
     cols = read_domain(spark, tmp_root + "/stg", "dom").columns
     assert cols[6:9] == ["dup6", "dup7", "_c8"]
+
+
+def test_run_reports_fanout_d15(spark, roots):
+    res = run(spark, RunConfig(raw_root=roots + "/raw", staging_root=roots + "/staging",
+                               transform_root=roots + "/transform", error_root=roots + "/error",
+                               processed_root=roots + "/processed", as_of="2025-01-31"))
+    rep = {r.facet: (r.left_rows, r.output_rows, r.max_matches, r.repeated_left_rows)
+           for r in res.fanout.collect()}
+    assert rep == {"surveys": (3, 4, 2, 1), "penalties": (3, 3, 1, 0)}
