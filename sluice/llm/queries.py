@@ -12,6 +12,13 @@ from pyspark.sql import functions as F
 from sluice.llm.common import table
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.warc import warc_round_trip
+
+    return warc_round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -29,9 +36,61 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  public_tokenizers.PATTERN))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.quality import quality
+
+    return quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.decontaminate import decontaminate
+
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 QUERIES = {
+    "op2_warc": op2_warc,
     "op4_token_output": op4_token_output,
+    "op7_quality_rules": op7_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_decontaminate": op9_decontaminate,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: SHA-1 in base32: of each 20 bits (five hexadecimal digits) four letters.
+OP2_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+hashed AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha1(h) AS x, h FROM p),
+bits AS (SELECT *, list_transform(range(8), lambda i: CAST('0x' || substr(x, CAST(5 * i + 1 AS BIGINT), 5) AS BIGINT)) AS parts FROM hashed),
+marked AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((parts[k // 4 + 1] >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31 AS BIGINT) + 1, 1)), '') AS payload_digest
+  FROM bits)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to, true AS intact
+FROM marked
+"""
+
+ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP9_SQL = rf"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex({ASCII_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex({ASCII_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+bs AS (SELECT item_id, w, least(10, len(w)) AS l, unnest(range(len(w) - least(10, len(w)) + 1)) AS s FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, l, array_to_string(list_slice(w, s + 1, s + l), ' ') AS k FROM bs),
+ds AS (SELECT doc_id, w, l, unnest(range(len(w) - l + 1)) AS s FROM d, (SELECT DISTINCT l FROM windows) WHERE len(w) >= l),
+found AS (SELECT doc_id, s, l, item_id FROM (SELECT doc_id, s, l, array_to_string(list_slice(w, s + 1, s + l), ' ') AS k FROM ds) JOIN windows USING (l, k)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + l)) AS p FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+#: Of the others: 4, 8 and 10 need a tokenizer or a trained model and 7 the estimation, which SQL can't express;
+#: tests compare those with brute force, the libraries on whole texts, or held-out labels.
+ORACLE_SQL: dict[str, str] = {
+    "op2_warc": OP2_SQL,
+    "op9_decontaminate": OP9_SQL,
+}

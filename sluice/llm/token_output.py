@@ -211,7 +211,7 @@ def write_token_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int
             if store is None:
                 store, path = open_folder(folder)
             name = f"ids-{part:06d}-{seq:06d}-{uuid.uuid4().hex[:12]}.efids"
-            with store.open_output_stream(f"{path}/{name}") as out:
+            with store.open_output_stream(f"{path}/{name}", compression=None) as out:
                 out.write(shard_bytes(ids, encode.width, keys))
             row = {"path": [name], "part": [part], "seq": [seq], "n_docs": [len(keys)], "n_tokens": [size]}
             ids, keys, size, seq = [], [], 0, seq + 1
