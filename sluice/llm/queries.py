@@ -50,12 +50,21 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.toxicity import held_out, toxicity, train
+
+    docs = table(spark, sf_dir, "documents")
+    machine = train(docs, table(spark, sf_dir, "labels"), ~held_out())
+    return toxicity(docs, machine).select("doc_id", held_out().alias("held_out"), "score", "predicted", "word")
+
+
 QUERIES = {
     "op2_warc": op2_warc,
     "op4_token_output": op4_token_output,
     "op7_quality_rules": op7_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_decontaminate": op9_decontaminate,
+    "op10_toxicity": op10_toxicity,
 }
 
 #: SHA-1 in base32: of each 20 bits (five hexadecimal digits) four letters.
