@@ -42,7 +42,7 @@ BLOCK_CHARS = 32_000_000
 #: Words whose ids a Python worker remembers; beyond that it starts anew.
 CACHE = 1_000_000
 
-BLOCKS = ("block string, keys binary, counts binary, positions binary, "
+BLOCKS = ("block string, keys binary, counts binary, positions binary, sizes binary, "
           "parts array<struct<bucket int, words binary>>")
 ENCODED = "block string, bucket int, ids binary"
 OUT = "doc_id long, ids binary, decoded binary"
@@ -134,21 +134,32 @@ class Block:
         self.chars += len(text)
 
     def row(self, block: str, buckets: int) -> dict:
+        """The block's row.
+
+        Words are numbered by how often they come (in powers of two, falling), then
+        by bucket, then by their bytes: frequent words get small numbers, whose
+        upper bytes compress to almost nothing.
+        """
         at = np.concatenate(self.found) if self.found else np.zeros(0, np.uint32)
-        by_bucket: dict[int, list[bytes]] = {}
         words = [w.encode() for w in self.number]
-        spot = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
-        # words of a bucket in sorted order, buckets one after another: the number under which ids come back
-        order = sorted(range(len(words)), key=words.__getitem__)
-        order = np.array(order, dtype=np.int64)[np.argsort(spot[order], kind="stable")] if words else np.zeros(0, np.int64)
-        new = np.empty(len(words), np.uint32)
-        new[order] = np.arange(len(words), dtype=np.uint32)
+        n = len(words)
+        spot = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, n)
+        rank = np.empty(n, np.int64)
+        rank[sorted(range(n), key=words.__getitem__)] = np.arange(n)
+        times = np.bincount(at, minlength=n)
+        level = np.log2(times.max(initial=1)).astype(np.int64) - np.log2(times).astype(np.int64) if n else rank
+        order = np.lexsort((rank, spot, level))
+        new = np.empty(n, np.uint32)
+        new[order] = np.arange(n, dtype=np.uint32)
         at = new[at]
-        for i in order.tolist():
+        sizes = np.zeros((int(level.max(initial=0)) + 1, buckets), "<u4")
+        np.add.at(sizes, (level, spot), 1)
+        by_bucket: dict[int, list[bytes]] = {}
+        for i in np.lexsort((rank, level, spot)).tolist():
             by_bucket.setdefault(int(spot[i]), []).append(words[i])
         planes = b"".join((at >> 8 * k & 255).astype(np.uint8).tobytes() for k in range(4))
-        return {"block": block, "keys": pack_keys(self.keys), "counts": np.array(self.counts, "<i8").tobytes(),
-                "positions": zstandard.compress(planes, 3),
+        return {"block": block, "keys": zstandard.compress(pack_keys(self.keys)), "counts": np.array(self.counts, "<i8").tobytes(),
+                "positions": zstandard.compress(planes, 3), "sizes": zstandard.compress(sizes.tobytes()),
                 "parts": [{"bucket": b, "words": pack_words(ws)} for b, ws in sorted(by_bucket.items())]}
 
 
@@ -189,7 +200,7 @@ def _blocks(docs: DataFrame, pattern: str, block_chars: int, buckets: int) -> Da
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, part, seq = Block(pattern), TaskContext.get().partitionId(), 0
         schema = pa.schema([("block", pa.string()), ("keys", pa.binary()), ("counts", pa.binary()), ("positions", pa.binary()),
-                            ("parts", pa.list_(pa.struct([("bucket", pa.int32()), ("words", pa.binary())])))])
+                            ("sizes", pa.binary()), ("parts", pa.list_(pa.struct([("bucket", pa.int32()), ("words", pa.binary())])))])
 
         def done() -> pa.RecordBatch:
             nonlocal seq
@@ -229,25 +240,30 @@ def _encode(lists: DataFrame, path: str, pattern: str) -> DataFrame:
     return lists.mapInArrow(encode, ENCODED)
 
 
-def _assemble(joined: DataFrame, path: str) -> DataFrame:
+def _assemble(joined: DataFrame, path: str, buckets: int) -> DataFrame:
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat_bytes, byte_start, byte_length = token_bytes(path)
         schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
         for batch in batches:
-            for keys, counts, positions, parts in zip(*(batch.column(i) for i in range(4)), strict=True):
+            for keys, counts, positions, sizes, parts in zip(*(batch.column(i) for i in range(5)), strict=True):
                 got = [unpack_ids(x["ids"]) for x in sorted(parts.as_py() or [], key=lambda x: x["bucket"])]
                 ids = np.concatenate([x[0] for x in got]) if got else np.zeros(0, "<u4")
                 n_ids = np.concatenate([x[1] for x in got]) if got else np.zeros(0, np.int64)
                 start = np.cumsum(n_ids) - n_ids
+                # lists are by bucket and level, numbers by level and bucket
+                each = np.frombuffer(zstandard.decompress(sizes.as_py()), "<u4").reshape(-1, buckets).astype(np.int64)
+                before = (np.cumsum(each.T.reshape(-1)) - each.T.reshape(-1)).reshape(buckets, -1).T
+                listed = gather(np.arange(len(n_ids)), before.reshape(-1), each.reshape(-1))
+                n_ids, start = n_ids[listed], start[listed]
                 # the join with the token-byte table, once for each word of the block
                 n_bytes = byte_length[ids]
                 raw = gather(flat_bytes, byte_start[ids], n_bytes)
-                upto = np.concatenate([[0], np.cumsum(n_bytes)])
+                upto = np.concatenate([[0], np.cumsum(n_bytes)]).astype(np.int64)
                 raw_start, raw_n = upto[start], upto[start + n_ids] - upto[start]
                 planes = np.frombuffer(zstandard.decompress(positions.as_py()), np.uint8).reshape(4, -1)
                 at = sum(planes[k].astype(np.int64) << 8 * k for k in range(4))
                 a, rows = 0, []
-                for key, n in zip(unpack_keys(keys.as_py()), np.frombuffer(counts.as_py(), "<i8").tolist(), strict=True):
+                for key, n in zip(unpack_keys(zstandard.decompress(keys.as_py())), np.frombuffer(counts.as_py(), "<i8").tolist(), strict=True):
                     w, a = at[a:a + n], a + n
                     rows.append({"doc_id": key, "ids": gather(ids, start[w], n_ids[w]).astype("<u4").tobytes(),
                                  "decoded": gather(raw, raw_start[w], raw_n[w]).tobytes()})
@@ -273,8 +289,8 @@ def encode_decode(docs: DataFrame, ranks: str, pattern: str, block_chars: int =
     encoded = _encode(lists, ranks, pattern)
     # a block's lists together are as large as its distinct words: bounded by block_chars
     back = encoded.groupBy("block").agg(F.collect_list(F.struct("bucket", "ids")).alias("parts"))
-    joined = blocks.select("block", "keys", "counts", "positions").join(back, "block", "left")
-    return _assemble(joined.select("keys", "counts", "positions", "parts"), ranks)
+    joined = blocks.select("block", "keys", "counts", "positions", "sizes").join(back, "block", "left")
+    return _assemble(joined.select("keys", "counts", "positions", "sizes", "parts"), ranks, buckets)
 
 
 def digests(encoded: DataFrame) -> DataFrame:
