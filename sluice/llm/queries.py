@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 from sluice.llm.common import table
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.jaccard import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.warc import warc_round_trip
 
@@ -59,6 +65,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_warc": op2_warc,
     "op4_token_output": op4_token_output,
     "op7_quality_rules": op7_quality_rules,
@@ -82,6 +89,19 @@ FROM marked
 
 ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP1_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex({ASCII_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i + 1, i + least(3, len(w))), ' ') AS k
+      FROM (SELECT doc_id, w, unnest(range(len(w) - least(3, len(w)) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+same AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM same JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 90 * (x.n + y.n - i)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, edges.b FROM reach r JOIN edges ON edges.a = r.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(b) FROM reach WHERE a = d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id)
+"""
+
 OP9_SQL = rf"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex({ASCII_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 b AS (SELECT item_id, list_filter(string_split_regex({ASCII_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
@@ -100,6 +120,7 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 #: Of the others: 4, 8 and 10 need a tokenizer or a trained model and 7 the estimation, which SQL can't express;
 #: tests compare those with brute force, the libraries on whole texts, or held-out labels.
 ORACLE_SQL: dict[str, str] = {
+    "op1_jaccard_join": OP1_SQL,
     "op2_warc": OP2_SQL,
     "op9_decontaminate": OP9_SQL,
 }
