@@ -25,6 +25,13 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.line_dedup import dedup_lines
+
+    docs = dedup_lines(table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "n_lines_gone", F.length("text").cast("long").alias("n_chars_left"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -67,6 +74,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_warc": op2_warc,
+    "op3_line_dedup": op3_line_dedup,
     "op4_token_output": op4_token_output,
     "op7_quality_rules": op7_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
