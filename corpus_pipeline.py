@@ -9,8 +9,42 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluice.llm.common import keep, table
+from sluice.llm.common import keep, table, without
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the kernel machine, trained on the labels that aren't held out, finds toxic go."""
+    from sluice.llm.toxicity import held_out, train, without_toxic
+
+    return without_toxic(docs, train(docs, table(spark, sf_dir, "labels"), ~held_out()))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat an equal or near line of an earlier document, or earlier in the same one, go."""
+    from sluice.llm.line_dedup import dedup_lines
+
+    fewer = dedup_lines(docs).drop("n_lines_gone")
+    return fewer.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else fewer
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents that five-word shingles link at 0.8 or more, that with the smallest doc_id stays.
+
+    Rows that share an id are one document; rows without id have none to stay by and all stay.
+    """
+    from sluice.llm.jaccard import jaccard_components
+
+    found = jaccard_components(docs, n=5, num=8, den=10)
+    return without(docs, found.where("doc_id <> component_id"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    from sluice.llm.decontaminate import decontaminate as find
+
+    return without(docs, find(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,6 +57,10 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
     ("byte_bpe", byte_bpe),
 ]
 

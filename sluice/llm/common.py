@@ -5,10 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,9 +76,22 @@ def summed(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)
 
 
-def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    for batch in batches:
-        yield from batch.to_pylist()
+def few(df: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """df, marked for a broadcast if it has few rows (of some numbers each); else Spark decides how to join it."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def text_id(text: str | Column = "text") -> Column:
+    """Tells apart rows that share an id."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id (null equals null) and text_id are among those of ``gone``."""
+    d = docs.select(F.struct("*").alias("row"), text_id().alias("text_id")).alias("d")
+    g = few(keep(gone.select("doc_id", "text_id").distinct(), "gone")).alias("g")
+    left = d.join(g, F.col("d.row.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.text_id") == F.col("g.text_id")), "left_anti")
+    return left.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def crc32_of(column: str) -> Column:

@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import keep, lower_ascii, words
+from sluice.llm.common import keep, lower_ascii, text_id, words
 
 #: Everything but ASCII letters and digits and characters beyond ASCII, in Java's regex syntax.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -61,7 +61,7 @@ def spots(docs: DataFrame, sizes: list[int], shingle: int) -> DataFrame:
     Exploding, hashing and the broadcast join that follows are one generated
     loop, so the words are not copied for each of the rows.
     """
-    d = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_id"),
+    d = docs.select("doc_id", text_id().alias("text_id"),
                     words(lower_ascii(F.col("text")), GAP).alias("w"))
     d = d.select("doc_id", "text_id", "w", F.posexplode_outer("w").alias("pos", "first"))
     at = [F.col("first"), *(F.get("w", F.col("pos") + i) for i in range(1, shingle))]
@@ -117,7 +117,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
     ids = (found.select("doc_id", "text_id", "size", "win").distinct().join(by_item.distinct(), ["size", "win"])
            .groupBy("doc_id", "text_id").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("ids")))
     per_doc = hit.join(ids, (hit.doc_id.eqNullSafe(ids.doc_id)) & (hit.text_id == ids.text_id), "left").select(hit.doc_id, hit.text_id, "n_hit", "ids")
-    d = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_id"),
+    d = docs.select("doc_id", text_id().alias("text_id"),
                     F.size(words(lower_ascii(F.col("text")), GAP)).cast("long").alias("n_words")).alias("d")
     p = per_doc.alias("p")
     none = F.array().cast("array<string>")

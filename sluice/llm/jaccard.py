@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import keep, ship
+from sluice.llm.common import few, keep, ship, text_id
 
 #: Members of a group, to which a large one is cut.
 GROUP = 64
@@ -41,8 +41,6 @@ GROUP = 64
 ROUNDS = 2
 #: Set sizes from a band's least to its largest.
 BAND = 1.5
-#: Rows of two numbers that are broadcast at most; beyond that a shuffle joins them.
-BROADCAST_ROWS = 1_000_000
 #: Prefix tokens of more documents than this are frequent; so many of the most frequent are known to all tasks.
 FREQUENT, FREQUENT_MOST = 50, 500_000
 #: Distinct words a Python worker remembers; beyond that it starts anew.
@@ -140,7 +138,7 @@ class Threshold:
 
 
 def _sets(docs: DataFrame, n: int, t: Threshold, frequent: np.ndarray | None, schema: str, wide: int = 1, tokens: bool = False) -> DataFrame:
-    """doc_id, id (hash of the set), n and sigs or tokens, by pass over the texts."""
+    """doc_id, text_id, id (hash of the set), n and signatures or tokens, by a pass over the texts."""
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,13 +151,13 @@ def _sets(docs: DataFrame, n: int, t: Threshold, frequent: np.ndarray | None, sc
                 ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
                 flat = pa.array(np.concatenate([*lists, np.zeros(0, np.int64)]))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), flat)],
-                    names=["doc_id", "id", "n", "items"])
+                    [part.column(0), part.column(2), pa.array(ids, pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), flat)],
+                    names=["doc_id", "text_id", "id", "n", "items"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(find, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_id().alias("text_id")).mapInArrow(find, schema)
 
 
-SETS = "doc_id long, id long, n long, items array<long>"
+SETS = "doc_id long, text_id long, id long, n long, items array<long>"
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
@@ -231,13 +229,8 @@ def _open_groups(members: DataFrame, t: Threshold) -> DataFrame:
     return members.groupBy("g", "chunk").applyInArrow(each, "g long, chunk int, id long, root long, tokens array<long>")
 
 
-def _few(df: DataFrame) -> DataFrame:
-    """Marked for a broadcast if it has few rows; else Spark decides."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of (doc_id, text).
+    """(doc_id, text_id, n_shingles, component_id) for each row of (doc_id, text).
 
     component_id is the smallest doc_id that is reached over links of Jaccard
     similarity num / den or more, itself included.  Null and empty texts have no
@@ -264,10 +257,10 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
     copies = sets.select("id", "doc_id").join(wanted, "id").groupBy("id", "doc_id").agg(F.count("*").alias("c"))
     first = keep(copies.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.max("c").alias("c"), F.max(F.col("doc_id").isNull()).alias("no_id")), "jaccard-wanted")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = source.join(_few(first.select("doc_id").where("doc_id is not null").distinct()), "doc_id")
+    rows = source.join(few(first.select("doc_id").where("doc_id is not null").distinct()), "doc_id")
     if not first.where("doc_id is null").isEmpty():
         rows = rows.unionAll(source.where("doc_id is null"))
-    has = _sets(rows, n, t, None, SETS, tokens=True).join(_few(first.select("id")), "id").select("id", "n", F.col("items").alias("tokens"))
+    has = _sets(rows, n, t, None, SETS, tokens=True).join(few(first.select("id")), "id").select("id", "n", F.col("items").alias("tokens"))
     if not first.where("c > 1 or no_id").isEmpty():  # rows that repeat an id, or have none
         has = has.dropDuplicates(["id"])
     has = keep(has, "jaccard-tokens")
@@ -277,7 +270,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
     for turn in range(ROUNDS):
         pivots = alive.select("id", "pivot") if turn % 2 == 0 else alive.select("id", F.col("last").alias("pivot"))
         group = keep(_groups(pivots, turn), "jaccard-groups")
-        opened = keep(_open_groups(has.join(_few(group), "id").select("g", "chunk", "id", "tokens"), t), "jaccard-opened")
+        opened = keep(_open_groups(has.join(few(group), "id").select("g", "chunk", "id", "tokens"), t), "jaccard-opened")
         matrix = (group, opened.where("id is null").select("g", "chunk", "tokens"))
         edges.append(opened.where("id is not null").select(F.col("id").alias("a"), F.col("root").alias("b")))
         comp = components(edges[0] if len(edges) == 1 else edges[0].unionAll(edges[1]))
@@ -288,10 +281,10 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
     if not alive.isEmpty():
         edges.append(_ask(alive, matrix, has, comp, t))
         comp = components(edges[0].unionAll(edges[1]).unionAll(edges[2]) if len(edges) == 3 else edges[0].unionAll(edges[1]))
-    of = sets.select("doc_id", "n", "id").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    of = sets.select("doc_id", "text_id", "n", "id").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     least = of.where("id is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     out = of.join(least, "comp", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select("doc_id", "text_id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def _across(met: DataFrame, comp: DataFrame) -> DataFrame:

@@ -23,12 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import keep
+from sluice.llm.common import few, keep, text_id
 
 EDITS = 2
 LEAST_CHARS = 24
-#: Rows of a few numbers, or of a line's text, that are broadcast at most.
-BROADCAST_ROWS, BROADCAST_TEXTS = 1_000_000, 20_000
 
 
 def segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
@@ -128,16 +126,12 @@ def within(pairs: DataFrame, edits: int) -> DataFrame:
 
 def lines_of(docs: DataFrame, least_chars: int) -> DataFrame:
     """(at, line, h1, h2) of each line that is long enough; ``at`` orders all lines of the corpus."""
-    d = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_id"), F.split("text", "\n").alias("lines"))
+    d = docs.select("doc_id", text_id().alias("text_id"), F.split("text", "\n").alias("lines"))
     d = d.select("doc_id", "text_id", F.posexplode_outer("lines").alias("line_no", "line")).where(F.length("line") >= least_chars)
     at = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("long").alias("doc_id"), "text_id", F.col("line_no").cast("int").alias("line_no"))
     return d.select(at.alias("at"), "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def _few(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if df.count() <= most else df
-
-
 def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """(doc_id, text_id, gone): the numbers of a row's lines that go, for rows that have some."""
     lines = lines_of(docs, least_chars)
@@ -149,13 +143,13 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST
     met = index.join(probe, "key").where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     met = keep(met, "line-pairs")
     asked = keep(met.select(F.col("x").alias("h1")).unionAll(met.select("y")).distinct(), "line-asked")
-    texts = keep(lines.join(_few(asked), "h1").groupBy("h1", "h2").agg(F.min(F.struct("at", "line")).alias("l")).select("h1", "h2", "l.at", "l.line"), "line-texts")
+    texts = keep(lines.join(few(asked), "h1").groupBy("h1", "h2").agg(F.min(F.struct("at", "line")).alias("l")).select("h1", "h2", "l.at", "l.line"), "line-texts")
     side = lambda h, t, n: texts.select(F.col("h1").alias(h), F.col("h2").alias(n), F.col("at").alias(f"at_{t}"), F.col("line").alias(t))
     near = within(met.join(side("x", "a", "x2"), "x").join(side("y", "b", "y2"), "y"), edits)
     later = F.when(F.col("at_a") < F.col("at_b"), F.struct(F.col("y").alias("h1"), F.col("y2").alias("h2"))).otherwise(F.struct(F.col("x").alias("h1"), F.col("x2").alias("h2")))
     near = keep(near.select(later.alias("z")).select("z.h1", "z.h2").distinct(), "line-near")
     out = distinct.select("h1", "h2", "first", "times").join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("near or times > 1")
-    gone = lines.select("at", "h1", "h2").join(_few(keep(out.drop("times"), "line-out")), ["h1", "h2"]).where(F.coalesce("near", F.lit(False)) | (F.col("at") != F.col("first")))
+    gone = lines.select("at", "h1", "h2").join(few(keep(out.drop("times"), "line-out")), ["h1", "h2"]).where(F.coalesce("near", F.lit(False)) | (F.col("at") != F.col("first")))
     # a row's own lines
     return keep(gone.groupBy("at.doc_id", "at.text_id").agg(F.sort_array(F.collect_set("at.line_no")).alias("gone")), "line-gone")
 
@@ -168,8 +162,8 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CH
     lines all go becomes empty; other columns stay.
     """
     gone = repeated_lines(docs, edits, least_chars)
-    d = docs.select(F.struct("*").alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_id"))
-    g = _few(gone).alias("g")
+    d = docs.select(F.struct("*").alias("row"), text_id().alias("text_id"))
+    g = few(gone).alias("g")
     d = d.alias("d").join(g, F.col("d.row.doc_id").cast("long").eqNullSafe(F.col("g.doc_id")) & (F.col("d.text_id") == F.col("g.text_id")), "left")
     text = F.col("d.row.text")
     lines = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("g.gone", i))

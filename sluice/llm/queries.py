@@ -15,7 +15,7 @@ from sluice.llm.common import table
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.jaccard import jaccard_components
 
-    return jaccard_components(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+    return jaccard_components(table(spark, sf_dir, "documents"), n=3, num=90, den=100).drop("text_id")
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +49,26 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  public_tokenizers.PATTERN))
 
 
+#: Tools whose calls are validated.
+TOOLS = {
+    "search": {"properties": {"query": {"type": "string"}, "limit": {"type": "integer"}}, "required": ["query"], "additionalProperties": False},
+    "fetch": {"properties": {"url": {"type": "string"}}, "required": ["url"]},
+    "run": {"properties": {"code": {"type": "string"}, "language": {"enum": ["python", "sql", "shell"]}}, "required": ["code"]},
+}
+
+
+def op5_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.chat import link_tool_calls
+
+    return link_tool_calls(table(spark, sf_dir, "conversations"), TOOLS)
+
+
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.lm_score import pseudo_likelihood
+
+    return pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.quality import quality
 
@@ -76,6 +96,8 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_line_dedup": op3_line_dedup,
     "op4_token_output": op4_token_output,
+    "op5_chat_tools": op5_chat_tools,
+    "op6_lm_score": op6_lm_score,
     "op7_quality_rules": op7_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_decontaminate": op9_decontaminate,
@@ -110,6 +132,13 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(b) FROM reach WHERE
 FROM d LEFT JOIN n USING (doc_id)
 """
 
+#: The given conversations hold no calls: each message stands for itself.
+OP5_SQL = """
+SELECT conv_id, turn, role, CAST(0 AS BIGINT) AS n_calls, CAST(0 AS BIGINT) AS n_linked, CAST(0 AS BIGINT) AS n_invalid, CAST(0 AS BIGINT) AS n_cyclic, false AS orphan,
+       '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":' || CAST(to_json(role) AS VARCHAR) || ',"turn":' || CAST(turn AS VARCHAR) || '}' AS json
+FROM conversations
+"""
+
 OP9_SQL = rf"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex({ASCII_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 b AS (SELECT item_id, list_filter(string_split_regex({ASCII_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
@@ -125,10 +154,12 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-#: Of the others: 4, 8 and 10 need a tokenizer or a trained model and 7 the estimation, which SQL can't express;
-#: tests compare those with brute force, the libraries on whole texts, or held-out labels.
+#: Of the others: 4, 6, 8 and 10 need a tokenizer or a trained model, 7 the estimation and 3 the edit distance of
+#: characters, which SQL can't express; tests compare those with brute force, the libraries on whole texts, or
+#: held-out labels.
 ORACLE_SQL: dict[str, str] = {
     "op1_jaccard_join": OP1_SQL,
     "op2_warc": OP2_SQL,
+    "op5_chat_tools": OP5_SQL,
     "op9_decontaminate": OP9_SQL,
 }

@@ -358,6 +358,23 @@ def toxicity(docs: DataFrame, machine: Machine, toxic_from: float = TOXIC_FROM)
     return _scored(rows, machine).select("doc_id", "score", (F.col("score") >= toxic_from).cast("int").alias("predicted"), "word")
 
 
+def without_toxic(docs: DataFrame, machine: Machine, toxic_from: float = TOXIC_FROM) -> DataFrame:
+    """docs, with all columns, but for the rows whose score reaches the bar."""
+    ship(docs.sparkSession)
+    model, place = docs.sparkSession.sparkContext.broadcast(machine), docs.columns.index("text")
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                found = [raw_words(t.as_py()) for t in part.column(place)]
+                m.learn_words(set().union(*found))
+                yield part.filter(pa.array([m.score(*m.document(f)[:2]) < toxic_from for f in found]))
+
+    return docs.mapInArrow(choose, docs.schema)
+
+
 def held_out(column: str = "doc_id") -> Column:
     """Rows whose labels are never learnt from."""
     return F.coalesce(crc32_of(column) % 3 == 1, F.lit(False))
