@@ -186,7 +186,7 @@ def kernel_to(words: list[str], landmarks: list[str], code: dict[str, int]) -> n
 
 def spread(words: list[str], code: dict[str, int], most: int) -> list[str]:
     """The first words that aren't alike."""
-    words = words[:1000]
+    words = words[:2 * most]
     k, out = kernel_to(words, words, code), []
     for i in range(len(words)):
         if len(out) < most and (not out or k[i, out].max() < ALIKE):
