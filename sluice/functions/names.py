@@ -63,14 +63,8 @@ def plan_renames(columns: Sequence[str], mapping: Mapping[str, str] | Iterable[t
     Sources that are absent are ignored.  The map is applied to the original
     names at once (no chained renames), then checked for collisions.
     """
-    pairs = list(mapping.items()) if isinstance(mapping, Mapping) else list(mapping)
-    lookup = {c.strip().lower(): c for c in columns}
-    target: dict[str, str] = {}
-    for old, new in pairs:
-        key = old.strip().lower()
-        if key in lookup:
-            target[lookup[key]] = new
-    names = [target.get(c, c) for c in columns]
+    wanted = {old.strip().lower(): new for old, new in dict(mapping).items()}
+    names = [wanted.get(c.strip().lower(), c) for c in columns]
     return _resolve_collisions(names, on_collision, "rename_map")
 
 

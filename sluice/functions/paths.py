@@ -46,7 +46,7 @@ def relative_path_expr(path: Column, root: str) -> Column:
     root_path = (urlparse(root).path if "://" in root or root.startswith("file:") else root)
     root_path = root_path.rstrip("/") + "/"
     bare = _strip_scheme(path)
-    return F.when(bare.startswith(root_path), F.substring(bare, len(root_path) + 1, 1 << 30))
+    return F.when(bare.startswith(root_path), F.substr(bare, F.lit(len(root_path) + 1)))
 
 
 def first_folder_expr(relative: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,11 @@ def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
+def _spelled(df: DataFrame, key: str) -> str:
+    """The key as the frame spells it."""
+    return next((c for c in df.columns if c.lower() == key.lower()), key)
+
+
 def _resolve_overlap(left: DataFrame, right: DataFrame, keys: list[str], on_overlap: str,
                      suffix: str) -> DataFrame:
     keyset = {k.lower() for k in keys}
@@ -33,45 +38,64 @@ def _resolve_overlap(left: DataFrame, right: DataFrame, keys: list[str], on_over
     return right.toDF(*[c + suffix if c in overlap else c for c in right.columns])
 
 
-def _salted_inner(left: DataFrame, right: DataFrame, keys: list[str], hot_fraction: float,
-                  rows_per_split: int, max_splits: int) -> DataFrame:
-    """Inner join with hot keys of ``right`` spread over several tasks.
+def _hash_of(df: DataFrame) -> Column:
+    """A deterministic hash of the row, so task retries see the same salts."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields
+                        if not isinstance(f.dataType, T.MapType)])
+
+
+def _salted(left: DataFrame, right: DataFrame, keys: list[str], rows_per_split: int,
+            how: str = "inner") -> DataFrame:
+    """Join with the hot keys of ``right`` spread over several tasks.
 
-    A key is hot when it holds more than ``hot_fraction`` of the right rows
-    and more than ``rows_per_split`` rows, so there are at most
-    ``1 / hot_fraction`` hot keys: that table has a proven size bound and is
-    broadcast.  A hot key's right rows get a salt from a hash of the whole
-    row (deterministic, so task retries see the same split); its left rows
-    are repeated once per salt.  Other keys keep salt 0.
+    A key is hot when it has more than ``rows_per_split`` right rows; those
+    rows get one of ``ceil(rows / rows_per_split)`` salts from the row's hash
+    and its left rows are repeated once per salt.  Other keys keep salt 0.
+    The table of hot keys has at most rows / ``rows_per_split`` entries; the
+    join with it is left to adaptive execution, which measures it.
     """
-    # the row total is a scalar subquery of the same plan: nothing runs
-    # before the caller's action
-    total = right.agg(F.count(F.lit(1))).scalar()
-    threshold = F.greatest(F.lit(float(rows_per_split)), total * F.lit(hot_fraction))
     counts = right.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_sl_n"))
-    hot = (counts.where(F.col("_sl_n") > threshold)
+    hot = (counts.where(F.col("_sl_n") > rows_per_split)
            .select(*[col(k) for k in keys],
-                   F.least(F.lit(max_splits),
-                           F.ceil(F.col("_sl_n") / F.lit(rows_per_split))).cast("int")
-                   .alias("_sl_splits")))
-    hot = F.broadcast(hot)
-    splits = F.coalesce(F.col("_sl_splits"), F.lit(1))
-    row_hash = F.xxhash64(*[F.col(f"`{f.name}`") for f in right.schema.fields
-                            if not isinstance(f.dataType, T.MapType)])
+                   F.ceil(F.col("_sl_n") / F.lit(rows_per_split)).alias("_sl_splits")))
+    splits = F.coalesce(F.col("_sl_splits"), F.lit(1).cast("long"))
     right_s = (right.join(hot, keys, "left")
-               .withColumn("_sl_salt", F.pmod(row_hash, splits.cast("long")).cast("int"))
+               .withColumn("_sl_salt", F.pmod(_hash_of(right), splits))
                .drop("_sl_splits"))
     left_s = (left.join(hot, keys, "left")
-              .withColumn("_sl_salt", F.explode(F.sequence(F.lit(0), splits - 1)))
+              .withColumn("_sl_salt", F.explode(F.sequence(F.lit(0).cast("long"), splits - 1)))
               .drop("_sl_splits"))
-    return left_s.join(right_s, keys + ["_sl_salt"], "inner").drop("_sl_salt")
+    return left_s.join(right_s, keys + ["_sl_salt"], how).drop("_sl_salt")
+
+
+def _salted_anti(left: DataFrame, right_keys: DataFrame, keys: list[str],
+                 rows_per_split: int) -> DataFrame:
+    """Left rows without a match, with the hot keys of ``left`` spread over
+    several tasks (``right_keys`` has each key once).  Rows with a null key
+    match nothing and stay out of the shuffle."""
+    known = None
+    for k in keys:
+        c = col(k).isNotNull()
+        known = c if known is None else known & c
+    rest = left.where(known)
+    counts = rest.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_sl_n"))
+    hot = (counts.where(F.col("_sl_n") > rows_per_split)
+           .select(*[col(k) for k in keys],
+                   F.ceil(F.col("_sl_n") / F.lit(rows_per_split)).alias("_sl_splits")))
+    splits = F.coalesce(F.col("_sl_splits"), F.lit(1).cast("long"))
+    rest = (rest.join(hot, keys, "left")
+            .withColumn("_sl_salt", F.pmod(_hash_of(left), splits)).drop("_sl_splits"))
+    repeated = (right_keys.join(hot, keys, "left")
+                .withColumn("_sl_salt", F.explode(F.sequence(F.lit(0).cast("long"), splits - 1)))
+                .drop("_sl_splits"))
+    anti = rest.join(repeated, keys + ["_sl_salt"], "left_anti").drop("_sl_salt")
+    return anti.select(*left.columns).unionByName(left.where(~known))
 
 
 def left_enrich(left: DataFrame, right: DataFrame, on: str | Sequence[str],
                 drop: Iterable[str] = (), on_overlap: str = "error",
                 suffix: str = "_detail", strategy: str = "split",
-                hot_fraction: float = 0.001, rows_per_split: int = 1_000_000,
-                max_splits: int = 1024) -> DataFrame:
+                rows_per_split: int = 1_000_000) -> DataFrame:
     """``left`` LEFT JOIN ``right`` USING (``on``), after dropping ``drop``
     from ``right``.  Output columns: keys, left's others, right's others.
 
@@ -85,19 +109,24 @@ def left_enrich(left: DataFrame, right: DataFrame, on: str | Sequence[str],
     join, and the anti join sees each right key once after a map-side
     distinct, so no task holds a hot key's detail rows alone.
 
-    ``strategy="salted"`` is the split plan with the inner join salted
-    explicitly (see :func:`_salted_inner`), for clusters where adaptive skew
-    handling is off or its thresholds do not fire.  Its hot-key threshold
-    needs the detail row count, a scalar subquery inside the same plan.
+    ``strategy="salted"`` is the split plan with hot keys of either side salted
+    explicitly (see :func:`_salted` and :func:`_salted_anti`), for clusters where
+    adaptive skew handling is off or its thresholds do not fire: no task gets
+    many more than ``rows_per_split`` rows of one key.
+
+    Key names match in any case, as column names do in Spark; the output has
+    the left side's spelling.
     """
-    keys = _keys(on)
+    keys = [_spelled(left, k) for k in _keys(on)]
+    spelled = {k.lower(): k for k in keys}
+    right = right.toDF(*[spelled.get(c.lower(), c) for c in right.columns])
     right = _resolve_overlap(left, drop_if_exists(right, drop), keys, on_overlap, suffix)
     if strategy == "join":
         return left.join(right, keys, "left")
     if strategy not in ("split", "salted"):
         raise ValueError(f"strategy must be 'split', 'salted' or 'join', got {strategy!r}")
     if strategy == "salted":
-        matched = _salted_inner(left, right, keys, hot_fraction, rows_per_split, max_splits)
+        matched = _salted(left, right, keys, rows_per_split)
     else:
         matched = left.join(right, keys, "inner")
     key_cond = None
@@ -105,7 +134,10 @@ def left_enrich(left: DataFrame, right: DataFrame, on: str | Sequence[str],
         c = col(k).isNotNull()
         key_cond = c if key_cond is None else key_cond & c
     right_keys = right.select(*[col(k) for k in keys]).where(key_cond).distinct()
-    unmatched = left.join(right_keys, keys, "left_anti")
+    if strategy == "salted":
+        unmatched = _salted_anti(left, right_keys, keys, rows_per_split)
+    else:
+        unmatched = left.join(right_keys, keys, "left_anti")
     keyset = set(keys)
     right_fields = [f for f in right.schema.fields if f.name not in keyset]
     left_rest = [c for c in left.columns if c not in keyset]

@@ -231,31 +231,37 @@ def _customers(spark, sf_dir):
         F.col("c_custkey").alias("custkey"), "c_name", "c_nationkey", "c_mktsegment")
 
 
-def _p_orders(spark, sf_dir):
-    return (table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
-            .select(F.col("o_custkey").alias("custkey"), "o_orderkey", "o_totalprice",
-                    "o_orderdate", "o_orderpriority"))
+def _shifted(key, every):
+    """Every n-th key negated: both sides of an enrichment get unmatched keys
+    while all rows are read."""
+    return F.when(key % every == 0, -key).otherwise(key)
+
+
+def _order_detail(spark, sf_dir):
+    return (table(spark, sf_dir, "orders")
+            .select(_shifted(F.col("o_custkey"), 3).alias("custkey"), "o_orderkey",
+                    "o_totalprice", "o_orderdate", "o_orderpriority"))
 
 
 def q_left_enrich(spark, sf_dir):
-    return left_enrich(_customers(spark, sf_dir), _p_orders(spark, sf_dir), "custkey",
+    return left_enrich(_customers(spark, sf_dir), _order_detail(spark, sf_dir), "custkey",
                        drop=["o_orderpriority"])
 
 
 def q_left_enrich_join(spark, sf_dir):
-    return left_enrich(_customers(spark, sf_dir), _p_orders(spark, sf_dir), "custkey",
+    return left_enrich(_customers(spark, sf_dir), _order_detail(spark, sf_dir), "custkey",
                        drop=["o_orderpriority"], strategy="join")
 
 
 def q_left_enrich_salted(spark, sf_dir):
     """Salted inner join; a small split size so customers with many orders
     are actually salted at test scale."""
-    return left_enrich(_customers(spark, sf_dir), _p_orders(spark, sf_dir), "custkey",
+    return left_enrich(_customers(spark, sf_dir), _order_detail(spark, sf_dir), "custkey",
                        drop=["o_orderpriority"], strategy="salted", rows_per_split=4)
 
 
 def q_fanout_report(spark, sf_dir):
-    return fanout_report(_customers(spark, sf_dir), _p_orders(spark, sf_dir), "custkey")
+    return fanout_report(_customers(spark, sf_dir), _order_detail(spark, sf_dir), "custkey")
 
 
 def q_penalties_slice(spark, sf_dir):
@@ -506,7 +512,7 @@ def q_incremental_clean(spark, sf_dir):
     header = raw.columns
     write_csv(raw.where(low), raw_path, "append")
     run_incremental_clean(spark, raw_path, header, out, ckpt, as_of=AS_OF)
-    write_csv(raw.where(~low), raw_path, "append")
+    write_csv(raw.where(~F.coalesce(low, F.lit(False))), raw_path, "append")
     run_incremental_clean(spark, raw_path, header, out, ckpt, as_of=AS_OF)
     return spark.read.parquet(out)
 
@@ -554,9 +560,9 @@ def _provider_like(spark, sf_dir):
 
 
 def _penalty_detail(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
+    o = table(spark, sf_dir, "orders")
     return stamp(o.select(
-        F.col("o_custkey").cast("string").alias("facility_number"),
+        _shifted(F.col("o_custkey"), 3).cast("string").alias("facility_number"),
         F.col("o_orderkey").cast("string").alias("penalty_id"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("penalty_date"),
         F.col("o_orderpriority").alias("penalty_type"),
@@ -564,9 +570,9 @@ def _penalty_detail(spark, sf_dir):
 
 
 def _survey_detail(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+    o = table(spark, sf_dir, "orders")
     return stamp(o.select(
-        F.col("o_custkey").cast("string").alias("facility_number"),
+        _shifted(F.col("o_custkey"), 4).cast("string").alias("facility_number"),
         F.col("o_orderkey").cast("string").alias("survey_id"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("survey_date"),
         F.lit("name").alias("facility_name"), F.lit("zip").alias("zip_code")), "2025-01-30")

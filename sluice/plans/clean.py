@@ -7,11 +7,14 @@ CSV scan.  No shuffle: at any scale this is a map-only job.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from sluice.functions.names import plan_normalized_names, plan_renames
 from sluice.operators.columns import normalize_names, rename_map, trim_strings
 from sluice.operators.inventory import discover_domains
 from sluice.operators.stamps import add_etl_date, add_row_id
@@ -44,22 +47,41 @@ def clean_domain(spark: SparkSession, raw_root: str, staging_root: str, domain:
 
     ``align_headers="auto"`` reads optimistically in one pass with Spark's
     per-file header check; only when some file's header differs does it run
-    again with files grouped by header (the write of the failed attempt is
-    aborted by Spark and leaves nothing behind).
+    again with files grouped by header and united by cleaned name (the failed
+    attempt wrote to its run folder only, so the last good table stays).
+
+    Malformed lines are kept as text under ``error_root/_bad_lines/<domain>``
+    and the staged table has only the domain's own columns; without
+    ``error_root`` the text stays beside the row in ``_corrupt_record``.
 
     ``partition_by_date`` keeps one partition per load date: re-running a day
     replaces that day only, and readers select a day by partition pruning
     (``read_domain(..., as_of=...)``)."""
     path = table_path(raw_root, domain)
 
+    def rule(names):
+        return plan_renames(plan_normalized_names(names, on_collision), renames, on_collision)
+
+    def publish(out):
+        apart = error_root is not None and CORRUPT_COLUMN in out.columns
+        bad = None
+        if apart:
+            bad = Observation(f"sluice-bad-{uuid.uuid4().hex}")
+            out = out.observe(bad, F.count(CORRUPT_COLUMN).alias("n"))
+        path = write_domain(out.drop(CORRUPT_COLUMN) if apart else out, staging_root, domain,
+                            partition_by=["etl_date"] if partition_by_date else None)
+        if apart and bad.get["n"]:
+            lines = out.where(F.col(CORRUPT_COLUMN).isNotNull())
+            write_domain(lines.select(F.col(CORRUPT_COLUMN).alias("line"), "etl_date"), error_root, f"_bad_lines/{domain}")
+        return path
+
     def attempt(mode, reraise=None):
+        aligned = mode is True
         return gates.run_quarantined(
             spark, domain,
-            build=lambda raw: clean_frame(raw, renames, as_of, on_collision),
-            publish=lambda out: write_domain(out, staging_root, domain,
-                                             partition_by=["etl_date"] if partition_by_date else None),
-            error_root=error_root,
-            raw=lambda: read_raw(spark, path, mode, keep_corrupt, csv_options),
+            build=lambda raw: clean_frame(raw, {} if aligned else renames, as_of, on_collision),
+            publish=publish, error_root=error_root,
+            raw=lambda: read_raw(spark, path, mode, keep_corrupt, csv_options, rule if aligned else None),
             reraise=reraise)
 
     if align_headers != "auto":

@@ -51,11 +51,11 @@ _PENALTIES = """SELECT CAST(c.c_custkey AS VARCHAR) AS facility_number,
        strftime(o.o_orderdate, '%Y-%m-%d') AS penalty_date,
        o.o_orderpriority AS penalty_type,
        DATE '2025-01-31' AS etl_date
-FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderstatus = 'P'"""
+FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_custkey % 3 <> 0"""
 
 _LEFT_ENRICH = """SELECT c.c_custkey AS custkey, c.c_name, c.c_nationkey, c.c_mktsegment,
        o.o_orderkey, o.o_totalprice, o.o_orderdate
-FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderstatus = 'P'"""
+FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_custkey % 3 <> 0"""
 
 _MOVE_BASE = """(SELECT page_id, split_part(url, '/', 4) AS lang FROM pages)"""
 
@@ -173,7 +173,7 @@ WHERE d IN (SELECT event_type FROM events)""",
     "left_enrich": _LEFT_ENRICH,
     "left_enrich_join": _LEFT_ENRICH,
     "left_enrich_salted": _LEFT_ENRICH,
-    "fanout_report": """WITH m AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'P'
+    "fanout_report": """WITH m AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_custkey % 3 <> 0
            GROUP BY o_custkey)
 SELECT count(*) AS left_rows,
        CAST(sum(greatest(coalesce(m.n, 0), 1)) AS BIGINT) AS output_rows,
@@ -212,14 +212,13 @@ FROM {_MOVE_BASE} GROUP BY 1""",
        CAST(o.o_orderkey AS VARCHAR) AS survey_id,
        strftime(o.o_orderdate, '%Y-%m-%d') AS survey_date,
        DATE '2025-01-31' AS etl_date
-FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F'""",
-    "provider_fanout": """WITH m AS (SELECT o_orderstatus AS st, o_custkey, count(*) AS n FROM orders
-           WHERE o_orderstatus IN ('F', 'P') GROUP BY 1, 2),
+FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_custkey % 4 <> 0""",
+    "provider_fanout": """WITH m AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1),
 f AS (SELECT 'surveys' AS facet, coalesce(m.n, 0) AS n
-      FROM customer c LEFT JOIN m ON m.st = 'F' AND m.o_custkey = c.c_custkey
+      FROM customer c LEFT JOIN m ON m.o_custkey % 4 <> 0 AND m.o_custkey = c.c_custkey
       UNION ALL
       SELECT 'penalties' AS facet, coalesce(m.n, 0) AS n
-      FROM customer c LEFT JOIN m ON m.st = 'P' AND m.o_custkey = c.c_custkey)
+      FROM customer c LEFT JOIN m ON m.o_custkey % 3 <> 0 AND m.o_custkey = c.c_custkey)
 SELECT facet, count(*) AS left_rows, CAST(sum(greatest(n, 1)) AS BIGINT) AS output_rows,
        max(n) AS max_matches, count(CASE WHEN n > 1 THEN 1 END) AS repeated_left_rows
 FROM f GROUP BY facet""",
@@ -254,9 +253,9 @@ FROM documents""",
 UNION ALL SELECT 'staffing', count(*), 9 FROM customer
 UNION ALL SELECT 'rating', count(*), 9 FROM customer
 UNION ALL SELECT 'surveys', count(*), 9
-  FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F'
+  FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_custkey % 4 <> 0
 UNION ALL SELECT 'penalties', count(*), 13
-  FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderstatus = 'P'""",
+  FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_custkey % 3 <> 0""",
     "quality_transform": """SELECT CAST(l_orderkey AS VARCHAR) AS facility_number,
        CAST(l_linenumber AS VARCHAR) AS measure_code, p_name AS measure_description,
        p_type AS resident_type, CAST(l_linenumber AS VARCHAR) || '.5' AS q1_measure_score,

@@ -8,7 +8,8 @@ one row per file) and unites the groups by name.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,7 +89,8 @@ def _read_group(spark: SparkSession, paths: str | list[str], keep_corrupt: bool,
 
 
 def read_raw(spark: SparkSession, path: str, align_headers: bool | str = True,
-             keep_corrupt: bool = True, options: Mapping[str, str] | None = None) -> DataFrame:
+             keep_corrupt: bool = True, options: Mapping[str, str] | None = None,
+             name_rule: Callable[[list[str]], list[str]] | None = None) -> DataFrame:
     """Read a folder of headered CSV with every column as a string.
 
     ``align_headers``:
@@ -101,6 +103,9 @@ def read_raw(spark: SparkSession, path: str, align_headers: bool | str = True,
         first one as it reads and the action fails on a difference (see
         :func:`is_header_mismatch`), so the caller can retry with ``True``.
       * ``False``: Spark applies one header to all files unchecked.
+    ``name_rule`` maps a layout's column names to those by which the layouts
+    are united, so headers that clean to the same names meet in one column
+    (used with ``align_headers=True`` only).
     ``keep_corrupt``: lines with too many or too few fields keep their text
     in ``_corrupt_record`` instead of being silently cut or padded.
     """
@@ -116,16 +121,23 @@ def read_raw(spark: SparkSession, path: str, align_headers: bool | str = True,
     per_file = spark.read.parquet(table)
     layouts = (per_file.groupBy("header")
                .agg(F.min("file").alias("sample_file")).orderBy("header").collect())
+    rule = name_rule or list
+
+    def named(frame: DataFrame) -> DataFrame:
+        names = iter(rule([c for c in frame.columns if c != CORRUPT_COLUMN]))
+        return frame.toDF(*[c if c == CORRUPT_COLUMN else next(names) for c in frame.columns])
+
     if len(layouts) <= 1:
-        return _read_group(spark, path, keep_corrupt, opts)
+        return named(_read_group(spark, path, keep_corrupt, opts))
     frames = []
     for layout in layouts:  # one entry per distinct header line
-        names = _reader(spark, opts).csv(layout["sample_file"]).schema
+        # the metadata column percent-encodes paths, the reader takes them plain
+        names = _reader(spark, opts).csv(unquote(layout["sample_file"])).schema
         files = per_file.where(F.col("header") == layout["header"]).select(
             F.col("file").alias("_sl_file"))
         data = _read_group(spark, path, keep_corrupt, opts, names=names).withColumn(
             "_sl_file", F.col("_metadata.file_path"))
-        frames.append(data.join(files, "_sl_file", "left_semi").drop("_sl_file"))
+        frames.append(named(data.join(files, "_sl_file", "left_semi").drop("_sl_file")))
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame, allowMissingColumns=True)

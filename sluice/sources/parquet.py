@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.stamps import add_etl_date, add_row_id
+from sluice.session import file_system, remove_path
 
 
 def table_path(root: str, name: str) -> str:
@@ -30,15 +33,54 @@ def read_domain(spark: SparkSession, root: str, domain: str,
 def write_domain(df: DataFrame, root: str, name: str, mode: str = "overwrite",
                  partition_by: list[str] | None = None) -> str:
     """Replace (or append to) a table; returns its path.  Partitioned
-    overwrites replace only the partitions written (history is kept)."""
+    overwrites replace only the partitions written (history is kept).
+
+    A replacement is written to a run folder beside the table and takes its
+    place only after the write has succeeded, so a failed run leaves the last
+    good table as it is.  (Partitioned overwrites and appends are staged by
+    Spark's own commit in the same way.)"""
     path = table_path(root, name)
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    if partition_by or mode != "overwrite":
+        writer = df.write.mode(mode)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        writer.parquet(path)
+        return path
+    run = f"{root.rstrip('/')}/_runs/{name}-{uuid.uuid4().hex[:12]}"
+    try:
+        df.write.parquet(f"{run}/new")
+        publish_folder(df.sparkSession, f"{run}/new", path, f"{run}/old")
+    finally:
+        remove_path(df.sparkSession, run)
+        _remove_if_empty(df.sparkSession, f"{root.rstrip('/')}/_runs")
     return path
 
 
+def publish_folder(spark: SparkSession, new: str, path: str, aside: str) -> None:
+    """Put a finished folder in the place of a table; the old one is moved
+    aside first and comes back if the new one cannot be moved in."""
+    fs, new_path = file_system(spark, new)
+    _, target = file_system(spark, path)
+    _, old = file_system(spark, aside)
+    had = fs.exists(target)
+    fs.mkdirs(target.getParent())
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new_path, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"cannot publish {path}")
+
+
+def _remove_if_empty(spark: SparkSession, path: str) -> None:
+    fs, where = file_system(spark, path)
+    try:
+        if fs.exists(where) and len(fs.listStatus(where)) == 0:
+            fs.delete(where, False)
+    except Py4JJavaError:       # another job has just put its run folder there, or removed this one
+        pass
+
+
 def stamp(df: DataFrame, as_of: dt.date | str | None = None, row_id: bool = True) -> DataFrame:
     """Row id and load date; stamps carried over from staging are replaced
     in place (and so pruned from the scan)."""

@@ -1,6 +1,7 @@
 """Plan shape: no Python in any plan, pruned scans, pushed filters."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF0001
@@ -31,9 +32,40 @@ def test_filter_pushed_below_stamps(spark):
     assert "PushedFilters: [IsNotNull(c_nationkey), EqualTo(c_nationkey,3)]" in plan_text(df)
 
 
-def test_detail_filter_pushed_in_enrich(spark):
+def test_detail_scan_is_pruned_in_enrich(spark):
     text = plan_text(E.queries()["left_enrich"](spark, SF0001))
-    assert "EqualTo(o_orderstatus,P)" in text
+    scans = [line for line in text.splitlines() if "ReadSchema" in line and "o_orderkey" in line]
+    assert scans and all("o_orderpriority" not in line and "o_orderstatus" not in line for line in scans)
+
+
+def test_key_just_above_the_split_size_is_split(spark):
+    """In a detail table of any size: no share of the rows is needed to be hot."""
+    from sluice.operators.enrich import left_enrich
+    left = spark.range(0, 5000).selectExpr("id AS k")
+    right = spark.range(0, 50000).selectExpr("CASE WHEN id < 21 THEN 7 ELSE id % 5000 + 10000 END AS k", "id AS y")
+    out = left_enrich(left, right, "k", strategy="salted", rows_per_split=20)
+    assert out.where("k = 7").count() == 21 and out.count() == 5020
+    from sluice.operators import enrich
+    salted = enrich._salted(left, right.withColumn("part", F.spark_partition_id()), ["k"], 20)
+    assert "Generate explode" in plan_text(salted) and salted.count() == 21
+
+
+def test_hot_facet_keys_without_match_are_spread(spark):
+    from sluice.operators.enrich import left_enrich
+    left = spark.range(0, 900).selectExpr("CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 5 ELSE id END AS k", "id AS x")
+    right = spark.createDataFrame([(8, 1), (8, 2), (11, 3)], "k long, y int")
+    got = sorted(map(tuple, left_enrich(left, right, "k", strategy="salted", rows_per_split=50).collect()), key=str)
+    assert got == sorted(map(tuple, left_enrich(left, right, "k", strategy="join").collect()), key=str)
+
+
+@pytest.mark.parametrize("strategy", ["split", "salted", "join"])
+def test_keys_match_in_any_case(spark, strategy):
+    from sluice.operators.enrich import left_enrich
+    left = spark.createDataFrame([("a", 1), ("b", 2)], "Facility_Number string, x int")
+    right = spark.createDataFrame([("a", 10)], "FACILITY_NUMBER string, y int")
+    out = left_enrich(left, right, "facility_number", strategy=strategy)
+    assert [c.lower() for c in out.columns] == ["facility_number", "x", "y"]
+    assert sorted(map(tuple, out.collect())) == [("a", 1, 10), ("b", 2, None)]
 
 
 SKEW_CONFS = {"spark.sql.autoBroadcastJoinThreshold": "-1",
