@@ -14,6 +14,7 @@ scheduler can stop the chain.
 from __future__ import annotations
 
 import argparse
+import json
 import os
 import sys
 
@@ -67,6 +68,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--processed", required=True)
     p.add_argument("--error", required=True)
     p.add_argument("--tracked", type=_csv, required=True)
+    p.add_argument("--failed", type=_csv, default=[], help="domains whose cleaning failed: their files go to the error root")
     p.add_argument("--out", help="write the plan as Parquet here")
 
     p = sub.add_parser("run", help="all stages in order")
@@ -76,16 +78,23 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--strict", action="store_true")
     p.add_argument("--listing", help="JSON-lines file listing: id, name, mimeType, modifiedTime")
     p.add_argument("--manifest", help="manifest folder (JSON lines, append-only)")
-    p.add_argument("--dry-run", action="store_true", help="plan the ingest, leave the manifest")
+    p.add_argument("--routes", help="JSON file with a list of [pattern, target folder], first match wins")
+    p.add_argument("--default-route", help="target folder of files that no route matches")
+    p.add_argument("--folder", help="only listed files under this parent folder id")
+    p.add_argument("--detect-changes", action="store_true", help="land a file again when its modifiedTime changed")
+    p.add_argument("--landing-root", help="what manifest keys are relative to (default: the parent of --raw)")
+    p.add_argument("--dry-run", action="store_true", help="plan only: write nothing")
 
     args = parser.parse_args(argv)
     spark = _session()
+    from sluice.plans import gates
 
     if args.cmd == "clean":
         from sluice.plans.clean import clean_all
         status = clean_all(spark, args.source, args.staging, args.error, args.domains,
                            as_of=args.as_of, strict=args.strict)
         status.show(truncate=False)
+        return int(gates.any_failed(status))
     elif args.cmd == "transform":
         from sluice.plans.transform import run_transform
         kwargs = {"as_of": args.as_of}
@@ -97,7 +106,6 @@ def main(argv: list[str] | None = None) -> int:
             return 1
     elif args.cmd == "validate":
         from sluice.operators.inventory import require_present
-        from sluice.plans import gates
         from sluice.plans.chain import staged_inventory
         require_present(args.required, staged_inventory(spark, args.staging, args.min_rows))
         if args.as_of:
@@ -109,7 +117,7 @@ def main(argv: list[str] | None = None) -> int:
         from sluice.operators.inventory import move_plan
         from sluice.sources.files import list_files
         plan = move_plan(list_files(spark, args.source).where("NOT hidden"), args.tracked,
-                         args.source, args.processed, args.error)
+                         args.source, args.processed, args.error, failed=args.failed or None)
         if args.out:
             plan.write.mode("overwrite").parquet(args.out)
         plan.groupBy("status").count().show()
@@ -117,16 +125,24 @@ def main(argv: list[str] | None = None) -> int:
         from sluice.plans.chain import RunConfig, run
         listing = None
         if args.listing:
-            listing = spark.read.schema(
-                "id string, name string, mimeType string, modifiedTime string").json(args.listing)
+            listing = spark.read.schema("id string, name string, mimeType string, modifiedTime string, "
+                                        "parents array<string>").json(args.listing)
+        more = {}
+        if args.routes:
+            routes = spark.read.text(args.routes, wholetext=True).first()["value"]
+            more["routes"] = [tuple(r) for r in json.loads(routes)]
+        if args.default_route:
+            more["default_route"] = args.default_route
         res = run(spark, RunConfig(raw_root=args.raw, staging_root=args.staging,
                                    transform_root=args.transform, error_root=args.error,
                                    processed_root=args.processed, as_of=args.as_of,
                                    strict=args.strict, listing=listing,
-                                   manifest_path=args.manifest, dry_run=args.dry_run))
+                                   manifest_path=args.manifest, dry_run=args.dry_run, folder=args.folder,
+                                   detect_changes=args.detect_changes, landing_root=args.landing_root, **more))
         if res.ingest is not None:
             res.ingest.show(truncate=False)
-        res.clean_status.show(truncate=False)
+        res.stages.show(1000, truncate=False)
+        return int(gates.any_failed(res.stages))
     return 0
 
 

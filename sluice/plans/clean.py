@@ -14,7 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.names import plan_normalized_names, plan_renames
+from sluice.functions.names import NameCollisionError, plan_normalized_names, plan_renames
 from sluice.operators.columns import normalize_names, rename_map, trim_strings
 from sluice.operators.inventory import discover_domains
 from sluice.operators.stamps import add_etl_date, add_row_id
@@ -50,7 +50,7 @@ def clean_domain(spark: SparkSession, raw_root: str, staging_root: str, domain:
     again with files grouped by header and united by cleaned name (the failed
     attempt wrote to its run folder only, so the last good table stays).
 
-    Malformed lines are kept as text under ``error_root/_bad_lines/<domain>``
+    Malformed lines are kept with what was parsed of them under ``error_root/_bad_lines/<domain>``
     and the staged table has only the domain's own columns; without
     ``error_root`` the text stays beside the row in ``_corrupt_record``.
 
@@ -72,24 +72,36 @@ def clean_domain(spark: SparkSession, raw_root: str, staging_root: str, domain:
                             partition_by=["etl_date"] if partition_by_date else None)
         if apart and bad.get["n"]:
             lines = out.where(F.col(CORRUPT_COLUMN).isNotNull())
-            write_domain(lines.select(F.col(CORRUPT_COLUMN).alias("line"), "etl_date"), error_root, f"_bad_lines/{domain}")
+            write_domain(lines.withColumnRenamed(CORRUPT_COLUMN, "line"), error_root, f"_bad_lines/{domain}")
         return path
 
     def attempt(mode, reraise=None):
-        aligned = mode is True
+        named = [mode is True]  # whether the columns have their final names as they are read
+
+        def raw():
+            try:
+                return read_raw(spark, path, mode, keep_corrupt, csv_options, rule if named[0] else None)
+            except NameCollisionError:
+                # read under the files' own names: building fails on the collision, and
+                # the quarantine gets the rows
+                named[0] = False
+                return read_raw(spark, path, mode, keep_corrupt, csv_options)
+
         return gates.run_quarantined(
             spark, domain,
-            build=lambda raw: clean_frame(raw, {} if aligned else renames, as_of, on_collision),
-            publish=publish, error_root=error_root,
-            raw=lambda: read_raw(spark, path, mode, keep_corrupt, csv_options, rule if aligned else None),
-            reraise=reraise)
+            build=lambda df: clean_frame(df, {} if named[0] else renames, as_of, on_collision),
+            publish=publish, error_root=error_root, raw=raw, reraise=reraise)
 
     if align_headers != "auto":
         return attempt(align_headers)
+    def other_layout(exc):
+        # a collision may come from one file's header alone: align, then judge
+        return is_header_mismatch(exc) or isinstance(exc, NameCollisionError)
+
     try:
-        return attempt("check", reraise=is_header_mismatch)
+        return attempt("check", reraise=other_layout)
     except Exception as exc:  # noqa: BLE001 - only header drift comes back here
-        if not is_header_mismatch(exc):
+        if not other_layout(exc):
             raise
         return attempt(True)
 

@@ -7,7 +7,7 @@ domains, and ``strict`` raises once all have run.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -97,6 +97,16 @@ def status_frame(spark: SparkSession, statuses: Iterable[Status]) -> DataFrame:
     return spark.createDataFrame([s.as_tuple() for s in statuses], STATUS_SCHEMA)
 
 
+def stage_frame(spark: SparkSession, stages: Mapping[str, Iterable[Status]]) -> DataFrame:
+    """Status table of a whole run: one row per stage and table."""
+    rows = [(stage, *s.as_tuple()) for stage, statuses in stages.items() for s in statuses]
+    return spark.createDataFrame(rows, T.StructType([T.StructField("stage", T.StringType()), *STATUS_SCHEMA.fields]))
+
+
+def any_failed(status: DataFrame) -> bool:
+    return not status.where(F.col("status").isin(QUARANTINED, FAILED)).isEmpty()
+
+
 def check_strict(statuses: Iterable[Status]) -> None:
     bad = [s for s in statuses if s.status in (QUARANTINED, FAILED)]
     if bad:

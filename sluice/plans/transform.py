@@ -20,9 +20,10 @@ from sluice.plans import gates
 from sluice.plans.presets import (DROP_LIST_A, FACILITY_COLUMNS, FACILITY_SCHEMA, KEY,
                                   PENALTY_COLUMNS, QUALITY_COLUMNS, QUALITY_SCHEMA,
                                   RATING_KEYWORDS, STAFFING_KEYWORDS, SURVEY_KEYWORDS)
+from sluice.sources.csv import CORRUPT_COLUMN
 from sluice.sources.parquet import read_domain, stamp, write_domain, write_facets
 
-STAMP_COLUMNS = ("row_id", "etl_date")
+STAMP_COLUMNS = ("row_id", "etl_date", CORRUPT_COLUMN)
 
 
 def provider_facets(provider: DataFrame, survey_summary: DataFrame, penalties: DataFrame,
@@ -40,6 +41,7 @@ def provider_facets(provider: DataFrame, survey_summary: DataFrame, penalties: D
     written.  Detail tables lose ``drop`` and their own stamps before the
     join, so the key is the only shared name.
     """
+    provider = drop_if_exists(provider, [CORRUPT_COLUMN])
     base = cast_schema(provider, schema) if schema is not None else provider
     detail_drop = list(drop) + list(STAMP_COLUMNS)
     surveys = drop_if_exists(select_keywords(base, survey_keywords), drop)
@@ -91,6 +93,7 @@ def quality_frame(df: DataFrame, typed: bool = False, drop: Sequence[str] = DROP
                   as_of: dt.date | str | None = None) -> DataFrame:
     """Projected variant: drop list, fixed 18 columns, stamps.
     Typed variant: every column kept, schema casts, stamps."""
+    df = drop_if_exists(df, [CORRUPT_COLUMN])
     out = cast_schema(df, schema) if typed else select_fixed(drop_if_exists(df, drop), columns)
     return stamp(out, as_of)
 

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from sluice.functions.paths import first_folder_expr, relative_path_expr
 
 
+#: Planned splits of a listing that one task takes (a large file is a split).
+SPLITS_PER_TASK = 1000
+
+
 def inventory_from_paths(paths: DataFrame, root: str, path_col: str = "path") -> DataFrame:
     """Add ``rel_path``, ``domain`` (first folder below root, null for files
     at the root), ``file_name`` and ``hidden`` (name starts with '_' or '.')."""
@@ -36,5 +40,8 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
         raw = spark.createDataFrame([], "path string, modificationTime timestamp, length long")
-    paths = raw.select("path", F.col("modificationTime").alias("modification_time"), "length")
+    # splits are packed by file length although no file is opened: far fewer
+    # tasks do, and coalescing them moves no rows
+    tasks = max(1, raw.rdd.getNumPartitions() // SPLITS_PER_TASK)
+    paths = raw.select("path", F.col("modificationTime").alias("modification_time"), "length").coalesce(tasks)
     return inventory_from_paths(paths, root)

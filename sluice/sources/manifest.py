@@ -12,10 +12,14 @@ import datetime as dt
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.operators.columns import col
 from sluice.plans.presets import MANIFEST_SCHEMA
 
+#: Optional fifth field of a record.
+MODIFIED_FIELD = T.StructField("modified_time", T.StringType())
+
 # Fixed value: manifest stamps are UTC ISO-8601 text with microseconds and 'Z'.
 ISO_UTC_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
@@ -24,13 +28,16 @@ def empty_manifest(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], MANIFEST_SCHEMA)
 
 
-def read_manifest(spark: SparkSession, path: str, legacy_array: bool = False) -> DataFrame:
-    """Manifest records; an absent manifest is empty."""
+def read_manifest(spark: SparkSession, path: str, legacy_array: bool = False,
+                  modified: bool = False) -> DataFrame:
+    """Manifest records; an absent manifest is empty.  ``modified`` adds the
+    listed modified time (null in records that were written without it)."""
+    schema = T.StructType(MANIFEST_SCHEMA.fields + ([MODIFIED_FIELD] if modified else []))
     try:
-        return spark.read.schema(MANIFEST_SCHEMA).json(path, multiLine=legacy_array)
+        return spark.read.schema(schema).json(path, multiLine=legacy_array)
     except AnalysisException as exc:
         if exc.getCondition() == "PATH_NOT_FOUND":
-            return empty_manifest(spark)
+            return spark.createDataFrame([], schema)
         raise
 
 
@@ -41,18 +48,21 @@ def iso_stamp(at: dt.datetime | str | None = None) -> Column:
 
 
 def manifest_entries(files: DataFrame, id_col: str, name_col: str, path_col: str,
-                     synced_at: Column) -> DataFrame:
-    """Manifest records for landed files: key = target folder + name."""
+                     synced_at: Column, modified_col: str | None = None) -> DataFrame:
+    """Manifest records for landed files: key = target folder + name; with
+    ``modified_col`` also the listed modified time, for change detection."""
+    changed = [col(modified_col).cast("string").alias(MODIFIED_FIELD.name)] if modified_col else []
     return files.select(
         col(id_col).cast("string").alias("file_id"),
         col(name_col).alias("file_name"),
         F.concat(col(path_col), col(name_col)).alias("s3_key"),
-        synced_at.alias("synced_at"))
+        synced_at.alias("synced_at"), *changed)
 
 
 def append_manifest(existing: DataFrame, new_entries: DataFrame) -> DataFrame:
     """The manifest after a run: existing records then the new ones."""
-    return existing.unionByName(new_entries.select(*MANIFEST_SCHEMA.fieldNames()))
+    names = [*MANIFEST_SCHEMA.fieldNames(), *([MODIFIED_FIELD.name] if MODIFIED_FIELD.name in existing.columns else [])]
+    return existing.unionByName(new_entries.select(*[c for c in new_entries.columns if c in names]), allowMissingColumns=True)
 
 
 def write_manifest_entries(new_entries: DataFrame, path: str) -> None:

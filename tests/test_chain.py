@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from conftest import write_text
 from sluice.plans import gates
 from sluice.plans.chain import RunConfig, run
-from sluice.plans.clean import clean_all, clean_frame
+from sluice.plans.clean import clean_all, clean_domain, clean_frame
 from sluice.plans.transform import quality_transform, run_transform
-from sluice.sources.parquet import read_domain
+from sluice.sources.parquet import read_domain, write_domain
 
 PROVIDER = ("CMS Certification Number (CCN),Provider Name,Provider Address,City/Town,State,ZIP Code,"
             "Telephone Number,Provider SSA County Code,County/Parish,Ownership Type,"
@@ -149,8 +149,11 @@ def test_freshness_gate_d9(spark, tmp_root):
 def test_cli_stages(spark, roots):
     from sluice import cli
     raw, stg, err = roots + "/raw", roots + "/staging", roots + "/error"
+    # one domain is quarantined: the command says so
     assert cli.main(["clean", "--source", raw, "--staging", stg, "--error", err,
-                     "--as-of", "2025-01-31"]) == 0
+                     "--as-of", "2025-01-31"]) == 1
+    assert cli.main(["clean", "--source", raw, "--staging", stg, "--error", err,
+                     "--as-of", "2025-01-31", "--domains", "provider_info,penalties"]) == 0
     assert cli.main(["validate", "--staging", stg, "--required", "provider_info,penalties",
                      "--as-of", "2025-01-31"]) == 0
     with pytest.raises(Exception):
@@ -160,6 +163,9 @@ def test_cli_stages(spark, roots):
     assert cli.main(["moves", "--source", raw, "--processed", roots + "/p", "--error", err,
                      "--tracked", "provider_info", "--out", roots + "/plan"]) == 0
     assert spark.read.parquet(roots + "/plan").count() == 6
+    cli.main(["moves", "--source", raw, "--processed", roots + "/p", "--error", err, "--tracked",
+              "provider_info", "--failed", "provider_info", "--out", roots + "/plan"])
+    assert spark.read.parquet(roots + "/plan").where("status = 'processed'").count() == 0   # D7
 
 
 def test_run_with_ingest_stage_d24(spark, roots):
@@ -175,10 +181,105 @@ def test_run_with_ingest_stage_d24(spark, roots):
     assert res.ingest.count() == 2
     from sluice.sources.manifest import read_manifest
     assert read_manifest(spark, roots + "/manifest").count() == 0       # dry run
+    from sluice.sources.files import list_files
+    assert list_files(spark, roots + "/staging").count() == 0            # nothing written at all
     cfg.dry_run = False
     assert run(spark, cfg).ingest.count() == 2
-    assert read_manifest(spark, roots + "/manifest").count() == 2
-    assert run(spark, cfg).ingest.count() == 0                           # second run: nothing new
+    assert read_manifest(spark, roots + "/manifest").count() == 0       # neither file has landed
+    write_text(roots.replace("file:", "") + "/raw/penalties", "NH_Penalties_Jan.csv", "a\n1\n")
+    assert run(spark, cfg).ingest.count() == 2
+    assert [r.file_id for r in read_manifest(spark, roots + "/manifest").collect()] == ["f2"]
+    assert [r.file_id for r in run(spark, cfg).ingest.collect()] == ["f1"]   # planned until it lands
+
+
+def test_detect_changes_d20_and_routes(spark, roots):
+    from sluice.sources.manifest import read_manifest
+    listing = spark.createDataFrame(
+        [("f1", "Pen.csv", "text/csv", "2025-01-01", ["up"]), ("f2", "x.csv", "text/csv", "2025-01-01", ["other"])],
+        "id string, name string, mimeType string, modifiedTime string, parents array<string>")
+    cfg = RunConfig(raw_root=roots + "/raw", staging_root=roots + "/staging",
+                    transform_root=roots + "/transform", error_root=roots + "/error",
+                    processed_root=roots + "/processed", as_of="2025-01-31", listing=listing,
+                    manifest_path=roots + "/manifest", detect_changes=True, folder="up",
+                    routes=[("pen", "raw/penalties/")])
+    write_text(roots.replace("file:", "") + "/raw/penalties", "Pen.csv", "a\n1\n")
+    assert [r.s3_key for r in run(spark, cfg).ingest.collect()] == ["raw/penalties/Pen.csv"]
+    assert run(spark, cfg).ingest.count() == 0
+    cfg.listing = listing.withColumn("modifiedTime", F.lit("2025-02-01"))
+    assert run(spark, cfg).ingest.count() == 1
+    assert read_manifest(spark, roots + "/manifest", modified=True).where("modified_time = '2025-02-01'").count() == 1
+
+
+def test_failed_clean_keeps_the_last_good_table(spark, tmp_root):
+    raw = tmp_root.replace("file:", "") + "/raw/dom"
+    write_text(raw, "a.csv", "Zip Code,x\n1,2\n3,4\n")
+    args = (spark, tmp_root + "/raw", tmp_root + "/staging", "dom", tmp_root + "/error")
+    assert clean_domain(*args).status == gates.OK
+    write_text(raw, "b.csv", "Zip Code,zip-code\n5,6\n")              # collides within one file
+    assert clean_domain(*args).status == gates.QUARANTINED
+    assert read_domain(spark, tmp_root + "/staging", "dom").count() == 2
+    from sluice.sources.files import list_files
+    assert list_files(spark, tmp_root + "/staging").where("domain <> 'dom'").count() == 0
+
+
+def test_failed_transform_keeps_the_last_good_table(spark, roots):
+    clean_all(spark, roots + "/raw", roots + "/staging", roots + "/error")
+    assert quality_transform(spark, roots + "/staging", roots + "/t", roots + "/error").status == gates.OK
+    bad = spark.range(3).selectExpr("raise_error('late') AS facility_number")
+    st = gates.run_quarantined(spark, "qualitymsr_mds", build=lambda raw: bad,
+                               publish=lambda out: write_domain(out, roots + "/t", "qualitymsr_mds"),
+                               error_root=None, raw=lambda: spark.range(1))
+    assert st.status == gates.FAILED and read_domain(spark, roots + "/t", "qualitymsr_mds").count() == 1
+
+
+def test_layouts_meet_by_cleaned_name_in_paths_with_spaces(spark, tmp_root):
+    raw = tmp_root.replace("file:", "") + "/raw/do m"
+    write_text(raw, "NH Jan.csv", "Zip Code,x\n1,2\n")
+    write_text(raw, "NH Feb.csv", "x,Zip-Code,extra\n3,4,5\n")
+    st = clean_domain(spark, tmp_root + "/raw", tmp_root + "/staging", "do m", tmp_root + "/error")
+    assert st.status == gates.OK, st
+    got = read_domain(spark, tmp_root + "/staging", "do m").select("zip_code", "x", "extra").collect()
+    assert sorted(map(tuple, got), key=str) == [("1", "2", None), ("4", "3", "5")]
+
+
+def test_bad_lines_are_kept_apart(spark, tmp_root):
+    raw = tmp_root.replace("file:", "") + "/raw/dom"
+    write_text(raw, "a.csv", "k,v\n1,x\n2,y,EXTRA\n3\n")
+    st = clean_domain(spark, tmp_root + "/raw", tmp_root + "/staging", "dom", tmp_root + "/error")
+    staged = read_domain(spark, tmp_root + "/staging", "dom")
+    assert st.status == gates.OK and "_corrupt_record" not in staged.columns and staged.count() == 3
+    lines = spark.read.parquet(tmp_root + "/error/_bad_lines/dom")
+    assert {r.line for r in lines.collect()} == {"2,y,EXTRA", "3"}
+
+
+def test_strict_sees_transform_failures(spark, roots):
+    cfg = RunConfig(raw_root=roots + "/raw", staging_root=roots + "/staging",
+                    transform_root=roots + "/transform", error_root=roots + "/error",
+                    processed_root=roots + "/processed", as_of="2025-01-31")
+    stages = {(r.stage, r.domain): r.status for r in run(spark, cfg).stages.collect()}
+    assert stages["clean", "unknown"] == gates.QUARANTINED and stages["provider", "facility"] == gates.OK
+    cfg.strict = True
+    with pytest.raises(gates.DomainFailedError):
+        run(spark, cfg)
+
+
+def test_dated_staging_without_as_of_reads_one_load(spark, roots):
+    cfg = RunConfig(raw_root=roots + "/raw", staging_root=roots + "/staging",
+                    transform_root=roots + "/transform", error_root=roots + "/error",
+                    processed_root=roots + "/processed", as_of="2025-01-30", partition_by_date=True)
+    run(spark, cfg)
+    cfg.as_of = None
+    run(spark, cfg)
+    assert read_domain(spark, roots + "/transform", "facility").count() == 3
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from sluice.session import ScratchFolderError, require_local
+    for master in ("local", "local[4]", "local[*]", "local[2,3]"):
+        require_local(master)
+    for master in ("yarn", "spark://h:7077", "k8s://h", "local-cluster[2,1,1024]"):
+        with pytest.raises(ScratchFolderError):
+            require_local(master)
 
 
 def test_reclean_same_apart_from_stamps(spark, roots):
@@ -234,7 +335,8 @@ def test_cli_run_with_listing_dry_run(spark, roots):
             "--listing", listing, "--manifest", roots + "/manifest", "--dry-run"]
     assert cli.main(args) == 0
     assert read_manifest(spark, roots + "/manifest").count() == 0
-    assert cli.main(args[:-1]) == 0
+    write_text(roots.replace("file:", "") + "/raw/penalties", "NH_Penalties_X.csv", "a\n1\n")
+    assert cli.main(args[:-1]) == 1                                       # a domain is quarantined
     assert [r.s3_key for r in read_manifest(spark, roots + "/manifest").collect()] == [
         "raw/penalties/NH_Penalties_X.csv"]
 
