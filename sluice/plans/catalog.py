@@ -29,7 +29,8 @@ from sluice.operators.inventory import (count_by_domain, discover_domains, filte
                                         with_route)
 from sluice.operators.stamps import add_etl_date, add_row_id
 from sluice.plans import gates
-from sluice.plans.clean import clean_domain
+from sluice.plans.chain import landed
+from sluice.plans.clean import clean_all, clean_domain
 from sluice.plans.ingest import ingest_plan, next_manifest
 from sluice.plans.presets import (CSV_MIME, DROP_LIST_A, EXPORT_MIMES, FACILITY_COLUMNS,
                                   FACILITY_SCHEMA, LISTED_MIMES, PENALTY_COLUMNS,
@@ -232,9 +233,9 @@ def _customers(spark, sf_dir):
 
 
 def _shifted(key, every):
-    """Every n-th key negated: both sides of an enrichment get unmatched keys
+    """Every n-th key made negative: both sides of an enrichment get unmatched keys
     while all rows are read."""
-    return F.when(key % every == 0, -key).otherwise(key)
+    return F.when(key % every == 0, -key - 1).otherwise(key)
 
 
 def _order_detail(spark, sf_dir):
@@ -640,7 +641,63 @@ def q_quality_transform_typed(spark, sf_dir):
     return read_domain(spark, transform, "qualitymsr_mds").drop("row_id")
 
 
+# ---------------------------------------------------------------- runs
+
+
+def q_publish_on_failure(spark, sf_dir):
+    """A good load, then one that fails while it is written: the first load's
+    rows are still there."""
+    staging = scratch_path(spark, "staging")
+    good = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    write_domain(good, staging, "customers")
+    late = good.withColumn("c_name", F.when(F.col("c_custkey") >= 0, F.raise_error(F.lit("late")))
+                           .otherwise(F.col("c_name")))
+    status = gates.run_quarantined(
+        spark, "customers", build=lambda raw: late,
+        publish=lambda out: write_domain(out, staging, "customers"), error_root=None,
+        raw=lambda: good)
+    return read_domain(spark, staging, "customers").withColumn("last_load", F.lit(status.status))
+
+
+def q_run_status(spark, sf_dir):
+    """One status row per stage and table of a run in which one domain cannot
+    be cleaned (two of its headers clean to one name)."""
+    raw, staging, error = (scratch_path(spark, n) for n in ("raw", "staging", "error"))
+    write_csv(_raw_customers(spark, sf_dir), f"{raw}/customers")
+    n = table(spark, sf_dir, "nation")
+    write_csv(n.select(F.col("n_nationkey").alias("Nation Key"), F.col("n_name").alias("Nation-Key")), f"{raw}/nations")
+    cleaned = clean_all(spark, raw, staging, error, as_of=AS_OF)
+    rows = [gates.Status(*r) for r in cleaned.orderBy("domain").collect()]
+    return gates.stage_frame(spark, {"clean": rows})
+
+
+def q_ingest_changed(spark, sf_dir):
+    """Change detection: of the listed documents every label knows an older
+    modified time of those with even ids, so they are landed again."""
+    listing = _doc_listing(spark, sf_dir).withColumn("modifiedTime", F.lit("2025-02-01"))
+    seen = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").cast("string").alias("id"), F.concat(F.lit("doc_"), F.col("doc_id")).alias("name"),
+        F.lit("raw/other/").alias("folder"),
+        F.when(F.col("doc_id") % 2 == 0, "2025-01-01").otherwise("2025-02-01").alias("modifiedTime"))
+    path = scratch_path(spark, "manifest")
+    manifest_entries(seen, "id", "name", "folder", F.lit(OLD_SYNCED_AT_TEXT), "modifiedTime").write.json(path)
+    plan = ingest_plan(listing, read_manifest(spark, path, modified=True), modified_col="modifiedTime")
+    return plan.select("file_id", "modified_time")
+
+
+def q_manifest_landed_only(spark, sf_dir):
+    """Of the planned files those whose ids end in 0 have landed: only they
+    are recorded."""
+    plan = ingest_plan(_doc_listing(spark, sf_dir), _labels_manifest(spark, sf_dir))
+    there = plan.where(F.col("file_id").endswith("0")).select(F.concat(F.lit("s3a://landing/"), F.col("s3_key")).alias("path"))
+    return landed(plan, there, "s3a://landing").select("file_id", "file_name")
+
+
 QUERIES: dict[str, Query] = {
+    "publish_on_failure": q_publish_on_failure,
+    "run_status": q_run_status,
+    "ingest_changed": q_ingest_changed,
+    "manifest_landed_only": q_manifest_landed_only,
     "csv_scan": q_csv_scan,
     "parquet_scan": q_parquet_scan,
     "parquet_overwrite": q_parquet_overwrite,

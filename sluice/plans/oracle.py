@@ -270,4 +270,15 @@ UNION ALL SELECT 'penalties', count(*), 13
        strftime(l_shipdate, '%Y-%m-%d') AS processing_date, DATE '2025-01-31' AS etl_date
 FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "ingest_plan": f"WITH {_LISTING}\n{_NEW_MANIFEST}",
+    "publish_on_failure": "SELECT c_custkey, c_name, 'failed' AS last_load FROM customer",
+    "run_status": """SELECT 'clean' AS stage, 'customers' AS domain, 'ok' AS status, CAST(NULL AS VARCHAR) AS reason, count(*) AS rows FROM customer
+UNION ALL SELECT 'clean', 'nations', 'quarantined', 'NameCollisionError', count(*) FROM nation""",
+    "ingest_changed": f"""WITH {_LISTING}
+SELECT l.id AS file_id, '2025-02-01' AS modified_time FROM listing l
+WHERE l.mimeType IN ('text/csv', 'application/vnd.google-apps.spreadsheet')
+  AND NOT EXISTS (SELECT 1 FROM labels b WHERE CAST(b.doc_id AS VARCHAR) = l.id AND b.doc_id % 2 = 1)""",
+    "manifest_landed_only": f"""WITH {_LISTING}
+SELECT l.id AS file_id, CASE WHEN l.mimeType = 'text/csv' THEN l.name ELSE l.name || '.csv' END AS file_name FROM listing l
+WHERE l.mimeType IN ('text/csv', 'application/vnd.google-apps.spreadsheet') AND l.id LIKE '%0'
+  AND NOT EXISTS (SELECT 1 FROM labels b WHERE CAST(b.doc_id AS VARCHAR) = l.id)""",
 }
