@@ -79,7 +79,7 @@ def banded_distance(a: Column, b: Column, m: Column, edits: int) -> Column:
     full = (1 << width) - 1
     long = lambda x: F.lit(x).cast("long")
 
-    def step(s: Column, j: Column) -> Column:
+    def column(s: Column, j: Column) -> Column:
         here = F.get(b, j - 1)
         bits = [F.when(F.get(a, j - edits + d - 1) == here, 1 << d).otherwise(0) for d in range(width)]
         equal = bits[0]
@@ -104,24 +104,31 @@ def banded_distance(a: Column, b: Column, m: Column, edits: int) -> Column:
 
     start = F.struct(long((full << edits) & full).alias("vp"), long(0).alias("vn"), F.least(F.lit(edits), m).cast("int").alias("dist"))
     columns = F.when(F.size(b) > 0, F.sequence(F.lit(1), F.size(b))).otherwise(F.array().cast("array<int>"))
-    return F.when(F.size(b) == 0, m).otherwise(F.aggregate(columns, start, step, lambda s: s["dist"]))
+    return F.when(F.size(b) == 0, m).otherwise(F.aggregate(columns, start, column, lambda s: s["dist"]))
+
+
+def step(df: DataFrame, **columns: Column) -> DataFrame:
+    """These columns, computed once: a filter further up can't be pushed through a
+    generator, which would put the expressions of all steps into one another."""
+    row = F.struct(*(c.alias(n) for n, c in columns.items()))
+    return df.select(F.explode(F.array(row)).alias("s")).select("s.*")
 
 
 def within(pairs: DataFrame, edits: int) -> DataFrame:
     """The pairs (a, b, and more columns) whose texts are within ``edits`` edits."""
-    p = pairs.withColumn("la", F.length("a")).withColumn("lb", F.length("b")).where(F.abs(F.col("la") - F.col("lb")) <= edits)
-    swap = F.col("la") < F.col("lb")
-    rest = [c for c in pairs.columns if c not in ("a", "b")]
-    p = p.select(*rest, F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"),
-                 F.greatest("la", "lb").alias("la"), F.least("la", "lb").alias("lb"))
-    p = p.withColumn("start", common_start(F.col("a"), F.col("b"), F.col("lb")))
-    p = p.select(*rest, F.reverse(F.substr("a", F.col("start") + 1)).alias("a"), F.reverse(F.substr("b", F.col("start") + 1)).alias("b"),
-                 (F.col("la") - F.col("start")).alias("la"), (F.col("lb") - F.col("start")).alias("lb"))
-    p = p.withColumn("end", common_start(F.col("a"), F.col("b"), F.col("lb")))
-    # without limit the last of the split characters would be an empty string
-    chars = lambda c, n: F.when(F.col(n) > F.col("end"), F.split(F.substr(c, F.col("end") + 1), "", F.col(n) - F.col("end"))).otherwise(F.array().cast("array<string>"))
-    p = p.select(*rest, chars("a", "la").alias("a"), chars("b", "lb").alias("b"), (F.col("la") - F.col("end")).alias("m"))
-    return p.withColumn("distance", banded_distance(F.col("a"), F.col("b"), F.col("m"), edits)).where(F.col("distance") <= edits).select(*rest)
+    rest = {c: F.col(c) for c in pairs.columns if c not in ("a", "b")}
+    a, b, la, lb, start, end = (F.col(c) for c in ("a", "b", "la", "lb", "start", "end"))
+    p = step(pairs, **rest, a=a, b=b, la=F.length("a"), lb=F.length("b")).where(F.abs(la - lb) <= edits)
+    p = step(p, **rest, a=F.when(la < lb, b).otherwise(a), b=F.when(la < lb, a).otherwise(b), la=F.greatest(la, lb), lb=F.least(la, lb))
+    p = step(p, **rest, a=a, b=b, la=la, lb=lb, start=common_start(a, b, lb))
+    p = step(p, **rest, a=F.reverse(F.substr(a, start + 1)), b=F.reverse(F.substr(b, start + 1)), la=la - start, lb=lb - start)
+    p = step(p, **rest, a=a, b=b, la=la, lb=lb, end=common_start(a, b, lb))
+    p = step(p, **rest, a=F.substr(a, end + 1), b=F.substr(b, end + 1), la=la - end, lb=lb - end)
+    # without a limit the last of the split characters would be an empty string
+    chars = lambda c, n: F.when(n > 0, F.split(c, "", n)).otherwise(F.array().cast("array<string>"))
+    p = step(p, **rest, a=chars(a, la), b=chars(b, lb), m=la)
+    p = step(p, **rest, distance=banded_distance(a, b, F.col("m"), edits))
+    return p.where(F.col("distance") <= edits).select(*rest)
 
 
 def lines_of(docs: DataFrame, least_chars: int) -> DataFrame:
