@@ -4,11 +4,11 @@ A document's set holds its distinct word n-grams (as 64-bit hashes).  Documents
 with equal sets are one class from the start.  Classes that may be similar are
 partitioned into groups of bounded size; the matrix stores for each group the
 union of its members' tokens.  The overlap of a set with a group's union bounds
-its overlap with every member, so a group is opened, and its members verified
-exactly, only if the bound reaches the threshold.  Only links are wanted that
-join two components, so sets are asked about groups in which some member isn't
-in their own component: members of a large group of near copies are compared
-with each other in their groups, never all with all.
+its overlap with every member, so groups are opened, and members verified exactly,
+only if the bound reaches the threshold.  Only links are wanted that join two
+components: members of a large group of near copies are compared inside their
+groups first, over a few rounds of cutting, and then only groups meet that hold
+members of different components.  Pairs of documents are never rows.
 
 Which sets and groups meet at all is decided exactly, without loss, by shared
 signatures.  Sets that link differ in at most ``d`` tokens:
@@ -36,9 +36,10 @@ from pyspark.sql import functions as F
 from sluice.llm.common import few, keep, ship, text_id
 
 #: Members of a group, to which a large one is cut.
-GROUP = 64
-#: Rounds in which groups are cut anew among documents that aren't in one component yet.
-ROUNDS = 2
+GROUP = 256
+#: Rounds at most in which groups are cut anew among documents that aren't in one component yet; what is left
+#: then, however much, is settled exactly by the matrix.
+ROUNDS = 3
 #: Set sizes from a band's least to its largest.
 BAND = 1.5
 #: Prefix tokens of more documents than this are frequent; so many of the most frequent are known to all tasks.
@@ -191,42 +192,49 @@ def _groups(candidates: DataFrame, seed: int) -> DataFrame:
     return cut.unionAll(pivots).distinct()
 
 
+def overlaps(lists: list[np.ndarray]) -> np.ndarray:
+    """Tokens that each two of some sets share: products of blocks of their membership matrix."""
+    n, sizes = len(lists), [len(x) for x in lists]
+    rows = np.repeat(np.arange(n), sizes)
+    union, col = np.unique(np.concatenate([*lists, np.zeros(0, np.int64)]), return_inverse=True)
+    shared = np.bincount(col, minlength=len(union)) > 1
+    place = np.cumsum(shared) - 1
+    rows, col = rows[shared[col]], place[col[shared[col]]]
+    order = np.argsort(col, kind="stable")
+    rows, col = rows[order], col[order]
+    same = np.zeros((n, n), np.float64)
+    for start in range(0, int(shared.sum()), 4096):
+        a, b = np.searchsorted(col, [start, start + 4096])
+        m = np.zeros((n, 4096), np.float32)
+        m[rows[a:b], col[a:b] - start] = 1
+        same += m @ m.T
+    same[np.diag_indices(n)] = sizes
+    return same
+
+
 def _open_groups(members: DataFrame, t: Threshold) -> DataFrame:
-    """(g, chunk, id, root, tokens) per member: the least id it is linked with inside its group, over links;
-    and a row without id that has the union of the group's tokens."""
-    schema = pa.schema([("g", pa.int64()), ("chunk", pa.int32()), ("id", pa.int64()), ("root", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+    """(g, chunk, id, root) per member: the least id it is linked with inside its group, over links."""
+    schema = pa.schema([("g", pa.int64()), ("chunk", pa.int32()), ("id", pa.int64()), ("root", pa.int64())])
+    none = np.iinfo(np.int64).max
 
     def each(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         ids = group.column("id").to_numpy()
         lists = group.column("tokens").combine_chunks()
-        sizes = np.diff(lists.offsets.to_numpy())
-        rows = np.repeat(np.arange(len(ids)), sizes)
-        union, col = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-        same = np.zeros((len(ids), len(ids)), np.float64)
-        shared = np.bincount(col, minlength=len(union)) > 1
-        place = np.cumsum(shared) - 1
-        rows, col = rows[shared[col]], place[col[shared[col]]]
-        order = np.argsort(col, kind="stable")
-        rows, col = rows[order], col[order]
-        for start in range(0, int(shared.sum()), 8192):
-            a, b = np.searchsorted(col, [start, start + 8192])
-            m = np.zeros((len(ids), 8192), np.float32)
-            m[rows[a:b], col[a:b] - start] = 1
-            same += m @ m.T
-        link = t.links(same, sizes[:, None], sizes[None, :])
-        root = np.where(link, ids[None, :], np.iinfo(np.int64).max).min(axis=1)
-        root = np.minimum(root, ids)
+        at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        sets = [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        sizes = np.diff(at)
+        link = t.links(overlaps(sets), sizes[:, None], sizes[None, :])
+        root = np.minimum(np.where(link, ids[None, :], none).min(axis=1), ids)
         while True:
-            new = np.minimum(root, np.where(link, root[None, :], np.iinfo(np.int64).max).min(axis=1))
+            new = np.minimum(root, np.where(link, root[None, :], none).min(axis=1))
             if (new == root).all():
                 break
             root = new
         n = len(ids)
-        return pa.table({"g": pa.array([key[0].as_py()] * (n + 1), pa.int64()), "chunk": pa.array([key[1].as_py()] * (n + 1), pa.int32()),
-                         "id": pa.array([*ids.tolist(), None], pa.int64()), "root": pa.array([*root.tolist(), None], pa.int64()),
-                         "tokens": pa.array([*[None] * n, union], pa.list_(pa.int64()))}, schema=schema)
+        return pa.table({"g": pa.array([key[0].as_py()] * n, pa.int64()), "chunk": pa.array([key[1].as_py()] * n, pa.int32()),
+                         "id": pa.array(ids, pa.int64()), "root": pa.array(root, pa.int64())}, schema=schema)
 
-    return members.groupBy("g", "chunk").applyInArrow(each, "g long, chunk int, id long, root long, tokens array<long>")
+    return members.groupBy("g", "chunk").applyInArrow(each, "g long, chunk int, id long, root long")
 
 
 def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -265,22 +273,19 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
         has = has.dropDuplicates(["id"])
     has = keep(has, "jaccard-tokens")
 
-    edges, matrix, comp = [], None, None
-    alive = met
+    alive, edges, comp, group = met, None, None, None
     for turn in range(ROUNDS):
         pivots = alive.select("id", "pivot") if turn % 2 == 0 else alive.select("id", F.col("last").alias("pivot"))
         group = keep(_groups(pivots, turn), "jaccard-groups")
-        opened = keep(_open_groups(has.join(few(group), "id").select("g", "chunk", "id", "tokens"), t), "jaccard-opened")
-        matrix = (group, opened.where("id is null").select("g", "chunk", "tokens"))
-        edges.append(opened.where("id is not null").select(F.col("id").alias("a"), F.col("root").alias("b")))
-        comp = components(edges[0] if len(edges) == 1 else edges[0].unionAll(edges[1]))
+        opened = _open_groups(has.join(few(group), "id").select("g", "chunk", "id", "tokens"), t)
+        found = keep(opened.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")).distinct(), "jaccard-links")
+        edges = found if edges is None else edges.unionAll(found)
+        comp = components(edges)
         alive = _across(alive.drop("comp"), comp)
         if alive.isEmpty():
             break
-    # sets outside their signature's largest component are asked about the groups of the signature's other members
     if not alive.isEmpty():
-        edges.append(_ask(alive, matrix, has, comp, t))
-        comp = components(edges[0].unionAll(edges[1]).unionAll(edges[2]) if len(edges) == 3 else edges[0].unionAll(edges[1]))
+        comp = components(edges.unionAll(_ask(alive, group, has, t)))
     of = sets.select("doc_id", "text_id", "n", "id").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     least = of.where("id is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     out = of.join(least, "comp", "left")
@@ -295,22 +300,48 @@ def _across(met: DataFrame, comp: DataFrame) -> DataFrame:
     return keep(m.join(split, "sig"), "jaccard-alive")
 
 
-def _ask(alive: DataFrame, matrix: tuple[DataFrame, DataFrame], has: DataFrame, comp: DataFrame, t: Threshold) -> DataFrame:
-    """Links (a, b) between components: bound each set's overlap with groups, open those that qualify, verify their members."""
-    group, union = matrix
-    counts = alive.groupBy("sig", "comp").agg(F.count("*").alias("c"))
-    main = counts.groupBy("sig").agg(F.max(F.struct("c", "comp")).alias("m")).select("sig", F.col("m.comp").alias("main"))
-    asks = alive.join(main, "sig").where("comp <> main").select("sig", F.col("id").alias("q"), F.col("comp").alias("qcomp"))
-    where = alive.select("sig", "id", "comp").join(group, "id").groupBy("sig", "g", "chunk").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-    pairs = asks.join(where, "sig").where("x <> qcomp or y <> qcomp").select("q", "qcomp", "g", "chunk").distinct()
-    q = has.select(F.col("id").alias("q"), F.col("n").alias("qn"), F.col("tokens").alias("qtokens"))
-    bound = pairs.join(q, "q").join(union, ["g", "chunk"])
-    reach = t.den * F.size(F.array_intersect("qtokens", "tokens")) >= t.num * F.col("qn")
-    asked = keep(bound.where(reach).select("q", "qcomp", "qn", "g", "chunk"), "jaccard-qualified")
-    inside = group.join(comp, "id", "left").select("g", "chunk", F.col("id").alias("s"), F.coalesce("comp", "id").alias("scomp"))
-    sizes = has.select(F.col("id").alias("s"), F.col("n").alias("sn"))
-    met = asked.join(inside, ["g", "chunk"]).where("scomp <> qcomp").select("q", "qn", "s").distinct().join(sizes, "s")
-    fits = (t.den * F.least("qn", "sn") >= t.num * F.greatest("qn", "sn"))
-    both = met.where(fits).join(q.select("q", "qtokens"), "q").join(has.select(F.col("id").alias("s"), "tokens"), "s")
-    both = both.withColumn("same", F.size(F.array_intersect("qtokens", "tokens")))
-    return keep(both.where(t.den * F.col("same") >= t.num * (F.col("qn") + F.col("sn") - F.col("same"))).select(F.col("q").alias("a"), F.col("s").alias("b")), "jaccard-links")
+def _ask(alive: DataFrame, group: DataFrame, has: DataFrame, t: Threshold) -> DataFrame:
+    """Links (a, b) between components, by the token-group matrix.
+
+    Its rows are the groups' token unions.  Two groups are taken together if a
+    signature has members of different components in them; the overlap of their
+    unions bounds that of any two members, then each set's overlap with the other
+    group's union bounds that with its members, and the rest is verified.
+    """
+    key = F.struct("g", "chunk").alias("k")
+    spots = alive.select("sig", "id", "comp").join(group, "id").groupBy("sig", key).agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+    a, b = spots.alias("a"), spots.alias("b")
+    apart = (F.col("a.k") < F.col("b.k")) & ((F.col("a.x") != F.col("b.x")) | (F.col("a.y") != F.col("b.y")) | (F.col("a.x") != F.col("a.y")))
+    pairs = keep(a.join(b, F.col("a.sig") == F.col("b.sig")).where(apart).select(F.col("a.k").alias("p"), F.col("b.k").alias("q")).distinct(), "jaccard-pairs")
+    of = alive.select("id", "comp").distinct()
+    member = has.join(few(group.join(of, "id")), "id").select(key, "id", "comp", "n", "tokens")
+    # a group's sets, GROUP of them
+    rows = keep(member.groupBy("k").agg(F.min("n").alias("least"), F.collect_list("id").alias("ids"), F.collect_list("comp").alias("comps"),
+                                        F.collect_list("tokens").alias("sets")).withColumn("union", F.array_distinct(F.flatten("sets"))), "jaccard-matrix")
+    slim = rows.select("k", "least", "union")
+    left, right = (slim.select(F.col("k").alias(c), F.col("least").alias(f"least_{c}"), F.col("union").alias(f"union_{c}")) for c in "pq")
+    reach = t.den * F.size(F.array_intersect("union_p", "union_q")) >= t.num * F.greatest("least_p", "least_q")
+    asked = keep(pairs.join(left, "p").join(right, "q").where(reach).select("p", "q"), "jaccard-asked")
+    sides = [rows.select(F.col("k").alias(c), *(F.col(n).alias(f"{n}_{c}") for n in ("ids", "comps", "sets"))) for c in "pq"]
+    both = asked.join(sides[0], "p").join(sides[1], "q").select("ids_p", "comps_p", "sets_p", "ids_q", "comps_q", "sets_q")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, comps = ([np.array(batch.column(c)[i].as_py(), np.int64) for c in cs] for cs in ((0, 3), (1, 4)))
+                sets = [[x.values.to_numpy() for x in batch.column(c)[i].values] for c in (2, 5)]
+                unions = [np.unique(np.concatenate(x)) for x in sets]
+                left, right = ([k for k, x in enumerate(sets[side]) if t.den * np.isin(x, unions[1 - side], assume_unique=True).sum() >= t.num * len(x)] for side in (0, 1))
+                if not left or not right:
+                    continue
+                open_sets = [sets[0][k] for k in left] + [sets[1][k] for k in right]
+                size = np.array([len(x) for x in open_sets])
+                same = overlaps(open_sets)[:len(left), len(left):]
+                link = t.links(same, size[:len(left), None], size[None, len(left):])
+                link &= comps[0][left][:, None] != comps[1][right][None, :]
+                x, y = np.nonzero(link)
+                # one link is enough to join two components
+                _, first = np.unique(np.c_[comps[0][left][x], comps[1][right][y]], axis=0, return_index=True) if len(x) else (None, np.zeros(0, np.int64))
+                yield pa.RecordBatch.from_pydict({"a": pa.array(ids[0][left][x[first]], pa.int64()), "b": pa.array(ids[1][right][y[first]], pa.int64())})
+
+    return keep(both.mapInArrow(verify, "a long, b long"), "jaccard-links")

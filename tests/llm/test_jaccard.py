@@ -42,7 +42,7 @@ def brute(rows, n, num, den):
 
 def ours(spark, rows, n, num, den):
     docs = spark.createDataFrame([(*r, 1, "c") for r in rows], "doc_id long, text string, id int, tokens string").repartition(3)
-    return sorted(map(tuple, J.jaccard_components(docs, n, num, den).collect()), key=repr)
+    return sorted(map(tuple, J.jaccard_components(docs, n, num, den).drop("text_id").collect()), key=repr)
 
 
 def corpus(seed, families, copies, edits):
