@@ -4,7 +4,8 @@ Two lines within ``edits`` character edits share one of ``edits + 1`` segments o
 the shorter one whole, near its place.  Each distinct line indexes its segments
 under (its length, segment number, text); it probes, for each length of up to
 ``edits`` less than its own, those of its substrings that can hold a segment
-(their starts are bounded from both ends).  Lines that meet are verified with
+(their starts are bounded from both ends).  Lines that meet, and whose letter
+counts can be that near, are verified with
 banded bit-parallel edit distance over what remains between their common
 beginning and end.
 
@@ -27,6 +28,8 @@ from sluice.llm.common import few, keep, text_id
 
 EDITS = 2
 LEAST_CHARS = 24
+#: Characters of one byte of which lines' counts are compared.
+PARITY = "abcdefghijklmnopqrstuvwxyz .,-01"
 
 
 def segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
@@ -60,6 +63,20 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
     return F.array_distinct(F.array(*out))
 
 
+def letter_parity(line: Column) -> Column:
+    """A bit for each of some frequent characters: whether the line has an odd number of it.
+
+    An edit turns at most two of them, so lines within some edits differ in at most
+    twice as many bits.  Lines that share a segment but have other words differ in
+    more, and needn't be compared.
+    """
+    odd = [F.pmod(F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit(""))), F.lit(2)).cast("long") * (1 << i) for i, c in enumerate(PARITY)]
+    total = odd[0]
+    for x in odd[1:]:
+        total = total + x
+    return total
+
+
 def common_start(a: Column, b: Column, most: Column) -> Column:
     """Characters that two strings begin with alike, by halving steps."""
     steps = F.transform(F.sequence(F.ceil(F.log2(F.greatest(most, F.lit(1)) + 1)).cast("int"), F.lit(0)), lambda i: F.pow(F.lit(2), i).cast("int"))
@@ -143,11 +160,12 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST
     """(doc_id, text_id, gone): the numbers of a row's lines that go, for rows that have some."""
     lines = lines_of(docs, least_chars)
     length = F.length("line")
-    distinct = keep(lines.select("h1", "h2", "at", index_keys(F.col("line"), length, edits).alias("own"), probe_keys(F.col("line"), length, edits).alias("probes"))
-                    .groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("times"), F.first("own").alias("own"), F.first("probes").alias("probes")), "line-keys")
-    index = distinct.select(F.explode("own").alias("key"), F.col("h1").alias("x"))
-    probe = distinct.select(F.explode("probes").alias("key"), F.col("h1").alias("y"))
-    met = index.join(probe, "key").where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    distinct = keep(lines.select("h1", "h2", "at", index_keys(F.col("line"), length, edits).alias("own"), probe_keys(F.col("line"), length, edits).alias("probes"), letter_parity(F.col("line")).alias("odd"))
+                    .groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("times"), F.first("own").alias("own"), F.first("probes").alias("probes"), F.first("odd").alias("odd")), "line-keys")
+    index = distinct.select(F.explode("own").alias("key"), F.col("h1").alias("x"), F.col("odd").alias("odd_x"))
+    probe = distinct.select(F.explode("probes").alias("key"), F.col("h1").alias("y"), F.col("odd").alias("odd_y"))
+    alike = F.bit_count(F.col("odd_x").bitwiseXOR(F.col("odd_y"))) <= 2 * edits
+    met = index.join(probe, "key").where((F.col("x") != F.col("y")) & alike).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     met = keep(met, "line-pairs")
     asked = keep(met.select(F.col("x").alias("h1")).unionAll(met.select("y")).distinct(), "line-asked")
     texts = keep(lines.join(few(asked), "h1").groupBy("h1", "h2").agg(F.min(F.struct("at", "line")).alias("l")).select("h1", "h2", "l.at", "l.line"), "line-texts")
