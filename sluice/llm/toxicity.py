@@ -155,17 +155,37 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(a + b * worst + c * np.log1p(count), -30, 30))))
 
 
-def kernel_to(words: list[str], landmarks: list[str], code: dict[str, int]) -> np.ndarray:
-    """Normalised kernel of each word with each landmark; 0 for words under three letters."""
+def kernel_to(words: list[str], landmarks: list[str], code: dict[str, int], block: int = 128) -> np.ndarray:
+    """Normalised kernel of each word with each landmark; 0 for words under three letters.
+
+    Landmarks are taken ``block`` at a time, which bounds the table of their subsequences.
+    """
+    out = np.zeros((len(words), len(landmarks)), np.float32)
+    where = {w: i for i, w in enumerate(words)}
+    groups = [(ws, x, np.sqrt(np.maximum(self_kernel(x), 1e-12))[:, None]) for ws in by_length(dict.fromkeys(words)) for x in [encode(ws, code)]]
+    for first in range(0, len(landmarks), block):
+        place, table = _subsequences(landmarks[first:first + block], code)
+        for ws, x, norm in groups:
+            k = np.zeros((len(ws), table.shape[1]), np.float32)
+            for at, w in triples(x, len(code) + 1):
+                k += np.float32(w) * table[place[at]]
+            out[[where[w] for w in ws], first:first + block] = k / norm
+    return out
+
+
+def _subsequences(landmarks: list[str], code: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(row of each subsequence, table of their weights in each landmark); row 0 is for those of none."""
     size = len(code) + 1
-    place = np.zeros(size ** 3, np.int32)
-    parts = []
+    parts, number = [], {w: i for i, w in enumerate(landmarks)}
     for ws in by_length(landmarks):
         x = encode(ws, code)
-        rows = np.array([landmarks.index(w) for w in ws])
+        rows = np.array([number[w] for w in ws])
         norm = np.sqrt(np.maximum(self_kernel(x), 1e-12))
         for at, w in triples(x, size):
             parts.append((at, rows, w / norm))
+    place = np.zeros(size ** 3, np.int32)
+    if not parts:
+        return place, np.zeros((1, len(landmarks)), np.float32)
     at, col, val = (np.concatenate([p[i] for p in parts]) for i in range(3))
     known = np.unique(at)
     known = known[(known // size ** 2 > 0) & (known // size % size > 0) & (known % size > 0)]
@@ -173,15 +193,7 @@ def kernel_to(words: list[str], landmarks: list[str], code: dict[str, int]) -> n
     table = np.zeros((len(known) + 1, len(landmarks)), np.float32)
     np.add.at(table, (place[at], col), val)
     table[0] = 0
-    out = np.zeros((len(words), len(landmarks)), np.float32)
-    where = {w: i for i, w in enumerate(words)}
-    for ws in by_length(dict.fromkeys(words)):
-        x = encode(ws, code)
-        k = np.zeros((len(ws), len(landmarks)), np.float32)
-        for at, w in triples(x, size):
-            k += np.float32(w) * table[place[at]]
-        out[[where[w] for w in ws]] = k / np.sqrt(np.maximum(self_kernel(x), 1e-12))[:, None]
-    return out
+    return place, table
 
 
 def spread(words: list[str], code: dict[str, int], most: int) -> list[str]:
@@ -196,14 +208,19 @@ def spread(words: list[str], code: dict[str, int], most: int) -> list[str]:
 
 def squared_hinge(z: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 1000.0) -> np.ndarray:
     """Linear support vector machine with squared hinge loss, by Newton steps on those within the margin."""
-    z1 = np.hstack([z, np.ones((len(z), 1))]).astype(np.float64)
-    w = np.zeros(z1.shape[1])
-    keep_small = np.eye(z1.shape[1])
+    n = z.shape[1] + 1
+    w = np.zeros(n)
+    keep_small = np.eye(n)
     keep_small[-1, -1] = 1e-6
     for _ in range(30):
-        inside = y * (z1 @ w) < 1
-        a = z1[inside] * weight[inside, None]
-        new = np.linalg.solve(keep_small / cost + z1[inside].T @ a, a.T @ y[inside])
+        inside = np.flatnonzero(y * (z @ w[:-1].astype(z.dtype) + w[-1]) < 1)
+        left, right = keep_small / cost, np.zeros(n)
+        for a in range(0, len(inside), 2048):
+            rows = inside[a:a + 2048]
+            x = np.hstack([z[rows], np.ones((len(rows), 1))]).astype(np.float64)
+            each = x * weight[rows, None]
+            left, right = left + x.T @ each, right + each.T @ y[rows]
+        new = np.linalg.solve(left, right)
         if np.abs(new - w).max() < 1e-8:
             break
         w = new
@@ -243,7 +260,8 @@ def train_words(toxic: dict[str, float], clean: dict[str, float]) -> Machine:
     y = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
     p, n = (np.array(list(x.values())) for x in (toxic, clean))
     each = np.r_[p / p.sum(), n / n.sum()] * len(y) / 2
-    w = squared_hinge(k @ root, y, each)
+    k = k @ root.astype(np.float32)
+    w = squared_hinge(k, y, each)
     alpha = root @ w[:-1]
     weight = np.zeros(size ** 3, np.float32)
     for ws in by_length(marks):
