@@ -161,24 +161,28 @@ def _sets(docs: DataFrame, n: int, t: Threshold, frequent: np.ndarray | None, sc
 SETS = "doc_id long, text_id long, id long, n long, items array<long>"
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(id, comp): comp is the smallest id reachable over edges (a, b).
 
-    Each round every vertex takes the least label of its neighbours and then that
-    label's own label, so long chains halve; the tables are written each round.
+    Each round every vertex takes the least label of its neighbours and its label's
+    own label, and hands the former to the vertex its label names, so whole trees
+    hook onto lower ones however the ids run along a chain.  Labels only fall; rounds
+    go on until none moves, and then neighbours have equal ones.  The tables are
+    written each round.
     """
     both = keep(edges.select("a", "b").where("a <> b").unionAll(edges.where("a <> b").select("b", "a")).distinct(), "cc-edges")
     label = keep(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("comp")), "cc-labels")
-    for _ in range(rounds):
+    while True:
         near = both.join(label.select(F.col("id").alias("b"), "comp"), "b").groupBy(F.col("a").alias("id")).agg(F.min("comp").alias("near"))
-        new = label.join(near, "id").select("id", F.least("comp", "near").alias("new"), "comp")
-        up = label.select(F.col("id").alias("new"), F.col("comp").alias("up"))
-        new = keep(new.join(up, "new", "left").select("id", F.least("new", F.coalesce("up", "new")).alias("new"), "comp"), "cc-labels")
+        seen = keep(label.join(near, "id").select("id", "comp", F.least("comp", "near").alias("near")), "cc-near")
+        up = label.select(F.col("id").alias("comp"), F.col("comp").alias("up"))
+        hook = seen.groupBy(F.col("comp").alias("id")).agg(F.min("near").alias("hook"))
+        new = seen.join(up, "comp").join(hook, "id", "left").select("id", F.least("near", "up", "hook").alias("new"), "comp")  # least() passes over null
+        new = keep(new, "cc-labels")
         still = new.where("new <> comp").isEmpty()
         label = new.select("id", F.col("new").alias("comp"))
         if still:
-            break
-    return label
+            return label
 
 
 def _groups(candidates: DataFrame, seed: int) -> DataFrame:

@@ -107,5 +107,12 @@ def test_chains_become_one_component(spark):
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
+def test_long_chains_of_ids_in_any_order_become_one_component(spark):
+    ids = random.Random(5).sample(range(-10**12, 10**12), 4000)
+    edges = spark.createDataFrame([*zip(ids[:3000], ids[1:3000]), *zip(ids[3000:], ids[3001:])], "a long, b long")
+    got = dict(map(tuple, J.components(edges).collect()))
+    assert got == {**dict.fromkeys(ids[:3000], min(ids[:3000])), **dict.fromkeys(ids[3000:], min(ids[3000:]))}
+
+
 def test_query_matches_sql(spark):
     assert matches_sql(spark, "op1_jaccard_join", SF0001) == 200
