@@ -10,7 +10,10 @@ banded bit-parallel edit distance over what remains between their common
 beginning and end.
 
 A line goes if an equal or near one comes earlier in the order of (doc_id, text
-hash, line number).  Lines shorter than ``least_chars`` always stay.
+hash, line number).  That holds for equal lines of any length that have a word,
+and for near ones with an edit for each CHARS_AN_EDIT characters of the shorter
+line, ``edits`` at most: below that a line has only equal ones.  Where
+``least_chars`` is given, shorter lines stay and all others have ``edits``.
 
 The plan: equal lines are collapsed by 128-bit hashes with partial aggregation,
 so frequent lines cost a row a task; only hashes of substrings are shuffled for
@@ -21,13 +24,17 @@ rows are counted first) and by shuffle beyond that.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import few, keep, text_id
 
 EDITS = 2
-LEAST_CHARS = 24
+CHARS_AN_EDIT = 8
+#: Lines without a letter or digit go, too, from this length on.
+WORDLESS_CHARS = 24
 #: Characters of one byte of which lines' counts are compared.
 PARITY = "abcdefghijklmnopqrstuvwxyz .,-01"
 
@@ -43,24 +50,42 @@ def key(length: Column, i: int, text: Column) -> Column:
     return F.xxhash64(length, F.lit(i), text)
 
 
-def index_keys(line: Column, length: Column, edits: int) -> Column:
-    out = []
-    for i in range(edits + 1):
-        start, size = segment(length, i, edits + 1)
-        out.append(key(length, i, F.substr(line, start + 1, size)))
-    return F.array(*out)
+def allowed(length: Column, edits: int, least_chars: int | None) -> Column:
+    """Edits within which a line is near one that isn't shorter."""
+    return F.lit(edits) if least_chars is not None else F.least(F.lit(edits), F.floor(length / CHARS_AN_EDIT).cast("int"))
+
+
+def index_keys(line: Column, length: Column, edits: int, least_chars: int | None) -> Column:
+    return by_allowed(length, edits, least_chars, lambda most: [
+        key(length, i, F.substr(line, start + 1, size)) for i in range(most + 1) for start, size in [segment(length, i, most + 1)]])
 
 
-def probe_keys(line: Column, length: Column, edits: int) -> Column:
-    """Keys of substrings that may be a segment of a line of the same length or up to ``edits`` less."""
+def probe_keys(line: Column, length: Column, edits: int, least_chars: int | None) -> Column:
+    """Keys of substrings that may be a segment of a line of the same length or up to its allowed edits less."""
     out = []
     for less in range(edits + 1):
         short = length - less
-        for i in range(edits + 1):
-            start, size = segment(short, i, edits + 1)
-            for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
-                out.append(key(short, i, F.substr(line, F.greatest(start + 1 + shift, F.lit(1)), size)))
-    return F.array_distinct(F.array(*out))
+
+        def keys(most: int, less: int = less, short: Column = short) -> list[Column]:
+            found = []
+            for i in range(most + 1 if less <= most else 0):
+                start, size = segment(short, i, most + 1)
+                for shift in range(max(-i, less - (most - i)), min(i, less + (most - i)) + 1):
+                    found.append(key(short, i, F.substr(line, F.greatest(start + 1 + shift, F.lit(1)), size)))
+            return found
+
+        out.append(by_allowed(short, edits, least_chars, keys))
+    return F.array_distinct(F.concat(*out))
+
+
+def by_allowed(length: Column, edits: int, least_chars: int | None, keys: Callable[[int], list[Column]]) -> Column:
+    """The keys for the edits that a line of this length is allowed; none without edits."""
+    if least_chars is not None:
+        return F.array(*keys(edits))
+    out, most = F.array().cast("array<bigint>"), allowed(length, edits, least_chars)
+    for n in range(1, edits + 1):
+        out = F.when(most == n, F.array(*keys(n)).cast("array<bigint>")).otherwise(out)
+    return out
 
 
 def letter_parity(line: Column) -> Column:
@@ -132,7 +157,7 @@ def step(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def within(pairs: DataFrame, edits: int) -> DataFrame:
-    """The pairs (a, b, and more columns) whose texts are within ``edits`` edits."""
+    """The pairs (a, b, and more columns) whose texts are within ``edits`` edits, and within ``most`` if there is such a column."""
     rest = {c: F.col(c) for c in pairs.columns if c not in ("a", "b")}
     a, b, la, lb, start, end = (F.col(c) for c in ("a", "b", "la", "lb", "start", "end"))
     p = step(pairs, **rest, a=a, b=b, la=F.length("a"), lb=F.length("b")).where(F.abs(la - lb) <= edits)
@@ -145,22 +170,24 @@ def within(pairs: DataFrame, edits: int) -> DataFrame:
     chars = lambda c, n: F.when(n > 0, F.split(c, "", n)).otherwise(F.array().cast("array<string>"))
     p = step(p, **rest, a=chars(a, la), b=chars(b, lb), m=la)
     p = step(p, **rest, distance=banded_distance(a, b, F.col("m"), edits))
-    return p.where(F.col("distance") <= edits).select(*rest)
+    return p.where(F.col("distance") <= (F.col("most") if "most" in rest else edits)).select(*rest)
 
 
-def lines_of(docs: DataFrame, least_chars: int) -> DataFrame:
-    """(at, line, h1, h2) of each line that is long enough; ``at`` orders all lines of the corpus."""
+def lines_of(docs: DataFrame, least_chars: int | None) -> DataFrame:
+    """(at, line, h1, h2) of each line that may go; ``at`` orders all lines of the corpus."""
+    size = F.length("line")
+    may_go = size >= least_chars if least_chars is not None else (size >= WORDLESS_CHARS) | F.col("line").rlike(r"[\p{L}\p{N}]")
     d = docs.select("doc_id", text_id().alias("text_id"), F.split("text", "\n").alias("lines"))
-    d = d.select("doc_id", "text_id", F.posexplode_outer("lines").alias("line_no", "line")).where(F.length("line") >= least_chars)
+    d = d.select("doc_id", "text_id", F.posexplode_outer("lines").alias("line_no", "line")).where(may_go)
     at = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("long").alias("doc_id"), "text_id", F.col("line_no").cast("int").alias("line_no"))
     return d.select(at.alias("at"), "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
+def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int | None = None) -> DataFrame:
     """(doc_id, text_id, gone): the numbers of a row's lines that go, for rows that have some."""
     lines = lines_of(docs, least_chars)
     length = F.length("line")
-    distinct = keep(lines.select("h1", "h2", "at", index_keys(F.col("line"), length, edits).alias("own"), probe_keys(F.col("line"), length, edits).alias("probes"), letter_parity(F.col("line")).alias("odd"))
+    distinct = keep(lines.select("h1", "h2", "at", index_keys(F.col("line"), length, edits, least_chars).alias("own"), probe_keys(F.col("line"), length, edits, least_chars).alias("probes"), letter_parity(F.col("line")).alias("odd"))
                     .groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("times"), F.first("own").alias("own"), F.first("probes").alias("probes"), F.first("odd").alias("odd")), "line-keys")
     index = distinct.select(F.explode("own").alias("key"), F.col("h1").alias("x"), F.col("odd").alias("odd_x"))
     probe = distinct.select(F.explode("probes").alias("key"), F.col("h1").alias("y"), F.col("odd").alias("odd_y"))
@@ -170,7 +197,8 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST
     asked = keep(met.select(F.col("x").alias("h1")).unionAll(met.select("y")).distinct(), "line-asked")
     texts = keep(lines.join(few(asked), "h1").groupBy("h1", "h2").agg(F.min(F.struct("at", "line")).alias("l")).select("h1", "h2", "l.at", "l.line"), "line-texts")
     side = lambda h, t, n: texts.select(F.col("h1").alias(h), F.col("h2").alias(n), F.col("at").alias(f"at_{t}"), F.col("line").alias(t))
-    near = within(met.join(side("x", "a", "x2"), "x").join(side("y", "b", "y2"), "y"), edits)
+    most = allowed(F.least(F.length("a"), F.length("b")), edits, least_chars)
+    near = within(met.join(side("x", "a", "x2"), "x").join(side("y", "b", "y2"), "y").withColumn("most", most), edits)
     later = F.when(F.col("at_a") < F.col("at_b"), F.struct(F.col("y").alias("h1"), F.col("y2").alias("h2"))).otherwise(F.struct(F.col("x").alias("h1"), F.col("x2").alias("h2")))
     near = keep(near.select(later.alias("z")).select("z.h1", "z.h2").distinct(), "line-near")
     out = distinct.select("h1", "h2", "first", "times").join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("near or times > 1")
@@ -179,7 +207,7 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST
     return keep(gone.groupBy("at.doc_id", "at.text_id").agg(F.sort_array(F.collect_set("at.line_no")).alias("gone")), "line-gone")
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int | None = None) -> DataFrame:
     """docs with the repeated lines taken out of ``text``, and n_lines_gone.
 
     Null and empty texts stay as they are; rows with equal id and text keep and

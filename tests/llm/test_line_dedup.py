@@ -84,6 +84,15 @@ def test_defaults_and_long_lines(spark):
     assert got[903, "short\nshort"] == 0 and got[909, "line without any id here"] == 0 and got[None, "x"] == 1
 
 
+def test_equal_lines_of_any_length_and_near_short_ones(spark):
+    rows = [(1, "Home\nContact us\nOk\n--\nNext page please now\n" + "=" * 30), (2, "Home\nContact ux\nOn\n--\n\nNext page plaese now"),
+            (3, "Ok\nContect ux\nHom\nNo\n" + "=" * 30), (4, "Home\nOk\nby\nNext page please")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.text, r.n_lines_gone) for r in L.dedup_lines(docs).collect()}
+    # "Contect ux" is one edit off a line that goes itself
+    assert got == {1: (rows[0][1], 0), 2: ("On\n--\n", 3), 3: ("Hom\nNo", 3), 4: ("by\nNext page please", 2)}
+
+
 def test_no_rows(spark):
     assert ours(spark, [], 2, 24) == []
 
