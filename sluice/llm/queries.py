@@ -91,6 +91,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(docs, machine).select("doc_id", held_out().alias("held_out"), "score", "predicted", "word")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.substring_dedup import substring_dedup
+
+    return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_warc": op2_warc,
@@ -102,6 +108,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_decontaminate": op9_decontaminate,
     "op10_toxicity": op10_toxicity,
+    "op11_substring_dedup": op11_substring_dedup,
 }
 
 #: SHA-1 in base32: of each 20 bits (five hexadecimal digits) four letters.
@@ -154,6 +161,19 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS (SELECT doc_id, s, md5(array_to_string(list_slice(w, s + 1, s + 20), ' ')) AS k FROM (SELECT doc_id, w, unnest(range(len(w) - 19)) AS s FROM d WHERE len(w) >= 20)),
+later AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM windows) WHERE r > 1),
+gone AS (SELECT doc_id, list_sort(list(DISTINCT p)) AS gone FROM (SELECT doc_id, unnest(range(s, s + 20)) AS p FROM later) GROUP BY doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p FROM d JOIN gone USING (doc_id)),
+gaps AS (SELECT doc_id, unnest(gone) AS p FROM gone),
+left_over AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gaps USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ') ELSE coalesce(t, '') END) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN left_over USING (doc_id)
+"""
+
 #: Of the others: 4, 6, 8 and 10 need a tokenizer or a trained model, 7 the estimation and 3 the edit distance of
 #: characters, which SQL can't express; tests compare those with brute force, the libraries on whole texts, or
 #: held-out labels.
@@ -162,4 +182,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_warc": OP2_SQL,
     "op5_chat_tools": OP5_SQL,
     "op9_decontaminate": OP9_SQL,
+    "op11_substring_dedup": OP11_SQL,
 }
