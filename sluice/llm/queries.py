@@ -97,6 +97,12 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.prefix_trie import conversation_trie
+
+    return conversation_trie(table(spark, sf_dir, "conversations"), block=100, most=6)
+
+
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_warc": op2_warc,
@@ -109,6 +115,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_toxicity": op10_toxicity,
     "op11_substring_dedup": op11_substring_dedup,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 #: SHA-1 in base32: of each 20 bits (five hexadecimal digits) four letters.
@@ -174,6 +181,29 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0)
 FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN left_over USING (doc_id)
 """
 
+#: DuckDB has no crc32: its bits are folded here.
+OP12_SQL = """
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+crc AS (SELECT conv_id, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')]),
+  lambda a, x: list_reduce(list_prepend(xor(a, x), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS r
+  FROM (SELECT DISTINCT conv_id FROM conversations)),
+h AS (SELECT conv_id, xor(r, 4294967295) % 6 AS h FROM crc),
+turns AS (SELECT h.conv_id, i, role, text FROM h JOIN t ON t.conv_id = h.conv_id - h.conv_id % 100 WHERE i <= h
+  UNION ALL SELECT h.conv_id, h + i, role, text FROM h JOIN t USING (conv_id) WHERE i > h),
+convs AS (SELECT h.conv_id, coalesce(list(sha256(role || chr(31) || text) ORDER BY i) FILTER (i IS NOT NULL), []) AS s, coalesce(list(length(text) ORDER BY i) FILTER (i IS NOT NULL), []) AS l
+  FROM h LEFT JOIN turns USING (conv_id) GROUP BY h.conv_id),
+steps AS (SELECT conv_id, d, md5(array_to_string(list_slice(s, 1, d), '')) AS k, md5(array_to_string(list_slice(s, 1, d - 1), '')) AS up, len(s) AS n, CASE WHEN d > 0 THEN l[d] ELSE 0 END AS c
+  FROM (SELECT *, unnest(range(len(s) + 1)) AS d FROM convs)),
+nodes AS (SELECT d, k, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n, min(c) AS c, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d) AS ends FROM steps GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, up AS k, count(*) AS kids FROM nodes WHERE d > 0 GROUP BY ALL),
+full_nodes AS (SELECT nodes.*, coalesce(kids, 0) AS kids FROM nodes LEFT JOIN kids USING (d, k)),
+under AS (SELECT DISTINCT a.d AS d, a.k AS k, b.d AS below, b.k AS kb FROM steps a JOIN steps b ON a.conv_id = b.conv_id AND a.d <= b.d),
+sums AS (SELECT under.d, under.k, sum(CASE WHEN kids = 0 THEN 1 ELSE 0 END) AS leaves, sum((n - 1) * c) AS saved FROM under JOIN full_nodes f ON f.d = below AND f.k = kb GROUP BY ALL)
+SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, x.n AS n_convs, x.kids AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+       sha256(coalesce(x.ends, '')) AS ends_sha256
+FROM full_nodes x JOIN sums USING (d, k) LEFT JOIN nodes p ON x.d > 0 AND p.d = x.d - 1 AND p.k = x.up
+"""
+
 #: Of the others: 4, 6, 8 and 10 need a tokenizer or a trained model, 7 the estimation and 3 the edit distance of
 #: characters, which SQL can't express; tests compare those with brute force, the libraries on whole texts, or
 #: held-out labels.
@@ -183,4 +213,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_chat_tools": OP5_SQL,
     "op9_decontaminate": OP9_SQL,
     "op11_substring_dedup": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
 }
