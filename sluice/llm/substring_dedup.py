@@ -23,82 +23,15 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import keep, ship, text_id
+from sluice.llm.sequences import BASE, U, Words, bits_of, mix, passes, signed, small_batches
 
-#: Bytes of text that are hashed at a time.
-BLOCK = 1 << 20
-#: Bits of the filter of repeated anchors that all tasks hold: 16 for each, and so many at most.  What it lets
-#: through wrongly, the join that follows drops.
-BITS_EACH, BITS_MOST = 16, 1 << 28
-
-U = np.uint64
-BASE = 0x9E3779B97F4A7C15
-SPACE = np.zeros(256, bool)
-SPACE[[9, 10, 11, 12, 13, 32]] = True
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads them (the finaliser of splitmix64)."""
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
-
-
-LETTERS = mix(np.arange(1, 257, dtype=U) * U(BASE))
-_POWERS: list[np.ndarray] = []
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of BASE and of its inverse modulo 2^64, at least n of each."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, BLOCK + 1)
-        _POWERS[:] = []
-        for b in (BASE, pow(BASE, -1, 1 << 64)):
-            x = np.full(size, b, U)
-            x[0] = 1
-            _POWERS.append(np.cumprod(x, dtype=U))
-    return _POWERS[0], _POWERS[1]
-
-
-class Words:
-    """The words of some texts, one after another, and hashes of sequences of them."""
-
-    def __init__(self, texts: pa.Array):
-        blob = [b"" if x is None else x for x in texts.cast(pa.large_binary()).to_pylist()]
-        ends = np.cumsum([0, *map(len, blob)])
-        self.data = np.frombuffer(b"".join(blob), np.uint8)
-        n, gap = len(self.data), SPACE[self.data]
-        edge = np.zeros(n + 1, bool)
-        edge[ends] = True
-        before, after = edge[:-1].copy(), edge[1:].copy()
-        before[1:] |= gap[:-1]
-        after[:-1] |= gap[1:]
-        self.start, self.end = np.flatnonzero(~gap & before), np.flatnonzero(~gap & after) + 1
-        self.first = np.searchsorted(self.start, ends)  # of each text, and the end
-        self.n = len(self.start)
-        hashes = np.zeros(self.n, U)
-        at = 0
-        while at < self.n:  # blocks of whole words
-            to = max(at + 1, int(np.searchsorted(self.end, self.start[at] + BLOCK, "right")))
-            lo, hi = self.start[at], self.end[to - 1]
-            up, down = powers(hi - lo)
-            sums = np.zeros(hi - lo + 1, U)
-            np.cumsum(LETTERS[self.data[lo:hi]] * up[:hi - lo], out=sums[1:])
-            hashes[at:to] = mix((sums[self.end[at:to] - lo] - sums[self.start[at:to] - lo]) * down[self.start[at:to] - lo])
-            at = to
-        up, self.down = powers(self.n + 1)
-        self.sums = np.zeros(self.n + 1, U)
-        np.cumsum(hashes * up[:self.n], out=self.sums[1:])
-        self.text = np.repeat(np.arange(len(blob)), np.diff(self.first))
-        self.from_, self.to = self.first[:-1][self.text], self.first[1:][self.text]  # of each word's text
-
-    def hashes(self, at: np.ndarray, length: np.ndarray | int) -> np.ndarray:
-        """Of the sequences of ``length`` words from ``at``."""
-        return mix((self.sums[at + length] - self.sums[at]) * self.down[at] + np.asarray(length, U))
+
+class Texts(Words):
+    """Texts with the anchors of their windows."""
 
     def anchors(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(places, hashes) of all anchors; windows and the anchor of each."""
@@ -134,21 +67,6 @@ class Words:
         return np.array(right, np.int64) - np.array(left, np.int64)
 
 
-def _batches(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Batches of a few texts, of about BLOCK bytes or one text."""
-    for batch in batches:
-        sizes = np.cumsum([0, *(x or 0 for x in pc.binary_length(batch.column(column)).to_pylist())])
-        at = 0
-        while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(sizes, sizes[at] + BLOCK, "right")) - 1)
-            yield batch.slice(at, to - at)
-            at = to
-
-
-def signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
-
-
 ROW = "doc_id long, text_id long"
 
 
@@ -158,30 +76,12 @@ def _rows_of(batch: pa.RecordBatch, which: np.ndarray) -> list[pa.Array]:
 
 def _keys(docs: DataFrame, length: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _batches(batches):
-            yield pa.RecordBatch.from_arrays([signed(Words(batch.column("text")).anchors(length)[1])], names=["key"])
+        for batch in small_batches(batches):
+            yield pa.RecordBatch.from_arrays([signed(Texts(batch.column("text")).anchors(length)[1])], names=["key"])
 
     return docs.select("text").mapInArrow(find, "key long")
 
 
-def _filter(keys: DataFrame) -> np.ndarray:
-    """Bits of which those that the keys choose are set; so many for each key, but no more than BITS_MOST."""
-    bits = 1 << min(BITS_MOST.bit_length() - 1, max(10, (BITS_EACH * max(1, keys.count())).bit_length()))
-    part = min(bits // 8, 1 << 16)
-
-    def build(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        on = np.zeros(part * 8, bool)
-        on[group.column("bit").to_numpy()] = True
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "bytes": pa.array([np.packbits(on).tobytes()], pa.binary())})
-
-    spot = F.expr(f"key & {bits - 1}L")
-    parts = keys.select((spot / (part * 8)).cast("int").alias("part"), (spot % (part * 8)).cast("int").alias("bit")).distinct()
-    out = np.zeros(bits // 8, np.uint8)
-    for r in parts.groupBy("part").applyInArrow(build, "part int, bytes binary").toLocalIterator():
-        out[r["part"] * part:(r["part"] + 1) * part] = np.frombuffer(r["bytes"], np.uint8)
-    return out
-
-
 def _postings(docs: DataFrame, length: int, bitmap: np.ndarray) -> DataFrame:
     """(key, ctx, doc_id, text_id, at, lo, hi): anchors that the filter lets through.  ctx tells apart what lies in the
     reach of the windows around an anchor, the words from lo to hi."""
@@ -189,11 +89,10 @@ def _postings(docs: DataFrame, length: int, bitmap: np.ndarray) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = known.value
-        for batch in _batches(batches):
-            w = Words(batch.column("text"))
+        for batch in small_batches(batches):
+            w = Texts(batch.column("text"))
             places, h, _, _ = w.anchors(length)
-            spot = h & U(len(bits) * 8 - 1)
-            on = (bits[spot >> U(3)] >> (U(7) - (spot & U(7))).astype(np.uint8)) & 1 > 0
+            on = passes(bits, h)
             places, h = places[on], h[on]
             first = w.from_[places]
             lo, hi = np.maximum(places - (length - piece), first), np.minimum(places + length, w.to[places])
@@ -210,8 +109,8 @@ def _windows(docs: DataFrame, length: int) -> DataFrame:
     piece = length // 2
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _batches(batches):
-            w = Words(batch.column("text"))
+        for batch in small_batches(batches):
+            w = Texts(batch.column("text"))
             places, h, windows, of = w.anchors(length)
             marked = []
             for column in ("near", "all"):
@@ -266,7 +165,7 @@ def _kept(docs: DataFrame) -> DataFrame:
     """Texts without the words of the spans (lo << 32 | hi)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _batches(batches):
+        for batch in small_batches(batches):
             out: list[list] = [[], [], []]
             for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
                 words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
@@ -304,7 +203,7 @@ def substring_dedup(docs: DataFrame, length: int = 20) -> DataFrame:
     ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_id().alias("text_id"), "text")
     often = keep(_keys(docs, length).groupBy("key").count().where("count > 1").select("key"), "substring-keys")
-    found = keep(_postings(rows, length, _filter(often)).join(often, "key"), "substring-anchors")
+    found = keep(_postings(rows, length, bits_of(often)).join(often, "key"), "substring-anchors")
     classes = keep(found.groupBy("key", "ctx").agg(F.min(_start()).alias("first"), F.count("*").alias("n")), "substring-classes")
     later = found.join(classes.where("n > 1").select("key", "ctx", "first"), ["key", "ctx"]).where(_start() != F.col("first")).select("doc_id", "text_id", "lo", "hi")
     differ = classes.groupBy("key").count().where("count > 1").select("key")
