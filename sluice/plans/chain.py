@@ -28,8 +28,9 @@ from sluice.plans.presets import (DEFAULT_ROUTE, EXPORT_MIMES, LISTED_MIMES, REN
 from sluice.plans.transform import provider_fanout, provider_transform, quality_transform
 from sluice.session import scratch_path
 from sluice.sources.files import list_files
-from sluice.sources.manifest import read_manifest, write_manifest_entries
+from sluice.sources.manifest import MODIFIED_FIELD, latest_records, read_manifest, write_manifest_entries
 from sluice.sources.parquet import read_domain
+from sluice.sources.versions import recover, state
 
 
 @dataclass
@@ -79,6 +80,10 @@ def staged_inventory(spark: SparkSession, staging_root: str, min_rows: int = 0,
     writes of this run, else by one job over the tables' Parquet footers each,
     all at once."""
     inv = list_files(spark, staging_root).where("NOT hidden AND domain IS NOT NULL AND NOT startswith(domain, '_')")
+    # of versioned tables only the committed files count; the list is as long as there are tables
+    current = [f"{name}/{v[0].split('/')[0]}" for name, v in state(spark, staging_root)[1].items()]
+    folder = F.element_at(F.split("rel_path", "/"), 2)
+    inv = inv.where(F.concat("domain", F.lit("/"), folder).isin(current) | ~folder.rlike("^v-[0-9a-f]{32}$"))
     if min_rows <= 0:
         return inv
     counted = dict(counted or {})
@@ -86,7 +91,7 @@ def staged_inventory(spark: SparkSession, staging_root: str, min_rows: int = 0,
 
     def rows(name: str) -> int:
         if name not in counted:
-            counted[name] = spark.read.parquet(f"{staging_root.rstrip('/')}/{name}").count()
+            counted[name] = read_domain(spark, staging_root, name).count()
         return counted[name]
 
     with ThreadPoolExecutor(max_workers=min(8, max(1, len(names)))) as pool:
@@ -100,22 +105,34 @@ def plan_ingest(spark: SparkSession, cfg: RunConfig) -> DataFrame | None:
         return None
     if cfg.manifest_path is None:
         raise ValueError("a listing needs manifest_path")
-    manifest = read_manifest(spark, cfg.manifest_path, modified=cfg.detect_changes)
+    manifest = latest_records(read_manifest(spark, cfg.manifest_path, modified=cfg.detect_changes))
     return ingest_plan(cfg.listing, manifest, cfg.routes, cfg.default_route, cfg.listed_mimes, cfg.export_mimes,
                        modified_col="modifiedTime" if cfg.detect_changes else None, folder=cfg.folder)
 
 
 def landed(plan: DataFrame, raw_files: DataFrame, landing_root: str) -> DataFrame:
     """Planned records whose file is among the raw files: only those may be
-    recorded, so a transfer that failed is planned again by the next run."""
-    there = raw_files.select(relative_path_expr(F.col("path"), landing_root).alias("s3_key")).distinct()
-    return plan.join(there, "s3_key", "left_semi").select(*plan.columns)
+    recorded, so a transfer that failed is planned again by the next run.
+
+    A record with a modified time (change detection) needs a raw file that was
+    written at or after it; the file of an earlier load under the same key
+    does not count.  A modified time that is no timestamp counts by key alone."""
+    key = relative_path_expr(F.col("path"), landing_root).alias("s3_key")
+    if MODIFIED_FIELD.name not in plan.columns or "modification_time" not in raw_files.columns:
+        return plan.join(raw_files.select(key).distinct(), "s3_key", "left_semi").select(*plan.columns)
+    there = raw_files.groupBy(key).agg(F.max("modification_time").alias("_sl_written"))
+    listed = F.try_to_timestamp(F.col(MODIFIED_FIELD.name))
+    found = plan.join(there, "s3_key").where(listed.isNull() | (F.col("_sl_written") >= listed))
+    return found.select(*plan.columns)
 
 
 def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     # one load date for every table of the run, also across midnight
     as_of = cfg.as_of if cfg.as_of is not None else spark.range(1).select(F.current_date()).first()[0]
     ingest = plan_ingest(spark, cfg)
+    if not cfg.dry_run:
+        for root in (cfg.staging_root, cfg.transform_root, cfg.error_root):
+            recover(spark, root)   # what runs left behind that died before their commit
     if cfg.dry_run:
         raw_files = list_files(spark, cfg.raw_root).where("NOT hidden")
         moves = move_plan(raw_files, cfg.tracked, cfg.raw_root, cfg.processed_root, cfg.error_root)

@@ -7,11 +7,10 @@ CSV scan.  No shuffle: at any scale this is a map-only job.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.names import NameCollisionError, plan_normalized_names, plan_renames
@@ -20,9 +19,14 @@ from sluice.operators.inventory import discover_domains
 from sluice.operators.stamps import add_etl_date, add_row_id
 from sluice.plans import gates
 from sluice.plans.presets import RENAME_MAP
+from sluice.session import drop_scratch, scratch_path
 from sluice.sources.csv import CORRUPT_COLUMN, is_header_mismatch, read_raw
 from sluice.sources.files import list_files
-from sluice.sources.parquet import table_path, write_domain
+from sluice.sources.parquet import read_domain, table_path, write_apart, write_domain
+from sluice.sources.versions import state
+
+#: Tables of malformed lines, one per domain, under the error root.
+BAD_LINES = "_bad_lines"
 
 
 def clean_frame(df: DataFrame, renames: Mapping[str, str] = RENAME_MAP,
@@ -50,9 +54,12 @@ def clean_domain(spark: SparkSession, raw_root: str, staging_root: str, domain:
     again with files grouped by header and united by cleaned name (the failed
     attempt wrote to its run folder only, so the last good table stays).
 
-    Malformed lines are kept with what was parsed of them under ``error_root/_bad_lines/<domain>``
-    and the staged table has only the domain's own columns; without
-    ``error_root`` the text stays beside the row in ``_corrupt_record``.
+    Malformed lines go, with what was parsed of them, to the table
+    ``_bad_lines/<domain>`` under ``error_root`` and not to staging, which gets
+    the good rows and the domain's own columns; one write splits the two, so
+    the folder is parsed once.  The status counts the good rows and says how
+    many lines were malformed.  Without ``error_root`` every row stays, with the
+    text of malformed lines beside them in ``_corrupt_record``.
 
     ``partition_by_date`` keeps one partition per load date: re-running a day
     replaces that day only, and readers select a day by partition pruning
@@ -62,18 +69,26 @@ def clean_domain(spark: SparkSession, raw_root: str, staging_root: str, domain:
     def rule(names):
         return plan_renames(plan_normalized_names(names, on_collision), renames, on_collision)
 
+    bad_lines, n_bad = f"{BAD_LINES}/{domain}", [0]
+
+    def keep_bad(rows):
+        n_bad[0] = rows.count()
+        if n_bad[0] or bad_lines in state(spark, error_root)[1]:   # a load without bad lines clears the last one's
+            write_domain(rows.withColumnRenamed(CORRUPT_COLUMN, "line"), error_root, bad_lines)
+
     def publish(out):
-        apart = error_root is not None and CORRUPT_COLUMN in out.columns
-        bad = None
-        if apart:
-            bad = Observation(f"sluice-bad-{uuid.uuid4().hex}")
-            out = out.observe(bad, F.count(CORRUPT_COLUMN).alias("n"))
-        path = write_domain(out.drop(CORRUPT_COLUMN) if apart else out, staging_root, domain,
-                            partition_by=["etl_date"] if partition_by_date else None)
-        if apart and bad.get["n"]:
-            lines = out.where(F.col(CORRUPT_COLUMN).isNotNull())
-            write_domain(lines.withColumnRenamed(CORRUPT_COLUMN, "line"), error_root, f"_bad_lines/{domain}")
-        return path
+        parts = ["etl_date"] if partition_by_date else None
+        if error_root is None or CORRUPT_COLUMN not in out.columns:
+            return write_domain(out, staging_root, domain, partition_by=parts)
+        if parts is None:
+            return write_apart(out, CORRUPT_COLUMN, staging_root, domain, keep_bad)
+        # partitions are replaced in place: split in a scratch table first
+        root = scratch_path(spark, "clean")
+        try:
+            write_apart(out, CORRUPT_COLUMN, root, domain, keep_bad)
+            return write_domain(read_domain(spark, root, domain), staging_root, domain, partition_by=parts)
+        finally:
+            drop_scratch(spark, root)
 
     def attempt(mode, reraise=None):
         named = [mode is True]  # whether the columns have their final names as they are read
@@ -90,7 +105,9 @@ def clean_domain(spark: SparkSession, raw_root: str, staging_root: str, domain:
         return gates.run_quarantined(
             spark, domain,
             build=lambda df: clean_frame(df, {} if named[0] else renames, as_of, on_collision),
-            publish=publish, error_root=error_root, raw=raw, reraise=reraise)
+            publish=publish, error_root=error_root, raw=raw, reraise=reraise,
+            counted=F.col(CORRUPT_COLUMN).isNull() if keep_corrupt and error_root is not None else None,
+            note=lambda: f"{n_bad[0]} malformed lines" if n_bad[0] else None)
 
     if align_headers != "auto":
         return attempt(align_headers)

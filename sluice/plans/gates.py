@@ -11,11 +11,11 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.sources.parquet import write_domain
+from sluice.sources.parquet import read_domain, write_domain
 
 STATUS_SCHEMA = T.StructType([
     T.StructField("domain", T.StringType()),
@@ -52,11 +52,14 @@ def error_class(exc: BaseException) -> str:
     return name or type(exc).__name__
 
 
-def publish_counted(df: DataFrame, publish: Callable[[DataFrame], str]) -> tuple[str, int]:
-    """Publish ``df`` and count its rows in the same job (an observed
-    metric of the write, merged once per finished partition)."""
+def publish_counted(df: DataFrame, publish: Callable[[DataFrame], str],
+                    counted: Column | None = None) -> tuple[str, int]:
+    """Publish ``df`` and count its rows (those for which ``counted`` holds) in
+    the same job: an observed metric of the write, merged once per finished
+    partition."""
     obs = Observation(f"sluice-rows-{uuid.uuid4().hex}")
-    path = publish(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    which = F.lit(1) if counted is None else F.when(counted, 1)
+    path = publish(df.observe(obs, F.count(which).alias("rows")))
     return path, int(obs.get["rows"])
 
 
@@ -64,9 +67,13 @@ def run_quarantined(spark: SparkSession, domain: str,
                     build: Callable[[DataFrame], DataFrame],
                     publish: Callable[[DataFrame], str], error_root: str | None,
                     raw: Callable[[], DataFrame], is_empty_skip: bool = True,
-                    reraise: Callable[[BaseException], bool] | None = None) -> Status:
+                    reraise: Callable[[BaseException], bool] | None = None,
+                    counted: Column | None = None,
+                    note: Callable[[], str | None] = lambda: None) -> Status:
     """Read this domain (``raw``), transform it (``build``) and publish it.
     Failures for which ``reraise`` is true propagate instead (for retries).
+    ``counted`` says which published rows the status counts, ``note`` what it
+    tells of a success.
 
     On failure *this domain's* raw frame goes to ``error_root`` and the status
     says why.  The try encloses the write, where lazy errors (bad casts, bad
@@ -77,8 +84,8 @@ def run_quarantined(spark: SparkSession, domain: str,
         raw_df = raw()
         if is_empty_skip and raw_df.isEmpty():
             return Status(domain, SKIPPED, "empty", 0)
-        _, rows = publish_counted(build(raw_df), publish)
-        return Status(domain, OK, None, rows)
+        _, rows = publish_counted(build(raw_df), publish, counted)
+        return Status(domain, OK, note(), rows)
     except Exception as exc:  # noqa: BLE001 - every failure becomes a status row
         if reraise is not None and reraise(exc):
             raise
@@ -124,7 +131,7 @@ def stale_domains(spark: SparkSession, root: str, domains: Iterable[str], as_of:
     stale = []
     for domain in domains:
         try:
-            df = spark.read.parquet(f"{root.rstrip('/')}/{domain}")
+            df = read_domain(spark, root, domain)
             fresh = not df.where(F.col(date_col) == F.lit(as_of).cast("date")).limit(1).isEmpty()
         except AnalysisException as exc:  # a missing or empty table is stale
             if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
-from collections.abc import Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterable, Mapping
 
-from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.stamps import add_etl_date, add_row_id
-from sluice.session import file_system, remove_path
+from sluice.session import file_system
+from sluice.sources.versions import commit, publish, resolve, state, write_tables
+
+#: Column of a malformed line's text in versions written by write_apart, and their two parts.
+LINE_COLUMN, GOOD_ROWS, BAD_ROWS = "_sl_line", "malformed=false", "malformed=true"
 
 
 def table_path(root: str, name: str) -> str:
@@ -22,9 +23,12 @@ def table_path(root: str, name: str) -> str:
 
 def read_domain(spark: SparkSession, root: str, domain: str,
                 as_of: dt.date | str | None = None, date_col: str = "etl_date") -> DataFrame:
-    """A staged domain (Parquet keeps its own schema).  With ``as_of``, only
-    that load: on a table partitioned by the date this prunes partitions."""
-    df = spark.read.parquet(table_path(root, domain))
+    """A table's current version (Parquet keeps its own schema).  With ``as_of``,
+    only that load: on a table partitioned by the date this prunes partitions."""
+    path = resolve(spark, root, domain)
+    df = spark.read.parquet(path)
+    if path.endswith(f"/{GOOD_ROWS}"):
+        df = df.drop(LINE_COLUMN)
     if as_of is not None:
         df = df.where(F.col(date_col) == F.lit(str(as_of)).cast("date"))
     return df
@@ -32,53 +36,59 @@ def read_domain(spark: SparkSession, root: str, domain: str,
 
 def write_domain(df: DataFrame, root: str, name: str, mode: str = "overwrite",
                  partition_by: list[str] | None = None) -> str:
-    """Replace (or append to) a table; returns its path.  Partitioned
-    overwrites replace only the partitions written (history is kept).
-
-    A replacement is written to a run folder beside the table and takes its
-    place only after the write has succeeded, so a failed run leaves the last
-    good table as it is.  (Partitioned overwrites and appends are staged by
-    Spark's own commit in the same way.)"""
-    path = table_path(root, name)
-    if partition_by or mode != "overwrite":
-        writer = df.write.mode(mode)
-        if partition_by:
-            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-        writer.parquet(path)
+    """Replace (or append to) a table; returns the path of its files.
+
+    A replacement is a new version that readers see once its commit is there
+    (:mod:`sluice.sources.versions`), so a run that fails at any step leaves the
+    last good table as it is.  Partitioned overwrites replace only the
+    partitions written (history is kept), and appends add files to the current
+    version; both are staged by Spark's own commit, in place."""
+    if partition_by:
+        path = table_path(root, name)
+        (df.write.mode(mode).partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+         .parquet(path))
+        unversion(df.sparkSession, root, name)
         return path
-    run = f"{root.rstrip('/')}/_runs/{name}-{uuid.uuid4().hex[:12]}"
-    try:
-        df.write.parquet(f"{run}/new")
-        publish_folder(df.sparkSession, f"{run}/new", path, f"{run}/old")
-    finally:
-        remove_path(df.sparkSession, run)
-        _remove_if_empty(df.sparkSession, f"{root.rstrip('/')}/_runs")
-    return path
-
-
-def publish_folder(spark: SparkSession, new: str, path: str, aside: str) -> None:
-    """Put a finished folder in the place of a table; the old one is moved
-    aside first and comes back if the new one cannot be moved in."""
-    fs, new_path = file_system(spark, new)
-    _, target = file_system(spark, path)
-    _, old = file_system(spark, aside)
-    had = fs.exists(target)
-    fs.mkdirs(target.getParent())
-    if had and not fs.rename(target, old):
-        raise OSError(f"cannot move {path} aside")
-    if not fs.rename(new_path, target):
-        if had:
-            fs.rename(old, target)
-        raise OSError(f"cannot publish {path}")
-
-
-def _remove_if_empty(spark: SparkSession, path: str) -> None:
+    if mode != "overwrite":
+        path = resolve(df.sparkSession, root, name)
+        df.write.mode(mode).parquet(path)
+        return path
+    return write_tables({name: df}, root)[name]
+
+
+def write_apart(df: DataFrame, line_column: str, root: str, name: str,
+                aside: Callable[[DataFrame], object]) -> str:
+    """Replace a table by the rows of ``df`` without text in ``line_column``; the
+    others go to ``aside`` before the table is committed.  Returns the path.
+
+    Both kinds are written in one job by a flag partition of the new version,
+    so the source is scanned once; readers see the good part only."""
+    spark = df.sparkSession
+    flagged = df.withColumnRenamed(line_column, LINE_COLUMN).withColumn("malformed", F.col(LINE_COLUMN).isNotNull())
+    schema = flagged.drop("malformed").schema
+
+    def write(path: str) -> str:
+        flagged.write.partitionBy("malformed").parquet(path)
+        if not _exists(spark, f"{path}/{GOOD_ROWS}"):
+            spark.createDataFrame([], schema).write.parquet(f"{path}/{GOOD_ROWS}")
+        bad = f"{path}/{BAD_ROWS}"
+        rows = spark.read.schema(schema).parquet(bad) if _exists(spark, bad) else spark.createDataFrame([], schema)
+        aside(rows.withColumnRenamed(LINE_COLUMN, line_column))
+        return GOOD_ROWS
+
+    return publish(spark, root, {name: write})[name]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
     fs, where = file_system(spark, path)
-    try:
-        if fs.exists(where) and len(fs.listStatus(where)) == 0:
-            fs.delete(where, False)
-    except Py4JJavaError:       # another job has just put its run folder there, or removed this one
-        pass
+    return fs.exists(where)
+
+
+def unversion(spark: SparkSession, root: str, name: str) -> None:
+    """Take a table that is now written in place out of the commits, with its versions."""
+    versions = state(spark, root)[1].get(name)
+    if versions:
+        commit(spark, root, {name: None})
 
 
 def stamp(df: DataFrame, as_of: dt.date | str | None = None, row_id: bool = True) -> DataFrame:
@@ -92,7 +102,8 @@ def write_facets(frames: Mapping[str, DataFrame], root: str, as_of: dt.date | st
                  stamp_rows: bool | Iterable[str] = True, parallel: int | None = None,
                  share_parent: DataFrame | None = None) -> dict[str, str]:
     """Write several named frames as concurrent Spark jobs (all at once by
-    default, so small facets fill the slots a large one leaves idle).
+    default, so small facets fill the slots a large one leaves idle) and
+    publish them as one set: readers see all new facets or none.
 
     ``stamp_rows``: True stamps every frame, False none, or the names of the
     frames to stamp (others keep the stamps they carry).  Each facet scan
@@ -104,16 +115,12 @@ def write_facets(frames: Mapping[str, DataFrame], root: str, as_of: dt.date | st
         restamp = set(frames) if stamp_rows else set()
     else:
         restamp = set(stamp_rows)
-    workers = parallel or min(8, max(1, len(frames)))
+    if not frames:
+        return {}
     if share_parent is not None:
         share_parent.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        def write(item):
-            name, frame = item
-            out = stamp(frame, as_of) if name in restamp else frame
-            return name, write_domain(out, root, name)
-        with ThreadPoolExecutor(max_workers=workers) as pool:
-            return dict(pool.map(write, frames.items()))
+        return write_tables({name: stamp(frame, as_of) if name in restamp else frame for name, frame in frames.items()}, root, parallel)
     finally:
         if share_parent is not None:
             share_parent.unpersist()

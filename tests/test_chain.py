@@ -1,5 +1,7 @@
 """End to end over raw CSV fixtures shaped like the reference's domains."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -205,9 +207,15 @@ def test_detect_changes_d20_and_routes(spark, roots):
     write_text(roots.replace("file:", "") + "/raw/penalties", "Pen.csv", "a\n1\n")
     assert [r.s3_key for r in run(spark, cfg).ingest.collect()] == ["raw/penalties/Pen.csv"]
     assert run(spark, cfg).ingest.count() == 0
-    cfg.listing = listing.withColumn("modifiedTime", F.lit("2025-02-01"))
+    # changed after the file that is there was written: not landed, so planned until it is
+    cfg.listing = listing.withColumn("modifiedTime", F.lit("2125-02-01T10:00:00.000Z"))
+    for _ in range(2):
+        assert run(spark, cfg).ingest.count() == 1
+        assert read_manifest(spark, roots + "/manifest", modified=True).where("modified_time > '2026'").count() == 0
+    os.utime(roots.replace("file:", "") + "/raw/penalties/Pen.csv", (4896000000, 4896000000))   # in 2125
     assert run(spark, cfg).ingest.count() == 1
-    assert read_manifest(spark, roots + "/manifest", modified=True).where("modified_time = '2025-02-01'").count() == 1
+    assert read_manifest(spark, roots + "/manifest", modified=True).where("modified_time > '2125'").count() == 1
+    assert run(spark, cfg).ingest.count() == 0
 
 
 def test_failed_clean_keeps_the_last_good_table(spark, tmp_root):
@@ -247,9 +255,21 @@ def test_bad_lines_are_kept_apart(spark, tmp_root):
     write_text(raw, "a.csv", "k,v\n1,x\n2,y,EXTRA\n3\n")
     st = clean_domain(spark, tmp_root + "/raw", tmp_root + "/staging", "dom", tmp_root + "/error")
     staged = read_domain(spark, tmp_root + "/staging", "dom")
-    assert st.status == gates.OK and "_corrupt_record" not in staged.columns and staged.count() == 3
-    lines = spark.read.parquet(tmp_root + "/error/_bad_lines/dom")
-    assert {r.line for r in lines.collect()} == {"2,y,EXTRA", "3"}
+    assert (st.status, st.reason, st.rows) == (gates.OK, "2 malformed lines", 1)
+    assert "_corrupt_record" not in staged.columns
+    assert [tuple(r)[:2] for r in staged.collect()] == [("1", "x")]
+    lines = read_domain(spark, tmp_root + "/error", "_bad_lines/dom")
+    assert {(r.line, r.k) for r in lines.collect()} == {("2,y,EXTRA", "2"), ("3", "3")}
+    # by load date: the same, and a load without bad lines clears the last one's
+    dated = clean_domain(spark, tmp_root + "/raw", tmp_root + "/dated", "dom", tmp_root + "/error",
+                         as_of="2025-01-31", partition_by_date=True)
+    assert dated.rows == 1 and read_domain(spark, tmp_root + "/dated", "dom", "2025-01-31").count() == 1
+    write_text(raw, "a.csv", "k,v\n1,x\n")
+    assert clean_domain(spark, tmp_root + "/raw", tmp_root + "/staging", "dom", tmp_root + "/error").reason is None
+    assert read_domain(spark, tmp_root + "/error", "_bad_lines/dom").count() == 0
+    write_text(raw, "a.csv", "k,v\n1\n")                     # bad lines only: an empty table
+    st = clean_domain(spark, tmp_root + "/raw", tmp_root + "/staging", "dom", tmp_root + "/error")
+    assert st.rows == 0 and read_domain(spark, tmp_root + "/staging", "dom").count() == 0
 
 
 def test_strict_sees_transform_failures(spark, roots):

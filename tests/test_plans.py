@@ -119,11 +119,11 @@ def test_cleaning_is_one_codegen_stage_without_shuffle(spark, tmp_root):
 def test_facet_scans_are_pruned(spark, tmp_root):
     from sluice.plans import catalog
     from sluice.plans.transform import provider_facets
-    from sluice.sources.parquet import write_domain
+    from sluice.sources.parquet import read_domain, write_domain
     write_domain(catalog._provider_like(spark, SF0001), tmp_root, "provider_info")
     write_domain(catalog._penalty_detail(spark, SF0001), tmp_root, "penalties")
-    prov = spark.read.parquet(tmp_root + "/provider_info")
-    det = spark.read.parquet(tmp_root + "/penalties")
+    prov = read_domain(spark, tmp_root, "provider_info")
+    det = read_domain(spark, tmp_root, "penalties")
     staffing = plan_text(provider_facets(prov, det, det)["staffing"])
     scan = [line for line in staffing.splitlines() if "ReadSchema" in line][0]
     assert "staffing_rating" in scan and "total_turnover" in scan
