@@ -3,7 +3,7 @@
     spark-submit sluice/cli.py clean     --source s3a://b/raw/ --staging s3a://b/staging/ --error s3a://b/error/
     spark-submit sluice/cli.py transform --domain provider --staging ... --transform ...
     spark-submit sluice/cli.py validate  --staging ... --required provider_info,penalties
-    spark-submit sluice/cli.py moves     --source ... --processed ... --error ... --tracked a,b --out ...
+    spark-submit sluice/cli.py moves     --source ... --processed ... --error ... --tracked a,b --status ... --apply --log ...
     spark-submit sluice/cli.py run       --raw ... --staging ... --transform ... --error ... --processed ...
 
 The session comes from ``spark-submit`` (cluster settings win); outside it a
@@ -47,6 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--staging", required=True)
     p.add_argument("--error")
     p.add_argument("--domains", type=_csv)
+    p.add_argument("--status-out", help="write the status table as JSON lines here, for moves")
     p.add_argument("--as-of")
     p.add_argument("--strict", action="store_true")
 
@@ -69,7 +70,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--error", required=True)
     p.add_argument("--tracked", type=_csv, required=True)
     p.add_argument("--failed", type=_csv, default=[], help="domains whose cleaning failed: their files go to the error root")
+    p.add_argument("--status", help="status table written by clean: domains that failed go to the error root")
     p.add_argument("--out", help="write the plan as Parquet here")
+    p.add_argument("--apply", action="store_true", help="move the files, not only plan it")
+    p.add_argument("--log", help="log of moves (default: _moves under --processed)")
 
     p = sub.add_parser("run", help="all stages in order")
     for flag in ("--raw", "--staging", "--transform", "--error", "--processed"):
@@ -84,6 +88,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--detect-changes", action="store_true", help="land a file again when its modifiedTime changed")
     p.add_argument("--landing-root", help="what manifest keys are relative to (default: the parent of --raw)")
     p.add_argument("--dry-run", action="store_true", help="plan only: write nothing")
+    p.add_argument("--apply-moves", action="store_true", help="move the cleaned raw files, not only plan it")
 
     args = parser.parse_args(argv)
     spark = _session()
@@ -94,6 +99,8 @@ def main(argv: list[str] | None = None) -> int:
         status = clean_all(spark, args.source, args.staging, args.error, args.domains,
                            as_of=args.as_of, strict=args.strict)
         status.show(truncate=False)
+        if args.status_out:
+            status.write.mode("overwrite").json(args.status_out)
         return int(gates.any_failed(status))
     elif args.cmd == "transform":
         from sluice.plans.transform import run_transform
@@ -116,11 +123,19 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "moves":
         from sluice.operators.inventory import move_plan
         from sluice.sources.files import list_files
+        failed = set(args.failed)
+        if args.status:
+            failed |= {r["domain"] for r in gates.failed_domains(spark.read.schema(gates.STATUS_SCHEMA).json(args.status)).collect()}
         plan = move_plan(list_files(spark, args.source).where("NOT hidden"), args.tracked,
-                         args.source, args.processed, args.error, failed=args.failed or None)
+                         args.source, args.processed, args.error, failed=sorted(failed) or None)
         if args.out:
             plan.write.mode("overwrite").parquet(args.out)
-        plan.groupBy("status").count().show()
+        if args.apply:
+            from sluice.plans.moves import apply_moves
+            log = apply_moves(spark, plan, args.log or f"{args.processed.rstrip('/')}/_moves")
+            log.groupBy("status", "outcome").count().show()
+        else:
+            plan.groupBy("status").count().show()
     elif args.cmd == "run":
         from sluice.plans.chain import RunConfig, run
         listing = None
@@ -138,7 +153,8 @@ def main(argv: list[str] | None = None) -> int:
                                    processed_root=args.processed, as_of=args.as_of,
                                    strict=args.strict, listing=listing,
                                    manifest_path=args.manifest, dry_run=args.dry_run, folder=args.folder,
-                                   detect_changes=args.detect_changes, landing_root=args.landing_root, **more))
+                                   detect_changes=args.detect_changes, landing_root=args.landing_root,
+                                   apply_moves=args.apply_moves, **more))
         if res.ingest is not None:
             res.ingest.show(truncate=False)
         res.stages.show(1000, truncate=False)

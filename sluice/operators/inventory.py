@@ -151,8 +151,8 @@ def move_plan(inventory: DataFrame, known: Iterable[str] | DataFrame, source_roo
               ) -> DataFrame:
     """(domain, key, source, target) for every file under a domain folder.
 
-    This is the dry-run report; the copies themselves are object-store calls
-    outside Spark (not built here)."""
+    This is the dry-run report; :func:`sluice.plans.moves.apply_moves` carries it
+    out."""
     routed = route_known(inventory.where(col(domain_col).isNotNull()), known, domain_col,
                          processed="processed", error="error", out="_sl_dest", failed=failed)
     root = F.when(F.col("_sl_dest") == "processed", F.lit(processed_root.rstrip("/")))\

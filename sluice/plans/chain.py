@@ -23,6 +23,7 @@ from sluice.operators.inventory import (count_by_domain, discover_domains, move_
 from sluice.plans import gates
 from sluice.plans.clean import clean_all
 from sluice.plans.ingest import ingest_plan
+from sluice.plans.moves import apply_moves
 from sluice.plans.presets import (DEFAULT_ROUTE, EXPORT_MIMES, LISTED_MIMES, RENAME_MAP,
                                   REQUIRED_DOMAINS, ROUTES)
 from sluice.plans.transform import provider_fanout, provider_transform, quality_transform
@@ -56,6 +57,8 @@ class RunConfig:
     detect_changes: bool = False          # a changed modifiedTime makes a file new (D20)
     landing_root: str | None = None       # what manifest keys are relative to (default: the parent of raw_root)
     dry_run: bool = False                 # plan only: nothing is written
+    apply_moves: bool = False             # move the raw files after they were cleaned, not only plan it
+    moves_log: str | None = None          # where the log of moves goes (default: _moves under processed_root)
     partition_by_date: bool = False       # staging keeps one partition per load date
     strict: bool = False
     parallel: int | None = None           # concurrent domain jobs (default: one per domain, ≤ 8)
@@ -154,9 +157,11 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
                        renames=cfg.renames, as_of=as_of, parallel=cfg.parallel,
                        partition_by_date=cfg.partition_by_date)
     cleaned = [gates.Status(*r) for r in status.collect()]  # one row per domain
-    failed = status.where(F.col("status").isin(gates.QUARANTINED, gates.FAILED)).select("domain")
+    failed = gates.failed_domains(status)
     moves = move_plan(raw_files, cfg.tracked, cfg.raw_root, cfg.processed_root, cfg.error_root,
                       failed=failed)
+    if cfg.apply_moves:
+        moves = apply_moves(spark, moves, cfg.moves_log or f"{cfg.processed_root.rstrip('/')}/_moves")
     counted = {} if cfg.partition_by_date else {s.domain: s.rows for s in cleaned if s.status == gates.OK}
     require_present(cfg.required, staged_inventory(spark, cfg.staging_root, cfg.min_rows, counted))
     if cfg.require_fresh:

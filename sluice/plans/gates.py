@@ -110,8 +110,12 @@ def stage_frame(spark: SparkSession, stages: Mapping[str, Iterable[Status]]) ->
     return spark.createDataFrame(rows, T.StructType([T.StructField("stage", T.StringType()), *STATUS_SCHEMA.fields]))
 
 
+def failed_domains(status: DataFrame) -> DataFrame:
+    return status.where(F.col("status").isin(QUARANTINED, FAILED)).select("domain")
+
+
 def any_failed(status: DataFrame) -> bool:
-    return not status.where(F.col("status").isin(QUARANTINED, FAILED)).isEmpty()
+    return not failed_domains(status).isEmpty()
 
 
 def check_strict(statuses: Iterable[Status]) -> None:

@@ -6,6 +6,9 @@ projection, never opens the files.
 
 from __future__ import annotations
 
+import re
+from urllib.parse import quote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +16,20 @@ from pyspark.sql import functions as F
 from sluice.functions.paths import first_folder_expr, relative_path_expr
 
 
-#: Planned splits of a listing that one task takes (a large file is a split).
-SPLITS_PER_TASK = 1000
+#: Files whose status one task looks up.
+FILES_PER_TASK = 500
+
+
+def open_store(uri: str):
+    """(file system, path) of a file, for tasks that read or write it themselves:
+    local paths, ``file:`` and what pyarrow opens (hdfs, s3, gs, abfs)."""
+    from pyarrow import fs
+
+    scheme, rest = re.fullmatch(r"(?:([A-Za-z][A-Za-z0-9+.-]*):)?(.*)", uri, re.S).groups()
+    if scheme in (None, "file"):
+        return fs.LocalFileSystem(), re.sub("^//+", "/", rest)
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    return fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
 
 
 def inventory_from_paths(paths: DataFrame, root: str, path_col: str = "path") -> DataFrame:
@@ -28,9 +43,20 @@ def inventory_from_paths(paths: DataFrame, root: str, path_col: str = "path") ->
             .withColumn("hidden", name.startswith("_") | name.startswith(".")))
 
 
+def _n_files(scan: DataFrame) -> int:
+    """Files of a file scan, counted in the driver's JVM; their names are not fetched."""
+    leaf = scan._jdf.queryExecution().analyzed().collectLeaves().head()
+    return len(leaf.relation().location().inputFiles()) if hasattr(leaf, "relation") and "LogicalRelation" in leaf.getClass().getName() else 0
+
+
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """Inventory of every file below ``root``: path, modification_time,
-    length, rel_path, domain, file_name, hidden."""
+    length, rel_path, domain, file_name, hidden.  Files without a byte are not
+    listed (Spark's file sources pass over them).
+
+    Spark lists the folders when the frame is made, by a job if there are many;
+    the frame's tasks look up the files, FILES_PER_TASK each, however large
+    they are."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -40,8 +66,8 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
         raw = spark.createDataFrame([], "path string, modificationTime timestamp, length long")
-    # splits are packed by file length although no file is opened: far fewer
-    # tasks do, and coalescing them moves no rows
-    tasks = max(1, raw.rdd.getNumPartitions() // SPLITS_PER_TASK)
+    # splits are packed by file length although no file is opened; coalescing
+    # them moves no rows
+    tasks = max(1, -(-_n_files(raw) // FILES_PER_TASK))
     paths = raw.select("path", F.col("modificationTime").alias("modification_time"), "length").coalesce(tasks)
     return inventory_from_paths(paths, root)

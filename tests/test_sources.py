@@ -116,3 +116,16 @@ def test_observed_row_count_on_empty_and_full_writes(spark, tmp_root):
     got = {n: publish_counted(df, lambda d, n=n: write_domain(d, tmp_root, n))[1]
            for n, df in cases.items()}
     assert got == {"zero_partitions": 0, "filtered": 0, "full": 1000}
+
+
+def test_listing_tasks_follow_the_number_of_files(spark, tmp_root):
+    from sluice.sources import files
+    root = local(tmp_root)
+    for i in range(3000):
+        write_text(f"{root}/many/d{i % 7}", f"{i}.csv", "x")
+    for i in range(24):
+        write_text(f"{root}/large/d", f"{i}.csv", "x" * 6_000_000)
+    many, large = (list_files(spark, f"{root}/{n}") for n in ("many", "large"))
+    tasks = [df.select(F.spark_partition_id().alias("p")).distinct().count() for df in (many, large)]
+    assert tasks[0] == -(-3000 // files.FILES_PER_TASK) and tasks[1] == 1
+    assert many.select("path").distinct().count() == 3000 and large.count() == 24
