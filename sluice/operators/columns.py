@@ -7,9 +7,10 @@ on wide tables) even though the optimizer collapses it afterwards.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,15 +66,32 @@ def cast_schema(df: DataFrame, schema: T.StructType | Mapping[str, T.DataType])
     return df.select(*out)
 
 
-def cast_audit(df: DataFrame, schema: T.StructType | Mapping[str, T.DataType]) -> DataFrame:
-    """One row: per cast column, how many non-null values the cast turns to
-    null.  One scan, partial aggregation per task."""
+def _lost_counts(df: DataFrame, schema: T.StructType | Mapping[str, T.DataType]) -> list[Column]:
+    """Per column that is cast, the count of non-null values that become null."""
     present = {f.name: f.dataType for f in df.schema.fields}
     aggs = []
     for name, target in _schema_items(schema):
         if name in present and present[name] != target:
             lost = col(name).isNotNull() & safe_cast(col(name), target, present[name]).isNull()
             aggs.append(F.count(F.when(lost, 1)).alias(name))
+    return aggs
+
+
+def cast_observed(df: DataFrame, schema: T.StructType | Mapping[str, T.DataType]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """:func:`cast_schema` that counts what it loses as the frame is written:
+    the frame, and a function that gives the lost values per column (those that
+    lost any) once one action over it has ended.  No extra scan."""
+    counts = _lost_counts(df, schema)
+    if not counts:
+        return cast_schema(df, schema), dict
+    seen = Observation(f"sluice-lost-{uuid.uuid4().hex}")
+    return cast_schema(df.observe(seen, *counts), schema), lambda: {c: int(n) for c, n in seen.get.items() if n}
+
+
+def cast_audit(df: DataFrame, schema: T.StructType | Mapping[str, T.DataType]) -> DataFrame:
+    """One row: per cast column, how many non-null values the cast turns to
+    null.  One scan, partial aggregation per task."""
+    aggs = _lost_counts(df, schema)
     if not aggs:
         return df.sparkSession.range(1).select(F.lit(0).alias("no_casts")).where(F.lit(False))
     return df.agg(*aggs)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.operators.columns import col
 from sluice.session import scratch_path
 
 _POS_BITS = 33  # monotonically_increasing_id keeps the in-partition position here
@@ -53,8 +54,64 @@ def add_dense_id(df: DataFrame, order_by: Sequence[str | Column], name: str = "r
                  work_path: str | None = None, tie_break: bool = True) -> DataFrame:
     """Ids 0..n-1 following ``order_by``, without a one-partition window.
 
-    1. Global sort (range-partitioned by Spark, sampled bounds); a hash of the
-       row breaks ties so a hot key value still spreads over partitions.
+    With column names (ascending, nulls first) the plan is lazy and moves each
+    row once: cut points from a sample of the keys give every row a key range,
+    by which the rows are shuffled; counts per range, taken from the same
+    shuffle, give running offsets, and a window numbers each range's rows.  A hash of the row breaks ties, in the cut points too, so a hot
+    key value spreads over ranges; rows that are equal in every column share one.
+    The sample holds the keys with the smallest hashes, so every execution
+    finds the same ranges as long as the source does not change.
+
+    Sort expressions (``F.desc("x")``) cannot be compared with cut points; for
+    those the sorted rows are written to ``work_path`` (or the scratch folder).
+    """
+    if not all(isinstance(k, str) for k in order_by):
+        return _dense_id_by_write(df, order_by, name, work_path, tie_break)
+    keys = [col(k) for k in order_by] + ([F.col("_sl_tie")] if tie_break else [])
+    bits = max(3, min(_MOST_BITS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")).bit_length()))
+    ranges = 1 << bits
+    rows = df.withColumn("_sl_tie", _row_hash(df)) if tie_break else df
+    key = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
+    sample = rows.select(key.alias("k")).orderBy(F.xxhash64("k")).limit(ranges * _SAMPLED)
+    # the sampled keys in order, as many cut points as fit a binary search
+    ordered = sample.agg(F.sort_array(F.collect_list("k")).alias("s"))
+    cuts = ordered.select(F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)),
+                                      lambda i: F.get("s", F.floor(i * F.size("s") / ranges).cast("int"))).alias("cuts"))
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(bits))])
+
+    def search(k: Column) -> Column:
+        """The number of cut points at or below a key."""
+        return F.aggregate(steps, F.lit(0), lambda low, step: low + F.when(
+            F.get("_sl_cuts", low + step - 1) <= k, step).otherwise(F.lit(0)))
+
+    # a one-element array, so that the key is made once and not at each step
+    at = F.get(F.transform(F.array(key), search), F.lit(0))
+    ranged = rows.withColumn("_sl_cuts", cuts.scalar()).withColumn("_sl_range", at).drop("_sl_cuts")
+    # rows are counted after they moved, from the same shuffle; all columns are touched, or
+    # the optimizer would prune them here, and move them twice
+    touch = F.xxhash64(*[col(f.name) for f in ranged.schema.fields if _hashable(f)])
+    counts = ranged.groupBy("_sl_range").agg((F.count_if(touch >= 0) + F.count_if(touch < 0)).alias("_sl_n"))
+    offsets = counts.select(F.col("_sl_range").alias("_sl_r"),
+                            (F.sum("_sl_n").over(Window.orderBy("_sl_range")) - F.col("_sl_n")).alias("_sl_off"))
+    spot = F.row_number().over(Window.partitionBy("_sl_range").orderBy(*keys)) - 1
+    numbered = ranged.withColumn("_sl_spot", spot)
+    # a left join: every range has an offset, and an inner one would search again to drop nulls
+    return (numbered.join(F.broadcast(offsets), numbered["_sl_range"] == offsets["_sl_r"], "left")
+            .select(*[col(c) for c in df.columns], (F.col("_sl_off") + F.col("_sl_spot")).alias(name)))
+
+
+#: Key ranges of dense ids are a power of two, this one at most; keys sampled for each.
+_MOST_BITS, _SAMPLED = 12, 64
+
+
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[col(f.name) for f in df.schema.fields if _hashable(f)])
+
+
+def _dense_id_by_write(df: DataFrame, order_by: Sequence[str | Column], name: str,
+                       work_path: str | None, tie_break: bool) -> DataFrame:
+    """1. Global sort (range-partitioned by Spark, sampled bounds), ties broken
+       by the row hash.
     2. Each row records its partition and in-partition position; the result
        is written once to the shared scratch folder, which fixes the order
        for the next steps and survives executor loss.
@@ -63,10 +120,9 @@ def add_dense_id(df: DataFrame, order_by: Sequence[str | Column], name: str = "r
     """
     spark = df.sparkSession
     path = work_path or scratch_path(spark, "dense-id")
-    keys = [F.col(k) if isinstance(k, str) else k for k in order_by]
+    keys = [col(k) if isinstance(k, str) else k for k in order_by]
     if tie_break:
-        hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if _hashable(f)]
-        keys.append(F.xxhash64(*hashable))
+        keys.append(_row_hash(df))
     staged = df.orderBy(*keys).select(
         "*", F.spark_partition_id().alias("_sl_part"),
         F.monotonically_increasing_id().alias("_sl_mid"))
@@ -78,5 +134,5 @@ def add_dense_id(df: DataFrame, order_by: Sequence[str | Column], name: str = "r
         (F.sum("_sl_n").over(Window.orderBy("_sl_part")) - F.col("_sl_n")).alias("_sl_off"))
     pos = F.col("_sl_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     return (back.join(F.broadcast(offsets), "_sl_part")
-            .select(*[F.col(f"`{c}`") for c in df.columns],
+            .select(*[col(c) for c in df.columns],
                     (F.col("_sl_off") + pos).alias(name)))

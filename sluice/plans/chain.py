@@ -14,6 +14,7 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ from sluice.plans.ingest import ingest_plan
 from sluice.plans.moves import apply_moves
 from sluice.plans.presets import (DEFAULT_ROUTE, EXPORT_MIMES, LISTED_MIMES, RENAME_MAP,
                                   REQUIRED_DOMAINS, ROUTES)
-from sluice.plans.transform import provider_fanout, provider_transform, quality_transform
+from sluice.plans.transform import PROVIDER_FACETS, provider_fanout, provider_transform, quality_transform
 from sluice.session import scratch_path
 from sluice.sources.files import list_files
 from sluice.sources.manifest import MODIFIED_FIELD, latest_records, read_manifest, write_manifest_entries
@@ -172,11 +173,11 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     day = as_of if cfg.partition_by_date else None
 
     def provider() -> tuple[dict, list[gates.Status]]:
+        statuses: list[gates.Status] = []
         try:
-            paths = provider_transform(spark, cfg.staging_root, cfg.transform_root, as_of, staging_as_of=day)
-            return paths, [gates.Status(name, gates.OK) for name in sorted(paths)]
-        except Exception as exc:  # noqa: BLE001 - every failure becomes a status row
-            return {}, [gates.Status("provider", gates.FAILED, gates.error_class(exc))]
+            return provider_transform(spark, cfg.staging_root, cfg.transform_root, as_of, staging_as_of=day, statuses=statuses), statuses
+        except Exception as exc:  # noqa: BLE001 - the set is published whole or not at all
+            return {}, [gates.Status(name, gates.FAILED, gates.error_class(exc)) for name in PROVIDER_FACETS]
 
     with ThreadPoolExecutor(max_workers=2) as pool:
         facets = pool.submit(provider)
@@ -189,6 +190,8 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         gates.check_strict([s for statuses in stages.values() for s in statuses])
     staged = {d: read_domain(spark, cfg.staging_root, d, day)
               for d in ("provider_info", "survey_summary", "penalties")}
-    fanout = provider_fanout(staged["provider_info"], staged["survey_summary"],
-                             staged["penalties"])
+    try:
+        fanout = provider_fanout(staged["provider_info"], staged["survey_summary"], staged["penalties"])
+    except AnalysisException:        # a staged table without the key: the facets' status tells it
+        fanout = None
     return RunResult(status, moves, transforms, gates.stage_frame(spark, stages), ingest, count_by_domain(raw_files), fanout)

@@ -42,6 +42,11 @@ class Status:
         return (self.domain, self.status, self.reason, self.rows)
 
 
+def lost_values(lost: Mapping[str, int]) -> str | None:
+    """What casts turned to null, as the reason of a status."""
+    return "lost values: " + ", ".join(f"{c}={n}" for c, n in sorted(lost.items())) if lost else None
+
+
 def error_class(exc: BaseException) -> str:
     """Short, stable reason: Spark's error class when there is one."""
     cond = getattr(exc, "getCondition", None) or getattr(exc, "getErrorClass", None)

@@ -8,13 +8,13 @@ projection (or a typed copy) of the measure table.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators.columns import cast_schema, drop_if_exists, select_fixed, select_keywords
+from sluice.operators.columns import cast_observed, cast_schema, drop_if_exists, select_fixed, select_keywords
 from sluice.operators.enrich import fanout_report, left_enrich
 from sluice.plans import gates
 from sluice.plans.presets import (DROP_LIST_A, FACILITY_COLUMNS, FACILITY_SCHEMA, KEY,
@@ -23,6 +23,8 @@ from sluice.plans.presets import (DROP_LIST_A, FACILITY_COLUMNS, FACILITY_SCHEMA
 from sluice.sources.csv import CORRUPT_COLUMN
 from sluice.sources.parquet import read_domain, stamp, write_domain, write_facets
 
+#: Tables of the provider set, published together.
+PROVIDER_FACETS = ("facility", "penalties", "rating", "staffing", "surveys")
 STAMP_COLUMNS = ("row_id", "etl_date", CORRUPT_COLUMN)
 
 
@@ -34,9 +36,14 @@ def provider_facets(provider: DataFrame, survey_summary: DataFrame, penalties: D
                     rating_keywords: Iterable[str] = RATING_KEYWORDS,
                     survey_keywords: Iterable[str] = SURVEY_KEYWORDS,
                     penalty_columns: Sequence[str] = PENALTY_COLUMNS,
-                    strategy: str = "split") -> dict[str, DataFrame]:
+                    strategy: str = "split", lost: dict[str, Callable[[], dict[str, int]]] | None = None,
+                    ) -> dict[str, DataFrame]:
     """The five provider facets as lazy frames.
 
+    With ``lost``, the facility facet (which holds the cast columns) counts the
+    values that its casts turn to null while it is written; its entry gives
+    them afterwards.
+
     ``facility`` keeps the staging stamps; the others are re-stamped when
     written.  Detail tables lose ``drop`` and their own stamps before the
     join, so the key is the only shared name.
@@ -45,8 +52,11 @@ def provider_facets(provider: DataFrame, survey_summary: DataFrame, penalties: D
     base = cast_schema(provider, schema) if schema is not None else provider
     detail_drop = list(drop) + list(STAMP_COLUMNS)
     surveys = drop_if_exists(select_keywords(base, survey_keywords), drop)
+    facility = base
+    if lost is not None and schema is not None:
+        facility, lost["facility"] = cast_observed(provider, schema)
     return {
-        "facility": select_fixed(base, facility_columns),
+        "facility": select_fixed(facility, facility_columns),
         "staffing": drop_if_exists(select_keywords(base, staffing_keywords), drop),
         "rating": drop_if_exists(select_keywords(base, rating_keywords), drop),
         "surveys": left_enrich(surveys, survey_summary, key, drop=detail_drop, strategy=strategy),
@@ -75,26 +85,39 @@ def provider_transform(spark: SparkSession, staging_root: str, transform_root: s
                        provider_domain: str = "provider_info",
                        survey_domain: str = "survey_summary",
                        penalty_domain: str = "penalties",
-                       staging_as_of: dt.date | str | None = None) -> dict[str, str]:
+                       staging_as_of: dt.date | str | None = None,
+                       statuses: list[gates.Status] | None = None) -> dict[str, str]:
     """Read the three staged domains (only the ``staging_as_of`` load when
-    given), write the facets; returns their paths."""
+    given), write the facets as one set; returns their paths.  ``statuses`` gets
+    a row per facet: its rows, and the values that casts lost by column."""
+    lost: dict = {}
+    counts: dict[str, int] = {}
     facets = provider_facets(
         read_domain(spark, staging_root, provider_domain, staging_as_of),
         read_domain(spark, staging_root, survey_domain, staging_as_of),
         read_domain(spark, staging_root, penalty_domain, staging_as_of),
-        schema=FACILITY_SCHEMA if typed else None, strategy=strategy)
+        schema=FACILITY_SCHEMA if typed else None, strategy=strategy, lost=lost)
     restamp = [name for name in facets if name != "facility"]
-    return write_facets(facets, transform_root, as_of, stamp_rows=restamp, parallel=parallel)
+    paths = write_facets(facets, transform_root, as_of, stamp_rows=restamp, parallel=parallel, counts=counts)
+    if statuses is not None:
+        statuses += [gates.Status(n, gates.OK, gates.lost_values(lost[n]()) if n in lost else None, counts[n]) for n in sorted(facets)]
+    return paths
 
 
 def quality_frame(df: DataFrame, typed: bool = False, drop: Sequence[str] = DROP_LIST_A,
                   columns: Sequence[str] = QUALITY_COLUMNS,
                   schema: T.StructType = QUALITY_SCHEMA,
-                  as_of: dt.date | str | None = None) -> DataFrame:
+                  as_of: dt.date | str | None = None,
+                  lost: dict[str, Callable[[], dict[str, int]]] | None = None) -> DataFrame:
     """Projected variant: drop list, fixed 18 columns, stamps.
-    Typed variant: every column kept, schema casts, stamps."""
+    Typed variant: every column kept, schema casts, stamps; with ``lost``, the
+    values that the casts lose are counted as the frame is written."""
     df = drop_if_exists(df, [CORRUPT_COLUMN])
-    out = cast_schema(df, schema) if typed else select_fixed(drop_if_exists(df, drop), columns)
+    if not typed:
+        return stamp(select_fixed(drop_if_exists(df, drop), columns), as_of)
+    if lost is None:
+        return stamp(cast_schema(df, schema), as_of)
+    out, lost["quality"] = cast_observed(df, schema)
     return stamp(out, as_of)
 
 
@@ -102,10 +125,13 @@ def quality_transform(spark: SparkSession, staging_root: str, transform_root: st
                       error_root: str | None = None, as_of: dt.date | str | None = None,
                       typed: bool = False, domain: str = "qualitymsr_mds",
                       staging_as_of: dt.date | str | None = None) -> gates.Status:
-    """Quality domain with quarantine of its staged rows on failure."""
+    """Quality domain with quarantine of its staged rows on failure; the status
+    of the typed variant tells the values that casts lost by column."""
+    lost: dict = {}
     return gates.run_quarantined(
         spark, domain,
-        build=lambda raw: quality_frame(raw, typed, as_of=as_of),
+        build=lambda raw: quality_frame(raw, typed, as_of=as_of, lost=lost),
+        note=lambda: gates.lost_values(lost["quality"]()) if lost else None,
         publish=lambda out: write_domain(out, transform_root, domain),
         error_root=error_root,
         raw=lambda: read_domain(spark, staging_root, domain, staging_as_of),

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.stamps import add_etl_date, add_row_id
@@ -100,7 +101,7 @@ def stamp(df: DataFrame, as_of: dt.date | str | None = None, row_id: bool = True
 
 def write_facets(frames: Mapping[str, DataFrame], root: str, as_of: dt.date | str | None = None,
                  stamp_rows: bool | Iterable[str] = True, parallel: int | None = None,
-                 share_parent: DataFrame | None = None) -> dict[str, str]:
+                 share_parent: DataFrame | None = None, counts: dict[str, int] | None = None) -> dict[str, str]:
     """Write several named frames as concurrent Spark jobs (all at once by
     default, so small facets fill the slots a large one leaves idle) and
     publish them as one set: readers see all new facets or none.
@@ -109,7 +110,8 @@ def write_facets(frames: Mapping[str, DataFrame], root: str, as_of: dt.date | st
     frames to stamp (others keep the stamps they carry).  Each facet scan
     reads only its own columns from Parquet, so by default nothing is
     cached.  ``share_parent`` persists that frame (memory and disk) for the
-    duration of the writes when facets overlap heavily.
+    duration of the writes when facets overlap heavily.  ``counts`` is filled
+    with the rows of each facet, counted as they are written.
     """
     if isinstance(stamp_rows, bool):
         restamp = set(frames) if stamp_rows else set()
@@ -120,7 +122,13 @@ def write_facets(frames: Mapping[str, DataFrame], root: str, as_of: dt.date | st
     if share_parent is not None:
         share_parent.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return write_tables({name: stamp(frame, as_of) if name in restamp else frame for name, frame in frames.items()}, root, parallel)
+        out = {name: stamp(frame, as_of) if name in restamp else frame for name, frame in frames.items()}
+        if counts is None:
+            return write_tables(out, root, parallel)
+        seen = {name: Observation(f"sluice-rows-{uuid.uuid4().hex}") for name in out}
+        paths = write_tables({name: frame.observe(seen[name], F.count(F.lit(1)).alias("n")) for name, frame in out.items()}, root, parallel)
+        counts.update({name: int(o.get["n"]) for name, o in seen.items()})
+        return paths
     finally:
         if share_parent is not None:
             share_parent.unpersist()

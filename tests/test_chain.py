@@ -390,3 +390,32 @@ def test_run_reports_fanout_d15(spark, roots):
     rep = {r.facet: (r.left_rows, r.output_rows, r.max_matches, r.repeated_left_rows)
            for r in res.fanout.collect()}
     assert rep == {"surveys": (3, 4, 2, 1), "penalties": (3, 3, 1, 0)}
+
+
+def test_run_lists_lost_values_and_rows_per_facet(spark, roots):
+    raw = roots.replace("file:", "") + "/raw/provider_info/p.csv"
+    with open(raw) as fh:
+        text = fh.read()
+    with open(raw, "w") as fh:
+        fh.write(text.replace(",100,", ",many,").replace(",2001-02-03,", ",02/03/2001,", 2))
+    cfg = RunConfig(raw_root=roots + "/raw", staging_root=roots + "/staging", transform_root=roots + "/transform",
+                    error_root=roots + "/error", processed_root=roots + "/processed", as_of="2025-01-31")
+    stages = {(r.stage, r.domain): r for r in run(spark, cfg).stages.collect()}
+    assert stages["provider", "facility"].reason == (
+        "lost values: date_first_approved_to_provide_medicare_and_medicaid_services=2, number_of_certified_beds=1")
+    assert {d: r.rows for (s, d), r in stages.items() if s == "provider"} == {
+        "facility": 3, "staffing": 3, "rating": 3, "surveys": 4, "penalties": 3}
+    typed = quality_transform(spark, roots + "/staging", roots + "/typed", typed=True)
+    assert typed.reason == "lost values: q3_measure_score=1"
+
+
+def test_failed_facet_leaves_the_last_set(spark, roots):
+    cfg = RunConfig(raw_root=roots + "/raw", staging_root=roots + "/staging", transform_root=roots + "/transform",
+                    error_root=roots + "/error", processed_root=roots + "/processed", as_of="2025-01-31")
+    run(spark, cfg)
+    before = {n: read_domain(spark, cfg.transform_root, n).count() for n in ("facility", "surveys", "penalties")}
+    write_text(roots.replace("file:", "") + "/raw/survey_summary", "s.csv", "Something Else\n1\n")
+    write_text(roots.replace("file:", "") + "/raw/provider_info", "more.csv", PROVIDER + provider_row(7))
+    stages = {(r.stage, r.domain): r.status for r in run(spark, cfg).stages.collect()}
+    assert {s for (stage, _), s in stages.items() if stage == "provider"} == {gates.FAILED}
+    assert {n: read_domain(spark, cfg.transform_root, n).count() for n in before} == before
