@@ -54,13 +54,15 @@ def add_dense_id(df: DataFrame, order_by: Sequence[str | Column], name: str = "r
                  work_path: str | None = None, tie_break: bool = True) -> DataFrame:
     """Ids 0..n-1 following ``order_by``, without a one-partition window.
 
-    With column names (ascending, nulls first) the plan is lazy and moves each
-    row once: cut points from a sample of the keys give every row a key range,
-    by which the rows are shuffled; counts per range, taken from the same
-    shuffle, give running offsets, and a window numbers each range's rows.  A hash of the row breaks ties, in the cut points too, so a hot
-    key value spreads over ranges; rows that are equal in every column share one.
-    The sample holds the keys with the smallest hashes, so every execution
-    finds the same ranges as long as the source does not change.
+    With column names (ascending, nulls first) the plan is lazy, nothing is
+    written and each row moves once.  A sample of the keys gives cells of equal
+    width of the first key, by which rows are shuffled; cells with more than an
+    even share of the sample are parted further by cut points of the whole key.
+    Counts per part (partial sums before their shuffle) give running offsets,
+    and a window numbers each part's rows.  A hash of the row breaks ties, in the cut
+    points too, so a hot key value spreads; rows that are equal in every column
+    share a part.  The sample holds the keys with the smallest hashes, so every
+    execution finds the same parts as long as the source does not change.
 
     Sort expressions (``F.desc("x")``) cannot be compared with cut points; for
     those the sorted rows are written to ``work_path`` (or the scratch folder).
@@ -69,39 +71,83 @@ def add_dense_id(df: DataFrame, order_by: Sequence[str | Column], name: str = "r
         return _dense_id_by_write(df, order_by, name, work_path, tie_break)
     keys = [col(k) for k in order_by] + ([F.col("_sl_tie")] if tie_break else [])
     bits = max(3, min(_MOST_BITS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")).bit_length()))
-    ranges = 1 << bits
     rows = df.withColumn("_sl_tie", _row_hash(df)) if tie_break else df
     key = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
-    sample = rows.select(key.alias("k")).orderBy(F.xxhash64("k")).limit(ranges * _SAMPLED)
-    # the sampled keys in order, as many cut points as fit a binary search
-    ordered = sample.agg(F.sort_array(F.collect_list("k")).alias("s"))
-    cuts = ordered.select(F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)),
-                                      lambda i: F.get("s", F.floor(i * F.size("s") / ranges).cast("int"))).alias("cuts"))
+    place = _as_number(keys[0], df.schema[_field_of(df, order_by[0])].dataType)
+    sample = rows.select(key.alias("k"), place.alias("at")).orderBy(F.xxhash64("k")).limit((1 << bits) * _SAMPLED)
+    plan = _range_plan(sample, 1 << bits)
+    ranged = (rows.withColumn("_sl_plan", plan.scalar())
+              .withColumn("_sl_cell", _cell(place, F.col("_sl_plan.low"), F.col("_sl_plan.high")))
+              .withColumn("_sl_cut", F.when(F.array_contains("_sl_plan.hot", F.col("_sl_cell")), _search("_sl_plan.cuts", key, bits)).otherwise(F.lit(0)))
+              .drop("_sl_plan"))
+    counts = ranged.groupBy("_sl_cell", "_sl_cut").agg(F.count(F.lit(1)).alias("_sl_n"))
+    offsets = counts.select(F.col("_sl_cell").alias("_sl_c"), F.col("_sl_cut").alias("_sl_d"),
+                            (F.sum("_sl_n").over(Window.orderBy("_sl_cell", "_sl_cut")) - F.col("_sl_n")).alias("_sl_off"))
+    spot = F.row_number().over(Window.partitionBy("_sl_cell", "_sl_cut").orderBy(*keys)) - 1
+    numbered = ranged.withColumn("_sl_spot", spot)
+    same = (numbered["_sl_cell"] == offsets["_sl_c"]) & (numbered["_sl_cut"] == offsets["_sl_d"])
+    # a left join: every range has an offset, and an inner one would compute it again to drop nulls
+    return (numbered.join(F.broadcast(offsets), same, "left")
+            .select(*[col(c) for c in df.columns], (F.col("_sl_off") + F.col("_sl_spot")).alias(name)))
+
+
+#: Cells of equal width between the least and the greatest sampled first key.
+_CELLS = 1 << 14
+#: Cut points inside hot cells are a power of two less one, this power at most; keys sampled for each.
+_MOST_BITS, _SAMPLED = 14, 64
+
+
+def _field_of(df: DataFrame, name: str) -> str:
+    return next(f.name for f in df.schema.fields if f.name.lower() == name.lower())
+
+
+def _as_number(key: Column, kind: T.DataType) -> Column:
+    """A number that never falls as the key grows; null for kinds without one, and for null keys."""
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return key.cast("double") if isinstance(kind, T.NumericType) else key.cast("int").cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(key).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(key).cast("double")
+    return F.lit(None).cast("double")
+
+
+def _cell(place: Column, low: Column, high: Column) -> Column:
+    """The cell of a key, rising with it: -1 for nulls and keys without a number, the last for NaN."""
+    step = F.floor((place - low) / F.nullif(high - low, F.lit(0.0)) * _CELLS)
+    inside = F.least(F.greatest(step, F.lit(0)), F.lit(_CELLS)).cast("int")
+    return (F.when(place.isNull(), F.lit(-1)).when(F.isnan(place), F.lit(_CELLS + 1))
+            .when(place < low, F.lit(0)).when(place > high, F.lit(_CELLS)).otherwise(F.coalesce(inside, F.lit(0))))
+
+
+def _range_plan(sample: DataFrame, ranges: int) -> DataFrame:
+    """One row and column: least and greatest number, cells that hold more than an even share of the
+    sampled keys, and cut points that part the sampled keys in even shares."""
+    finite = F.when(~F.isnan("at") & (F.abs("at") < F.lit(float("inf"))), F.col("at"))
+    ends = sample.agg(F.min(finite).alias("low"), F.max(finite).alias("high"), F.sort_array(F.collect_list("k")).alias("s"), F.collect_list(F.struct("at")).alias("p"))
+    cells = ends.withColumn("c", F.transform("p", lambda x: _cell(x["at"], F.col("low"), F.col("high"))))
+    share = F.greatest(F.lit(2), F.floor(F.size("s") / ranges).cast("int"))
+
+    def crowded(each: Column) -> Column:
+        """Of sorted cells, those that the one an even share further on equals."""
+        return F.array_distinct(F.filter(each, lambda c, i: F.coalesce(F.get(each, i + share) == c, F.lit(False))))
+
+    # one-element arrays, so that what lies in them is made once and not for each element
+    hot = F.get(F.transform(F.array(F.array_sort("c")), crowded), F.lit(0))
+    cuts = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get("s", F.floor(i * F.size("s") / ranges).cast("int")))
+    return cells.select(F.struct("low", "high", hot.alias("hot"), cuts.alias("cuts")).alias("plan"))
+
+
+def _search(cuts: str, key: Column, bits: int) -> Column:
+    """The number of cut points at or below a key: a binary search."""
     steps = F.array(*[F.lit(1 << b) for b in reversed(range(bits))])
 
     def search(k: Column) -> Column:
-        """The number of cut points at or below a key."""
         return F.aggregate(steps, F.lit(0), lambda low, step: low + F.when(
-            F.get("_sl_cuts", low + step - 1) <= k, step).otherwise(F.lit(0)))
-
-    # a one-element array, so that the key is made once and not at each step
-    at = F.get(F.transform(F.array(key), search), F.lit(0))
-    ranged = rows.withColumn("_sl_cuts", cuts.scalar()).withColumn("_sl_range", at).drop("_sl_cuts")
-    # rows are counted after they moved, from the same shuffle; all columns are touched, or
-    # the optimizer would prune them here, and move them twice
-    touch = F.xxhash64(*[col(f.name) for f in ranged.schema.fields if _hashable(f)])
-    counts = ranged.groupBy("_sl_range").agg((F.count_if(touch >= 0) + F.count_if(touch < 0)).alias("_sl_n"))
-    offsets = counts.select(F.col("_sl_range").alias("_sl_r"),
-                            (F.sum("_sl_n").over(Window.orderBy("_sl_range")) - F.col("_sl_n")).alias("_sl_off"))
-    spot = F.row_number().over(Window.partitionBy("_sl_range").orderBy(*keys)) - 1
-    numbered = ranged.withColumn("_sl_spot", spot)
-    # a left join: every range has an offset, and an inner one would search again to drop nulls
-    return (numbered.join(F.broadcast(offsets), numbered["_sl_range"] == offsets["_sl_r"], "left")
-            .select(*[col(c) for c in df.columns], (F.col("_sl_off") + F.col("_sl_spot")).alias(name)))
-
+            F.get(cuts, low + step - 1) <= k, step).otherwise(F.lit(0)))
 
-#: Key ranges of dense ids are a power of two, this one at most; keys sampled for each.
-_MOST_BITS, _SAMPLED = 12, 64
+    # a one-element array again: the key is made once and not at each step
+    return F.get(F.transform(F.array(key), search), F.lit(0))
 
 
 def _row_hash(df: DataFrame) -> Column:

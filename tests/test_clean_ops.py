@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.columns import (cast_audit, cast_schema, drop_if_exists, select_fixed,
@@ -140,3 +141,34 @@ def test_int_fast_path_equals_pattern_path(spark, texts):
     slow = [r.v for r in df.select(F.regexp_extract("v", INT_TEXT_PATTERN, 1)
                                    .try_cast("int").alias("v")).collect()]
     assert fast == slow
+
+
+@pytest.mark.parametrize("by_search", [False, True])
+def test_dense_ids_follow_nulls_types_and_hot_keys(spark, monkeypatch, by_search):
+    import random
+
+    from sluice.operators import stamps
+    if by_search:
+        monkeypatch.setattr(stamps, "_CELLS", 2)          # every cell is hot
+    rng = random.Random(4)
+    days = [None, *(dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(5))]
+    rows = [(rng.choice([None, "a", "a", "a", "b", "\u00fc", ""]), rng.choice([None, 0.5, -1.0, float("inf"), float("nan"), 1e300]), rng.choice(days), i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "s string, `x.y` double, d date, i int").repartition(5)
+    for keys in (["s", "x.y", "d", "i"], ["x.y", "i"], ["d", "i"], ["i"]):
+        out = add_row_id(df, mode="dense", order_by=keys)
+        got = [tuple(r) for r in out.orderBy("row_id").collect()]
+        want = [tuple(r) for r in df.orderBy(*[f"`{k}`" for k in keys]).collect()]
+        assert [r[3] for r in got] == [r[3] for r in want] and [r[-1] for r in got] == list(range(2000))
+    assert add_row_id(df.where("i < 0"), mode="dense", order_by=["i"]).count() == 0
+    same = df.select(F.lit(1).alias("k"), F.lit("x").alias("v"))            # equal in every column
+    assert sorted(r.row_id for r in add_row_id(same, mode="dense", order_by=["k"]).collect()) == list(range(2000))
+    down = add_row_id(df, mode="dense", order_by=[F.desc("i")])
+    assert [r.i for r in down.orderBy("row_id").collect()] == list(range(1999, -1, -1))
+
+
+def test_dense_ids_are_lazy_and_write_nothing(spark):
+    df = spark.range(0, 5000).selectExpr("id * 7 % 5000 AS k", "id AS v")
+    out = add_row_id(df, mode="dense", order_by=["k"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" not in plan and "SinglePartition" not in plan.split("BroadcastExchange")[0]
+    assert out.where("row_id <> k").isEmpty()
