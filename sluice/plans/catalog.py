@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,18 +31,19 @@ from sluice.operators.inventory import (count_by_domain, discover_domains, filte
 from sluice.operators.stamps import add_etl_date, add_row_id
 from sluice.plans import gates
 from sluice.plans.chain import landed
-from sluice.plans.clean import clean_all, clean_domain
+from sluice.plans.clean import BAD_LINES, clean_all, clean_domain
 from sluice.plans.ingest import ingest_plan, next_manifest
+from sluice.plans.moves import apply_moves
 from sluice.plans.presets import (CSV_MIME, DROP_LIST_A, EXPORT_MIMES, FACILITY_COLUMNS,
                                   FACILITY_SCHEMA, LISTED_MIMES, PENALTY_COLUMNS,
                                   QUALITY_SCHEMA, SPREADSHEET_MIME)
-from sluice.plans.transform import provider_fanout, provider_transform, quality_frame
+from sluice.plans.transform import provider_fanout, provider_transform, quality_frame, quality_transform
 from sluice.session import scratch_path
 from sluice.sources.csv import read_raw, write_csv
 from sluice.sources.files import inventory_from_paths, list_files
-from sluice.sources.manifest import manifest_entries, read_manifest
+from sluice.sources.manifest import compact_manifest, manifest_entries, read_manifest, write_manifest_entries
 from sluice.sources.parquet import read_domain, stamp, write_domain, write_facets
-from sluice.streaming.pickup import run_incremental_clean
+from sluice.streaming.pickup import read_pickup, rejected_path_of, run_incremental_clean
 
 # ---- fixed values for the registered queries ----
 AS_OF = "2025-01-31"
@@ -404,14 +406,19 @@ def q_manifest_append(spark, sf_dir):
 # ---------------------------------------------------------------- sources / sinks
 
 
+#: Column orders of six files' headers; a name with a space, and columns that some files lack.
+CSV_LAYOUTS = [["s_suppkey", "s_name", "s_nationkey"], ["s_nationkey", "s_suppkey", "s_name"], ["s_name", "s_nationkey", "s_suppkey"],
+               ["s_suppkey", "s_name"], ["s_name", "Also Known", "s_suppkey", "s_nationkey"], ["Also Known", "s_suppkey"]]
+
+
 def q_csv_scan(spark, sf_dir):
+    """Files of six layouts in one folder, parsed once and aligned by name."""
     s = table(spark, sf_dir, "supplier")
     path = scratch_path(spark, "raw-supplier")
-    low = F.col("s_nationkey") < 12
-    as_text = [F.col(c).cast("string").alias(c) for c in ("s_suppkey", "s_name", "s_nationkey")]
-    write_csv(s.where(low).select(*as_text), path, "append")
-    write_csv(s.where(~low).select(*as_text).select("s_nationkey", "s_suppkey", "s_name"), path,
-              "append")
+    texts = s.select(*[F.col(c).cast("string").alias(c) for c in ("s_suppkey", "s_name", "s_nationkey")],
+                     F.concat(F.lit("aka, "), "s_name").alias("Also Known"), F.coalesce(F.pmod("s_suppkey", F.lit(len(CSV_LAYOUTS))), F.lit(0)).alias("layout"))
+    for i, names in enumerate(CSV_LAYOUTS):
+        write_csv(texts.where(F.col("layout") == i).select(*names), path, "append")
     return read_raw(spark, path)
 
 
@@ -509,13 +516,50 @@ def q_incremental_clean(spark, sf_dir):
     raw_path = scratch_path(spark, "raw-stream")
     out = scratch_path(spark, "staging-stream")
     ckpt = scratch_path(spark, "stream-ckpt")
-    low = F.col(" State ").cast("int") < 12
+    low = F.coalesce(F.col(" State ").cast("int") < 12, F.lit(False))
     header = raw.columns
     write_csv(raw.where(low), raw_path, "append")
     run_incremental_clean(spark, raw_path, header, out, ckpt, as_of=AS_OF)
-    write_csv(raw.where(~F.coalesce(low, F.lit(False))), raw_path, "append")
+    write_csv(raw.where(~low), raw_path, "append")
     run_incremental_clean(spark, raw_path, header, out, ckpt, as_of=AS_OF)
-    return spark.read.parquet(out)
+    return read_pickup(spark, out)
+
+
+def _write_bad_lines(spark, sf_dir, path):
+    """A raw provider file with a field too many on the line of every seventh customer."""
+    c = table(spark, sf_dir, "customer").where("c_custkey % 7 = 0")
+    header = ",".join(_raw_customers(spark, sf_dir).columns)
+    lines = c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", F.col("c_nationkey").cast("string"), "c_mktsegment", F.lit("one too many")).alias(header))
+    # a column of whole lines under a header of whole names
+    lines.write.mode("append").option("header", True).option("sep", "\u0001").option("quote", "\u0000").option("escapeQuotes", False).csv(path)
+
+
+def q_clean_bad_lines(spark, sf_dir):
+    """Good rows reach staging, malformed lines the error root, by one write."""
+    raw_root, staging, error = (scratch_path(spark, n) for n in ("raw", "staging", "error"))
+    write_csv(_raw_customers(spark, sf_dir), f"{raw_root}/provider_info")
+    _write_bad_lines(spark, sf_dir, f"{raw_root}/provider_info")
+    status = clean_domain(spark, raw_root, staging, "provider_info", error, as_of=AS_OF)
+    good = read_domain(spark, staging, "provider_info").select("facility_number", F.lit(None).cast("string").alias("line"))
+    bad = read_domain(spark, error, f"{BAD_LINES}/provider_info").select("facility_number", "line")
+    return good.unionAll(bad).withColumn("reason", F.lit(status.reason)).withColumn("n_good", F.lit(status.rows))
+
+
+def q_incremental_rejects(spark, sf_dir):
+    """A file with other columns and malformed lines beside a good file, and a later
+    good one: what landed, and what was set aside and why."""
+    raw = _raw_customers(spark, sf_dir)
+    raw_path, out, ckpt = (scratch_path(spark, n) for n in ("raw-stream", "staging-stream", "stream-ckpt"))
+    odd = F.coalesce(F.pmod(F.col("`CMS Certification Number (CCN)`").cast("long"), F.lit(2)) == 1, F.lit(False))
+    turned = list(reversed(raw.columns))
+    write_csv(raw.where(odd), raw_path, "append")
+    write_csv(table(spark, sf_dir, "nation").select("n_nationkey", "n_name").coalesce(1), raw_path, "append")
+    _write_bad_lines(spark, sf_dir, raw_path)
+    run_incremental_clean(spark, raw_path, raw.columns, out, ckpt, as_of=AS_OF)
+    write_csv(raw.where(~odd).select(*[f"`{c}`" for c in turned]), raw_path, "append")
+    run_incremental_clean(spark, raw_path, raw.columns, out, ckpt, as_of=AS_OF)
+    landed_rows = read_pickup(spark, out).select(F.concat_ws("|", "facility_number", "facility_name", "state", "ownership_type").alias("line"), F.lit("landed").alias("reason"))
+    return landed_rows.unionAll(read_pickup(spark, rejected_path_of(out)).select("line", "reason"))
 
 
 def _provider_like(spark, sf_dir):
@@ -605,6 +649,24 @@ def q_provider_surveys(spark, sf_dir):
     return spark.read.parquet(paths["surveys"]).drop("row_id")
 
 
+def q_provider_staffing(spark, sf_dir):
+    """Staffing facet: keyword columns without the drop list, re-stamped."""
+    return spark.read.parquet(_provider_run(spark, sf_dir)["staffing"]).drop("row_id")
+
+
+def q_provider_rating(spark, sf_dir):
+    """Rating facet: the loose rating keywords also take every footnote column."""
+    return spark.read.parquet(_provider_run(spark, sf_dir)["rating"]).drop("row_id")
+
+
+def q_provider_untyped(spark, sf_dir):
+    """Facility facet of the variant without casts: every column stays text."""
+    staging, transform = scratch_path(spark, "staging"), scratch_path(spark, "transform")
+    for name, frame in (("provider_info", _provider_like(spark, sf_dir)), ("survey_summary", _survey_detail(spark, sf_dir)), ("penalties", _penalty_detail(spark, sf_dir))):
+        write_domain(frame, staging, name)
+    return spark.read.parquet(provider_transform(spark, staging, transform, as_of=AS_OF, typed=False)["facility"]).drop("row_id")
+
+
 def q_provider_facets(spark, sf_dir):
     paths = _provider_run(spark, sf_dir)
     out = None
@@ -659,6 +721,73 @@ def q_publish_on_failure(spark, sf_dir):
     return read_domain(spark, staging, "customers").withColumn("last_load", F.lit(status.status))
 
 
+def q_facets_as_set(spark, sf_dir):
+    """Five facets published, then a load whose third facet fails while it is
+    written: all five are those of the first load."""
+    root = scratch_path(spark, "facets")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
+    names = ("facility", "staffing", "rating", "surveys", "penalties")
+
+    def load(n, bad=None):
+        frames = {f: li.select("l_orderkey", F.lit(n).alias("load")) for f in names}
+        if bad:
+            frames[bad] = li.select(F.when(F.col("l_orderkey") >= 0, F.raise_error(F.lit("late"))).otherwise(F.col("l_orderkey")).alias("l_orderkey"), F.lit(n).alias("load"))
+        return write_facets(frames, root, AS_OF, stamp_rows=False)
+
+    load(1)
+    try:
+        load(2, "rating")
+        outcome = "published"
+    except Exception:  # noqa: BLE001 - the failure is what is asked for
+        outcome = "refused"
+    out = [read_domain(spark, root, f).groupBy("load").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(f).alias("facet"), "load", "n_rows") for f in names]
+    return reduce(DataFrame.unionAll, out).withColumn("second_load", F.lit(outcome))
+
+
+def q_lost_values(spark, sf_dir):
+    """Status of the typed quality transform: the values that its casts turned to
+    null, counted by the write itself."""
+    staging, transform = scratch_path(spark, "staging"), scratch_path(spark, "transform")
+    write_domain(_quality_texts(spark, sf_dir), staging, "qualitymsr_mds")
+    return gates.status_frame(spark, [quality_transform(spark, staging, transform, as_of=AS_OF, typed=True)])
+
+
+def q_move_apply(spark, sf_dir):
+    """Pages as files of one folder per language, moved by the plan: what is found
+    under each target, what is left, and how many files a second run moves."""
+    raw, processed, error = (scratch_path(spark, n) for n in ("raw", "processed", "error"))
+    pages = table(spark, sf_dir, "pages").select(F.element_at(F.split("url", "/"), 4).alias("lang"), "page_id", F.col("page_id").alias("page"), "url")
+    pages.write.partitionBy("lang", "page_id").json(raw)
+
+    def run():
+        plan = move_plan(list_files(spark, raw).where("NOT hidden"), [f"lang={x}" for x in KNOWN_LANGS], raw, processed, error)
+        return apply_moves(spark, plan, f"{processed}/_moves")
+
+    run()
+    again = run().count()
+    left = list_files(spark, raw).where("NOT hidden").count()
+    found = [spark.read.json(root).select(F.lit(name).alias("target"), "page", "url") for name, root in (("processed", processed), ("error", error)) if not list_files(spark, root).isEmpty()]
+    return reduce(DataFrame.unionAll, found).withColumn("moved_again", F.lit(again)).withColumn("left_behind", F.lit(left))
+
+
+def q_manifest_compact(spark, sf_dir):
+    """The labels' records by two runs, of which the second is repeated and has a
+    newer record of every third file; compacted, then read."""
+    lab = table(spark, sf_dir, "labels")
+    path = scratch_path(spark, "manifest")
+
+    def entries(rows, time):
+        files = rows.select(F.col("doc_id").cast("string").alias("id"), F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("name"), F.lit("raw/other/").alias("folder"), F.lit(time).alias("time"))
+        return manifest_entries(files, "id", "name", "folder", F.lit(OLD_SYNCED_AT_TEXT), "time")
+
+    write_manifest_entries(entries(lab, "2025-01-01"), path, "first")
+    for _ in range(2):
+        write_manifest_entries(entries(lab.where("doc_id % 3 = 0"), "2025-02-01"), path, "second")
+    before = read_manifest(spark, path).count()
+    parts = compact_manifest(spark, path)
+    return read_manifest(spark, path, modified=True).select("file_id", "modified_time").withColumn("records_before", F.lit(before)).withColumn("parts", F.lit(parts))
+
+
 def q_run_status(spark, sf_dir):
     """One status row per stage and table of a run in which one domain cannot
     be cleaned (two of its headers clean to one name)."""
@@ -696,6 +825,15 @@ def q_manifest_landed_only(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "publish_on_failure": q_publish_on_failure,
     "run_status": q_run_status,
+    "facets_as_set": q_facets_as_set,
+    "lost_values": q_lost_values,
+    "move_apply": q_move_apply,
+    "manifest_compact": q_manifest_compact,
+    "clean_bad_lines": q_clean_bad_lines,
+    "incremental_rejects": q_incremental_rejects,
+    "provider_staffing": q_provider_staffing,
+    "provider_rating": q_provider_rating,
+    "provider_untyped": q_provider_untyped,
     "ingest_changed": q_ingest_changed,
     "manifest_landed_only": q_manifest_landed_only,
     "csv_scan": q_csv_scan,

@@ -74,21 +74,22 @@ _FACILITY_GIVEN = {
 }
 
 
-def _facility_sql() -> str:
+def _facility_sql(instead: dict[str, str] | None = None) -> str:
     from sluice.plans.presets import FACILITY_COLUMNS
     cols = []
     for name in FACILITY_COLUMNS:
         if name == "row_id":
             continue
-        expr = _FACILITY_GIVEN.get(name, f"'{name[:4]}:' || CAST(c_custkey AS VARCHAR)")
+        expr = (_FACILITY_GIVEN | (instead or {})).get(name, f"'{name[:4]}:' || CAST(c_custkey AS VARCHAR)")
         cols.append(f"{expr} AS {name}")
     return "SELECT " + ",\n       ".join(cols) + "\nFROM customer"
 
 
 ORACLE_SQL: dict[str, str] = {
-    "csv_scan": """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name,
-       CAST(s_nationkey AS VARCHAR) AS s_nationkey, CAST(NULL AS VARCHAR) AS _corrupt_record
-FROM supplier""",
+    "csv_scan": """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, CASE WHEN k <> 5 THEN s_name END AS s_name,
+       CASE WHEN k NOT IN (3, 5) THEN CAST(s_nationkey AS VARCHAR) END AS s_nationkey,
+       CASE WHEN k IN (4, 5) THEN 'aka, ' || s_name END AS "Also Known", CAST(NULL AS VARCHAR) AS _corrupt_record
+FROM (SELECT *, coalesce(s_suppkey % 6, 0) AS k FROM supplier)""",
     "parquet_scan": "SELECT * FROM region",
     "parquet_overwrite": "SELECT * FROM nation",
     "facet_fanout": """SELECT 'pricing' AS facet, count(*) AS n_rows, 6 AS n_cols FROM lineitem
@@ -273,6 +274,36 @@ FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "publish_on_failure": "SELECT c_custkey, c_name, 'failed' AS last_load FROM customer",
     "run_status": """SELECT 'clean' AS stage, 'customers' AS domain, 'ok' AS status, CAST(NULL AS VARCHAR) AS reason, count(*) AS rows FROM customer
 UNION ALL SELECT 'clean', 'nations', 'quarantined', 'NameCollisionError', count(*) FROM nation""",
+    "facets_as_set": """SELECT facet, 1 AS load, (SELECT count(*) FROM lineitem) AS n_rows, 'refused' AS second_load
+FROM (VALUES ('facility'), ('staffing'), ('rating'), ('surveys'), ('penalties')) t(facet)""",
+    "lost_values": """SELECT 'qualitymsr_mds' AS domain, 'ok' AS status,
+       'lost values: q3_measure_score=' || count(*) || ', q4_measure_score=' || count(*) AS reason, count(*) AS rows
+FROM lineitem JOIN part ON l_partkey = p_partkey""",
+    "move_apply": """SELECT CASE WHEN split_part(url, '/', 4) IN ('en', 'de', 'fr') THEN 'processed' ELSE 'error' END AS target,
+       page_id AS page, url, 0 AS moved_again, 0 AS left_behind FROM pages""",
+    "manifest_compact": """SELECT CAST(doc_id AS VARCHAR) AS file_id, CASE WHEN doc_id % 3 = 0 THEN '2025-02-01' ELSE '2025-01-01' END AS modified_time,
+       (SELECT count(*) + count(CASE WHEN doc_id % 3 = 0 THEN 1 END) FROM labels) AS records_before, 2 AS parts FROM labels""",
+    "clean_bad_lines": """WITH r AS (SELECT count(CASE WHEN c_custkey % 7 = 0 THEN 1 END) || ' malformed lines' AS reason, count(*) AS n_good FROM customer)
+SELECT CAST(c_custkey AS VARCHAR) AS facility_number, CAST(NULL AS VARCHAR) AS line, r.reason, r.n_good FROM customer, r
+UNION ALL SELECT CAST(c_custkey AS VARCHAR), CAST(c_custkey AS VARCHAR) || ',' || c_name || ',' || CAST(c_nationkey AS VARCHAR) || ',' || c_mktsegment || ',one too many',
+       r.reason, r.n_good FROM customer, r WHERE c_custkey % 7 = 0""",
+    "incremental_rejects": """SELECT CAST(c_custkey AS VARCHAR) || '|' || c_name || '|' || CAST(c_nationkey AS VARCHAR) || '|' || c_mktsegment AS line, 'landed' AS reason FROM customer
+UNION ALL SELECT CAST(c_custkey AS VARCHAR) || ',' || c_name || ',' || CAST(c_nationkey AS VARCHAR) || ',' || c_mktsegment || ',one too many', 'malformed line'
+FROM customer WHERE c_custkey % 7 = 0
+UNION ALL SELECT CAST(n_nationkey AS VARCHAR) || ',' || n_name, 'unknown layout' FROM nation
+UNION ALL SELECT 'n_nationkey,n_name', 'unknown layout'""",
+    "provider_staffing": """SELECT CAST(c_custkey AS VARCHAR) AS facility_number, CAST(c_nationkey % 4 + 1 AS VARCHAR) AS staffing_rating,
+       'sf' || CAST(c_nationkey AS VARCHAR) AS staffing_rating_footnote, CAST(c_nationkey AS VARCHAR) || '.25' AS reported_hours_per_resident,
+       CAST(c_nationkey % 9 AS VARCHAR) AS total_turnover, '1.' || CAST(c_nationkey AS VARCHAR) AS case_mix_index,
+       CAST(c_nationkey * 3 AS VARCHAR) AS adjusted_total, DATE '2025-01-31' AS etl_date FROM customer""",
+    "provider_rating": """SELECT CAST(c_custkey AS VARCHAR) AS facility_number, 'aver:' || CAST(c_custkey AS VARCHAR) AS average_number_of_residents_per_day_footnote,
+       CAST(c_nationkey % 5 + 1 AS VARCHAR) AS overall_rating, CAST(c_nationkey % 4 + 1 AS VARCHAR) AS staffing_rating,
+       'sf' || CAST(c_nationkey AS VARCHAR) AS staffing_rating_footnote, CAST(c_nationkey % 8 AS VARCHAR) AS rating_cycle_1_score,
+       'g' || CAST(c_nationkey AS VARCHAR) AS generating_capacity, DATE '2025-01-31' AS etl_date FROM customer""",
+    "provider_untyped": _facility_sql({
+        "number_of_certified_beds": "CAST(c_nationkey + 10 AS VARCHAR)",
+        "average_number_of_residents_per_day": "CAST(c_nationkey AS VARCHAR) || '.5'",
+        "date_first_approved_to_provide_medicare_and_medicaid_services": "strftime(make_date(2000 + c_nationkey, 6, 30), '%Y-%m-%d')"}),
     "ingest_changed": f"""WITH {_LISTING}
 SELECT l.id AS file_id, '2025-02-01' AS modified_time FROM listing l
 WHERE l.mimeType IN ('text/csv', 'application/vnd.google-apps.spreadsheet')

@@ -2,19 +2,21 @@
 
 Spark reads a whole folder under the header of one file.  When files in a
 folder disagree on the column order, values land in the wrong columns.
-``read_raw`` groups files by their header line (found by a distributed scan,
-one row per file) and unites the groups by name.
+``read_raw`` parses all files once, by position, and picks each column by the
+place that the file's own header gives it: a small table (one row per file,
+found by a distributed scan of first lines) maps columns to positions, and is
+joined to the rows on their file.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.operators.columns import col
 from sluice.session import scratch_path
 
 CORRUPT_COLUMN = "_corrupt_record"
@@ -94,11 +96,11 @@ def read_raw(spark: SparkSession, path: str, align_headers: bool | str = True,
     """Read a folder of headered CSV with every column as a string.
 
     ``align_headers``:
-      * ``True``: files are grouped by header line and united by name,
-        missing columns null.  One text scan finds each file's header; each
-        layout then reads the folder under its own header and keeps the rows
-        of its files (semi join on the file path, so no file list ever goes
-        through the driver or one task).
+      * ``True``: columns are united by name, missing ones null.  A scan of
+        first lines finds each file's header; if they differ, all files are
+        parsed once, by position, and joined to the table that says at which
+        place each file has a column.  Neither files nor layouts go through
+        the driver, only column names.
       * ``"check"``: one pass; Spark checks every file's header against the
         first one as it reads and the action fails on a difference (see
         :func:`is_header_mismatch`), so the caller can retry with ``True``.
@@ -114,38 +116,150 @@ def read_raw(spark: SparkSession, path: str, align_headers: bool | str = True,
         return _read_group(spark, path, keep_corrupt, opts, check_headers=True)
     if not align_headers:
         return _read_group(spark, path, keep_corrupt, opts)
-    # one row per file, written once to the shared scratch folder so every
-    # layout below reads the same table (no recomputation, no cache to free)
+    return _read_by_position(spark, path, keep_corrupt, opts, name_rule)
+
+
+def _headers(spark: SparkSession, path: str, opts: Mapping[str, str]) -> DataFrame:
+    """(file, names): each file's column names in order, as Spark's reader names them."""
+    sep, quote, escape = _syntax(opts)
+    if str(opts.get("multiLine", "false")).lower() == "true":
+        # a header may break lines inside quotes: take first records, not first lines
+        width = _most_fields(file_headers(spark, path).select("header"), "header", sep, quote, escape) + _HEADER_SPARE
+        names = [f"c{i}" for i in range(width)]
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        first = (spark.read.schema(schema).options(**opts).option("header", False).csv(path)
+                 .select(F.struct(*names).alias("r"), F.col("_metadata.file_path").alias("file"),
+                         F.monotonically_increasing_id().alias("_sl_pos")))
+        first = first.groupBy("file").agg(F.min_by("r", "_sl_pos").alias("r"))
+        fields = F.array(*[F.col(f"r.{n}") for n in names])
+        # trailing nulls are fields that the header does not have
+        last = F.array_max(F.transform(fields, lambda x, i: F.when(x.isNotNull(), i + 1).otherwise(F.lit(0))))
+        raw = first.select("file", F.slice(fields, F.lit(1), last).alias("raw"))
+    else:
+        lines = file_headers(spark, path)
+        width = _most_fields(lines, "header", sep, quote, escape)
+        schema = ", ".join(f"c{i} string" for i in range(width))
+        parsed = lines.select("file", _n_fields(F.col("header"), sep, quote, escape).alias("n"),
+                              F.from_csv("header", F.lit(schema), {k: v for k, v in opts.items() if k in _LINE_OPTIONS}).alias("r"))
+        raw = parsed.select("file", F.slice(F.array(*[F.col(f"r.c{i}") for i in range(width)]), F.lit(1), F.col("n")).alias("raw"))
+    lower = F.transform("raw", lambda x: F.lower(x))
+    raw = raw.withColumn("lower", lower)
+    name = F.transform("raw", lambda x, i: F.when(F.coalesce(x, F.lit("")) == "", F.concat(F.lit("_c"), i.cast("string")))
+                       .when(F.size(F.filter("lower", lambda y: y == F.lower(x))) > 1, F.concat(x, i.cast("string"))).otherwise(x))
+    return raw.select("file", name.alias("names"))
+
+
+#: Fields that first records may have beyond the most fields of a first line (headers with line breaks in quotes).
+_HEADER_SPARE = 200
+#: Options that say how a line is parsed.
+_LINE_OPTIONS = ("sep", "delimiter", "quote", "escape", "nullValue", "emptyValue", "ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace")
+
+
+def _n_fields(line: Column, sep: str, quote: str, escape: str) -> Column:
+    """Fields of a line of CSV: a separator (one is put before the first) and what follows, a quoted text or up to the
+    next separator."""
+    s, q, e = (_literal(x) for x in (sep, quote, escape))
+    plain = rf"(?:(?!{s})[\s\S])*+"
+    quoted = rf"{q}(?:{e}[\s\S]|{q}{q}|(?!{q}|{e})[\s\S])*+{q}{plain}"
+    return F.regexp_count(F.concat(F.lit(sep), line), F.lit(f"{s}(?:{quoted}|{plain})"))
+
+
+def _literal(text: str) -> str:
+    return "".join(f"\\x{{{ord(c):x}}}" for c in text)
+
+
+def _most_fields(lines: DataFrame, name: str, sep: str, quote: str, escape: str) -> int:
+    return lines.agg(F.max(_n_fields(col(name), sep, quote, escape))).first()[0] or 0
+
+
+def _read_by_position(spark: SparkSession, path: str, keep_corrupt: bool, opts: Mapping[str, str],
+                      name_rule: Callable[[list[str]], list[str]] | None) -> DataFrame:
+    """Every file parsed once by position, each column taken from its place in the file's header."""
     table = scratch_path(spark, "file-headers")
-    file_headers(spark, path).write.parquet(table)
-    per_file = spark.read.parquet(table)
-    layouts = (per_file.groupBy("header")
-               .agg(F.min("file").alias("sample_file")).orderBy("header").collect())
-    rule = name_rule or list
-
-    def named(frame: DataFrame) -> DataFrame:
-        names = iter(rule([c for c in frame.columns if c != CORRUPT_COLUMN]))
-        return frame.toDF(*[c if c == CORRUPT_COLUMN else next(names) for c in frame.columns])
-
-    if len(layouts) <= 1:
-        return named(_read_group(spark, path, keep_corrupt, opts))
-    frames = []
-    for layout in layouts:  # one entry per distinct header line
-        # the metadata column percent-encodes paths, the reader takes them plain
-        names = _reader(spark, opts).csv(unquote(layout["sample_file"])).schema
-        files = per_file.where(F.col("header") == layout["header"]).select(
-            F.col("file").alias("_sl_file"))
-        data = _read_group(spark, path, keep_corrupt, opts, names=names).withColumn(
-            "_sl_file", F.col("_metadata.file_path"))
-        frames.append(named(data.join(files, "_sl_file", "left_semi").drop("_sl_file")))
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame, allowMissingColumns=True)
-    if keep_corrupt:  # keep the corrupt-record column last
-        out = out.select(*[c for c in out.columns if c != CORRUPT_COLUMN], CORRUPT_COLUMN)
+    _headers(spark, path, opts).write.parquet(table)     # one row per file
+    files = spark.read.parquet(table)
+    layouts = files.select("names").distinct().limit(2).collect()
+    if len(layouts) == 1:                                # one header: a plain read under it
+        frame = _read_group(spark, path, keep_corrupt, opts)
+        names = (name_rule or list)([c for c in frame.columns if c != CORRUPT_COLUMN])
+        return frame.toDF(*names, *([CORRUPT_COLUMN] if keep_corrupt else []))
+    # what comes to the driver is as long as there are column names and widths, not layouts or files
+    found = files.select(F.posexplode("names").alias("at", "name")).groupBy("name").agg(F.min("at").alias("at"))
+    raw_names = [r["name"] for r in found.orderBy("at", "name").collect()]
+    if not raw_names:
+        return spark.createDataFrame([], _with_corrupt(T.StructType([])) if keep_corrupt else T.StructType([]))
+    width = files.agg(F.max(F.size("names"))).first()[0]
+    clean = _clean_names(files, raw_names, name_rule)
+    named = files.select("file", F.size("names").alias("n"), clean.alias("names"))
+    out = list(dict.fromkeys(r["name"] for r in named.select(F.posexplode("names").alias("at", "name")).groupBy("name")
+                             .agg(F.min("at").alias("at")).orderBy("at", "name").collect()))
+    rows = _placed(spark, path, opts, named, out, width)
+    return rows.select(*[col(c) for c in out], *([CORRUPT_COLUMN] if keep_corrupt else []))
+
+
+def _placed(spark: SparkSession, path: str | list[str], opts: Mapping[str, str], named: DataFrame, out: list[str], width: int) -> DataFrame:
+    """(columns ``out``, text of malformed lines, _sl_file): rows of the files in ``named`` (file, n, names), parsed by position."""
+    places = named.select(F.col("file").alias("_sl_file"), F.col("n").alias("_sl_n"),
+                          F.struct(*[F.array_position("names", F.lit(n)).cast("int").alias(f"p{i}") for i, n in enumerate(out)]).alias("_sl_at"))
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+    rows = _reader(spark, opts).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+    rows = rows.schema(_with_corrupt(schema)).csv(path).withColumn("_sl_file", F.col("_metadata.file_path"))
+    sep, quote, escape = _syntax(opts)
+    fields = F.array(*[F.col(f"_c{i}") for i in range(width)])
+    columns = [F.get("_sl_fields", F.col(f"_sl_at.p{i}") - 1).alias(n) for i, n in enumerate(out)]
+    # the reader marks lines that differ from the widest header; in narrower files those with as many
+    # fields as their own header are good
+    narrow = F.col("_sl_n") < width
+    bad = F.when(narrow & (_n_fields(F.col(CORRUPT_COLUMN), sep, quote, escape) == F.col("_sl_n")), F.lit(None)).otherwise(F.col(CORRUPT_COLUMN))
+    return rows.join(places, "_sl_file").withColumn("_sl_fields", fields).select(*columns, bad.alias(CORRUPT_COLUMN), "_sl_file")
+
+
+def _syntax(opts: Mapping[str, str]) -> tuple[str, str, str]:
+    return opts.get("sep", opts.get("delimiter", ",")), opts.get("quote", '"'), opts.get("escape", "\\")
+
+
+def read_matching(spark: SparkSession, paths: list[str], expected: list[str], rule: Callable[[str], str],
+                  options: Mapping[str, str] | None = None) -> tuple[DataFrame | None, DataFrame]:
+    """Files by their own headers: the rows of those whose columns, named by
+    ``rule``, are the expected ones in any order, as (columns, ``_corrupt_record``,
+    ``_sl_file``) or None if there are no such files; and (file, names) of the others."""
+    opts = dict(options or {})
+    table = scratch_path(spark, "file-headers")
+    _headers(spark, paths, opts).write.parquet(table)
+    files = spark.read.parquet(table)
+    raw_names = [r["name"] for r in files.select(F.explode("names").alias("name")).distinct().collect()]   # column names
+    if not raw_names:
+        return None, files
+    clean = F.create_map(*[F.lit(x) for n in raw_names for x in (n, rule(n))])
+    named = files.select("file", F.size("names").alias("n"), F.transform("names", lambda n: F.get(F.array(clean[n]), F.lit(0))).alias("names"))
+    known = named.where(F.sort_array("names") == F.sort_array(F.array(*[F.lit(n) for n in expected])))
+    other = named.join(known.select("file"), "file", "left_anti").select("file", "names")
+    if known.isEmpty():
+        return None, other
+    return _placed(spark, paths, opts, known, list(expected), len(expected)), other
+
+
+def _clean_names(files: DataFrame, raw_names: list[str], name_rule: Callable[[list[str]], list[str]] | None) -> Column:
+    """Each file's names by ``name_rule``, which is applied to one name at a time; layouts in
+    which two names meet are given to it whole, so it raises or numbers them."""
+    if name_rule is None:
+        return F.col("names")
+    one = {n: name_rule([n])[0] for n in raw_names}
+    table = F.create_map(*[F.lit(x) for pair in one.items() for x in pair])
+    plain = F.transform("names", lambda n: F.get(F.array(table[n]), F.lit(0)))
+    lower = F.transform(plain, lambda n: F.lower(n))
+    clash = files.where(F.size(F.array_distinct(lower)) < F.size("names")).select("names").distinct()
+    out = plain
+    for row in clash.limit(_MOST_CLASHES + 1).collect():
+        fixed = name_rule(list(row["names"]))      # raises, unless collisions get numbers
+        out = F.when(F.col("names") == F.array(*[F.lit(n) for n in row["names"]]), F.array(*[F.lit(n) for n in fixed])).otherwise(out)
     return out
 
 
+#: Layouts with names that meet which are numbered one by one.
+_MOST_CLASHES = 100
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Headered CSV sink (used to land raw data and build fixtures).  Values
     are written as they are: Spark's writer would otherwise strip their

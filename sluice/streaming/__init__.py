@@ -1,5 +1,5 @@
 """Incremental pickup of raw files as Structured Streaming jobs."""
 
-from sluice.streaming.pickup import incremental_clean, raw_stream, run_incremental_clean
+from sluice.streaming.pickup import incremental_clean, read_pickup, run_incremental_clean
 
-__all__ = ["incremental_clean", "raw_stream", "run_incremental_clean"]
+__all__ = ["incremental_clean", "read_pickup", "run_incremental_clean"]

@@ -129,3 +129,54 @@ def test_listing_tasks_follow_the_number_of_files(spark, tmp_root):
     tasks = [df.select(F.spark_partition_id().alias("p")).distinct().count() for df in (many, large)]
     assert tasks[0] == -(-3000 // files.FILES_PER_TASK) and tasks[1] == 1
     assert many.select("path").distinct().count() == 3000 and large.count() == 24
+
+
+def test_six_layouts_are_aligned_by_one_data_scan(spark, tmp_root):
+    d = local(tmp_root) + "/raw/d o m"
+    write_text(d, "1 a.csv", "a,b b,c\n1,2,3\n")
+    write_text(d, "2.csv", "c,a,b b\n6,4,5\n")
+    write_text(d, "3.csv", '"b b",a\n8,7\n,\n')
+    write_text(d, "4%20.csv", "a,b b,c,x\n9,10,11,X\n")
+    write_text(d, "5.csv", "x,Dup,dup,\nY,d1,d2,blank\n")
+    write_text(d, "6.csv", 'a,"q,uoted"\n12,"v,\\"w\\", z"\n')
+    write_text(d, "7.csv", "")
+    out = read_raw(spark, d)
+    assert set(out.columns) == {"a", "b b", "c", "x", "Dup1", "dup2", "_c3", "q,uoted", CORRUPT_COLUMN} and out.columns[-1] == CORRUPT_COLUMN
+    got = {tuple(r[c] for c in ("a", "b b", "c", "x", "Dup1", "dup2", "_c3", "q,uoted", CORRUPT_COLUMN)) for r in out.collect()}
+    n = None
+    assert got == {("1", "2", "3", n, n, n, n, n, n), ("4", "5", "6", n, n, n, n, n, n), ("7", "8", n, n, n, n, n, n, n),
+                   (n, n, n, n, n, n, n, n, n), ("9", "10", "11", "X", n, n, n, n, n), (n, n, n, "Y", "d1", "d2", "blank", n, n),
+                   ("12", n, n, n, n, n, n, 'v,"w", z', n)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("FileScan csv") == 1
+
+
+def test_bad_lines_of_narrow_files_are_told_from_good_ones(spark, tmp_root):
+    d = local(tmp_root) + "/raw/dom"
+    write_text(d, "wide.csv", "a,b,c,d\n1,2,3,4\n5,6\n1,2,3,4,5\n")
+    write_text(d, "narrow.csv", 'b,a\n2,1\n4\n6,5,7\n"x,y",\n,\n8" in,9\n')
+    rows = [tuple(r) for r in read_raw(spark, d).select("a", "b", "d", CORRUPT_COLUMN).collect()]
+    assert sorted(rows, key=str) == sorted([
+        ("1", "2", "4", None), ("5", "6", None, "5,6"), ("1", "2", "4", "1,2,3,4,5"), ("1", "2", None, None), (None, "4", None, "4"),
+        ("5", "6", None, "6,5,7"), (None, "x,y", None, None), (None, None, None, None), ("9", '8" in', None, None)], key=str)
+
+
+def test_headers_with_line_breaks_in_quotes(spark, tmp_root):
+    d = local(tmp_root) + "/raw/dom"
+    write_text(d, "1.csv", '"Zip\nCode",b\n1,"x\ny"\n')
+    write_text(d, "2.csv", 'b,"Zip\nCode",c\nz,2,w\n')
+    out = read_raw(spark, d, options={"multiLine": "true"})
+    assert {(r["Zip\nCode"], r.b, r.c, r[CORRUPT_COLUMN]) for r in out.collect()} == {("1", "x\ny", None, None), ("2", "z", "w", None)}
+
+
+def test_names_that_meet_within_a_layout(spark, tmp_root):
+    import pytest
+
+    from sluice.functions.names import NameCollisionError, plan_normalized_names
+    d = local(tmp_root) + "/raw/dom"
+    write_text(d, "1.csv", "Zip Code,zip-code\n1,2\n")
+    write_text(d, "2.csv", "x,ZIP.CODE\n4,3\n")
+    with pytest.raises(NameCollisionError):
+        read_raw(spark, d, name_rule=plan_normalized_names)
+    out = read_raw(spark, d, name_rule=lambda names: plan_normalized_names(names, "suffix"))
+    assert {(r.zip_code, r.zip_code_2, r.x) for r in out.collect()} == {("1", "2", None), ("3", None, "4")}
