@@ -30,9 +30,12 @@ FRAME_MAGIC = b"\x28\xb5\x2f\xfd"
 #: Bytes of records, before compression, at which an archive is closed (a larger record has one to itself).
 ARCHIVE_BYTES = 16 << 20
 #: The dictionary: its size, and the bytes of an archive's records on which it is trained (a record from every
-#: stretch of the archive).  Archives with fewer records than LEAST_SAMPLES have none.
+#: stretch of the archive, LEAST_SAMPLES of them at least, their beginnings if they are large).  Archives with fewer
+#: records than that have none.
 DICT_BYTES, SAMPLE_BYTES, LEAST_SAMPLES = 64 << 10, 4 << 20, 16
 LEVEL = 6
+#: Bytes that a reader takes at a time.
+SLICE = 32 << 10
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # of addresses, RFC 4122
 
 MANIFEST = "name string, n_records long, n_bytes long"
@@ -84,9 +87,10 @@ def parse(data: bytes) -> dict:
 def archive(records: list[bytes]) -> bytes:
     """The file of these records: dictionary in a leading skippable frame, a frame for each record."""
     total = sum(map(len, records))
-    step = max(1, -(-total // SAMPLE_BYTES))
+    step = max(1, min(-(-total // SAMPLE_BYTES), len(records) // LEAST_SAMPLES))
     samples, trained = records[::step], None
-    if len(samples) >= LEAST_SAMPLES:
+    if len(records) >= LEAST_SAMPLES:
+        samples = [r[:max(1, SAMPLE_BYTES // len(samples))] for r in samples]
         try:
             trained = zstandard.train_dictionary(min(DICT_BYTES, max(1024, total // 10)), samples, level=LEVEL)
         except zstandard.ZstdError:  # too little to learn from
@@ -112,10 +116,14 @@ def read_archive(data: bytes) -> Iterator[bytes]:
     while at < len(data):
         if data[at:at + 4] != FRAME_MAGIC:
             raise ValueError("not a frame")
-        one = press.decompressobj()
-        got = one.decompress(view[at:])
-        yield got
-        at = len(data) - len(one.unused_data)
+        one, parts = press.decompressobj(), []
+        while not one.eof:  # in slices: what a frame leaves of its last one is all that is copied
+            if at >= len(data):
+                raise ValueError("a frame that does not end")
+            parts.append(one.decompress(view[at:at + SLICE]))
+            at = min(at + SLICE, len(data))
+        at -= len(one.unused_data)
+        yield b"".join(parts)
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, date: str = "1970-01-01T00:00:00Z") -> DataFrame:

@@ -61,3 +61,30 @@ def test_each_record_is_a_frame_after_the_dictionary():
 
 def test_query_matches_sql(spark):
     assert matches_sql(spark, "op2_warc", SF0001) > 0
+
+
+def test_large_records_get_a_dictionary_too():
+    import random
+    rng = random.Random(3)
+    words = [f"word{i}" for i in range(2000)]
+    records = [warc.record(i, f"http://x/{i}", " ".join(rng.choices(words, k=40_000)).encode(), None, False, "2020-01-01T00:00:00Z") for i in range(50)]
+    data = warc.archive(records)
+    size = int.from_bytes(data[4:8], "little")
+    assert sum(map(len, records)) > 2 * warc.SAMPLE_BYTES and size > 10_000
+    assert list(warc.read_archive(data)) == records
+    few = warc.archive(records[:warc.LEAST_SAMPLES - 1])
+    assert few[4:8] == b"\0\0\0\0" and list(warc.read_archive(few)) == records[:warc.LEAST_SAMPLES - 1]
+
+
+def test_reading_takes_time_in_proportion_and_sees_broken_ends():
+    import time
+    records = [warc.record(i, None, b"payload %d" % i, None, False, "2020-01-01T00:00:00Z") for i in range(40_000)]
+    times = []
+    for n in (10_000, 40_000):
+        data = warc.archive(records[:n])
+        start = time.perf_counter()
+        assert sum(1 for _ in warc.read_archive(data)) == n
+        times.append(time.perf_counter() - start)
+    assert times[1] < 10 * times[0]
+    with pytest.raises(ValueError):
+        list(warc.read_archive(data[:-5]))
