@@ -3,11 +3,14 @@
 A message's text may be a JSON object that holds calls
 (``{"content": ..., "tool_calls": [{"id", "name", "arguments"}, ...]}``) or a
 result (``{"tool_call_id": ..., "content": ...}``); any other text is a plain
-message.  Calls and results are joined by (conversation, identifier).  A string
-``"$id"`` among a call's arguments refers to another call's result: calls come
-in an order in which each follows those that it refers to.  Arguments are
-validated against the tools' schemas.  Messages are written as canonical JSON:
-sorted keys, no spaces, one spelling for each value.
+message, as is JSON that has no canonical form (numbers beyond all bounds, half
+surrogates, nesting too deep to write).  Calls and results are joined by
+(conversation, identifier).  A string ``"$id"`` among a call's arguments refers to
+the result of another call of the conversation, if it has one of that identifier:
+calls come in an order in which each follows those that it refers to, and such a
+string fits any schema.  Arguments are validated against the tools' schemas, other
+strings that begin with ``$`` as the strings they are.  Messages are written as
+canonical JSON: sorted keys, no spaces, one spelling for each value.
 
 Calls and results are rows of their own, so a conversation of any length is
 joined and ordered without being gathered; only the calls of one message meet.
@@ -16,6 +19,7 @@ joined and ordered without being gathered; only the calls of one message meet.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -43,10 +47,11 @@ def has_type(value: object, name: str) -> bool:
     return name in _TYPES and isinstance(value, _TYPES[name])
 
 
-def problem(value: object, schema: dict, path: str = "$") -> str | None:
-    """The first way in which a value breaks a schema (type, enum, required, properties, additionalProperties, items)."""
-    if isinstance(value, str) and value.startswith("$") and len(value) > 1:
-        return None  # stands for a result
+def problem(value: object, schema: dict, path: str = "$", resolved: frozenset[str] = frozenset()) -> str | None:
+    """The first way in which a value breaks a schema (type, enum, required, properties, additionalProperties, items);
+    no deeper than the schema.  References to ``resolved`` calls stand for results and fit."""
+    if isinstance(value, str) and value.startswith("$") and value[1:] in resolved:
+        return None
     types = schema.get("type")
     if types is not None and not any(has_type(value, t) for t in ([types] if isinstance(types, str) else types)):
         return f"{path}: not {types}"
@@ -59,30 +64,44 @@ def problem(value: object, schema: dict, path: str = "$") -> str | None:
         known = schema.get("properties", {})
         for k in sorted(value):
             if k in known:
-                if found := problem(value[k], known[k], f"{path}.{k}"):
+                if found := problem(value[k], known[k], f"{path}.{k}", resolved):
                     return found
             elif schema.get("additionalProperties") is False:
                 return f"{path}.{k}: unknown"
     if isinstance(value, list) and "items" in schema:
         for i, x in enumerate(value):
-            if found := problem(x, schema["items"], f"{path}[{i}]"):
+            if found := problem(x, schema["items"], f"{path}[{i}]", resolved):
                 return found
     return None
 
 
 def references(value: object) -> set[str]:
-    if isinstance(value, str):
-        return {value[1:]} if value.startswith("$") and len(value) > 1 else set()
-    inner = value.values() if isinstance(value, dict) else value if isinstance(value, list) else ()
-    return set().union(*map(references, inner))
+    """The identifiers that strings in a value refer to, however deep."""
+    found, waiting = set(), [value]
+    while waiting:
+        x = waiting.pop()
+        if isinstance(x, str):
+            if x.startswith("$") and len(x) > 1:
+                found.add(x[1:])
+        elif isinstance(x, dict | list):
+            waiting.extend(x.values() if isinstance(x, dict) else x)
+    return found
+
+
+def finite(text: str) -> float:
+    x = float(text)
+    if not math.isfinite(x):
+        raise ValueError("beyond all bounds")
+    return x
 
 
 def read_object(text: str | None) -> dict | None:
     if not text or not text.lstrip().startswith("{"):
         return None
     try:
-        got = json.loads(text, parse_constant=lambda _: 1 / 0)
-    except (ValueError, ZeroDivisionError, RecursionError):
+        got = json.loads(text, parse_constant=finite, parse_float=finite)
+        canonical(got).encode()
+    except (ValueError, RecursionError):  # half surrogates raise a ValueError, too
         return None
     return got if isinstance(got, dict) else None
 
@@ -103,7 +122,7 @@ def events_of(text: str | None, schemas: dict[str, dict]) -> list[dict]:
             inner = read_object(args)
             args = args if inner is None else inner
         name, call_id = c.get("name"), c.get("id")
-        why = ("no id" if not isinstance(call_id, str) else "unknown tool" if name not in schemas else problem(args, {"type": "object", **schemas[name]}))
+        why = "no id" if not isinstance(call_id, str) else "unknown tool" if not isinstance(name, str) or name not in schemas else None
         out.append({"kind": "call", "nth": i, "call_id": call_id if isinstance(call_id, str) else None, "name": name if isinstance(name, str) else None,
                     "arguments": canonical(args), "refs": sorted(references(args)), "problem": why})
     return out
@@ -123,7 +142,14 @@ def events(conversations: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     return keep(rows.mapInArrow(parse, EVENTS), "chat-events")
 
 
-def depths(calls: DataFrame) -> DataFrame:
+def resolved_references(calls: DataFrame) -> DataFrame:
+    """(conv_id, call_id, ref): references to calls that the conversation has."""
+    ids = calls.select("conv_id", "call_id").where("conv_id is not null and call_id is not null").distinct()
+    refs = calls.select("conv_id", "call_id", F.explode("refs").alias("ref")).distinct()
+    return keep(refs.join(ids.withColumnRenamed("call_id", "ref"), ["conv_id", "ref"]), "chat-edges")
+
+
+def depths(calls: DataFrame, edges: DataFrame) -> DataFrame:
     """(conv_id, call_id, depth): 0 without references, else one more than the deepest call referred to.
 
     References to calls that the conversation doesn't have are ignored.  Calls
@@ -131,8 +157,6 @@ def depths(calls: DataFrame) -> DataFrame:
     or behind one, have no depth.
     """
     ids = calls.select("conv_id", "call_id").where("conv_id is not null and call_id is not null").distinct()
-    refs = calls.select("conv_id", "call_id", F.explode("refs").alias("ref")).distinct()
-    edges = keep(refs.join(ids.withColumnRenamed("call_id", "ref"), ["conv_id", "ref"]), "chat-edges")
     done = keep(ids.join(edges, ["conv_id", "call_id"], "left_anti").withColumn("depth", F.lit(0)), "chat-depths")
     if edges.isEmpty():
         return done
@@ -155,14 +179,17 @@ def link_tool_calls(conversations: DataFrame, schemas: dict[str, dict] | None =
     other columns are ignored.
     """
     ship(conversations.sparkSession)
-    ev = events(conversations, schemas or {})
+    schemas = schemas or {}
+    ev = events(conversations, schemas)
     calls, results = ev.where("kind = 'call'"), ev.where("kind = 'result'")
     by = ["conv_id", "call_id"]
     usable = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
     first = results.where(usable).groupBy(*by).agg(F.min(F.struct("turn", "row", "content")).alias("r")).select(*by, F.col("r.content").alias("result"), F.lit(True).alias("linked"))
     owner = calls.where(usable).groupBy(*by).agg(F.min(F.struct("turn", "row", "nth")).alias("o")).select(*by, F.col("o.row").alias("row"), F.col("o.nth").alias("nth"))
-    linked = calls.join(owner.join(first, by), [*by, "row", "nth"], "left").join(depths(calls), by, "left")
-    order = F.struct(F.coalesce("depth", F.lit(2**31 - 1)).alias("depth"), "nth", "call_id", "name", "arguments", "result", "problem", F.coalesce("linked", F.lit(False)).alias("linked"),
+    edges = resolved_references(calls)
+    known_refs = edges.groupBy(*by).agg(F.collect_set("ref").alias("resolved"))
+    linked = calls.join(owner.join(first, by), [*by, "row", "nth"], "left").join(depths(calls, edges), by, "left").join(known_refs, by, "left")
+    order = F.struct(F.coalesce("depth", F.lit(2**31 - 1)).alias("depth"), "nth", "call_id", "name", "arguments", "result", "problem", F.sort_array("resolved").alias("resolved"), F.coalesce("linked", F.lit(False)).alias("linked"),
                      (F.col("depth").isNull() & usable).alias("cyclic"))
     # the calls of one message
     of_row = linked.groupBy("row").agg(F.sort_array(F.collect_list(order)).alias("calls"))
@@ -175,7 +202,8 @@ def link_tool_calls(conversations: DataFrame, schemas: dict[str, dict] | None =
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                listed = r["calls"] or []
+                listed = [{**c, "problem": c["problem"] or problem(json.loads(c["arguments"]), {"type": "object", **schemas.get(c["name"], {})}, resolved=frozenset(c["resolved"] or ()))}
+                          for c in r["calls"] or []]
                 value = {"turn": r["turn"], "role": r["role"], "content": json.loads(r["content"])}
                 if listed:
                     value["tool_calls"] = [{"id": c["call_id"], "name": c["name"], "arguments": json.loads(c["arguments"]), "valid": c["problem"] is None,

@@ -63,7 +63,8 @@ def test_calls_follow_those_they_refer_to_and_have_results(got):
 def test_cycles_come_last_and_are_counted(got):
     r = row(got, 2, 0)
     assert [c["id"] for c in json.loads(r.json)["tool_calls"]] == ["a", "v", "x", "y", "w"]
-    assert (r.n_calls, r.n_cyclic, r.n_invalid) == (5, 3, 1)
+    # "$elsewhere" names no call of the conversation: a string where a number must be
+    assert (r.n_calls, r.n_cyclic, r.n_invalid) == (5, 3, 2)
 
 
 def test_repeated_and_broken_calls(got):
@@ -81,6 +82,25 @@ def test_other_texts_are_messages(got):
             assert json.loads(r.json)["content"] == text and r.n_calls == 0
 
 
+def test_texts_without_a_canonical_form_are_messages(spark):
+    deep = json.dumps({"tool_calls": [call("a", "add", {"a": 1})], "content": None})[:-5] + "[" * 3000 + "]" * 3000 + "}"
+    nested = {"a": 1}
+    for _ in range(400):
+        nested = {"x": [nested, "$a"]}
+    texts = ['{"tool_calls":[{"id":"a","name":"add","arguments":{"a":1e999}}]}', '{"content":1e999,"tool_calls":[]}', '{"tool_call_id":"a","content":"\\ud800"}',
+             '{"tool_calls":[{"id":"\\udc00","name":"add","arguments":{"a":1}}]}', '{"content":-Infinity,"tool_calls":[]}', deep, "{" * 100_000,
+             calls(call("a", "add", {"a": "$5 off"}), call("b", "say", {"tone": "$low"}), call("c", "say", {"parts": ["$a", "$b"]}), call("d", ["add"], {}), call("e", "say", nested))]
+    df = spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    got = {r.turn: r for r in chat.link_tool_calls(df, SCHEMAS).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts[:-1]):
+        if got[i].n_calls == 0:
+            assert json.loads(got[i].json)["content"] == t
+    assert [got[i].n_calls for i in (0, 1, 2, 3, 4, 6)] == [0] * 6
+    last = got[len(texts) - 1]
+    assert {c["id"]: c["valid"] for c in json.loads(last.json)["tool_calls"]} == {"a": False, "b": False, "c": True, "d": False, "e": True}
+
+
 def test_no_rows(spark):
     assert chat.link_tool_calls(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect() == []
 
