@@ -1,32 +1,39 @@
 """Masked pseudo-likelihood of documents by a bidirectional window network.
 
-Each token is predicted from its neighbours on both sides: a hidden layer over
-their embeddings, then a softmax over the vocabulary.  A document's score is the
-sum of its tokens' conditional log-probabilities.
-
-The vocabulary (the most frequent words, the others in hash buckets, and an edge
-mark) comes from counts over all documents.  As the window is one word to either
-side, the corpus enters training only through its counts of (left, right,
-token), which Spark sums over all documents; they are at most ``size ** 3``
-numbers, whatever the corpus, and training in numpy on them is training on every
-token of the corpus.  For the same reason the trained network is a table of as
-many log-probabilities, in which scoring looks each token up.
+Each token is predicted from its neighbours on both sides, in two factors:
+p(class | neighbours) * p(word | class).  A frequent word is a class of its own;
+the others share classes by a hash.  The first factor is a network, a hidden layer
+over the neighbours' embeddings and a softmax over the classes.  The second is the
+word's share of its class in the counts of all words of the corpus, which are a
+table as long as its vocabulary and are joined to the documents' words.  A document's
+score is the sum of its tokens' conditional log-probabilities.
+
+As the window is one word to either side, the corpus enters training only
+through its counts of (left, right, token) classes, which Spark sums over all
+documents; they are at most ``size ** 3`` numbers, whatever the corpus, and
+training in numpy on them is training on every token of the corpus.  For the same
+reason the trained network is a table of as many log-probabilities, in which
+scoring looks each token up.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import lower_ascii, ship, words
+from sluice.llm.common import keep, lower_ascii, ship, words
 
 FREQUENT, BUCKETS = 96, 31
 HIDDEN, EPOCHS, RATE = 32, 200, 0.03
+#: What each word, and one that was never counted, has in its class besides its count.
+SMOOTH = 0.5
 #: Distinct words a Python worker remembers; beyond that it starts anew.
 CACHE = 1_000_000
 
@@ -55,9 +62,14 @@ class Vocabulary:
             out.append(i)
         return np.array(out, dtype=np.int64)
 
-    def cells(self, text: str | None) -> np.ndarray:
-        """(left, right, token) of each token as one number."""
-        t = self.numbers(text)
+    def shared(self, text: str | None, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, times) of the distinct words that share their class with others; t are the text's numbers."""
+        w = (text or "").encode("utf-8", "surrogatepass").lower().split()
+        found = [xxhash.xxh64_intdigest(w[i], 42) for i in np.flatnonzero(t >= len(self.frequent))]
+        return np.unique(np.array(found, np.uint64).view(np.int64), return_counts=True)
+
+    def cells(self, t: np.ndarray) -> np.ndarray:
+        """(left, right, token) of each token of a text's numbers as one number."""
         if not len(t):
             return t
         left, right = np.r_[self.edge, t[:-1]], np.r_[t[1:], self.edge]
@@ -111,10 +123,24 @@ class WindowNetwork:
         return out.reshape(-1)
 
 
-def vocabulary(docs: DataFrame, frequent: int = FREQUENT, buckets: int = BUCKETS) -> Vocabulary:
-    """The most frequent words of all documents, ties by the word."""
-    w = docs.select(F.explode(words(lower_ascii(F.col("text")))).alias("word")).groupBy("word").count()
-    return Vocabulary([r["word"] for r in w.orderBy(F.desc("count"), "word").limit(frequent).collect()], buckets)
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, count) over all documents."""
+    return keep(docs.select(F.explode(words(lower_ascii(F.col("text")))).alias("word")).groupBy("word").count(), "lm-words")
+
+
+def vocabulary(counts: DataFrame, frequent: int = FREQUENT, buckets: int = BUCKETS) -> Vocabulary:
+    """The most frequent words, ties by the word."""
+    return Vocabulary([r["word"] for r in counts.orderBy(F.desc("count"), "word").limit(frequent).collect()], buckets)
+
+
+def shares(counts: DataFrame, vocab: Vocabulary) -> tuple[DataFrame, dict[int, float]]:
+    """(word hash, log p(word | class)) of all words that share a class, and that of a word never counted by class."""
+    rest = counts.where(~F.col("word").isin(vocab.frequent)) if vocab.frequent else counts
+    rest = rest.select(F.xxhash64("word").alias("h"), (len(vocab.frequent) + F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(vocab.buckets))).cast("int").alias("class"), "count")
+    totals = {r["class"]: r["n"] + SMOOTH * (r["v"] + 1) for r in rest.groupBy("class").agg(F.sum("count").alias("n"), F.count("*").alias("v")).collect()}
+    none = {c: math.log(SMOOTH / totals.get(c, SMOOTH)) for c in range(len(vocab.frequent), vocab.edge)}
+    total = F.element_at(F.create_map(*[F.lit(x) for c in none for x in (c, float(totals.get(c, SMOOTH)))]), F.col("class"))
+    return rest.groupBy("h", "class").agg(F.sum("count").alias("count")).select("h", F.log((F.col("count") + SMOOTH) / total).alias("log_share")), none
 
 
 def count_windows(docs: DataFrame, vocab: Vocabulary) -> np.ndarray:
@@ -125,7 +151,7 @@ def count_windows(docs: DataFrame, vocab: Vocabulary) -> np.ndarray:
         v, total = known.value, np.zeros(cells, np.int64)
         for batch in batches:
             for text in batch.column(0):
-                at, n = np.unique(v.cells(text.as_py()), return_counts=True)
+                at, n = np.unique(v.cells(v.numbers(text.as_py())), return_counts=True)
                 total[at] += n
         at = np.flatnonzero(total)
         for a in range(0, len(at), 100_000):
@@ -138,39 +164,53 @@ def count_windows(docs: DataFrame, vocab: Vocabulary) -> np.ndarray:
     return out.reshape(-1, vocab.size)
 
 
-def train(docs: DataFrame, frequent: int = FREQUENT, buckets: int = BUCKETS) -> tuple[Vocabulary, WindowNetwork]:
+def train(docs: DataFrame, frequent: int = FREQUENT, buckets: int = BUCKETS) -> tuple[Vocabulary, WindowNetwork, DataFrame]:
+    """Vocabulary, network and word counts of a corpus."""
     ship(docs.sparkSession)
-    vocab = vocabulary(docs, frequent, buckets)
+    counts = word_counts(docs)
+    vocab = vocabulary(counts, frequent, buckets)
     network = WindowNetwork(vocab.size)
     network.train(count_windows(docs, vocab))
-    return vocab, network
+    return vocab, network, counts
 
 
-def score(docs: DataFrame, vocab: Vocabulary, network: WindowNetwork) -> DataFrame:
+def score(docs: DataFrame, vocab: Vocabulary, network: WindowNetwork, counts: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, log_prob, mean_log_prob) for each row of docs.
 
-    Null and empty texts have no tokens, log_prob 0 and no mean; repeated rows
-    and null ids keep a row each; other columns are ignored.
+    Null and empty texts have no tokens, log_prob 0 and no mean; words that the
+    counts don't have get SMOOTH in their class; repeated rows and null ids keep
+    a row each; without rows the result is empty; other columns are ignored.
+    Texts count whole, however long.
     """
     spark = docs.sparkSession
     ship(spark)
+    table, none = shares(counts, vocab)
     model = spark.sparkContext.broadcast((vocab, network.table()))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, log_prob = model.value
         for batch in batches:
-            n, total = [], []
+            n, total, hashes, times = [], [], [], []
             for text in batch.column(1):
-                at = v.cells(text.as_py())
-                n.append(len(at))
-                total.append(float(log_prob[at].sum(dtype=np.float64)))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n_tokens": pa.array(n, pa.int64()), "log_prob": pa.array(total, pa.float64())})
-
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(look_up, "doc_id long, n_tokens long, log_prob double")
+                t = v.numbers(text.as_py())
+                n.append(len(t))
+                total.append(float(log_prob[v.cells(t)].sum(dtype=np.float64)))
+                h, k = v.shared(text.as_py(), t)
+                hashes.append(h)
+                times.append(k)
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (hashes, times)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(total, pa.float64()), *lists], names=["doc_id", "n_tokens", "class_log_prob", "hashes", "times"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(look_up, "doc_id long, n_tokens long, class_log_prob double, hashes array<long>, times array<long>")
+    rows = keep(rows.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
+    word = rows.select("row", F.explode(F.arrays_zip("hashes", "times")).alias("w")).select("row", F.col("w.hashes").alias("h"), F.col("w.times").alias("times"))
+    # a word that was never counted: the mean over classes of what it would get
+    unseen = F.lit(sum(none.values()) / max(1, len(none)))
+    of_row = word.join(table, "h", "left").groupBy("row").agg(F.sum(F.col("times") * F.coalesce("log_share", unseen)).alias("word_log_prob"))
+    out = rows.drop("hashes", "times").join(of_row, "row", "left")
+    out = out.select("doc_id", "n_tokens", (F.col("class_log_prob") + F.coalesce("word_log_prob", F.lit(0.0))).alias("log_prob"))
     return out.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     return score(docs, *train(docs))
-
-
