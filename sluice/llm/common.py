@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.session import scratch_path
 
@@ -76,9 +77,25 @@ def summed(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)
 
 
-def few(df: DataFrame, most: int = 1_000_000) -> DataFrame:
-    """df, marked for a broadcast if it has few rows (of some numbers each); else Spark decides how to join it."""
-    return F.broadcast(df) if df.count() <= most else df
+#: Bytes of a table that all tasks may get; beyond, it is joined by a shuffle.
+BROADCAST = 32 << 20
+
+
+def few(df: DataFrame, most_bytes: int = BROADCAST) -> DataFrame:
+    """df, marked for a broadcast if its rows take few bytes; else Spark decides how to join it.
+
+    Rows of numbers (and structs of them) take the bytes of their schema; those with
+    texts or arrays, whose lengths vary, are never marked.
+    """
+    return F.broadcast(df) if (width := _width(df.schema)) and df.count() * width <= most_bytes else df
+
+
+def _width(kind: T.DataType) -> int | None:
+    """Bytes of a value, null flags included; None if that varies."""
+    if isinstance(kind, T.StructType):
+        widths = [_width(f.dataType) for f in kind.fields]
+        return None if None in widths else 8 + sum(widths)
+    return 8 if isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)) else None
 
 
 def text_id(text: str | Column = "text") -> Column:

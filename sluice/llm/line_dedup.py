@@ -4,10 +4,11 @@ Two lines within ``edits`` character edits share one of ``edits + 1`` segments o
 the shorter one whole, near its place.  Each distinct line indexes its segments
 under (its length, segment number, text); it probes, for each length of up to
 ``edits`` less than its own, those of its substrings that can hold a segment
-(their starts are bounded from both ends).  Lines that meet, and whose letter
-counts can be that near, are verified with
-banded bit-parallel edit distance over what remains between their common
-beginning and end.
+(their starts are bounded from both ends).  Where lines meet, each is compared with
+two pivots of the key first, the earliest and the most frequent line; only lines
+that are near none of them meet all others, if their letter counts can be that
+near.  Lines are verified with banded bit-parallel edit distance over what
+remains between their common beginning and end.
 
 A line goes if an equal or near one comes earlier in the order of (doc_id, text
 hash, line number).  That holds for equal lines of any length that have a word,
@@ -17,9 +18,9 @@ line, ``edits`` at most: below that a line has only equal ones.  Where
 
 The plan: equal lines are collapsed by 128-bit hashes with partial aggregation,
 so frequent lines cost a row a task; only hashes of substrings are shuffled for
-the join, whose hot keys adaptive execution splits; the texts of lines that meet
-and the lists of lines that go join by broadcast while they are small (their
-rows are counted first) and by shuffle beyond that.
+the join, whose hot keys adaptive execution splits; the hashes of lines that meet
+or go join by broadcast while they are small (their bytes are bounded first) and
+by shuffle beyond that.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import few, keep, text_id
+from sluice.llm.common import BROADCAST, few, keep, text_id
 
 EDITS = 2
 CHARS_AN_EDIT = 8
@@ -61,7 +62,8 @@ def index_keys(line: Column, length: Column, edits: int, least_chars: int | None
 
 
 def probe_keys(line: Column, length: Column, edits: int, least_chars: int | None) -> Column:
-    """Keys of substrings that may be a segment of a line of the same length or up to its allowed edits less."""
+    """Keys of substrings that may be a segment of a line of the same length or up to its allowed edits less, but for
+    the line's own segments."""
     out = []
     for less in range(edits + 1):
         short = length - less
@@ -71,6 +73,8 @@ def probe_keys(line: Column, length: Column, edits: int, least_chars: int | None
             for i in range(most + 1 if less <= most else 0):
                 start, size = segment(short, i, most + 1)
                 for shift in range(max(-i, less - (most - i)), min(i, less + (most - i)) + 1):
+                    if less == shift == 0:
+                        continue  # the line's own segment
                     found.append(key(short, i, F.substr(line, F.greatest(start + 1 + shift, F.lit(1)), size)))
             return found
 
@@ -183,28 +187,76 @@ def lines_of(docs: DataFrame, least_chars: int | None) -> DataFrame:
     return d.select(at.alias("at"), "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
+def _met(distinct: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Index and probe rows (key, h, first, times, early, often) of keys that two different lines meet at, with the pivots
+    of the key's index and probe rows, the earliest line and the most frequent one; and the lines' hashes."""
+    index = distinct.select(F.explode("own").alias("key"), F.col("h1").alias("h"))
+    probe = distinct.select(F.explode(F.concat("own", "probes")).alias("key"), F.col("h1").alias("h"))
+    # the large join has hashes only: each probe row meets its key's index rows as their least and greatest hash
+    ends = index.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"))
+    probes = keep(probe.join(ends, "key").where("low <> h OR high <> h").select("key", "h").distinct(), "line-probes")
+    index = keep(index.join(few(keep(probes.select("key").distinct(), "line-met")), "key").select("key", "h").distinct(), "line-index")
+    who = keep(index.select("h").unionAll(probes.select("h")).distinct(), "line-who")
+    known = keep(distinct.select(F.col("h1").alias("h"), "first", "times").join(few(who), "h").groupBy("h").agg(F.min("first").alias("first"), F.max("times").alias("times")), "line-known")
+    index, probes = index.join(known, "h"), probes.join(known, "h")
+    # index rows meet the pivots of the probe rows, and the other way round
+    return (*(keep(a.join(b.groupBy("key").agg(*_pivots()), "key"), "line-members") for a, b in ((index, probes), (probes, index))), who)
+
+
+def _pivots() -> list[Column]:
+    return [F.min(F.struct("first", "h")).alias("early"), F.max(F.struct("times", "h", "first")).alias("often")]
+
+
+def _with_pivots(rows: DataFrame) -> DataFrame:
+    """Pairs (x, y) of each row's line and the pivots of its key that aren't itself."""
+    pairs = rows.select("h", F.explode(F.array_distinct(F.array("early.h", "often.h"))).alias("p")).where("h <> p")
+    return pairs.select(F.least("h", "p").alias("x"), F.greatest("h", "p").alias("y"))
+
+
 def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int | None = None) -> DataFrame:
-    """(doc_id, text_id, gone): the numbers of a row's lines that go, for rows that have some."""
+    """(doc_id, text_id, line_no): a row's lines that go."""
     lines = lines_of(docs, least_chars)
     length = F.length("line")
-    distinct = keep(lines.select("h1", "h2", "at", index_keys(F.col("line"), length, edits, least_chars).alias("own"), probe_keys(F.col("line"), length, edits, least_chars).alias("probes"), letter_parity(F.col("line")).alias("odd"))
-                    .groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("times"), F.first("own").alias("own"), F.first("probes").alias("probes"), F.first("odd").alias("odd")), "line-keys")
-    index = distinct.select(F.explode("own").alias("key"), F.col("h1").alias("x"), F.col("odd").alias("odd_x"))
-    probe = distinct.select(F.explode("probes").alias("key"), F.col("h1").alias("y"), F.col("odd").alias("odd_y"))
-    alike = F.bit_count(F.col("odd_x").bitwiseXOR(F.col("odd_y"))) <= 2 * edits
-    met = index.join(probe, "key").where((F.col("x") != F.col("y")) & alike).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    met = keep(met, "line-pairs")
-    asked = keep(met.select(F.col("x").alias("h1")).unionAll(met.select("y")).distinct(), "line-asked")
-    texts = keep(lines.join(few(asked), "h1").groupBy("h1", "h2").agg(F.min(F.struct("at", "line")).alias("l")).select("h1", "h2", "l.at", "l.line"), "line-texts")
-    side = lambda h, t, n: texts.select(F.col("h1").alias(h), F.col("h2").alias(n), F.col("at").alias(f"at_{t}"), F.col("line").alias(t))
-    most = allowed(F.least(F.length("a"), F.length("b")), edits, least_chars)
-    near = within(met.join(side("x", "a", "x2"), "x").join(side("y", "b", "y2"), "y").withColumn("most", most), edits)
-    later = F.when(F.col("at_a") < F.col("at_b"), F.struct(F.col("y").alias("h1"), F.col("y2").alias("h2"))).otherwise(F.struct(F.col("x").alias("h1"), F.col("x2").alias("h2")))
-    near = keep(near.select(later.alias("z")).select("z.h1", "z.h2").distinct(), "line-near")
+    distinct = keep(lines.select("h1", "h2", "at", index_keys(F.col("line"), length, edits, least_chars).alias("own"), probe_keys(F.col("line"), length, edits, least_chars).alias("probes"))
+                    .groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("times"), F.first("own").alias("own"), F.first("probes").alias("probes")), "line-keys")
+    index, probes, who = _met(distinct)
+    texts = lines.join(few(who.withColumnRenamed("h", "h1")), "h1").groupBy("h1", "h2").agg(F.min(F.struct("at", "line")).alias("l")).select("h1", "h2", "l.at", "l.line")
+    texts = keep(texts.withColumn("odd", letter_parity(F.col("line"))), "line-texts")
+
+    def later(pairs: DataFrame) -> DataFrame:
+        """(h1, h2): the later lines of the pairs that are near."""
+        side = lambda h, t, n: texts.select(F.col("h1").alias(h), F.col("h2").alias(n), F.col("at").alias(f"at_{t}"), F.col("line").alias(t), F.col("odd").alias(f"odd_{t}"))
+        most = allowed(F.least(F.length("a"), F.length("b")), edits, least_chars)
+        both = pairs.join(side("x", "a", "x2"), "x").join(side("y", "b", "y2"), "y").where(_alike("odd_a", "odd_b", edits)).drop("odd_a", "odd_b")
+        near = within(both.withColumn("most", most), edits)
+        z = F.when(F.col("at_a") < F.col("at_b"), F.struct(F.col("y").alias("h1"), F.col("y2").alias("h2"))).otherwise(F.struct(F.col("x").alias("h1"), F.col("x2").alias("h2")))
+        return keep(near.select(z.alias("z")).select("z.h1", "z.h2").distinct(), "line-near")
+
+    # a line that is near a pivot of one of its keys and comes after it is settled: the members of a large group of
+    # near copies are compared with its pivots only
+    by_pivot = later(keep(_with_pivots(index).unionAll(_with_pivots(probes)).distinct(), "line-pairs"))
+    # the others meet every line that comes before them, but for the other side's pivots, which they have met
+    settled = by_pivot.select(F.col("h1").alias("h")).distinct().withColumn("settled", F.lit(True))
+    state = texts.groupBy(F.col("h1").alias("h")).agg(F.first("odd").alias("odd")).join(settled, "h", "left")
+    state = keep(state.select("h", "odd", F.col("settled").isNull().alias("open")), "line-state")
+
+    def member(rows: DataFrame, name: str) -> DataFrame:
+        return rows.join(state, "h").select("key", F.struct("h", "first", "open", "odd", F.col("early.h").alias("early"), F.col("often.h").alias("often")).alias(name))
+
+    x, y = (keep(member(rows, name), "line-members") for rows, name in ((index, "x"), (probes, "y")))
+    rest = x.join(y, "key")
+    turn = F.when(F.col("x.first") < F.col("y.first"), F.col("y.open")).otherwise(F.col("x.open"))
+    new = ~F.col("x.h").isin(F.col("y.h"), F.col("y.early"), F.col("y.often")) & ~F.col("y.h").isin(F.col("x.early"), F.col("x.often"))
+    rest = rest.where(new & turn & _alike("x.odd", "y.odd", edits))
+    rest = rest.select(F.least("x.h", "y.h").alias("x"), F.greatest("x.h", "y.h").alias("y")).distinct()
+    near = keep(by_pivot.unionAll(later(keep(rest, "line-pairs"))).distinct(), "line-near")
     out = distinct.select("h1", "h2", "first", "times").join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("near or times > 1")
     gone = lines.select("at", "h1", "h2").join(few(keep(out.drop("times"), "line-out")), ["h1", "h2"]).where(F.coalesce("near", F.lit(False)) | (F.col("at") != F.col("first")))
-    # a row's own lines
-    return keep(gone.groupBy("at.doc_id", "at.text_id").agg(F.sort_array(F.collect_set("at.line_no")).alias("gone")), "line-gone")
+    return keep(gone.select("at.doc_id", "at.text_id", "at.line_no").distinct(), "line-gone")
+
+
+def _alike(odd_a: str, odd_b: str, edits: int) -> Column:
+    return F.bit_count(F.col(odd_a).bitwiseXOR(F.col(odd_b))) <= 2 * edits
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int | None = None) -> DataFrame:
@@ -214,9 +266,11 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int | None = N
     lose the same lines; rows without id come last in the order; a text whose
     lines all go becomes empty; other columns stay.
     """
-    gone = repeated_lines(docs, edits, least_chars)
+    # a row's own lines, as many as its text has at most
+    gone = keep(repeated_lines(docs, edits, least_chars).groupBy("doc_id", "text_id").agg(F.sort_array(F.collect_set("line_no")).alias("gone")), "line-numbers")
+    size = gone.agg(F.sum(F.size("gone") * 8 + 64)).first()[0] or 0
     d = docs.select(F.struct("*").alias("row"), text_id().alias("text_id"))
-    g = few(gone).alias("g")
+    g = (F.broadcast(gone) if size <= BROADCAST else gone).alias("g")
     d = d.alias("d").join(g, F.col("d.row.doc_id").cast("long").eqNullSafe(F.col("g.doc_id")) & (F.col("d.text_id") == F.col("g.text_id")), "left")
     text = F.col("d.row.text")
     lines = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("g.gone", i))

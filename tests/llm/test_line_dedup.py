@@ -93,6 +93,41 @@ def test_equal_lines_of_any_length_and_near_short_ones(spark):
     assert got == {1: (rows[0][1], 0), 2: ("On\n--\n", 3), 3: ("Hom\nNo", 3), 4: ("by\nNext page please", 2)}
 
 
+def registered(docs):
+    """What the registered configuration leaves: near lines have an edit for each eight characters of the shorter one, two at most."""
+    firsts = {}
+    for at, text in docs:
+        for n, line in enumerate(text.split("\n")):
+            if len(line) >= L.WORDLESS_CHARS or any(c.isalnum() for c in line):
+                firsts[line] = min(firsts.get(line, (at, n)), (at, n))
+    near = {x for x in firsts for y in firsts if firsts[y] < firsts[x] and x != y and abs(len(x) - len(y)) <= 2 and distance(x, y) <= min(2, min(len(x), len(y)) // L.CHARS_AN_EDIT)}
+    out = {}
+    for at, text in docs:
+        kept = [x for n, x in enumerate(text.split("\n")) if x not in firsts or (x not in near and firsts[x] == (at, n))]
+        out[at] = "\n".join(kept)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_registered_configuration_with_large_groups_of_near_copies(spark, seed):
+    r = random.Random(seed)
+    # bases that share segments with one another, and many variants of each within 0 to 4 edits, in any order
+    parts = ["".join(r.choices("abcdefg hij", k=9)) for _ in range(5)]
+    bases = ["".join(r.choices(parts, k=r.randint(1, 3))) for _ in range(6)] + ["Ok", "Home", "12345678"]
+    docs = []
+    for i in range(120):
+        lines = []
+        for _ in range(r.randint(1, 3)):
+            w = list(r.choice(bases))
+            for _ in range(r.choice([0, 1, 1, 2, 2, 3])):
+                at = r.randint(0, len(w))
+                w[at:at + r.randint(0, 1)] = r.choices("abz1", k=r.randint(0, 1))
+            lines.append("".join(w))
+        docs.append((i, "\n".join(lines)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert {x.doc_id: x.text for x in L.dedup_lines(df).collect()} == registered(docs)
+
+
 def test_no_rows(spark):
     assert ours(spark, [], 2, 24) == []
 
