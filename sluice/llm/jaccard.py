@@ -18,7 +18,9 @@ signatures.  Sets that link differ in at most ``d`` tokens:
   several tokens, so chance matches are rare.  For thresholds of 0.85 and more.
 * ``prefix`` takes the tokens that come first in one order of all; sets that link
   share one.  Tokens counted as frequent come last in that order.  For lower
-  thresholds, where buckets would be many and small.
+  thresholds, where buckets would be many and small.  Before, twice as many first
+  tokens by hash are counted over all sets: of two sets that link, a good part of
+  these are the same, so sets of which too few were seen twice need none.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import few, keep, ship, text_id
+from sluice.llm.sequences import bits_of, passes
 
 #: Members of a group, to which a large one is cut.
 GROUP = 256
@@ -107,7 +110,23 @@ class Threshold:
         """Size of the smallest set that links with one of n."""
         return -(-n * self.num // self.den)
 
-    def signatures(self, tokens: np.ndarray, frequent: np.ndarray | None = None, wide: int = 1) -> np.ndarray:
+    def wide(self, n: int) -> int:
+        """Of a set of n, so many first tokens are counted over all sets."""
+        return 2 * (n - self.least(n)) + 1
+
+    def may_link(self, tokens: np.ndarray, repeated: np.ndarray) -> bool:
+        """Whether enough of a set's first tokens are among the first ones of another set, too.
+
+        At most n - least(n) tokens of a set of n are not in a set that it links with, so of the tokens
+        they share the first n - least(n) + 1 lie among its own wide(n) first ones; the same holds for the
+        other set, of least(n) tokens or more.
+        """
+        n = len(tokens)
+        small = self.least(n)
+        need = min(n - small, small - self.least(small)) + 1
+        return n > 0 and int(passes(repeated, tokens[:self.wide(n)]).sum()) >= need
+
+    def signatures(self, tokens: np.ndarray, frequent: np.ndarray | None = None) -> np.ndarray:
         n = len(tokens)
         if not n:
             return np.zeros(0, np.int64)
@@ -116,7 +135,7 @@ class Threshold:
             if frequent is not None and len(frequent):
                 at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
                 late = np.concatenate([tokens[frequent[at] != tokens], tokens[frequent[at] == tokens]])
-            return late[:(n - self.least(n)) * wide + 1].view(np.int64)
+            return late[:n - self.least(n) + 1].view(np.int64)
         if n < self.bands[0][0]:
             return np.zeros(0, np.int64)
         out = []
@@ -138,9 +157,17 @@ class Threshold:
         return self.den * same >= self.num * (a + b - same)
 
 
-def _sets(docs: DataFrame, n: int, t: Threshold, frequent: np.ndarray | None, schema: str, wide: int = 1, tokens: bool = False) -> DataFrame:
-    """doc_id, text_id, id (hash of the set), n and signatures or tokens, by a pass over the texts."""
-    known = docs.sparkSession.sparkContext.broadcast(frequent)
+def _sets(docs: DataFrame, n: int, t: Threshold, frequent: np.ndarray | None, schema: str, first: bool = False, tokens: bool = False,
+          repeated: np.ndarray | None = None) -> DataFrame:
+    """doc_id, text_id, id (hash of the set), n and signatures, first tokens or all tokens, by a pass over the texts.
+    Sets that can't link, by the filter of repeated first tokens, have no signatures."""
+    known = docs.sparkSession.sparkContext.broadcast((frequent, repeated))
+
+    def items(x: np.ndarray) -> np.ndarray:
+        if tokens or first:
+            return (x[:t.wide(len(x))] if first else x).view(np.int64)
+        frequent, repeated = known.value
+        return t.signatures(x, frequent) if repeated is None or t.may_link(x, repeated) else np.zeros(0, np.int64)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,7 +175,7 @@ def _sets(docs: DataFrame, n: int, t: Threshold, frequent: np.ndarray | None, sc
                 part = batch.slice(at, 256)
                 sets = [tokens_of(x.as_py(), n) for x in part.column(1)]
                 ids = [xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) if len(x) else None for x in sets]
-                lists = [x.view(np.int64) for x in sets] if tokens else [t.signatures(x, known.value, wide) for x in sets]
+                lists = [items(x) for x in sets]
                 ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
                 flat = pa.array(np.concatenate([*lists, np.zeros(0, np.int64)]))
                 yield pa.RecordBatch.from_arrays(
@@ -253,13 +280,15 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
     """
     spark, t = docs.sparkSession, Threshold(num, den)
     ship(spark)
-    frequent = None
+    frequent = repeated = None
     if not t.buckets:
-        # every document's first tokens in hash order, twice as many as needed
-        seen = _sets(docs, n, t, None, SETS, wide=2).select(F.explode("items").alias("token")).groupBy("token").count()
-        often = seen.where(F.col("count") > FREQUENT).orderBy(F.desc("count"), "token").limit(FREQUENT_MOST).collect()
-        frequent = np.sort(np.array([r["token"] for r in often], np.int64).view(U))
-    sets = keep(_sets(docs, n, t, frequent, SETS), "jaccard-sets")
+        # every document's first tokens in hash order, twice as many as needed; one seen once links nothing
+        seen = _sets(docs, n, t, None, SETS, first=True).select(F.explode("items").alias("key")).groupBy("key").count()
+        seen = keep(seen.where("count > 1"), "jaccard-seen")
+        often = seen.where(F.col("count") > FREQUENT).orderBy(F.desc("count"), "key").limit(FREQUENT_MOST).collect()
+        frequent = np.sort(np.array([r["key"] for r in often], np.int64).view(U))
+        repeated = bits_of(seen.select("key"))
+    sets = keep(_sets(docs, n, t, frequent, SETS, repeated=repeated), "jaccard-sets")
     postings = sets.where("id is not null").select("id", F.explode("items").alias("sig"))
     live = postings.groupBy("sig").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot <> last")
     met = keep(postings.join(live, "sig").select("sig", "id", "pivot", "last").distinct(), "jaccard-met")

@@ -101,6 +101,24 @@ def test_sets_that_link_share_a_signature(size, seed, bar):
         assert set(t.signatures(a).tolist()) & set(t.signatures(b).tolist())
 
 
+@given(st.integers(1, 200), st.integers(0, 10**6), st.sampled_from([(8, 10), (5, 10), (7, 10)]))
+@settings(max_examples=300, deadline=None)
+def test_sets_that_link_pass_the_filter_of_repeated_tokens(size, seed, bar):
+    r = np.random.default_rng(seed)
+    t = J.Threshold(*bar)
+    a = np.unique(r.integers(0, 1 << 62, size).astype(J.U))
+    b = a
+    for _ in range(60):
+        new = b[r.random(len(b)) > 0.02] if r.random() < 0.5 else np.union1d(b, r.integers(0, 1 << 62, 1).astype(J.U))
+        if len(new) and t.links(np.float64(len(np.intersect1d(a, new))), np.float64(len(a)), np.float64(len(new))):
+            b = new
+    firsts, n = np.unique(np.concatenate([x[:t.wide(len(x))] for x in (a, b)]), return_counts=True)
+    bits = np.zeros(1 << 17, np.uint8)          # wide enough that no other token passes by chance
+    spots = firsts[n > 1] & J.U((1 << 20) - 1)
+    np.bitwise_or.at(bits, spots >> J.U(3), (128 >> (spots & J.U(7)).astype(np.int64)).astype(np.uint8))
+    assert t.may_link(a, bits) and t.may_link(b, bits)
+
+
 def test_chains_become_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a long, b long")
     got = dict(map(tuple, J.components(edges).collect()))
