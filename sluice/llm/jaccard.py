@@ -48,7 +48,7 @@ BAND = 1.5
 #: Prefix tokens of more documents than this are frequent; so many of the most frequent are known to all tasks.
 FREQUENT, FREQUENT_MOST = 50, 500_000
 #: Distinct words a Python worker remembers; beyond that it starts anew.
-CACHE = 1_000_000
+CACHE = 200_000
 
 _WORDS: dict[bytes, int] = {}
 U = np.uint64

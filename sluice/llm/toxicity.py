@@ -47,7 +47,7 @@ RIDGE = 1e-5
 #: Margins of words are cut off here; a text without words has the least.
 LIMIT = 3.0
 #: Words whose margins a Python worker remembers; beyond that it starts anew.
-CACHE = 1_000_000
+CACHE = 300_000
 TOXIC_FROM = 0.7
 
 _NOT_LETTER = re.compile(r"[\W\d_]+")
