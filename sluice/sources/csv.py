@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.functions.names import NameCollisionError
 from sluice.operators.columns import col
 from sluice.session import scratch_path
 
@@ -134,9 +135,13 @@ def _headers(spark: SparkSession, path: str, opts: Mapping[str, str]) -> DataFra
         fields = F.array(*[F.col(f"r.{n}") for n in names])
         # trailing nulls are fields that the header does not have
         last = F.array_max(F.transform(fields, lambda x, i: F.when(x.isNotNull(), i + 1).otherwise(F.lit(0))))
-        raw = first.select("file", F.slice(fields, F.lit(1), last).alias("raw"))
+        table = scratch_path(spark, "first-records")
+        first.select("file", F.slice(fields, F.lit(1), last).alias("raw")).write.parquet(table)
+        raw = spark.read.parquet(table)
     else:
-        lines = file_headers(spark, path)
+        table = scratch_path(spark, "first-lines")
+        file_headers(spark, path).write.parquet(table)       # one row per file; the scan is done once
+        lines = spark.read.parquet(table)
         width = _most_fields(lines, "header", sep, quote, escape)
         schema = ", ".join(f"c{i} string" for i in range(width))
         parsed = lines.select("file", _n_fields(F.col("header"), sep, quote, escape).alias("n"),
@@ -175,28 +180,29 @@ def _most_fields(lines: DataFrame, name: str, sep: str, quote: str, escape: str)
 def _read_by_position(spark: SparkSession, path: str, keep_corrupt: bool, opts: Mapping[str, str],
                       name_rule: Callable[[list[str]], list[str]] | None) -> DataFrame:
     """Every file parsed once by position, each column taken from its place in the file's header."""
-    table = scratch_path(spark, "file-headers")
-    _headers(spark, path, opts).write.parquet(table)     # one row per file
-    files = spark.read.parquet(table)
+    files = _headers(spark, path, opts)
     layouts = files.select("names").distinct().limit(2).collect()
     if len(layouts) == 1:                                # one header: a plain read under it
         frame = _read_group(spark, path, keep_corrupt, opts)
         names = (name_rule or list)([c for c in frame.columns if c != CORRUPT_COLUMN])
         return frame.toDF(*names, *([CORRUPT_COLUMN] if keep_corrupt else []))
-    # what comes to the driver is as long as there are column names and widths, not layouts or files
-    found = files.select(F.posexplode("names").alias("at", "name")).groupBy("name").agg(F.min("at").alias("at"))
-    raw_names = [r["name"] for r in found.orderBy("at", "name").collect()]
+    # what comes to the driver is as long as there are column names, not layouts or files
+    raw_names, width = _names_of(files)
     if not raw_names:
         return spark.createDataFrame([], _with_corrupt(T.StructType([])) if keep_corrupt else T.StructType([]))
-    width = files.agg(F.max(F.size("names"))).first()[0]
-    clean = _clean_names(files, raw_names, name_rule)
-    named = files.select("file", F.size("names").alias("n"), clean.alias("names"))
-    out = list(dict.fromkeys(r["name"] for r in named.select(F.posexplode("names").alias("at", "name")).groupBy("name")
-                             .agg(F.min("at").alias("at")).orderBy("at", "name").collect()))
+    named = files.select("file", F.size("names").alias("n"), _clean_names(files, raw_names, name_rule).alias("names"))
+    out = raw_names if name_rule is None else _names_of(named)[0]
     rows = _placed(spark, path, opts, named, out, width)
     return rows.select(*[col(c) for c in out], *([CORRUPT_COLUMN] if keep_corrupt else []))
 
 
+def _names_of(files: DataFrame) -> tuple[list[str], int]:
+    """(distinct column names in order of their first places, fields of the widest header)."""
+    found = files.select(F.posexplode("names").alias("at", "name")).groupBy("name").agg(F.min("at").alias("at"), F.max("at").alias("last"))
+    rows = found.orderBy("at", "name").collect()
+    return [r["name"] for r in rows], max((r["last"] + 1 for r in rows), default=0)
+
+
 def _placed(spark: SparkSession, path: str | list[str], opts: Mapping[str, str], named: DataFrame, out: list[str], width: int) -> DataFrame:
     """(columns ``out``, text of malformed lines, _sl_file): rows of the files in ``named`` (file, n, names), parsed by position."""
     places = named.select(F.col("file").alias("_sl_file"), F.col("n").alias("_sl_n"),
@@ -224,10 +230,8 @@ def read_matching(spark: SparkSession, paths: list[str], expected: list[str], ru
     ``rule``, are the expected ones in any order, as (columns, ``_corrupt_record``,
     ``_sl_file``) or None if there are no such files; and (file, names) of the others."""
     opts = dict(options or {})
-    table = scratch_path(spark, "file-headers")
-    _headers(spark, paths, opts).write.parquet(table)
-    files = spark.read.parquet(table)
-    raw_names = [r["name"] for r in files.select(F.explode("names").alias("name")).distinct().collect()]   # column names
+    files = _headers(spark, paths, opts)
+    raw_names, _ = _names_of(files)
     if not raw_names:
         return None, files
     clean = F.create_map(*[F.lit(x) for n in raw_names for x in (n, rule(n))])
@@ -250,13 +254,16 @@ def _clean_names(files: DataFrame, raw_names: list[str], name_rule: Callable[[li
     lower = F.transform(plain, lambda n: F.lower(n))
     clash = files.where(F.size(F.array_distinct(lower)) < F.size("names")).select("names").distinct()
     out = plain
-    for row in clash.limit(_MOST_CLASHES + 1).collect():
+    layouts = clash.limit(_MOST_CLASHES + 1).collect()
+    if len(layouts) > _MOST_CLASHES:
+        raise NameCollisionError(f"names meet in more than {_MOST_CLASHES} layouts, among them {layouts[0]['names']}")
+    for row in layouts:
         fixed = name_rule(list(row["names"]))      # raises, unless collisions get numbers
         out = F.when(F.col("names") == F.array(*[F.lit(n) for n in row["names"]]), F.array(*[F.lit(n) for n in fixed])).otherwise(out)
     return out
 
 
-#: Layouts with names that meet which are numbered one by one.
+#: Layouts with names that meet which are numbered one by one; with more, reading raises.
 _MOST_CLASHES = 100
 
 
