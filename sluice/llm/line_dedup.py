@@ -178,13 +178,14 @@ def within(pairs: DataFrame, edits: int) -> DataFrame:
 
 
 def lines_of(docs: DataFrame, least_chars: int | None) -> DataFrame:
-    """(at, line, h1, h2) of each line that may go; ``at`` orders all lines of the corpus."""
-    size = F.length("line")
+    """(at, line, n, h1, h2) of each line that may go, n its characters; ``at`` orders all lines of the corpus."""
+    size = F.col("n")
     may_go = size >= least_chars if least_chars is not None else (size >= WORDLESS_CHARS) | F.col("line").rlike(r"[\p{L}\p{N}]")
     d = docs.select("doc_id", text_id().alias("text_id"), F.split("text", "\n").alias("lines"))
-    d = d.select("doc_id", "text_id", F.posexplode_outer("lines").alias("line_no", "line")).where(may_go)
+    d = d.select("doc_id", "text_id", F.posexplode_outer("lines").alias("line_no", "line"))
+    d = d.withColumn("n", F.length("line")).where(may_go)   # counted once: all keys start from it
     at = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("long").alias("doc_id"), "text_id", F.col("line_no").cast("int").alias("line_no"))
-    return d.select(at.alias("at"), "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+    return d.select(at.alias("at"), "line", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
 def _met(distinct: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -216,7 +217,7 @@ def _with_pivots(rows: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int | None = None) -> DataFrame:
     """(doc_id, text_id, line_no): a row's lines that go."""
     lines = lines_of(docs, least_chars)
-    length = F.length("line")
+    length = F.col("n")
     distinct = keep(lines.select("h1", "h2", "at", index_keys(F.col("line"), length, edits, least_chars).alias("own"), probe_keys(F.col("line"), length, edits, least_chars).alias("probes"))
                     .groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("times"), F.first("own").alias("own"), F.first("probes").alias("probes")), "line-keys")
     index, probes, who = _met(distinct)
