@@ -15,14 +15,23 @@ from sluice.llm.common import keep, table, without
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the kernel machine, trained on the labels that aren't held out, finds toxic go."""
+    """Documents that the kernel machine, trained on the labels that aren't held out, finds toxic go.
+
+    Null and empty texts hold no toxic word and stay, as does every row if there are no labels of both kinds;
+    rows that share an id or a text are judged alike, each by its text; long texts count whole; an empty table stays empty.
+    """
     from sluice.llm.toxicity import held_out, train, without_toxic
 
     return without_toxic(docs, train(docs, table(spark, sf_dir, "labels"), ~held_out()))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an equal or near line of an earlier document, or earlier in the same one, go."""
+    """Lines that repeat an equal or near line of an earlier document, or earlier in the same one, go.
+
+    No row goes: null and empty texts stay as they are, a text whose lines all go becomes empty.  Rows without id come
+    last in the order, those that share one come in the order of their texts' hashes, and rows equal in both keep and
+    lose the same lines.  ``n_chars``, where there is such a column, follows the text.
+    """
     from sluice.llm.line_dedup import dedup_lines
 
     fewer = dedup_lines(docs).drop("n_lines_gone")
@@ -41,14 +50,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item go.
+
+    Null and empty texts, and all texts if the benchmark is empty, hold none and stay; rows that share an id are judged
+    by their own texts; rows without id too; long texts count whole.
+    """
     from sluice.llm.decontaminate import decontaminate as find
 
     return without(docs, find(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each document by the multilingual byte-level vocabulary, with digests of ids and decoded bytes."""
+    """Ids of each document by the multilingual byte-level vocabulary, with digests of ids and decoded bytes.
+
+    A row for each row of docs: null is an empty text, which has no ids; repeated rows and rows without id keep a row
+    each; long texts count whole; an empty table gives no rows.
+    """
     import public_tokenizers
 
     from sluice.llm.byte_bpe import digests, encode_decode
