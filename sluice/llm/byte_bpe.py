@@ -40,7 +40,7 @@ from sluice.llm.common import keep, ship
 #: Characters of a block; a longer document is a block of its own.
 BLOCK_CHARS = 32_000_000
 #: Words whose ids a Python worker remembers; beyond that it starts anew.
-CACHE = 1_000_000
+CACHE = 300_000
 
 BLOCKS = ("block string, keys binary, counts binary, positions binary, sizes binary, "
           "parts array<struct<bucket int, words binary>>")
