@@ -40,7 +40,7 @@ from sluice.plans.presets import (CSV_MIME, DROP_LIST_A, EXPORT_MIMES, FACILITY_
 from sluice.plans.transform import provider_fanout, provider_transform, quality_frame, quality_transform
 from sluice.session import scratch_path
 from sluice.sources.csv import read_raw, write_csv
-from sluice.sources.files import inventory_from_paths, list_files
+from sluice.sources.files import by_files, few_listing_tasks, inventory_from_paths, list_files, write_texts
 from sluice.sources.manifest import compact_manifest, manifest_entries, read_manifest, write_manifest_entries
 from sluice.sources.parquet import read_domain, stamp, write_domain, write_facets
 from sluice.streaming.pickup import read_pickup, rejected_path_of, run_incremental_clean
@@ -753,11 +753,18 @@ def q_lost_values(spark, sf_dir):
 
 
 def q_move_apply(spark, sf_dir):
-    """Pages as files of one folder per language, moved by the plan: what is found
-    under each target, what is left, and how many files a second run moves."""
+    """Pages as files under one folder per language, a file each and a folder for
+    every 10,000 ids, moved by the plan: what is found under each target, what is
+    left, and how many files a second run moves."""
     raw, processed, error = (scratch_path(spark, n) for n in ("raw", "processed", "error"))
-    pages = table(spark, sf_dir, "pages").select(F.element_at(F.split("url", "/"), 4).alias("lang"), "page_id", F.col("page_id").alias("page"), "url")
-    pages.write.partitionBy("lang", "page_id").json(raw)
+
+    def folder(name, value):
+        return F.concat(F.lit(f"{name}="), F.coalesce(F.nullif(F.url_encode(value), F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__")))
+
+    pages = table(spark, sf_dir, "pages").select(F.element_at(F.split("url", "/"), 4).alias("lang"), F.col("page_id").alias("page"), "url")
+    name = F.concat_ws("-", F.lit("page"), F.col("page").cast("string"), F.monotonically_increasing_id().cast("string"))
+    write_texts(pages.select(F.concat(folder("lang", F.col("lang")), F.lit("/"), folder("block", F.expr("string(page div 10000)")), F.lit("/"), name, F.lit(".json")).alias("key"),
+                             F.concat(F.to_json(F.struct("page", "url")), F.lit("\n")).alias("text")), raw)
 
     def run():
         plan = move_plan(list_files(spark, raw).where("NOT hidden"), [f"lang={x}" for x in KNOWN_LANGS], raw, processed, error)
@@ -766,7 +773,9 @@ def q_move_apply(spark, sf_dir):
     run()
     again = run().count()
     left = list_files(spark, raw).where("NOT hidden").count()
-    found = [spark.read.json(root).select(F.lit(name).alias("target"), "page", "url") for name, root in (("processed", processed), ("error", error)) if not list_files(spark, root).isEmpty()]
+    with few_listing_tasks(spark):
+        found = [by_files(spark.read.schema("page long, url string").json(root, recursiveFileLookup=True)).select(F.lit(name).alias("target"), "page", "url")
+                 for name, root in (("processed", processed), ("error", error)) if not list_files(spark, root).isEmpty()]
     return reduce(DataFrame.unionAll, found).withColumn("moved_again", F.lit(again)).withColumn("left_behind", F.lit(left))
 
 

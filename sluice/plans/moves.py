@@ -23,10 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.sources.files import open_store
+from sluice.sources import files
+from sluice.sources.files import open_store, put_file
 
-#: Files that one task copies, and bytes that it holds at a time.
-FILES_PER_TASK, BLOCK = 64, 8 << 20
+#: Files that one task copies, as they may be large; once there are EVEN_TASKS
+#: tasks, their files even out, and they take up to MOST_FILES before there are more.
+FILES_PER_TASK, EVEN_TASKS, MOST_FILES = 64, 256, 500
+#: Bytes that a task holds at a time.
+BLOCK = 8 << 20
 
 LANDED, GONE = "landed", "gone"
 LOG = "domain string, key string, source string, target string, status string, outcome string, bytes long, modified timestamp"
@@ -45,26 +49,15 @@ def _copy(source: str, target: str) -> tuple[str, int | None, dt.datetime | None
     info = old.get_file_info(there)
     if info.type != fs.FileType.File:
         return GONE, None, None          # another run has moved it
-    new, place = open_store(target)
-    folder, _, name = place.rpartition("/")
-    draft = f"{folder}/.moving-{uuid.uuid4().hex}-{name}"
-    new.create_dir(folder, recursive=True)
-    try:
-        with old.open_input_stream(there) as src, new.open_output_stream(draft) as dst:
-            while block := src.read(BLOCK):
-                dst.write(block)
-        if new.get_file_info(draft).size != info.size:
-            raise OSError(f"{source} changed while it was copied")
-        if new.type_name == "hdfs" and new.get_file_info(place).type == fs.FileType.File:
-            new.delete_file(place)       # its rename does not replace
-        new.move(draft, place)
-    except BaseException:
-        if new.get_file_info(draft).type == fs.FileType.File:
-            new.delete_file(draft)
-        raise
+    with old.open_input_stream(there) as src:
+        put_file(target, iter(lambda: src.read(BLOCK), b""), info.size)
     return LANDED, info.size, info.mtime
 
 
+def copy_tasks(n_files: int) -> int:
+    return max(1, min(-(-n_files // FILES_PER_TASK), EVEN_TASKS), -(-n_files // MOST_FILES))
+
+
 def _land(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = batch.to_pylist()
@@ -100,10 +93,11 @@ def apply_moves(spark: SparkSession, plan: DataFrame, log_root: str, run_id: str
     """
     run = f"{log_root.rstrip('/')}/run-{run_id or uuid.uuid4().hex}"
     wanted = plan.select("domain", "key", "source", "target", "status").where("source IS NOT NULL AND target IS NOT NULL AND source <> target")
-    tasks = max(1, -(-wanted.count() // FILES_PER_TASK))
-    dealt = wanted.repartition(tasks, "source")
+    n_files = wanted.count()
+    dealt = wanted.repartition(copy_tasks(n_files), "source")
     dealt.mapInArrow(_land, LOG).write.mode("overwrite").parquet(f"{run}/landed")
     log = spark.read.schema(LOG).parquet(f"{run}/landed")
-    left = log.where(F.col("outcome") == LANDED).repartition(tasks, "source")
+    # removing a file takes the same time whatever its size
+    left = log.where(F.col("outcome") == LANDED).select("source", "bytes", "modified").repartition(max(1, -(-n_files // files.FILES_PER_TASK)), "source")
     left.mapInArrow(_remove, "source string").write.mode("overwrite").parquet(f"{run}/removed")
     return log

@@ -88,6 +88,30 @@ def test_stores_of_paths():
     assert [open_store(p)[1] for p in ("/a b/c%20", "file:/a b/c", "file:///a/b")] == ["/a b/c%20", "/a b/c", "/a/b"]
 
 
+def test_copy_tasks_take_more_files_once_there_are_many():
+    assert [moves.copy_tasks(n) for n in (0, 1, 64, 65, 6400, 64_000, 128_000, 1_000_000)] == [1, 1, 1, 2, 100, 256, 256, 2000]
+
+
+def test_removing_takes_few_tasks(spark, tmp_root):
+    raw, processed, error = tmp_root + "/raw", tmp_root + "/processed", tmp_root + "/error"
+    for i in range(600):
+        write_text(f"{local(raw)}/good/{i}", "a.csv", str(i))
+    log = moves.apply_moves(spark, plan_of(spark, raw, processed, error), tmp_root + "/log", "r")
+    assert log.count() == 600 and tree(raw) == {} and tree(processed) == {f"good/{i}/a.csv": str(i) for i in range(600)}
+    removed = [f for f in os.listdir(local(tmp_root) + "/log/run-r/removed") if f.startswith("part-")]
+    assert len(removed) <= 2 and spark.read.parquet(tmp_root + "/log/run-r/removed").count() == 600
+
+
+def test_move_query_keeps_a_file_for_each_page(spark, tmp_root):
+    from sluice.plans.catalog import q_move_apply
+    pages = [(1, "https://h/en/1"), (1, "https://h/en/1"), (2, "https://h/de/ü\"\n"), (3, "https://h//x"), (4, "https://h/a b%/x"), (5, None), (6, "https://h/_e/x"), (None, "https://h/fr/6")]
+    spark.createDataFrame(pages, "page_id long, url string").repartition(3).write.parquet(tmp_root + "/pages.parquet")
+    out = q_move_apply(spark, tmp_root)
+    target = lambda u: "processed" if u and u.split("/")[3] in ("en", "de", "fr") else "error"
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(((target(u), p, u, 0, 0) for p, u in pages), key=str)
+    assert out.rdd.getNumPartitions() <= 2           # not one for every few files
+
+
 def test_cli_moves_by_the_clean_status(spark, tmp_root):
     from sluice import cli
     raw = local(tmp_root) + "/raw"

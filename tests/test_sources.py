@@ -1,5 +1,7 @@
 import os
+from contextlib import contextmanager
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import write_text
@@ -131,6 +133,52 @@ def test_listing_tasks_follow_the_number_of_files(spark, tmp_root):
     assert many.select("path").distinct().count() == 3000 and large.count() == 24
 
 
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_root):
+    from sluice.sources import files
+    root = tmp_root[len("file:"):] if tmp_root.startswith("file:") else tmp_root
+    for i in range(files.LISTING_TASKS + 100):
+        write_text(f"{root}/d/{i}", "a.txt", str(i))
+    sc, key = spark.sparkContext, "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    tracker = sc.statusTracker()
+
+    def tasks_of_jobs(group):
+        with spark_job_group(sc, group):
+            inventory = list_files(spark, tmp_root)
+        # the jobs of listing alone: the frame has not run yet
+        stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+        return max(tracker.getStageInfo(s).numTasks for s in stages), inventory.count()
+
+    assert tasks_of_jobs("listing") == (files.LISTING_TASKS, files.LISTING_TASKS + 100)
+    assert spark.conf.get(key) == before
+    spark.conf.set(key, "40")
+    try:                                     # a lower setting stands
+        assert tasks_of_jobs("listing-40")[0] == 40 and spark.conf.get(key) == "40"
+    finally:
+        spark.conf.unset(key)
+
+
+@contextmanager
+def spark_job_group(sc, group):
+    sc.setJobGroup(group, group)
+    try:
+        yield
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_texts_are_files_and_replace_what_is_there(spark, tmp_root):
+    from sluice.sources.files import write_texts
+    rows = spark.createDataFrame([("a/x y%.txt", "ü\n"), ("a/b/c.txt", ""), ("d", "1")], "key string, text string")
+    for n in range(2):
+        assert write_texts(rows.withColumn("text", F.concat("text", F.lit(str(n)))), tmp_root + "/t/") == 3
+        got = {r.rel_path: r.length for r in list_files(spark, tmp_root + "/t").collect()}
+        assert got == {"a/x y%.txt": 4, "a/b/c.txt": 1, "d": 2}
+    assert write_texts(rows.limit(0), tmp_root + "/none") == 0
+    with pytest.raises(Exception):
+        write_texts(rows.withColumn("text", F.lit(None).cast("string")), tmp_root + "/none")
+
+
 def test_six_layouts_are_aligned_by_one_data_scan(spark, tmp_root):
     d = local(tmp_root) + "/raw/d o m"
     write_text(d, "1 a.csv", "a,b b,c\n1,2,3\n")
