@@ -26,6 +26,7 @@ by shuffle beyond that.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,15 +41,27 @@ WORDLESS_CHARS = 24
 PARITY = "abcdefghijklmnopqrstuvwxyz .,-01"
 
 
-def segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """(0-based start, length) of segment i of a line: the last ones are a character longer."""
-    base, longer = F.floor(length / parts).cast("int"), F.pmod(length, F.lit(parts)).cast("int")
-    plain = parts - longer
-    return base * i + F.greatest(F.lit(0), F.lit(i) - plain), base + F.when(F.lit(i) >= plain, 1).otherwise(0)
+def segment(short: int, i: int, parts: int) -> tuple[Column, Column]:
+    """(0-based start, length) of segment i of a line that is ``short`` characters shorter: the last ones are a character
+    longer.  Read from the columns of ``with_sizes``."""
+    start = F.lit(0)
+    for j in range(i):
+        start = start + F.col(f"size_{parts}_{j - short}")
+    return start, F.col(f"size_{parts}_{i - short}")
 
 
-def key(length: Column, i: int, text: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), text)
+def with_sizes(lines: DataFrame, edits: int, least_chars: int | None) -> DataFrame:
+    """lines with size_<parts>_<d>, the characters of a part of n + d: segment i of a line of n has the i-th size.
+
+    Columns of their own keep the keys' expressions small: generated methods of more
+    than 8,000 bytes of bytecode are never compiled by the JVM, only interpreted.
+    """
+    return lines.select("*", *(F.floor((F.col("n") + d) / parts).cast("int").alias(f"size_{parts}_{d}")
+                               for parts in {most + 1 for most in each_allowed(edits, least_chars)} for d in range(-edits, parts)))
+
+
+def key(short: int, i: int, text: Column) -> Column:
+    return F.xxhash64(F.col("n") - short, F.lit(i), text)
 
 
 def allowed(length: Column, edits: int, least_chars: int | None) -> Column:
@@ -56,39 +69,48 @@ def allowed(length: Column, edits: int, least_chars: int | None) -> Column:
     return F.lit(edits) if least_chars is not None else F.least(F.lit(edits), F.floor(length / CHARS_AN_EDIT).cast("int"))
 
 
-def index_keys(line: Column, length: Column, edits: int, least_chars: int | None) -> Column:
-    return by_allowed(length, edits, least_chars, lambda most: [
-        key(length, i, F.substr(line, start + 1, size)) for i in range(most + 1) for start, size in [segment(length, i, most + 1)]])
+def each_allowed(edits: int, least_chars: int | None) -> list[int]:
+    """The edits that lines are allowed, by their lengths; none needs no keys."""
+    return [edits] if least_chars is not None else list(range(1, edits + 1))
+
+
+def index_keys(edits: int, least_chars: int | None) -> Column:
+    """Keys of a line's segments."""
+    return by_allowed(0, edits, least_chars, lambda most: [
+        key(0, i, F.substr("line", start + 1, size)) for i in range(most + 1) for start, size in [segment(0, i, most + 1)]])
 
 
-def probe_keys(line: Column, length: Column, edits: int, least_chars: int | None) -> Column:
+def probe_keys(edits: int, least_chars: int | None) -> Column:
     """Keys of substrings that may be a segment of a line of the same length or up to its allowed edits less, but for
     the line's own segments."""
-    out = []
-    for less in range(edits + 1):
-        short = length - less
-
-        def keys(most: int, less: int = less, short: Column = short) -> list[Column]:
-            found = []
-            for i in range(most + 1 if less <= most else 0):
-                start, size = segment(short, i, most + 1)
-                for shift in range(max(-i, less - (most - i)), min(i, less + (most - i)) + 1):
-                    if less == shift == 0:
-                        continue  # the line's own segment
-                    found.append(key(short, i, F.substr(line, F.greatest(start + 1 + shift, F.lit(1)), size)))
-            return found
-
-        out.append(by_allowed(short, edits, least_chars, keys))
-    return F.array_distinct(F.concat(*out))
-
-
-def by_allowed(length: Column, edits: int, least_chars: int | None, keys: Callable[[int], list[Column]]) -> Column:
-    """The keys for the edits that a line of this length is allowed; none without edits."""
+    def keys(less: int, most: int) -> list[Column]:
+        found = []
+        for i in range(most + 1 if less <= most else 0):
+            start, size = segment(less, i, most + 1)
+            for shift in range(max(-i, less - (most - i)), min(i, less + (most - i)) + 1):
+                if less == shift == 0:
+                    continue  # the line's own segment
+                found.append(key(less, i, F.substr("line", F.greatest(start + (1 + shift), F.lit(1)), size)))
+        return found
+
+    return F.array_distinct(F.concat(*(by_allowed(less, edits, least_chars, lambda most, less=less: keys(less, most)) for less in range(edits + 1))))
+
+
+def with_keys(lines: DataFrame, edits: int, least_chars: int | None) -> DataFrame:
+    """(h1, h2, at, own, probes): the keys under which each line is indexed and asks, too."""
+    return with_sizes(lines, edits, least_chars).select(
+        "h1", "h2", "at", index_keys(edits, least_chars).alias("own"), probe_keys(edits, least_chars).alias("probes"))
+
+
+def by_allowed(short: int, edits: int, least_chars: int | None, keys: Callable[[int], list[Column]]) -> Column:
+    """The keys for the edits that a line ``short`` characters shorter is allowed; none without edits."""
     if least_chars is not None:
         return F.array(*keys(edits))
-    out, most = F.array().cast("array<bigint>"), allowed(length, edits, least_chars)
-    for n in range(1, edits + 1):
-        out = F.when(most == n, F.array(*keys(n)).cast("array<bigint>")).otherwise(out)
+    out, length = F.array().cast("array<bigint>"), F.col("n") - short
+    for most in each_allowed(edits, least_chars):
+        if found := keys(most):
+            enough = length >= most * CHARS_AN_EDIT
+            out = F.when(enough if most == edits else enough & (length < (most + 1) * CHARS_AN_EDIT), F.array(*found)).otherwise(out)
     return out
 
 
@@ -99,11 +121,9 @@ def letter_parity(line: Column) -> Column:
     twice as many bits.  Lines that share a segment but have other words differ in
     more, and needn't be compared.
     """
-    odd = [F.pmod(F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit(""))), F.lit(2)).cast("long") * (1 << i) for i, c in enumerate(PARITY)]
-    total = odd[0]
-    for x in odd[1:]:
-        total = total + x
-    return total
+    size = F.octet_length(line)
+    odd = [F.shiftleft(size.bitwiseXOR(F.octet_length(F.replace(line, F.lit(c), F.lit("")))).bitwiseAND(F.lit(1)).cast("long"), i) for i, c in enumerate(PARITY)]
+    return reduce(Column.bitwiseOR, odd)
 
 
 def common_start(a: Column, b: Column, most: Column) -> Column:
@@ -217,9 +237,7 @@ def _with_pivots(rows: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int | None = None) -> DataFrame:
     """(doc_id, text_id, line_no): a row's lines that go."""
     lines = lines_of(docs, least_chars)
-    length = F.col("n")
-    distinct = keep(lines.select("h1", "h2", "at", index_keys(F.col("line"), length, edits, least_chars).alias("own"), probe_keys(F.col("line"), length, edits, least_chars).alias("probes"))
-                    .groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("times"), F.first("own").alias("own"), F.first("probes").alias("probes")), "line-keys")
+    distinct = keep(with_keys(lines, edits, least_chars).groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("times"), F.first("own").alias("own"), F.first("probes").alias("probes")), "line-keys")
     index, probes, who = _met(distinct)
     texts = lines.join(few(who.withColumnRenamed("h", "h1")), "h1").groupBy("h1", "h2").agg(F.min(F.struct("at", "line")).alias("l")).select("h1", "h2", "l.at", "l.line")
     texts = keep(texts.withColumn("odd", letter_parity(F.col("line"))), "line-texts")

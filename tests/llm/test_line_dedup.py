@@ -1,6 +1,7 @@
 """Edit join of lines against brute force."""
 
 import random
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -138,3 +139,23 @@ def test_banded_distance(spark, pairs, edits):
     df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
     got = {r.i for r in L.within(df, edits).collect()}
     assert got == {i for i, (a, b) in enumerate(pairs) if distance(a, b) <= edits}
+
+
+def test_generated_methods_are_small_enough_to_be_compiled(spark, monkeypatch):
+    # the JVM only ever interprets methods of more than 8,000 bytes
+    sizes, real = {}, L.keep
+
+    def keep(df, name):
+        if name in ("line-keys", "line-texts"):
+            spark.conf.set("spark.sql.adaptive.enabled", "false")   # else the plan has no code yet
+            try:
+                code = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+            finally:
+                spark.conf.set("spark.sql.adaptive.enabled", "true")
+            sizes[name] = max(int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", code))
+        return real(df, name)
+
+    monkeypatch.setattr(L, "keep", keep)
+    docs = spark.createDataFrame([(1, "a line of some length, twice"), (2, "a line of some lengths, twice")], "doc_id long, text string")
+    L.repeated_lines(docs)
+    assert len(sizes) == 2 and max(sizes.values()) <= 8000, sizes
